@@ -23,7 +23,7 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -33,20 +33,25 @@ def _default_buckets(df: DataFrame) -> int:
 
 
 def value_ranks(df: DataFrame, cols: list[str], buckets: int | None = None,
-                round_digits: int | None = None) -> DataFrame:
+                round_digits: int | None = None, sums: dict[str, Column] | None = None) -> DataFrame:
     """Distinct (var, value) rows with counts and cumulative positions.
 
-    Returns columns ``var string, value double, cnt long, cum_lo long,
-    cum_hi long, n long`` where ``n`` is the non-null count of ``var``.
+    Returns ``var string, value double, cnt long, cum_lo long, cum_hi long,
+    n long``; ``n`` is the non-null count of ``var``. For every entry
+    ``name -> column`` of ``sums`` (a per-row numeric column, e.g. a 0/1
+    target) it also returns ``name`` (sum at the value), ``cum_<name>``
+    (running sum up to and including the value) and ``tot_<name>``.
     Null values are ignored (as pandas/DuckDB quantiles do).
     """
     buckets = buckets or _default_buckets(df)
+    sums = sums or {}
     vals = [
         (F.round(F.col(c).cast("double"), round_digits) if round_digits is not None
          else F.col(c).cast("double")).alias(f"__v{i}")
         for i, c in enumerate(cols)
     ]
-    wide = df.select(*vals)
+    extra = [col.cast("double").alias(f"__s_{k}") for k, col in sums.items()]
+    wide = df.select(*vals, *extra)
     vcols = [f"__v{i}" for i in range(len(cols))]
     probs = [i / buckets for i in range(1, buckets)]
     accuracy = max(10_000, 10 * buckets)
@@ -62,22 +67,33 @@ def value_ranks(df: DataFrame, cols: list[str], buckets: int | None = None,
         F.struct(F.lit(c).alias("var"), F.col(v).alias("value"), F.col(b).cast("int").alias("bucket"))
         for c, v, b in zip(cols, vcols, bcols)
     ])).alias("s")
-    long = bucketed.select(stack).select("s.*").where(F.col("value").isNotNull())
-    counts = long.groupBy("var", "bucket", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    per_bucket = counts.groupBy("var", "bucket").agg(F.sum("cnt").alias("bucket_cnt"))
+    long = (bucketed.select(stack, *[f"__s_{k}" for k in sums])
+            .select("s.*", *[f"__s_{k}" for k in sums]).where(F.col("value").isNotNull()))
+    counts = long.groupBy("var", "bucket", "value").agg(
+        F.count(F.lit(1)).alias("cnt"), *[F.sum(f"__s_{k}").alias(k) for k in sums])
+    per_bucket = counts.groupBy("var", "bucket").agg(
+        F.sum("cnt").alias("bucket_cnt"), *[F.sum(k).alias(f"__bs_{k}") for k in sums])
     wb = Window.partitionBy("var").orderBy("bucket")
+    run = wb.rowsBetween(Window.unboundedPreceding, 0)
+    wv = Window.partitionBy("var")
     offsets = per_bucket.select(
         "var", "bucket",
-        (F.sum("bucket_cnt").over(wb.rowsBetween(Window.unboundedPreceding, 0)) - F.col("bucket_cnt")).alias("offset"),
-        F.sum("bucket_cnt").over(Window.partitionBy("var")).alias("n"),
+        (F.sum("bucket_cnt").over(run) - F.col("bucket_cnt")).alias("offset"),
+        F.sum("bucket_cnt").over(wv).alias("n"),
+        *[(F.sum(f"__bs_{k}").over(run) - F.col(f"__bs_{k}")).alias(f"__off_{k}") for k in sums],
+        *[F.sum(f"__bs_{k}").over(wv).alias(f"tot_{k}") for k in sums],
     )
     # offsets has at most len(cols) * buckets rows: a proven bound, safe to broadcast.
     w = Window.partitionBy("var", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (counts.join(F.broadcast(offsets), ["var", "bucket"])
-              .withColumn("cum_hi", F.col("offset") + F.sum("cnt").over(w))
-              .withColumn("cum_lo", F.col("cum_hi") - F.col("cnt"))
-              .select("var", "value", "cnt", "cum_lo", "cum_hi", "n"))
-    return ranked
+    ranked = counts.join(F.broadcast(offsets), ["var", "bucket"])
+    ranked = ranked.withColumn("cum_hi", F.col("offset") + F.sum("cnt").over(w))
+    for k in sums:
+        ranked = ranked.withColumn(f"cum_{k}", F.col(f"__off_{k}") + F.sum(k).over(w))
+    ranked = ranked.withColumn("cum_lo", F.col("cum_hi") - F.col("cnt"))
+    keep = ["var", "value", "cnt", "cum_lo", "cum_hi", "n"]
+    for k in sums:
+        keep += [k, f"cum_{k}", f"tot_{k}"]
+    return ranked.select(*keep)
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
