@@ -4,23 +4,26 @@ Spark's exact ``percentile`` aggregate keeps a value->count map that is merged
 in ONE task for a global aggregate, so its memory grows with the number of
 distinct values. Here the work is spread out instead:
 
-1. ``percentile_approx`` gives per-column bucket boundaries (B-1 values per
-   column, B bounded by a parameter); ``Bucketizer`` (JVM binary search)
-   assigns a bucket id to every row. Buckets are value ranges, so they are
-   ordered.
-2. ``groupBy(var, bucket, value).count()`` collapses duplicates map-side
-   (a hot value becomes one row per map task, then one row).
+1. One pass computes, per column, ``percentile_approx`` bucket boundaries
+   (B-1 values, B bounded by a parameter), the non-null count and the totals
+   of any summed columns. ``Bucketizer`` (JVM binary search) then assigns a
+   bucket id to every row. Buckets are value ranges, so they are ordered.
+2. ``groupBy(var, bucket, value)`` collapses duplicates map-side (a hot value
+   becomes one row per map task, then one row).
 3. Bucket totals (at most columns x B rows, broadcast) give each bucket's
    offset; a window partitioned by (var, bucket) and ordered by value gives the
    running count inside the bucket. ``cum_lo`` = rows strictly below the value,
    ``cum_hi`` = ``cum_lo + cnt``.
-4. Quantile positions (``(N-1)*p``, numpy/DuckDB ``quantile_cont`` rule) are
-   looked up with a per-row array filter, no join against raw rows.
+4. Quantile positions (``(N-1)*p``, the numpy / DuckDB ``quantile_cont`` rule)
+   are found with a per-row filter of a literal position array; only the
+   matching rows (at most 2 per probability and column) reach the driver,
+   which interpolates.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass, field
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -32,22 +35,28 @@ def _default_buckets(df: DataFrame) -> int:
     return int(min(100_000, max(64, 4 * parts)))
 
 
-def value_ranks(df: DataFrame, cols: list[str], buckets: int | None = None,
-                round_digits: int | None = None, sums: dict[str, Column] | None = None) -> DataFrame:
-    """Distinct (var, value) rows with counts and cumulative positions.
-
-    Returns ``var string, value double, cnt long, cum_lo long, cum_hi long,
-    n long``; ``n`` is the non-null count of ``var``. For every entry
-    ``name -> column`` of ``sums`` (a per-row numeric column, e.g. a 0/1
-    target) it also returns ``name`` (sum at the value), ``cum_<name>``
-    (running sum up to and including the value) and ``tot_<name>``.
-    Null values are ignored (as pandas/DuckDB quantiles do).
+@dataclass
+class Ranked:
+    """Distinct values with cumulative positions, plus per-column totals.
+
+    ``df`` columns: ``var, value, cnt, cum_lo, cum_hi`` and, for each summed
+    column ``k``: ``k`` (sum at the value) and ``cum_k`` (running sum up to and
+    including the value). ``n[var]`` is the non-null count of each column and
+    ``totals[k][var]`` the total of summed column ``k``.
     """
+    df: DataFrame
+    n: dict[str, int]
+    totals: dict[str, dict[str, float]] = field(default_factory=dict)
+
+
+def value_ranks(df: DataFrame, cols: list[str], buckets: int | None = None,
+                round_digits: int | None = None, sums: dict[str, Column] | None = None) -> Ranked:
+    """Distinct (var, value) rows with counts and cumulative positions (nulls ignored)."""
     buckets = buckets or _default_buckets(df)
     sums = sums or {}
     vals = [
-        (F.round(F.col(c).cast("double"), round_digits) if round_digits is not None
-         else F.col(c).cast("double")).alias(f"__v{i}")
+        (F.round(F.col(f"`{c}`").cast("double"), round_digits) if round_digits is not None
+         else F.col(f"`{c}`").cast("double")).alias(f"__v{i}")
         for i, c in enumerate(cols)
     ]
     extra = [col.cast("double").alias(f"__s_{k}") for k, col in sums.items()]
@@ -55,11 +64,17 @@ def value_ranks(df: DataFrame, cols: list[str], buckets: int | None = None,
     vcols = [f"__v{i}" for i in range(len(cols))]
     probs = [i / buckets for i in range(1, buckets)]
     accuracy = max(10_000, 10 * buckets)
-    bounds_row = wide.agg(*[F.percentile_approx(v, probs, accuracy).alias(v) for v in vcols]).first()
+    aggs = []
+    for i, v in enumerate(vcols):
+        aggs += [F.percentile_approx(v, probs, accuracy).alias(f"q{i}"), F.count(v).alias(f"n{i}")]
+        aggs += [F.sum(F.when(F.col(v).isNotNull(), F.col(f"__s_{k}"))).alias(f"t{i}_{k}") for k in sums]
+    head = wide.agg(*aggs).first()
+    n = {c: int(head[f"n{i}"]) for i, c in enumerate(cols)}
+    totals = {k: {c: float(head[f"t{i}_{k}"] or 0.0) for i, c in enumerate(cols)} for k in sums}
     splits = []
-    for v in vcols:
-        b = sorted({x for x in (bounds_row[v] or []) if x is not None and not math.isnan(x)})
-        splits.append([-math.inf] + [x for x in b if math.isfinite(x)] + [math.inf])
+    for i in range(len(cols)):
+        b = sorted({x for x in (head[f"q{i}"] or []) if x is not None and math.isfinite(x)})
+        splits.append([-math.inf] + b + [math.inf])
     bcols = [f"__b{i}" for i in range(len(cols))]
     bucketed = Bucketizer(splitsArray=splits, inputCols=vcols, outputCols=bcols,
                           handleInvalid="keep").transform(wide)
@@ -67,21 +82,20 @@ def value_ranks(df: DataFrame, cols: list[str], buckets: int | None = None,
         F.struct(F.lit(c).alias("var"), F.col(v).alias("value"), F.col(b).cast("int").alias("bucket"))
         for c, v, b in zip(cols, vcols, bcols)
     ])).alias("s")
-    long = (bucketed.select(stack, *[f"__s_{k}" for k in sums])
-            .select("s.*", *[f"__s_{k}" for k in sums]).where(F.col("value").isNotNull()))
+    scols = [f"__s_{k}" for k in sums]
+    # Both filters explicit: the bucket join would otherwise add one on one side only,
+    # and the two uses of ``counts`` could no longer share one shuffle.
+    long = (bucketed.select(stack, *scols).select("s.*", *scols)
+            .where(F.col("value").isNotNull() & F.col("bucket").isNotNull()))
     counts = long.groupBy("var", "bucket", "value").agg(
         F.count(F.lit(1)).alias("cnt"), *[F.sum(f"__s_{k}").alias(k) for k in sums])
     per_bucket = counts.groupBy("var", "bucket").agg(
         F.sum("cnt").alias("bucket_cnt"), *[F.sum(k).alias(f"__bs_{k}") for k in sums])
-    wb = Window.partitionBy("var").orderBy("bucket")
-    run = wb.rowsBetween(Window.unboundedPreceding, 0)
-    wv = Window.partitionBy("var")
+    run = Window.partitionBy("var").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     offsets = per_bucket.select(
         "var", "bucket",
         (F.sum("bucket_cnt").over(run) - F.col("bucket_cnt")).alias("offset"),
-        F.sum("bucket_cnt").over(wv).alias("n"),
         *[(F.sum(f"__bs_{k}").over(run) - F.col(f"__bs_{k}")).alias(f"__off_{k}") for k in sums],
-        *[F.sum(f"__bs_{k}").over(wv).alias(f"tot_{k}") for k in sums],
     )
     # offsets has at most len(cols) * buckets rows: a proven bound, safe to broadcast.
     w = Window.partitionBy("var", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
@@ -90,45 +104,51 @@ def value_ranks(df: DataFrame, cols: list[str], buckets: int | None = None,
     for k in sums:
         ranked = ranked.withColumn(f"cum_{k}", F.col(f"__off_{k}") + F.sum(k).over(w))
     ranked = ranked.withColumn("cum_lo", F.col("cum_hi") - F.col("cnt"))
-    keep = ["var", "value", "cnt", "cum_lo", "cum_hi", "n"]
+    keep = ["var", "value", "cnt", "cum_lo", "cum_hi"]
     for k in sums:
-        keep += [k, f"cum_{k}", f"tot_{k}"]
-    return ranked.select(*keep)
+        keep += [k, f"cum_{k}"]
+    return Ranked(ranked.select(*keep), n, totals)
+
+
+def _positions(n: int, probs: list[float]):
+    plan = []
+    for i, p in enumerate(probs):
+        h = (n - 1) * float(p)
+        lo = int(math.floor(h))
+        hi = min(lo + 1, n - 1)
+        plan.append((i, float(p), lo, hi, h - lo))
+    return plan
+
+
+def quantiles_from_ranks(r: Ranked, probs: list[float]) -> DataFrame:
+    """Quantiles of every column of ``r``: (var, prob_index, prob, value)."""
+    spark = r.df.sparkSession
+    plans = {var: _positions(n, probs) for var, n in r.n.items() if n > 0}
+    rows = []
+    if plans:
+        pos_map = F.create_map(*[x for var, plan in plans.items() for x in (
+            F.lit(var), F.array(*[F.lit(p).cast("long") for p in sorted({q[2] for q in plan} | {q[3] for q in plan})]))])
+        hits = (r.df.select("var", "value", F.explode(F.filter(
+            pos_map[F.col("var")], lambda p: (p >= F.col("cum_lo")) & (p < F.col("cum_hi")))).alias("pos"))
+            .collect())
+        at = {(h["var"], h["pos"]): h["value"] for h in hits}
+        for var, plan in plans.items():
+            for i, p, lo, hi, frac in plan:
+                v_lo, v_hi = at[(var, lo)], at[(var, hi)]
+                rows.append((var, i, p, v_lo + (v_hi - v_lo) * frac))
+    return spark.createDataFrame(rows, "var string, prob_index int, prob double, value double")
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                     buckets: int | None = None, round_digits: int | None = None) -> DataFrame:
     """Linear-interpolation quantiles (numpy default, DuckDB ``quantile_cont``).
 
-    Returns ``var string, prob_index int, prob double, value double``.
+    Runs two jobs and returns a small local DataFrame
+    ``var string, prob_index int, prob double, value double``.
     """
-    ranked = value_ranks(df, cols, buckets=buckets, round_digits=round_digits)
-    return quantiles_from_ranks(ranked, probs)
-
-
-def quantiles_from_ranks(ranked: DataFrame, probs: list[float]) -> DataFrame:
-    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    n_per_var = ranked.select("var", "n").distinct()
-    needed = (n_per_var
-              .select("var", "n", F.posexplode(probs_arr).alias("prob_index", "prob"))
-              .withColumn("h", (F.col("n") - 1).cast("double") * F.col("prob"))
-              .withColumn("lo", F.floor("h").cast("long"))
-              .withColumn("hi", F.least(F.col("lo") + 1, F.col("n") - 1))
-              .withColumn("frac", F.col("h") - F.col("lo")))
-    positions = needed.groupBy("var").agg(
-        F.array_distinct(F.flatten(F.collect_list(F.array("lo", "hi")))).alias("positions"))
-    # positions: one row per column, at most 2*len(probs) longs each.
-    hits = (ranked.join(F.broadcast(positions), "var")
-            .select("var", "value",
-                    F.explode(F.filter("positions", lambda p: (p >= F.col("cum_lo")) & (p < F.col("cum_hi")))).alias("pos")))
-    lo_hits = hits.select("var", F.col("pos").alias("lo"), F.col("value").alias("v_lo"))
-    hi_hits = hits.select("var", F.col("pos").alias("hi"), F.col("value").alias("v_hi"))
-    out = (needed.join(lo_hits, ["var", "lo"]).join(hi_hits, ["var", "hi"])
-           .select("var", F.col("prob_index").cast("int").alias("prob_index"), "prob",
-                   (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("value")))
-    return out
-
-
-def average_ranks(ranked: DataFrame) -> DataFrame:
+    return quantiles_from_ranks(value_ranks(df, cols, buckets=buckets, round_digits=round_digits), probs)
+
+
+def average_ranks(r: Ranked) -> DataFrame:
     """Average-tie rank (scipy ``rankdata`` 'average'): rows below + (ties + 1) / 2."""
-    return ranked.withColumn("avg_rank", F.col("cum_lo") + (F.col("cnt") + 1) / 2.0)
+    return r.df.withColumn("avg_rank", F.col("cum_lo") + (F.col("cnt") + 1) / 2.0)
