@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.operators.quantiles import exact_quantiles
+from bandwise.operators.quantiles import quantiles_from_ranks, value_ranks
 
 # Edge rules for the first/last edge after the quantile edges are computed.
 EDGE_RULES = ("extend01", "fixed01", "none")
@@ -40,21 +40,23 @@ def quantile_edges(df: DataFrame, col: str, bins: int = 10, edge_rule: str = "ex
     if edge_rule not in EDGE_RULES:
         raise ValueError(f"edge_rule must be one of {EDGE_RULES}")
     probs = quantile_probs(bins)
+    raw = F.col(col).cast("double")
     if method == "exact":
-        q = exact_quantiles(df.select(col), [col], probs, round_digits=round_digits)
-        values = [r["value"] for r in q.orderBy("prob_index").collect()]
+        r = value_ranks(df.select(col), [col], round_digits=round_digits,
+                        extras={"mn": F.min(raw), "mx": F.max(raw)})
+        q = quantiles_from_ranks(r, probs)
+        values = [row["value"] for row in q.orderBy("prob_index").collect()]
+        mm = (r.extras["mn"], r.extras["mx"])
     elif method == "approx":
-        x = F.col(col).cast("double")
-        if round_digits is not None:
-            x = F.round(x, round_digits)
-        values = list(df.agg(F.percentile_approx(x, probs, 100_000)).first()[0])
+        x = F.round(raw, round_digits) if round_digits is not None else raw
+        head = df.agg(F.percentile_approx(x, probs, 100_000), F.min(raw), F.max(raw)).first()
+        values, mm = list(head[0] or []), (head[1], head[2])
     else:
         raise ValueError("method must be 'exact' or 'approx'")
     edges = sorted({float(v) for v in values if v is not None and not math.isnan(v)})
     if not edges:
         return []
     if edge_rule == "extend01":
-        mm = df.agg(F.min(F.col(col).cast("double")), F.max(F.col(col).cast("double"))).first()
         edges[0] = min(0.0, mm[0])
         edges[-1] = max(1.0, mm[1])
     elif edge_rule == "fixed01":

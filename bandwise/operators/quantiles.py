@@ -47,11 +47,19 @@ class Ranked:
     df: DataFrame
     n: dict[str, int]
     totals: dict[str, dict[str, float]] = field(default_factory=dict)
+    extras: dict[str, object] = field(default_factory=dict)
 
 
 def value_ranks(df: DataFrame, cols: list[str], buckets: int | None = None,
-                round_digits: int | None = None, sums: dict[str, Column] | None = None) -> Ranked:
-    """Distinct (var, value) rows with counts and cumulative positions (nulls ignored)."""
+                round_digits: int | None = None, sums: dict[str, Column] | None = None,
+                extras: dict[str, Column] | None = None) -> Ranked:
+    """Distinct (var, value) rows with counts and cumulative positions (nulls ignored).
+
+    ``extras`` are further aggregate expressions over ``df`` evaluated in the
+    same first pass (e.g. min/max of the raw column); results land in
+    ``Ranked.extras``.
+    """
+    extras = extras or {}
     buckets = buckets or _default_buckets(df)
     sums = sums or {}
     vals = [
@@ -60,7 +68,7 @@ def value_ranks(df: DataFrame, cols: list[str], buckets: int | None = None,
         for i, c in enumerate(cols)
     ]
     extra = [col.cast("double").alias(f"__s_{k}") for k, col in sums.items()]
-    wide = df.select(*vals, *extra)
+    wide = df.select("*", *vals, *extra)
     vcols = [f"__v{i}" for i in range(len(cols))]
     probs = [i / buckets for i in range(1, buckets)]
     accuracy = max(10_000, 10 * buckets)
@@ -68,6 +76,7 @@ def value_ranks(df: DataFrame, cols: list[str], buckets: int | None = None,
     for i, v in enumerate(vcols):
         aggs += [F.percentile_approx(v, probs, accuracy).alias(f"q{i}"), F.count(v).alias(f"n{i}")]
         aggs += [F.sum(F.when(F.col(v).isNotNull(), F.col(f"__s_{k}"))).alias(f"t{i}_{k}") for k in sums]
+    aggs += [e.alias(f"x_{k}") for k, e in extras.items()]
     head = wide.agg(*aggs).first()
     n = {c: int(head[f"n{i}"]) for i, c in enumerate(cols)}
     totals = {k: {c: float(head[f"t{i}_{k}"] or 0.0) for i, c in enumerate(cols)} for k in sums}
@@ -107,7 +116,7 @@ def value_ranks(df: DataFrame, cols: list[str], buckets: int | None = None,
     keep = ["var", "value", "cnt", "cum_lo", "cum_hi"]
     for k in sums:
         keep += [k, f"cum_{k}"]
-    return Ranked(ranked.select(*keep), n, totals)
+    return Ranked(ranked.select(*keep), n, totals, {k: head[f"x_{k}"] for k in extras})
 
 
 def _positions(n: int, probs: list[float]):
