@@ -191,3 +191,21 @@ def test_four_significant(spark):
     df = spark.createDataFrame([(12345.678,), (0.000123456,), (987.1,)], "x double")
     got = [r[0] for r in df.select(four_significant("x")).collect()]
     assert got == [12350.0, 0.0001235, 987.1]
+
+
+def test_regex_lookaround_query_vs_python(spark):
+    """The Java-only regex query against Python ``re`` over every sf0.001 conversation turn."""
+    import __spark_entry__ as entry
+    from tests.conftest import SF_SMALL
+    got = {(r["conv_id"], r["turn"]): r for r in entry.queries()["regex_lookaround"](spark, SF_SMALL).collect()}
+    texts = spark.read.parquet(f"{SF_SMALL}/conversations.parquet").select("conv_id", "turn", "text").collect()
+    assert len(got) == len(texts)
+    for t in texts:
+        row, s = got[(t["conv_id"], t["turn"])], t["text"] or ""
+        m = re.search(r"\b(\w+)\s+\1\b", s, re.ASCII)
+        assert row["repeated_word"] == (m.group(0) if m else None)
+        m = re.search(r"(?P<w>\w+)-(?P=w)", s, re.ASCII)
+        assert row["named_repeat"] == (m.group(0) if m else None)
+        assert row["words_before_question"] == len(re.findall(r"\w+(?=\?)", s, re.ASCII))
+        assert row["amounts_after_dollar"] == len(re.findall(r"(?<=\$)\d+", s, re.ASCII))
+        assert row["statement_only"] == bool(re.search(r"^(?!.*\?).*\.\Z", s, re.ASCII))
