@@ -15,8 +15,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bandwise.operators.profile import distinct_counts
-
 INF = float("inf")
 # Fixed value: label of the bin that collects small levels.
 OTHERS = "Others"
@@ -156,7 +154,11 @@ def woe_categorical(train: DataFrame, cols: list[str], target: str, min_pct: flo
     regrouped = (fold_small_levels(counts, floor)
                  .groupBy("var", F.col("mapped").alias("level"))
                  .agg(F.sum("badCnt").alias("badCnt"), F.sum("totalCnt").alias("totalCnt")))
-    bins = merged_bins(regrouped, min_pct).withColumn("bin", F.array_join("cuts", ","))
+    merged = merged_bins(regrouped, min_pct)
+    # The merged table is report-sized (<= 1/floor + 1 rows per variable): materialise it
+    # once so the pandas step is not re-run for every use in the WOE table.
+    bins = train.sparkSession.createDataFrame(merged.collect(), merged.schema) \
+        .withColumn("bin", F.array_join("cuts", ","))
     return woe_columns(bins.select("var", "bin_id", "bin", "cuts", "badCnt", "totalCnt"))
 
 
@@ -248,35 +250,39 @@ def cramers_v(df: DataFrame, cols: list[str]) -> DataFrame:
     """Cramér's V for every column pair i < j in ``cols`` order (C16), no
     continuity correction: V = sqrt(chi2 / (n * (min(r, c) - 1))).
 
-    Each row emits one (pair, level, level) record per pair map-side; one
-    ``groupBy`` builds all contingency tables. chi2 = N * (sum O^2/(R*C) - 1)
-    over the non-null cells; n counts all rows; r, c are the distinct non-null
-    counts of the two columns.
+    One pass: each row emits one (pair, level, level) record per pair plus one
+    (column, level) record per column, map-side; one ``groupBy`` then yields
+    all contingency tables, the distinct non-null levels of each column (r, c)
+    and the row count n (all rows, nulls included). chi2 = N * (sum O^2/(R*C) - 1)
+    over the non-null cells of a pair, N their total.
     """
     pairs = [(i, j) for i in range(len(cols)) for j in range(len(cols)) if i < j]
     if not pairs:
         return df.sparkSession.createDataFrame([], "var1 string, var2 string, CramersV double")
-    cells = F.explode(F.array(*[
-        F.struct(F.lit(cols[i]).alias("var1"), F.lit(cols[j]).alias("var2"),
-                 F.col(f"`{cols[i]}`").cast("string").alias("l1"),
-                 F.col(f"`{cols[j]}`").cast("string").alias("l2"))
-        for i, j in pairs]))
-    obs = (df.select(cells.alias("s")).select("s.*")
-           .where(F.col("l1").isNotNull() & F.col("l2").isNotNull())
+    single = F.lit(None).cast("string")
+
+    def lvl(c):
+        return F.col(f"`{c}`").cast("string")
+    records = F.explode(F.array(
+        *[F.struct(F.lit(cols[i]).alias("var1"), F.lit(cols[j]).alias("var2"), lvl(cols[i]).alias("l1"),
+                   lvl(cols[j]).alias("l2")) for i, j in pairs],
+        *[F.struct(F.lit(c).alias("var1"), single.alias("var2"), lvl(c).alias("l1"), single.alias("l2"))
+          for c in cols]))
+    obs = (df.select(records.alias("s")).select("s.*")
            .groupBy("var1", "var2", "l1", "l2").agg(F.count(F.lit(1)).alias("o")))
-    # obs has at most pairs x r x c rows (bins per variable are bounded).
-    obs = (obs.withColumn("R", F.sum("o").over(Window.partitionBy("var1", "var2", "l1")))
-           .withColumn("C", F.sum("o").over(Window.partitionBy("var1", "var2", "l2")))
-           .withColumn("N", F.sum("o").over(Window.partitionBy("var1", "var2"))))
-    chi = obs.groupBy("var1", "var2").agg(
+    # obs has at most pairs x r x c + columns x r rows (bins per variable are bounded).
+    cells = (obs.where(F.col("var2").isNotNull() & F.col("l1").isNotNull() & F.col("l2").isNotNull())
+             .withColumn("R", F.sum("o").over(Window.partitionBy("var1", "var2", "l1")))
+             .withColumn("C", F.sum("o").over(Window.partitionBy("var1", "var2", "l2")))
+             .withColumn("N", F.sum("o").over(Window.partitionBy("var1", "var2"))))
+    chi = cells.groupBy("var1", "var2").agg(
         (F.first("N") * (F.sum(F.col("o") * F.col("o") / (F.col("R") * F.col("C"))) - 1.0)).alias("chi2"))
-    dist = distinct_counts(df, cols)
-    n = df.agg(F.count(F.lit(1)).alias("n"))
-    d1 = dist.select(F.col("variable").alias("var1"), F.col("var_vals").alias("d1"))
-    d2 = dist.select(F.col("variable").alias("var2"), F.col("var_vals").alias("d2"))
-    # chi, d1, d2 and n have one row per column pair / column / table.
+    per_col = (obs.where(F.col("var2").isNull()).groupBy(F.col("var1").alias("var"))
+               .agg(F.count_if(F.col("l1").isNotNull()).alias("d"), F.sum("o").alias("n")))
+    d1 = per_col.select(F.col("var").alias("var1"), F.col("d").alias("d1"), "n")
+    d2 = per_col.select(F.col("var").alias("var2"), F.col("d").alias("d2"))
+    # per_col has one row per column: broadcast.
     return (chi.join(F.broadcast(d1), "var1").join(F.broadcast(d2), "var2")
-            .join(F.broadcast(n), how="inner")
             .select("var1", "var2",
                     F.sqrt(F.try_divide(F.col("chi2"), F.col("n") * (F.least("d1", "d2") - 1))).alias("CramersV")))
 

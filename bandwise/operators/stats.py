@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bandwise.operators.profile import pearson
@@ -129,18 +129,13 @@ def _impurities(shares: DataFrame, keys: list[str]) -> DataFrame:
 def class_shares(df: DataFrame, label: str, keys: list[str]) -> DataFrame:
     """(keys..., class, cnt, n_node, p) with p = class share inside each node.
 
-    ``counts`` has one row per (node, class); node totals are one row per node
-    and are joined on the node keys (a constant key when there are none)."""
+    ``counts`` has one row per (node, class); the node total is a window over
+    that aggregated table (bounded by nodes x classes), not over raw rows."""
     keys = keys or []
     counts = df.groupBy(*keys, F.col(label).alias("class")).agg(F.count(F.lit(1)).alias("cnt"))
-    if not keys:
-        counts = counts.withColumn("__node", F.lit(0))
-        keys_j = ["__node"]
-    else:
-        keys_j = keys
-    node = counts.groupBy(*keys_j).agg(F.sum("cnt").alias("n_node"))
-    out = counts.join(node, keys_j).withColumn("p", F.col("cnt") / F.col("n_node"))
-    return out.drop("__node") if not keys else out
+    w = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    return (counts.withColumn("n_node", F.sum("cnt").over(w))
+            .withColumn("p", F.col("cnt") / F.col("n_node")))
 
 
 def impurity(df: DataFrame, label: str) -> DataFrame:

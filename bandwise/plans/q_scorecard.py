@@ -57,7 +57,9 @@ def _binned_train(spark, sf_dir):
     """Categorical levels with small levels folded to Others + numerics on fixed cuts."""
     train = _train(spark, sf_dir)
     counts = level_counts(train, CATS, "target")
-    bin_map = (fold_small_levels(counts, 0.0025)
+    # Only kept levels go into the (broadcast) map: at most 1/floor rows per variable.
+    # Folded and unseen levels take the fallback bin 'Others'.
+    bin_map = (fold_small_levels(counts, 0.0025).where(F.col("mapped") != "Others")
                .select("var", "level", F.col("mapped").alias("bin"), F.lit("Others").alias("others_bin")))
     binned = apply_level_bins(train, CATS, bin_map)
     return apply_cuts(binned, {"o_totalprice": PRICE_CUTS, "c_acctbal": BAL_CUTS})
