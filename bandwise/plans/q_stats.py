@@ -90,10 +90,10 @@ def cohens_d_welch_q(spark, sf_dir):
 
 register("cohens_d_welch", f"""
 WITH m AS (SELECT
-  count_if(l_returnflag = 'R' AND l_extendedprice IS NOT NULL) AS n1,
+  CAST(count_if(l_returnflag = 'R' AND l_extendedprice IS NOT NULL) AS BIGINT) AS n1,
   AVG(CASE WHEN l_returnflag = 'R' THEN l_extendedprice END) AS m1,
   VAR_SAMP(CASE WHEN l_returnflag = 'R' THEN l_extendedprice END) AS v1,
-  count_if(NOT (l_returnflag = 'R') AND l_extendedprice IS NOT NULL) AS n2,
+  CAST(count_if(NOT (l_returnflag = 'R') AND l_extendedprice IS NOT NULL) AS BIGINT) AS n2,
   AVG(CASE WHEN NOT (l_returnflag = 'R') THEN l_extendedprice END) AS m2,
   VAR_SAMP(CASE WHEN NOT (l_returnflag = 'R') THEN l_extendedprice END) AS v2 FROM lineitem)
 SELECT n1, n2, {_r('ABS(m1 - m2) / SQRT(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2))', 'cohens_d')},

@@ -42,7 +42,7 @@ def regex_counts(spark, sf_dir):
 
 
 register("regex_counts", "SELECT lang, " + ", ".join(
-    f"count_if(regexp_matches(text, '{p}')) AS {n}" for n, p in PREDICATES)
+    f"CAST(count_if(regexp_matches(text, '{p}')) AS BIGINT) AS {n}" for n, p in PREDICATES)
     + " FROM documents GROUP BY lang")(regex_counts)
 
 URL_GROUPS = [
