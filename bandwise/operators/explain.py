@@ -42,7 +42,8 @@ def linear_shap(df: DataFrame, key_cols: list[str], features: list[str], coefs:
     pred = F.lit(intercept)
     for f, c in zip(features, coefs):
         pred = pred + F.lit(c) * F.col(f)
-    out = df.select(*key_cols, *features, *phis, pred.alias("prediction"), F.lit(base).alias("base"))
+    extra = [c for c in df.columns if c not in key_cols and c not in features]
+    out = df.select(*key_cols, *features, *extra, *phis, pred.alias("prediction"), F.lit(base).alias("base"))
     total = sum((F.col(f"phi_{f}") for f in features[1:]), F.col(f"phi_{features[0]}"))
     return out.withColumn("additivity_error", total - (F.col("prediction") - F.col("base")))
 

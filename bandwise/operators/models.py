@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import itertools
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes,
@@ -119,23 +120,28 @@ def score(pred: DataFrame, scoring: str = "roc_auc", label: str = "label") -> fl
 
 
 def cross_validate(name: str, points: list[dict], data: DataFrame, fold_col: str, k: int,
-                   scoring: str = "roc_auc", label: str = "label") -> list[tuple[dict, float]]:
+                   scoring: str = "roc_auc", label: str = "label",
+                   parallelism: int = 4) -> list[tuple[dict, float]]:
     """Mean CV score per parameter point; folds come from a hash column.
 
-    Each fit is a distributed Spark ML job; the loop runs over the (bounded)
-    list of parameter points and folds.
+    Every (point, fold) fit is an independent distributed Spark ML job; up to
+    ``parallelism`` of them are submitted concurrently from driver threads
+    (as ``CrossValidator(parallelism=...)`` does).
     """
     n = data.count()
-    results = []
-    for params in points:
-        scores = []
-        for f in range(k):
-            train = data.where(F.col(fold_col) != f)
-            valid = data.where(F.col(fold_col) == f)
-            model = build_pipeline(name, params, int(n * (k - 1) / k), label=label).fit(train)
-            scores.append(score(model.transform(valid), scoring, label))
-        results.append((params, sum(scores) / len(scores)))
-    return results
+    n_fit = int(n * (k - 1) / k)
+
+    def run(task):
+        params, f = task
+        train = data.where(F.col(fold_col) != f)
+        valid = data.where(F.col(fold_col) == f)
+        model = build_pipeline(name, params, n_fit, label=label).fit(train)
+        return score(model.transform(valid), scoring, label)
+
+    tasks = [(p, f) for p in points for f in range(k)]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        scores = list(pool.map(run, tasks))
+    return [(p, sum(scores[i * k:(i + 1) * k]) / k) for i, p in enumerate(points)]
 
 
 def best_params(results: list[tuple[dict, float]]) -> dict:

@@ -75,16 +75,17 @@ def _shap(spark, sf_dir):
 
 def linear_shap_summary(spark, sf_dir):
     """H2/H3/H4: mean and mean-absolute Shapley value per feature over all lines,
-    the largest additivity error, E[y] and E[x]."""
-    li, _, _, shap = _shap(spark, sf_dir)
-    long = shap_long(shap, KEY, FEATURES)
-    means = li.agg(F.avg(TARGET).alias("mean_y"), *[F.avg(f).alias(f"mean_{f}") for f in FEATURES]).first()
-    out = long.groupBy("feature").agg(F.avg("phi").alias("mean_phi"), F.avg(F.abs("phi")).alias("mean_abs_phi"))
-    err = shap.agg(F.max(F.abs("additivity_error")).alias("e")).first()["e"]
-    out = (out.withColumn("max_additivity_error", F.round(F.lit(err), 3))
-           .withColumn("expected_y", F.lit(means["mean_y"]))
-           .withColumn("expected_x", F.when(F.col("feature") == FEATURES[0], F.lit(means[f"mean_{FEATURES[0]}"]))
-                       .otherwise(F.lit(means[f"mean_{FEATURES[1]}"]))))
+    the largest additivity error, E[y] and E[x] - one aggregation over the rows."""
+    _, _, _, shap = _shap(spark, sf_dir)
+    aggs = [F.max(F.abs("additivity_error")).alias("err"), F.avg(TARGET).alias("mean_y")]
+    for f in FEATURES:
+        aggs += [F.avg(f"phi_{f}").alias(f"m_{f}"), F.avg(F.abs(f"phi_{f}")).alias(f"a_{f}"),
+                 F.avg(f).alias(f"x_{f}")]
+    one = shap.agg(*aggs)
+    out = one.select(F.explode(F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.col(f"m_{f}").alias("mean_phi"), F.col(f"a_{f}").alias("mean_abs_phi"),
+                 F.round(F.col("err"), 3).alias("max_additivity_error"), F.col("mean_y").alias("expected_y"),
+                 F.col(f"x_{f}").alias("expected_x")) for f in FEATURES])).alias("s")).select("s.*")
     return _round(out, ["mean_phi", "mean_abs_phi", "max_additivity_error", "expected_y", "expected_x"], 3)
 
 
