@@ -51,13 +51,31 @@ def size_subset_flag(key_cols: list[str], fraction: float, seed: int = 999) -> C
     return hash_bucket(key_cols, seed) < F.lit(int(round(SCALE * fraction)))
 
 
-def sample_n(df: DataFrame, n: int, key_cols: list[str], seed: int = 42) -> DataFrame:
-    """Exactly ``n`` rows without replacement.
+def order_hash(key_cols: list[str], seed: int) -> Column:
+    """First 48 bits of md5(seed:key) as a long: the sampling order (ties by key)."""
+    return F.conv(F.substring(F.md5(hash_key(key_cols, seed)), 1, 12), 16, 10).cast("long")
 
-    Order by md5(seed:key) then key and take ``n`` (TakeOrderedAndProject:
-    each task keeps its own top n, the driver merges k*n rows; n is the
-    sample size parameter). The limit is the operator itself.
+
+def sample_n(df: DataFrame, n: int, key_cols: list[str], seed: int = 42,
+             small_n: int = 10_000) -> DataFrame:
+    """Exactly ``n`` rows without replacement (X1), ordered by (md5(seed:key), key).
+
+    Up to ``small_n`` rows this is a top-n (TakeOrderedAndProject: each task
+    keeps n rows, the final merge sees tasks x n). For larger n the exact hash
+    cutoff is found with the distributed rank operator, so no task ever holds
+    more than the rows tied on the cutoff hash; the limit is the operator itself.
     """
-    order_key = F.md5(hash_key(key_cols, seed))
-    return (df.withColumn("__o", order_key)
-            .orderBy("__o", *key_cols).limit(n).drop("__o"))
+    h = order_hash(key_cols, seed)
+    if n <= small_n:
+        return df.withColumn("__o", h).orderBy("__o", *key_cols).limit(n).drop("__o")
+    from bandwise.operators.quantiles import value_ranks  # local import: quantiles imports nothing from here
+    hashed = df.withColumn("__o", h)
+    r = value_ranks(hashed.select("__o"), ["__o"])
+    total = r.n["__o"]
+    if n >= total:
+        return df
+    cut = r.df.where((F.col("cum_lo") <= n - 1) & (F.col("cum_hi") > n - 1)).select("value", "cum_lo").first()
+    t, below = int(cut["value"]), int(cut["cum_lo"])
+    inside = hashed.where(F.col("__o") < F.lit(t))
+    ties = hashed.where(F.col("__o") == F.lit(t)).orderBy(*key_cols).limit(n - below)
+    return inside.unionByName(ties).drop("__o")

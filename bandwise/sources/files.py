@@ -61,8 +61,3 @@ def save_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def load_saved_table(spark: SparkSession, path: str) -> DataFrame:
     """Load an artefact table written by :func:`save_table`."""
     return spark.read.parquet(path)
-
-
-def with_row_key(df: DataFrame, key_col: str = "row_key") -> DataFrame:
-    """Attach a unique (not dense) row key when a table has none."""
-    return df.withColumn(key_col, F.monotonically_increasing_id())
