@@ -42,8 +42,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
-    (local runs and tests) a fresh local folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset and
+    the master is local (local runs, tests) a fresh local folder is created and
+    registered; on a cluster an unset folder is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -54,6 +55,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc_dir = spark.sparkContext.getCheckpointDir()
     if sc_dir:
         return sc_dir
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared, reliable folder; a machine-local "
+                           "folder does not survive executor or node loss")
     local = tempfile.mkdtemp(prefix="bandwise-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
