@@ -42,9 +42,8 @@ def quantile_edges(df: DataFrame, col: str, bins: int = 10, edge_rule: str = "ex
     probs = quantile_probs(bins)
     raw = F.col(col).cast("double")
     if method == "exact":
-        r = value_ranks(df.select(col), [col], round_digits=round_digits,
-                        extras={"mn": F.min(raw), "mx": F.max(raw)})
-        q = quantiles_from_ranks(r, probs)
+        r = value_ranks(df.select(col), [col], extras={"mn": F.min(raw), "mx": F.max(raw)})
+        q = quantiles_from_ranks(r, probs, round_digits=round_digits)
         values = [row["value"] for row in q.orderBy("prob_index").collect()]
         mm = (r.extras["mn"], r.extras["mx"])
     elif method == "approx":

@@ -129,8 +129,13 @@ def _positions(n: int, probs: list[float]):
     return plan
 
 
-def quantiles_from_ranks(r: Ranked, probs: list[float]) -> DataFrame:
-    """Quantiles of every column of ``r``: (var, prob_index, prob, value)."""
+def quantiles_from_ranks(r: Ranked, probs: list[float], round_digits: int | None = None) -> DataFrame:
+    """Quantiles of every column of ``r``: (var, prob_index, prob, value).
+
+    ``round_digits`` gives the quantiles of ``round(x, digits)`` without
+    rounding every row: rounding is monotone, so the order statistics of the
+    rounded column are the rounded order statistics; only the looked-up
+    values are rounded before interpolation."""
     spark = r.df.sparkSession
     plans = {var: _positions(n, probs) for var, n in r.n.items() if n > 0}
     rows = []
@@ -140,7 +145,8 @@ def quantiles_from_ranks(r: Ranked, probs: list[float]) -> DataFrame:
         hits = (r.df.select("var", "value", F.explode(F.filter(
             pos_map[F.col("var")], lambda p: (p >= F.col("cum_lo")) & (p < F.col("cum_hi")))).alias("pos"))
             .collect())
-        at = {(h["var"], h["pos"]): h["value"] for h in hits}
+        at = {(h["var"], h["pos"]): (round(h["value"], round_digits) if round_digits is not None else h["value"])
+              for h in hits}
         for var, plan in plans.items():
             for i, p, lo, hi, frac in plan:
                 v_lo, v_hi = at[(var, lo)], at[(var, hi)]
@@ -155,7 +161,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     Runs two jobs and returns a small local DataFrame
     ``var string, prob_index int, prob double, value double``.
     """
-    return quantiles_from_ranks(value_ranks(df, cols, buckets=buckets, round_digits=round_digits), probs)
+    return quantiles_from_ranks(value_ranks(df, cols, buckets=buckets), probs, round_digits=round_digits)
 
 
 def average_ranks(r: Ranked) -> DataFrame:
