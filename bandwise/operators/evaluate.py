@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bandwise.operators.bins import band_bounds, band_expr, quantile_edges
+from bandwise.operators.bins import band_bounds, band_expr, quantile_edges, quantile_probs
+from bandwise.operators.quantiles import interpolate, value_ranks
 
 
 def event_flag(target: Column | str, event=1) -> Column:
@@ -106,17 +107,69 @@ def score_performance(df: DataFrame, score_col: str, target_col: str, event=1, b
     """
     base = df.select(F.col(score_col).cast("double").alias("__score"),
                      event_flag(target_col, event).alias("__flag"))
-    if edges is None:
+    counts = None
+    if edges is None and method == "exact":
+        edges, counts = _edges_and_counts(base, bins, edge_rule, round_digits, event_name, total_name)
+    elif edges is None:
         edges = quantile_edges(base, "__score", bins=bins, edge_rule=edge_rule,
                                round_digits=round_digits, method=method)
-    banded = base.select(band_expr("__score", edges).alias("band_id"), "__flag")
-    counts = band_counts(banded, "band_id", "__flag", event_name, total_name)
-    lo, hi = band_bounds("band_id", edges)
-    counts = counts.select("band_id", lo.alias("band_lo"), hi.alias("band_hi"), event_name, total_name)
+    if counts is None:
+        banded = base.select(band_expr("__score", edges).alias("band_id"), "__flag")
+        counts = band_counts(banded, "band_id", "__flag", event_name, total_name)
+        lo, hi = band_bounds("band_id", edges)
+        counts = counts.select("band_id", lo.alias("band_lo"), hi.alias("band_hi"), event_name, total_name)
     table = ks_gini_table(counts, "band_id", event_name, total_name, ascending, non_prefix)
     return table, edges
 
 
+def _edges_and_counts(base: DataFrame, bins: int, edge_rule: str, round_digits, event_name: str,
+                      total_name: str):
+    """Quantile edges and, when it is exact, the banded counts without another pass.
+
+    The ranked distinct-value table carries running row and event counts. An
+    interior edge is interpolated between two adjacent order statistics, so
+    "rows <= edge" is the running count at one of them. This holds when the
+    outer edges enclose all values (extend01 / none) and rounding did not move
+    a looked-up value; otherwise the counts come from a banding pass.
+    """
+    raw = F.col("__score")
+    r = value_ranks(base, ["__score"], sums={"bad": F.col("__flag")},
+                    extras={"mn": F.min(raw), "mx": F.max(raw)})
+    quant = interpolate(r, quantile_probs(bins), round_digits)
+    n, total_bad = r.n.get("__score", 0), r.totals["bad"].get("__score", 0.0)
+    if not quant:
+        return [], None
+    by_value = {}
+    for _, _, _, v, (a, b) in sorted(quant, key=lambda t: t[1]):
+        by_value.setdefault(float(v), (a, b))
+    edges = sorted(by_value)
+    mn, mx = r.extras["mn"], r.extras["mx"]
+    if edge_rule == "extend01":
+        edges[0], edges[-1] = min(0.0, mn), max(1.0, mx)
+    elif edge_rule == "fixed01":
+        edges[0], edges[-1] = 0.0, 1.0
+    exact = (edge_rule in ("extend01", "none") and len(edges) >= 2 and
+             all(round_digits is None or round(row["value"], round_digits) == row["value"]
+                 for pair in by_value.values() for row in pair))
+    if not exact:
+        return edges, None
+    interior = sorted(by_value.items())[1:-1]
+
+    def at_or_below(e, pair):
+        a, b = pair
+        row = b if e >= b["value"] else a
+        return row["cum_hi"], row["cum_bad"]
+    cum = [(0, 0.0)] + [at_or_below(e, pair) for e, pair in interior] + [(n, total_bad)]
+    rows = []
+    for i in range(1, len(edges)):
+        tot = int(cum[i][0] - cum[i - 1][0])
+        if tot > 0:
+            rows.append((i, float(edges[i - 1]), float(edges[i]), int(round(cum[i][1] - cum[i - 1][1])), tot))
+    counts = base.sparkSession.createDataFrame(
+        rows, f"band_id int, band_lo double, band_hi double, `{event_name}` long, `{total_name}` long")
+    return edges, counts
+
+
 def variable_trend(df: DataFrame, var_col: str, target_col: str, event=1, bins: int = 6,
                    ascending: bool = False):
     """Gini and trend of one raw variable (V4): 6 quantile bins, no rounding.

@@ -129,6 +129,21 @@ def _positions(n: int, probs: list[float]):
     return plan
 
 
+def order_statistics(r: Ranked, positions: dict[str, list[int]]) -> dict[tuple[str, int], dict]:
+    """Rows of the ranked table at 0-based sorted positions: (var, pos) -> row dict
+    (value, cnt, cum_lo, cum_hi and the cumulative sums). One job; at most
+    ``len(positions[var])`` rows per column reach the driver."""
+    pos = {v: sorted(set(p)) for v, p in positions.items() if p}
+    if not pos:
+        return {}
+    pos_map = F.create_map(*[x for var, ps in pos.items() for x in (
+        F.lit(var), F.array(*[F.lit(p).cast("long") for p in ps]))])
+    hits = (r.df.select("*", F.explode(F.filter(
+        pos_map[F.col("var")], lambda p: (p >= F.col("cum_lo")) & (p < F.col("cum_hi")))).alias("__pos"))
+        .collect())
+    return {(h["var"], h["__pos"]): h.asDict() for h in hits}
+
+
 def quantiles_from_ranks(r: Ranked, probs: list[float], round_digits: int | None = None) -> DataFrame:
     """Quantiles of every column of ``r``: (var, prob_index, prob, value).
 
@@ -137,23 +152,27 @@ def quantiles_from_ranks(r: Ranked, probs: list[float], round_digits: int | None
     rounded column are the rounded order statistics; only the looked-up
     values are rounded before interpolation."""
     spark = r.df.sparkSession
-    plans = {var: _positions(n, probs) for var, n in r.n.items() if n > 0}
-    rows = []
-    if plans:
-        pos_map = F.create_map(*[x for var, plan in plans.items() for x in (
-            F.lit(var), F.array(*[F.lit(p).cast("long") for p in sorted({q[2] for q in plan} | {q[3] for q in plan})]))])
-        hits = (r.df.select("var", "value", F.explode(F.filter(
-            pos_map[F.col("var")], lambda p: (p >= F.col("cum_lo")) & (p < F.col("cum_hi")))).alias("pos"))
-            .collect())
-        at = {(h["var"], h["pos"]): (round(h["value"], round_digits) if round_digits is not None else h["value"])
-              for h in hits}
-        for var, plan in plans.items():
-            for i, p, lo, hi, frac in plan:
-                v_lo, v_hi = at[(var, lo)], at[(var, hi)]
-                rows.append((var, i, p, v_lo + (v_hi - v_lo) * frac))
+    rows = [(var, i, p, v) for var, i, p, v, _ in interpolate(r, probs, round_digits)]
     return spark.createDataFrame(rows, "var string, prob_index int, prob double, value double")
 
 
+def interpolate(r: Ranked, probs: list[float], round_digits: int | None = None):
+    """[(var, prob_index, prob, value, (row_lo, row_hi))] - quantiles plus the
+    order-statistic rows they were interpolated from."""
+    plans = {var: _positions(n, probs) for var, n in r.n.items() if n > 0}
+    stats = order_statistics(r, {var: [q[2] for q in plan] + [q[3] for q in plan] for var, plan in plans.items()})
+
+    def val(row):
+        return round(row["value"], round_digits) if round_digits is not None else row["value"]
+    out = []
+    for var, plan in plans.items():
+        for i, p, lo, hi, frac in plan:
+            a, b = stats[(var, lo)], stats[(var, hi)]
+            v_lo, v_hi = val(a), val(b)
+            out.append((var, i, p, v_lo + (v_hi - v_lo) * frac, (a, b)))
+    return out
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                     buckets: int | None = None, round_digits: int | None = None) -> DataFrame:
     """Linear-interpolation quantiles (numpy default, DuckDB ``quantile_cont``).
