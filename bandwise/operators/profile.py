@@ -3,9 +3,10 @@
 The profile is one row per column: type, var_vals (distinct non-null count),
 var_min, var_max, var_mean, var_median (numeric only), CorrelationWithTarget
 (numeric only, pairwise non-null Pearson), percentZeros and percentNull (both
-over all rows). It costs one wide aggregation, one distinct-count shuffle over
-the unpivoted (var, value) pairs with map-side combine, and the distributed
-exact median; every result table has one row per column.
+over all rows). The column statistics ride along the first pass of the
+distributed exact median (bucket bounds), then come the median lookup and
+one distinct-count shuffle over the unpivoted (var, value) pairs with
+map-side combine; every result table has one row per column.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from bandwise.operators.quantiles import exact_quantiles
+from bandwise.operators.quantiles import interpolate, value_ranks
 
 
 def pearson(a: Column | str, b: Column | str) -> Column:
@@ -30,41 +31,45 @@ def pearson(a: Column | str, b: Column | str) -> Column:
 def univariate(df: DataFrame, target: str | None = None, median: bool = True) -> DataFrame:
     fields = df.schema.fields
     numeric = [f.name for f in fields if isinstance(f.dataType, NumericType)]
-    aggs = [F.count(F.lit(1)).alias("__n")]
+    has_target = target is not None and isinstance(df.schema[target].dataType, NumericType)
+    aggs = {"__n": F.count(F.lit(1))}
     for i, f in enumerate(fields):
         c = F.col(f"`{f.name}`")
-        aggs.append(F.count_if(c.isNull()).alias(f"nul{i}"))
+        aggs[f"nul{i}"] = F.count_if(c.isNull())
         if f.name in numeric:
-            aggs += [F.min(c).cast("double").alias(f"min{i}"), F.max(c).cast("double").alias(f"max{i}"),
-                     F.avg(c).cast("double").alias(f"avg{i}"), F.count_if(c == 0).alias(f"zer{i}")]
-            if target is not None and isinstance(df.schema[target].dataType, NumericType):
-                aggs.append(pearson(c, F.col(f"`{target}`")).alias(f"cor{i}"))
-    wide = df.agg(*aggs)
-    null_d = F.lit(None).cast("double")
+            aggs.update({f"min{i}": F.min(c).cast("double"), f"max{i}": F.max(c).cast("double"),
+                         f"avg{i}": F.avg(c).cast("double"), f"zer{i}": F.count_if(c == 0)})
+            if has_target:
+                aggs[f"cor{i}"] = pearson(c, F.col(f"`{target}`"))
+    medians = {}
+    if median and numeric:
+        # The column statistics ride along the first pass of the distributed median.
+        r = value_ranks(df, numeric, extras=aggs)
+        stats = r.extras
+        medians = {var: v for var, _, _, v, _ in interpolate(r, [0.5])}
+    else:
+        row = df.agg(*[e.alias(k) for k, e in aggs.items()]).first()
+        stats = row.asDict()
+    n = stats["__n"]
     rows = []
     for i, f in enumerate(fields):
         num = f.name in numeric
-        has_cor = num and target is not None and isinstance(df.schema[target].dataType, NumericType)
-        rows.append(F.struct(
-            F.lit(i).alias("ordinal"),
-            F.lit(f.name).alias("variable"),
-            F.lit(f.dataType.simpleString()).alias("type"),
-            (F.col(f"min{i}") if num else null_d).alias("var_min"),
-            (F.col(f"max{i}") if num else null_d).alias("var_max"),
-            (F.col(f"avg{i}") if num else null_d).alias("var_mean"),
-            (F.col(f"cor{i}") if has_cor else null_d).alias("CorrelationWithTarget"),
-            ((F.col(f"zer{i}") if num else F.lit(0)) / F.col("__n")).alias("percentZeros"),
-            (F.col(f"nul{i}") / F.col("__n")).alias("percentNull"),
-        ))
-    stats = wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+        def ratio(k):
+            return (stats[k] / n) if n else None
+        rows.append((f.name, f.dataType.simpleString(),
+                     stats.get(f"min{i}") if num else None, stats.get(f"max{i}") if num else None,
+                     stats.get(f"avg{i}") if num else None, medians.get(f.name) if num else None,
+                     stats.get(f"cor{i}") if (num and has_target) else None,
+                     ratio(f"zer{i}") if num else (0.0 if n else None), ratio(f"nul{i}"), i))
+    # One row per column: the statistics are a small local table.
+    stats_df = df.sparkSession.createDataFrame(
+        rows, "variable string, type string, var_min double, var_max double, var_mean double, "
+              "var_median double, CorrelationWithTarget double, percentZeros double, percentNull double, "
+              "ordinal int")
     distinct = distinct_counts(df)
-    out = stats.join(distinct, "variable", "left").withColumn("var_vals", F.coalesce("var_vals", F.lit(0).cast("long")))
-    if median and numeric:
-        med = (exact_quantiles(df, numeric, [0.5])
-               .select(F.col("var").alias("variable"), F.col("value").alias("var_median")))
-        out = out.join(med, "variable", "left")
-    else:
-        out = out.withColumn("var_median", null_d)
+    out = stats_df.join(distinct, "variable", "left").withColumn(
+        "var_vals", F.coalesce("var_vals", F.lit(0).cast("long")))
     return out.select("variable", "type", "var_vals", "var_min", "var_max", "var_mean", "var_median",
                       "CorrelationWithTarget", "percentZeros", "percentNull", "ordinal")
 
