@@ -179,8 +179,11 @@ def apply_level_bins(df: DataFrame, cols: list[str], bin_map: DataFrame) -> Data
     ``bin_map`` has one row per kept level (bounded by 1/floor per variable) and
     is broadcast; the fallback labels are one string per variable.
     """
-    fallback = {r["var"]: r["others_bin"] for r in
-                bin_map.where(F.col("others_bin").isNotNull()).select("var", "others_bin").distinct().collect()}
+    # Materialise the bounded map once: every per-column broadcast below then reads
+    # a local table instead of re-running the job that built the map.
+    rows = bin_map.select("var", "level", "bin", "others_bin").collect()
+    bin_map = df.sparkSession.createDataFrame(rows, "var string, level string, bin string, others_bin string")
+    fallback = {r["var"]: r["others_bin"] for r in rows if r["others_bin"] is not None}
     out = df
     for c in cols:
         m = (bin_map.where(F.col("var") == c)
