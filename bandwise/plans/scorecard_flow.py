@@ -77,12 +77,18 @@ class Scorecard:
         return self
 
     def modify_categorical(self, structure: dict[str, list[list[str]]]):
+        """Manual regrouping (C18): the listed variables take the given level groups
+        (unknown levels -> the group holding 'Others'); the others keep their fitted
+        bins. Binning is row-wise (broadcast maps + CASE), so the selection is rebuilt
+        from the train rows in one pass - no join of binned and regrouped tables."""
         spark = self.train.sparkSession
-        regrouped = apply_level_bins(self.train, list(structure), structure_bin_map(spark, structure))
         keep = [c for c in self.selected if c not in structure]
-        self.f_selection = self.train_binned.select(*self.key_cols, self.target, *keep).join(
-            regrouped.select(*self.key_cols, *structure.keys()), self.key_cols)
+        others = [c for c in self.cat_cols if c not in structure]
+        x = apply_level_bins(self.train, others, self.bin_map)
+        x = apply_level_bins(x, list(structure), structure_bin_map(spark, structure))
+        x = apply_cuts(x, {c: v for c, v in self.cuts.items() if c not in structure})
         self.selected = keep + list(structure)
+        self.f_selection = x.select(*self.key_cols, self.target, *self.selected)
         return self
 
     def woe_scaling(self):
