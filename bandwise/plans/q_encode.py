@@ -112,3 +112,18 @@ SELECT m.p_partkey, f.feature_index, {_r('m.p_size', 'value')} FROM mapped m
 UNION ALL
 SELECT m.p_partkey, f.feature_index, {_r('m.p_retailprice', 'value')} FROM mapped m
   JOIN feat f ON f.col = 'p_retailprice' WHERE m.p_retailprice <> 0""")(one_hot_rows)
+
+
+def rare_levels_base(spark, sf_dir):
+    """Rare-level folding with shares from the whole part table (before the split)."""
+    part = load_table(spark, sf_dir, "part", KEY + CATS)
+    return rounded(fit_level_table(part, CATS, FLOOR))
+
+
+register("rare_levels_base", f"""
+WITH l AS (SELECT 'p_brand' AS variable, p_brand AS level FROM part WHERE p_brand IS NOT NULL
+           UNION ALL SELECT 'p_type', p_type FROM part WHERE p_type IS NOT NULL),
+c AS (SELECT variable, level, COUNT(*) AS cnt FROM l GROUP BY ALL),
+s AS (SELECT variable, level, cnt, cnt / SUM(cnt) OVER (PARTITION BY variable) AS share FROM c)
+SELECT variable, level, cnt, {_r('share', 'share')},
+       CASE WHEN share < {FLOOR} THEN '{COMBINED}' ELSE level END AS mapped_level FROM s""")(rare_levels_base)

@@ -35,3 +35,14 @@ def test_selection_apply_and_evaluate(spark):
     scored = model_apply(base.drop("target"), path, "logistic_regression", ["o_orderkey"], predict_proba=True)
     vals = [r["p_event"] for r in scored.collect()]
     assert len(vals) == base.count() and all(0.0 <= v <= 1.0 for v in vals)
+
+
+def test_whole_base_transform_and_run(spark):
+    from bandwise.plans.model_selection import train_test_transform
+    base = model_base(spark, SF_SMALL)
+    tr, te, enc = train_test_transform(base, "target", ["o_orderkey"], small_sample_floor=0.05)
+    assert tr.count() + te.count() == base.count()
+    assert tr.select("o_orderkey").intersect(te.select("o_orderkey")).count() == 0
+    ms = ModelSelection(base, "target", ["o_orderkey"], models=["naive_bayes"], cv=2)
+    metrics, tables, summary = ms.run()
+    assert metrics.count() == 2 and summary.count() == 2
