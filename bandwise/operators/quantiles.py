@@ -88,7 +88,8 @@ def value_ranks(df: DataFrame, cols: list[str], buckets: int | None = None,
     splits = []
     for i in range(len(cols)):
         b = sorted({x for x in (head[f"q{i}"] or []) if x is not None and math.isfinite(x)})
-        splits.append([-math.inf] + b + [math.inf])
+        # Bucketizer needs at least one inner split (all-null or empty columns have none).
+        splits.append([-math.inf] + (b or [0.0]) + [math.inf])
     bcols = [f"__b{i}" for i in range(len(cols))]
     bucketed = Bucketizer(splitsArray=splits, inputCols=vcols, outputCols=bcols,
                           handleInvalid="keep").transform(wide)

@@ -226,3 +226,12 @@ def test_counts_from_ranks_equal_banding_pass(spark):
         cols = ["band_id", "Total", "Event", "Gini", "Difference"]
         assert sorted(map(tuple, fast.select(cols).collect()), key=str) == \
             sorted(map(tuple, slow.select(cols).collect()), key=str)
+
+
+def test_ranks_on_empty_and_all_null_columns(spark):
+    from bandwise.operators.quantiles import exact_quantiles
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), (None, 4.0)], "a double, b double")
+    q = {(r["var"], r["prob"]): r["value"] for r in exact_quantiles(df, ["a", "b"], [0.5]).collect()}
+    assert q == {("b", 0.5): 2.0}
+    empty = spark.createDataFrame([], "a double")
+    assert exact_quantiles(empty, ["a"], [0.5]).count() == 0
