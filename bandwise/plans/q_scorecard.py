@@ -252,7 +252,34 @@ def cramers_v_selection(spark, sf_dir):
     return rounded(table.withColumn("dropped_count", F.lit(len(dropped))))
 
 
-register("cramers_v_select")(cramers_v_selection)
+def _cramers_select_sql(cv_max: float = 0.6) -> str:
+    """Pairs with both IVs plus the number of variables the greedy elimination drops.
+
+    The elimination is a recursive CTE: each step takes the highest remaining
+    pair above ``cv_max`` and drops its lower-IV member (var1 on ties)."""
+    pairs = _cramers_sql().replace("SELECT chi.var1, chi.var2,", "SELECT chi.var1, chi.var2, ", 1)
+    woe = _woe_sql(_all_binned_cte())
+    return f"""WITH RECURSIVE pv AS ({pairs}),
+iv AS (SELECT var, IV FROM ({woe}) WHERE is_total),
+tab AS (SELECT pv.var1, pv.var2, pv.CramersV, i1.IV AS var1_IV, i2.IV AS var2_IV
+        FROM pv LEFT JOIN iv i1 ON pv.var1 = i1.var LEFT JOIN iv i2 ON pv.var2 = i2.var),
+sel(step, dropped) AS (
+  SELECT 0, CAST([] AS VARCHAR[])
+  UNION ALL
+  SELECT step + 1, list_append(dropped, victim) FROM (
+    SELECT s.step, s.dropped,
+      (SELECT CASE WHEN COALESCE(t.var1_IV, '-inf'::DOUBLE) > COALESCE(t.var2_IV, '-inf'::DOUBLE)
+                   THEN t.var2 ELSE t.var1 END
+       FROM tab t WHERE t.CramersV > {cv_max} AND NOT list_contains(s.dropped, t.var1)
+                    AND NOT list_contains(s.dropped, t.var2)
+       ORDER BY t.CramersV DESC, t.var1, t.var2 LIMIT 1) AS victim
+    FROM sel s) x
+  WHERE victim IS NOT NULL)
+SELECT var1, var2, CramersV, var1_IV, var2_IV,
+       CAST((SELECT MAX(step) FROM sel) AS INTEGER) AS dropped_count FROM tab"""
+
+
+register("cramers_v_select", _cramers_select_sql())(cramers_v_selection)
 
 
 def scorecard_final(spark, sf_dir):

@@ -100,3 +100,16 @@ def test_tree_bins_against_brute_force(spark, duck):
                        if r["var"] == var), key=lambda t: t[1])
         theirs = sorted(((round(lo, 6), round(hi, 6), b, t, k) for hi, lo, b, t, _ in rows), key=lambda t: t[1])
         assert mine == theirs
+
+
+def test_cramers_selection_loop_matches_recursive_sql(spark, duck):
+    """With cv_max = 0 every pair qualifies, so the greedy loop drops several
+    variables; the Python loop and the recursive SQL must agree."""
+    from bandwise.operators.scorecard import cramers_v, cramers_v_select, iv_totals, woe_binned
+    from bandwise.plans.q_scorecard import NUMS, _binned_train, _cramers_select_sql
+    binned = _binned_train(spark, SF_SMALL)
+    iv = iv_totals(woe_binned(binned, CATS + NUMS, "target"))
+    dropped, _ = cramers_v_select(cramers_v(binned, CATS + NUMS), iv, 0.0)
+    sql_count = duck.execute(_cramers_select_sql(0.0)).fetchdf()["dropped_count"].iloc[0]
+    assert len(dropped) >= 2
+    assert len(dropped) == sql_count
