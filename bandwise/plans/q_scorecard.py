@@ -232,7 +232,77 @@ def woe_categorical_merged(spark, sf_dir):
     return rounded(woe_categorical(train, CATS, "target", 0.06, 0.0025).drop("cuts"))
 
 
-register("woe_categorical")(woe_categorical_merged)
+def _merged_woe_sql(min_pct: float = 0.06, floor: float = 0.0025, levels_sql: str | None = None) -> str:
+    """C1-C6 with the greedy merges as recursive CTEs over each variable's levels
+    ordered by bad rate (ties by level): pass 1 carries a small bin into the
+    next, pass 2 folds a small last bin backwards, pass 3 carries bins without
+    bads forward; then the WOE table."""
+    unp = levels_sql or " UNION ALL ".join(
+        f"SELECT '{c}' AS var, {c} AS level, target FROM train WHERE {c} IS NOT NULL" for c in CATS)
+    bin_t = "STRUCT(names VARCHAR[], bad BIGINT, tot BIGINT)"
+    return f"""WITH RECURSIVE train AS ({_TRAIN_SQL}),
+lv AS ({unp}),
+lc AS (SELECT var, level, CAST(SUM(target) AS BIGINT) AS bad, COUNT(*) AS tot FROM lv GROUP BY ALL),
+mp AS (SELECT var, CASE WHEN tot / SUM(tot) OVER (PARTITION BY var) < {floor} THEN 'Others' ELSE level END AS level,
+              bad, tot FROM lc),
+rg AS (SELECT var, level, CAST(SUM(bad) AS BIGINT) AS bad, CAST(SUM(tot) AS BIGINT) AS tot FROM mp GROUP BY ALL),
+ord AS (SELECT var, level, bad, tot,
+               ROW_NUMBER() OVER (PARTITION BY var ORDER BY bad / tot, level) AS k,
+               COUNT(*) OVER (PARTITION BY var) AS n, SUM(tot) OVER (PARTITION BY var) AS grand FROM rg),
+p1(var, k, n, grand, c_names, c_bad, c_tot, out) AS (
+  SELECT DISTINCT var, 0, n, grand, CAST([] AS VARCHAR[]), CAST(0 AS BIGINT), CAST(0 AS BIGINT),
+         CAST([] AS {bin_t}[]) FROM ord
+  UNION ALL
+  SELECT p.var, p.k + 1, p.n, p.grand,
+         CASE WHEN carry THEN nm ELSE CAST([] AS VARCHAR[]) END,
+         CASE WHEN carry THEN b ELSE 0 END, CASE WHEN carry THEN t ELSE 0 END,
+         CASE WHEN carry THEN p.out ELSE list_append(p.out, {{'names': nm, 'bad': b, 'tot': t}}) END
+  FROM p1 p, LATERAL (SELECT list_append(p.c_names, o.level) AS nm, p.c_bad + o.bad AS b, p.c_tot + o.tot AS t,
+                             (p.k + 1 < p.n AND (p.c_tot + o.tot) / p.grand < {min_pct}) AS carry
+                      FROM ord o WHERE o.var = p.var AND o.k = p.k + 1) x),
+b1 AS (SELECT var, grand, out FROM p1 WHERE k = n),
+b2 AS (SELECT var, grand,
+         CASE WHEN len(out) >= 2 AND out[len(out)].tot / grand < {min_pct}
+              THEN list_append(out[1:len(out) - 2],
+                     {{'names': list_concat(out[len(out) - 1].names, out[len(out)].names),
+                       'bad': out[len(out) - 1].bad + out[len(out)].bad,
+                       'tot': out[len(out) - 1].tot + out[len(out)].tot}})
+              ELSE out END AS bins FROM b1),
+e2 AS (SELECT var, UNNEST(bins) AS bn, generate_subscripts(bins, 1) AS k, len(bins) AS n FROM b2),
+p3(var, k, n, c_names, c_bad, c_tot, out) AS (
+  SELECT DISTINCT var, 0, n, CAST([] AS VARCHAR[]), CAST(0 AS BIGINT), CAST(0 AS BIGINT),
+         CAST([] AS {bin_t}[]) FROM e2
+  UNION ALL
+  SELECT p.var, p.k + 1, p.n,
+         CASE WHEN carry THEN nm ELSE CAST([] AS VARCHAR[]) END,
+         CASE WHEN carry THEN b ELSE 0 END, CASE WHEN carry THEN t ELSE 0 END,
+         CASE WHEN carry THEN p.out ELSE list_append(p.out, {{'names': nm, 'bad': b, 'tot': t}}) END
+  FROM p3 p, LATERAL (SELECT list_concat(p.c_names, e.bn.names) AS nm, p.c_bad + e.bn.bad AS b,
+                             p.c_tot + e.bn.tot AS t, (p.k + 1 < p.n AND p.c_bad + e.bn.bad = 0) AS carry
+                      FROM e2 e WHERE e.var = p.var AND e.k = p.k + 1) x),
+fin AS (SELECT var, UNNEST(out) AS bn, generate_subscripts(out, 1) AS bin_id FROM p3 WHERE k = n),
+binned_cnt AS (SELECT var, CAST(bin_id AS INTEGER) AS bin_id, array_to_string(bn.names, ',') AS bin,
+                      bn.bad AS badCnt, bn.tot AS totalCnt FROM fin),
+t AS (SELECT *, totalCnt - badCnt AS goodCnt,
+             SUM(badCnt) OVER (PARTITION BY var) AS tb, SUM(totalCnt - badCnt) OVER (PARTITION BY var) AS tg,
+             SUM(totalCnt) OVER (PARTITION BY var) AS tt FROM binned_cnt),
+d AS (SELECT *, CAST(badCnt AS DOUBLE) / tb AS bd, CAST(goodCnt AS DOUBLE) / tg AS gd FROM t),
+w AS (SELECT *, CASE WHEN bd = 0 AND gd = 0 THEN 'nan'::DOUBLE WHEN bd = 0 THEN 'inf'::DOUBLE
+                     WHEN gd = 0 THEN '-inf'::DOUBLE ELSE ln(gd / bd) END AS woe FROM d),
+iv AS (SELECT *, woe * (gd - bd) AS iv FROM w)
+SELECT var, bin_id, bin, FALSE AS is_total, badCnt, totalCnt, goodCnt, {_r('totalCnt / tt', 'popPercentage')},
+       {_r('bd', 'badDistribution')}, {_r('gd', 'goodDistribution')}, {_r('gd - bd', 'distributedGoodBad')},
+       {_r('woe', 'WOE')}, {_r('iv', 'IV')}, {_r('badCnt / totalCnt', 'badRate')}
+FROM iv
+UNION ALL
+SELECT var, NULL, NULL, TRUE, CAST(SUM(badCnt) AS BIGINT), CAST(SUM(totalCnt) AS BIGINT),
+       CAST(SUM(goodCnt) AS BIGINT), 1.0, 1.0, 1.0, 0.0, 0.0,
+       {_r('COALESCE(SUM(CASE WHEN isfinite(iv) THEN iv END), 0.0)', 'IV')},
+       {_r('SUM(badCnt) / SUM(totalCnt)', 'badRate')}
+FROM iv GROUP BY var"""
+
+
+register("woe_categorical", _merged_woe_sql())(woe_categorical_merged)
 
 
 def tree_bins(spark, sf_dir):

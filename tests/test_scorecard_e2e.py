@@ -113,3 +113,26 @@ def test_cramers_selection_loop_matches_recursive_sql(spark, duck):
     sql_count = duck.execute(_cramers_select_sql(0.0)).fetchdf()["dropped_count"].iloc[0]
     assert len(dropped) >= 2
     assert len(dropped) == sql_count
+
+
+@pytest.mark.parametrize("levels", [
+    [("p", 0, 4), ("q", 2, 10), ("r", 10, 80), ("s", 30, 90), ("t", 1, 2), ("u", 10, 14)],
+    [("a", 0, 30), ("b", 2, 50), ("c", 10, 100), ("d", 3, 5)],          # small last bin, zero-bad first bin
+    [("a", 0, 3), ("b", 0, 40), ("c", 4, 60), ("d", 9, 60), ("e", 1, 2)],
+])
+def test_recursive_merge_sql_matches_python(duck, levels):
+    import pandas as pd
+    from bandwise.operators.scorecard import merge_level_bins
+    from bandwise.plans.q_scorecard import _merged_woe_sql
+    rows = [(lvl, 1) for lvl, b, t in levels for _ in range(b)] + \
+           [(lvl, 0) for lvl, b, t in levels for _ in range(t - b)]
+    values = ", ".join(f"('{lvl}', {y})" for lvl, y in rows)
+    src = f"SELECT 'v' AS var, level, target FROM (VALUES {values}) t(level, target)"
+    got = duck.execute(_merged_woe_sql(0.06, 0.0, levels_sql=src)).fetchdf()
+    got = got[~got["is_total"]].sort_values("bin_id")
+    pdf = pd.DataFrame({"level": [x[0] for x in levels], "badCnt": [x[1] for x in levels],
+                        "totalCnt": [x[2] for x in levels]})
+    want = merge_level_bins(pdf, 0.06)
+    assert list(got["bin"]) == [",".join(n) for n, _, _ in want]
+    assert list(got["badCnt"]) == [b for _, b, _ in want]
+    assert list(got["totalCnt"]) == [t for _, _, t in want]
