@@ -28,7 +28,7 @@ def _load_all():
     # Import query modules for their registration side effect.
     from bandwise.plans import q_evaluate  # noqa: F401
     for mod in ("q_profile", "q_split", "q_encode", "q_scorecard", "q_stats", "q_media",
-                "q_text", "q_explain", "q_models", "q_udf", "q_relational"):
+                "q_text", "q_explain", "q_models", "q_udf", "q_relational", "q_streaming"):
         try:
             __import__(f"bandwise.plans.{mod}")
         except ModuleNotFoundError as e:  # modules are added as operators land
