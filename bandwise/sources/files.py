@@ -4,7 +4,6 @@ report writes (S6) and saved artefact tables (S7/S8)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 

@@ -3,7 +3,6 @@
 import os
 import tempfile
 
-import pytest
 
 from bandwise.operators.evaluate import score_performance
 from bandwise.session import checkpoint_dir
