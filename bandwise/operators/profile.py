@@ -30,7 +30,15 @@ def pearson(a: Column | str, b: Column | str) -> Column:
     return F.try_divide(F.covar_pop(a, b), sa * sb)
 
 
-def univariate(df: DataFrame, target: str | None = None, median: bool = True) -> DataFrame:
+def univariate(df: DataFrame, target: str | None = None, median: bool | str = True,
+               distinct: str = "exact") -> DataFrame:
+    """Profile table, one row per column.
+
+    ``median``: True / "exact" (distributed exact, linear interpolation),
+    "approx" (``percentile_approx`` in the single statistics pass, no extra
+    shuffle) or False. ``distinct``: "exact" or "approx" (HyperLogLog in the
+    same pass). The approximate options keep a very wide table at one pass.
+    """
     fields = df.schema.fields
     numeric = [f.name for f in fields if isinstance(f.dataType, NumericType)]
     has_target = target is not None and isinstance(df.schema[target].dataType, NumericType)
@@ -44,7 +52,14 @@ def univariate(df: DataFrame, target: str | None = None, median: bool = True) ->
             if has_target:
                 aggs[f"cor{i}"] = pearson(c, F.col(f"`{target}`"))
     medians, numeric_distinct = {}, None
-    if median and numeric:
+    if median == "approx" and numeric:
+        for i, f in enumerate(fields):
+            if f.name in numeric:
+                aggs[f"med{i}"] = F.percentile_approx(F.col(f"`{f.name}`").cast("double"), 0.5, 10_000)
+    if distinct == "approx":
+        for i, f in enumerate(fields):
+            aggs[f"hll{i}"] = F.approx_count_distinct(F.col(f"`{f.name}`"))
+    if (median is True or median == "exact") and numeric:
         # The column statistics ride along the first pass of the distributed median;
         # the distinct-value table then serves the median and the numeric distinct counts.
         r = value_ranks(df, numeric, extras=aggs)
@@ -59,6 +74,8 @@ def univariate(df: DataFrame, target: str | None = None, median: bool = True) ->
     else:
         row = df.agg(*[e.alias(k) for k, e in aggs.items()]).first()
         stats = row.asDict()
+        if median == "approx":
+            medians = {f.name: stats.get(f"med{i}") for i, f in enumerate(fields) if f.name in numeric}
     n = stats["__n"]
     rows = []
     for i, f in enumerate(fields):
@@ -76,7 +93,10 @@ def univariate(df: DataFrame, target: str | None = None, median: bool = True) ->
         rows, "variable string, type string, var_min double, var_max double, var_mean double, "
               "var_median double, CorrelationWithTarget double, percentZeros double, percentNull double, "
               "ordinal int")
-    if numeric_distinct is None:
+    if distinct == "approx":
+        distinct = df.sparkSession.createDataFrame(
+            [(f.name, int(stats[f"hll{i}"])) for i, f in enumerate(fields)], "variable string, var_vals long")
+    elif numeric_distinct is None:
         distinct = distinct_counts(df)
     else:
         others = [f.name for f in fields if f.name not in numeric]

@@ -235,3 +235,17 @@ def test_ranks_on_empty_and_all_null_columns(spark):
     assert q == {("b", 0.5): 2.0}
     empty = spark.createDataFrame([], "a double")
     assert exact_quantiles(empty, ["a"], [0.5]).count() == 0
+
+
+def test_profile_approximate_options(spark):
+    from tests.conftest import SF_SMALL
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").withColumn(
+        "target", (F.col("o_orderstatus") == "F").cast("int"))
+    exact = {r["variable"]: r for r in univariate(o, "target").collect()}
+    approx = {r["variable"]: r for r in univariate(o, "target", median="approx", distinct="approx").collect()}
+    assert set(exact) == set(approx)
+    for v, r in exact.items():
+        assert approx[v]["var_mean"] == r["var_mean"]
+        assert approx[v]["var_vals"] == pytest.approx(r["var_vals"], rel=0.1)
+        if r["var_median"] is not None:
+            assert approx[v]["var_median"] == pytest.approx(r["var_median"], rel=0.05, abs=1.0)
