@@ -11,7 +11,8 @@ R = 6
 
 
 def _r(expr: str, alias: str) -> str:
-    return f"ROUND(CAST({expr} AS DOUBLE), {R}) AS \"{alias}\""
+    # "+ 0.0" turns a rounded negative zero into 0.0, as Spark's decimal rounding does.
+    return f"(ROUND(CAST({expr} AS DOUBLE), {R}) + 0.0) AS \"{alias}\""
 
 
 def probs_list(bins: int) -> str:

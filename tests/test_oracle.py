@@ -17,7 +17,8 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        v = round(v, 6)
+        return "-0.0" if (v == 0.0 and math.copysign(1.0, v) < 0) else v
     if hasattr(v, "tolist"):
         v = v.tolist()
     if isinstance(v, (list, tuple)):
