@@ -60,20 +60,24 @@ def sample_n(df: DataFrame, n: int, key_cols: list[str], seed: int = 42,
              small_n: int = 10_000) -> DataFrame:
     """Exactly ``n`` rows without replacement (X1), ordered by (md5(seed:key), key).
 
-    Up to ``small_n`` rows this is a top-n (TakeOrderedAndProject: each task
-    keeps n rows, the final merge sees tasks x n). For larger n the exact hash
-    cutoff is found with the distributed rank operator, so no task ever holds
-    more than the rows tied on the cutoff hash; the limit is the operator itself.
+    The order hash is uniform, so rows whose hash lies below ~(4n + 64)/N of the
+    hash range are a superset of the first n with overwhelming probability; the
+    candidate count is checked, and the top-n then runs over those few rows, so
+    the final merge never sees more than ~4n + 64 rows whatever the partition
+    count. For n above ``small_n`` the exact hash cutoff comes from the
+    distributed rank operator instead. The limit is the operator itself.
     """
-    h = order_hash(key_cols, seed)
+    hashed = df.withColumn("__o", order_hash(key_cols, seed))
+    total = df.count()
+    if n >= total:
+        return df
     if n <= small_n:
-        return df.withColumn("__o", h).orderBy("__o", *key_cols).limit(n).drop("__o")
+        cutoff = int(min(1.0, (4.0 * n + 64) / total) * float(1 << 48)) + 1
+        cand = hashed.where(F.col("__o") < F.lit(cutoff))
+        if cand.count() >= n:
+            return cand.orderBy("__o", *key_cols).limit(n).drop("__o")
     from bandwise.operators.quantiles import value_ranks  # local import: quantiles imports nothing from here
-    hashed = df.withColumn("__o", h)
     r = value_ranks(hashed.select("__o"), ["__o"])
-    total = r.n["__o"]
-    if n >= total:
-        return df
     cut = r.df.where((F.col("cum_lo") <= n - 1) & (F.col("cum_hi") > n - 1)).select("value", "cum_lo").first()
     t, below = int(cut["value"]), int(cut["cum_lo"])
     inside = hashed.where(F.col("__o") < F.lit(t))

@@ -249,3 +249,13 @@ def test_profile_approximate_options(spark):
         assert approx[v]["var_vals"] == pytest.approx(r["var_vals"], rel=0.1)
         if r["var_median"] is not None:
             assert approx[v]["var_median"] == pytest.approx(r["var_median"], rel=0.05, abs=1.0)
+
+
+@pytest.mark.parametrize("n", [1, 7, 100, 1200])
+def test_sample_n_exact_and_ordered(spark, n):
+    from bandwise.operators.split import order_hash, sample_n
+    from tests.conftest import SF_SMALL
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey")
+    got = {r[0] for r in sample_n(o, n, ["o_orderkey"], seed=9, small_n=1000).collect()}
+    ref = [r[0] for r in o.withColumn("h", order_hash(["o_orderkey"], 9)).orderBy("h", "o_orderkey").collect()]
+    assert len(got) == n and got == set(ref[:n])
