@@ -129,7 +129,12 @@ def distinct_counts(df: DataFrame, cols: list[str] | None = None, approx: bool =
         arr = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"d{i}").cast("long").alias("var_vals"))
                         for i, c in enumerate(cols)])
         return wide.select(F.explode(arr).alias("s")).select("s.*")
-    return (long_values(df, cols).groupBy("variable", "value").agg(F.lit(1).alias("one"))
+    # Values longer than 64 characters are counted by their SHA-256 digest, so long
+    # texts are not shuffled whole; the tags keep short values and digests apart.
+    v = F.col("value")
+    key = F.when(F.length(v) > 64, F.concat(F.lit("#"), F.sha2(v, 256))).otherwise(F.concat(F.lit("="), v))
+    return (long_values(df, cols).select("variable", key.alias("k")).groupBy("variable", "k")
+            .agg(F.lit(1).alias("one"))
             .groupBy("variable").agg(F.count(F.lit(1)).alias("var_vals")))
 
 
