@@ -62,9 +62,10 @@ def sample_n(df: DataFrame, n: int, key_cols: list[str], seed: int = 42,
 
     The order hash is uniform, so rows whose hash lies below ~(4n + 64)/N of the
     hash range are a superset of the first n with overwhelming probability; the
-    candidate count is checked, and the top-n then runs over those few rows, so
-    the final merge never sees more than ~4n + 64 rows whatever the partition
-    count. For n above ``small_n`` the exact hash cutoff comes from the
+    top-n runs over those few rows (the final merge never sees more than
+    ~4n + 64 rows whatever the partition count) and returns the sample as a
+    small local table; if fewer than n candidates came back, the exact cutoff
+    path below is used. For n above ``small_n`` the exact hash cutoff comes from the
     distributed rank operator instead. The limit is the operator itself.
     """
     hashed = df.withColumn("__o", order_hash(key_cols, seed))
@@ -73,9 +74,10 @@ def sample_n(df: DataFrame, n: int, key_cols: list[str], seed: int = 42,
         return df
     if n <= small_n:
         cutoff = int(min(1.0, (4.0 * n + 64) / total) * float(1 << 48)) + 1
-        cand = hashed.where(F.col("__o") < F.lit(cutoff))
-        if cand.count() >= n:
-            return cand.orderBy("__o", *key_cols).limit(n).drop("__o")
+        top = hashed.where(F.col("__o") < F.lit(cutoff)).orderBy("__o", *key_cols).limit(n)
+        rows = top.collect()  # the sample itself: at most small_n rows
+        if len(rows) == n:
+            return df.sparkSession.createDataFrame(rows, top.schema).drop("__o")
     from bandwise.operators.quantiles import value_ranks  # local import: quantiles imports nothing from here
     r = value_ranks(hashed.select("__o"), ["__o"])
     cut = r.df.where((F.col("cum_lo") <= n - 1) & (F.col("cum_hi") > n - 1)).select("value", "cum_lo").first()
