@@ -18,21 +18,28 @@ def hash_key(key_cols: list[str], seed: int) -> Column:
     return F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols])
 
 
-def hash_bucket(key_cols: list[str], seed: int, modulus: int = SCALE) -> Column:
-    """0..modulus-1 from the first 8 hex digits of md5(seed:key)."""
+def hash_bucket(key_cols: list[str], seed: int, modulus: int = SCALE, fast: bool = False) -> Column:
+    """0..modulus-1 from the first 8 hex digits of md5(seed:key).
+
+    ``fast=True`` uses Spark's ``xxhash64`` instead: several times cheaper per
+    row (no key text is built), equally deterministic across executors and
+    retries, but not reproducible in other SQL engines."""
+    if fast:
+        return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols]), F.lit(modulus))
     h = F.conv(F.substring(F.md5(hash_key(key_cols, seed)), 1, 8), 16, 10).cast("long")
     return F.pmod(h, F.lit(modulus))
 
 
-def hash_split_flag(key_cols: list[str], seed: int = 12345, test_size: float = 0.2) -> Column:
+def hash_split_flag(key_cols: list[str], seed: int = 12345, test_size: float = 0.2,
+                    fast: bool = False) -> Column:
     """True for test rows."""
-    return hash_bucket(key_cols, seed) < F.lit(int(round(SCALE * test_size)))
+    return hash_bucket(key_cols, seed, fast=fast) < F.lit(int(round(SCALE * test_size)))
 
 
 def train_test_split(df: DataFrame, key_cols: list[str], seed: int = 12345,
-                     test_size: float = 0.2) -> tuple[DataFrame, DataFrame]:
+                     test_size: float = 0.2, fast: bool = False) -> tuple[DataFrame, DataFrame]:
     """(train, test) by hash; the two sides are disjoint and cover all rows."""
-    flag = hash_split_flag(key_cols, seed, test_size)
+    flag = hash_split_flag(key_cols, seed, test_size, fast)
     return df.where(~flag), df.where(flag)
 
 

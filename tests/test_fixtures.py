@@ -268,3 +268,14 @@ def test_json_deep_nesting_cuts_lineage(spark):
                                "id long, j string")
     got = {(r["id"], r["variable"], r["value"]) for r in flatten_json(df, ["id"], "j", cut_every=4).collect()}
     assert got == {(1, "_" + "_".join(keys) + "__z", "deep"), (2, "_x__y", "2.5")}
+
+
+@pytest.mark.parametrize("fast", [False, True])
+def test_split_disjoint_and_covering(spark, fast):
+    from bandwise.operators.split import train_test_split
+    from tests.conftest import SF_SMALL
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey")
+    tr, te = train_test_split(o, ["o_orderkey"], 7, 0.25, fast=fast)
+    a, b = {r[0] for r in tr.collect()}, {r[0] for r in te.collect()}
+    assert not (a & b) and len(a | b) == o.count()
+    assert 0.15 < len(b) / o.count() < 0.35
