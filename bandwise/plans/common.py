@@ -24,3 +24,8 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """A small result table as a local relation (lets cached inputs be released)."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)

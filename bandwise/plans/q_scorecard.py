@@ -11,7 +11,7 @@ from bandwise.operators.scorecard import (apply_cuts, apply_level_bins, cramers_
 from bandwise.operators.split import train_test_split
 from bandwise.operators.treebin import tree_binning
 from bandwise.plans.catalog import register
-from bandwise.plans.common import rounded
+from bandwise.plans.common import materialised, rounded
 from bandwise.plans.oracle_sql import _r
 from bandwise.plans.scorecard_flow import Scorecard
 from bandwise.sources.tables import load_table
@@ -357,7 +357,9 @@ def scorecard_final(spark, sf_dir):
     regrouping, final WOE. The driver tables are random, so every IV is far
     below the usual 0.02; the chain keeps variables from IV 0.001 up."""
     sc = Scorecard(scorecard_base(spark, sf_dir), "target", KEY).run(SEGMENT_STRUCTURE, iv_min=0.001)
-    return rounded(sc.woe_scaled)
+    out = materialised(rounded(sc.woe_scaled))
+    sc.release()
+    return out
 
 
 register("scorecard_final")(scorecard_final)
