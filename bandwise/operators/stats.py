@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,29 +30,23 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
 
     Ranks come from the distributed ``value_ranks`` (no single-task window).
     Rows are first collapsed to distinct (a, b) pairs with counts, so the
-    rank joins see each pair once; the correlation is count-weighted. The rank
-    table feeds both joins, so it is kept for the one aggregation job; the
-    result is a one-row local DataFrame.
+    rank joins see each pair once; the correlation is count-weighted. Both
+    rank lookups come from the same plan, so Spark reuses its shuffle.
     """
     base = df.select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")) \
         .where(F.col("a").isNotNull() & F.col("b").isNotNull())
     r = value_ranks(base, ["a", "b"])
-    ranks = r.df.select("var", "value", (F.col("cum_lo") + (F.col("cnt") + 1) / 2.0).alias("rank")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        ra = ranks.where(F.col("var") == "a").select(F.col("value").alias("a"), F.col("rank").alias("ra"))
-        rb = ranks.where(F.col("var") == "b").select(F.col("value").alias("b"), F.col("rank").alias("rb"))
-        pairs = base.groupBy("a", "b").agg(F.count(F.lit(1)).alias("w"))
-        j = pairs.join(ra, "a").join(rb, "b")
-        n = F.sum("w")
-        mx, my = F.sum(F.col("w") * F.col("ra")) / n, F.sum(F.col("w") * F.col("rb")) / n
-        sxy = F.sum(F.col("w") * F.col("ra") * F.col("rb")) / n - mx * my
-        sxx = F.sum(F.col("w") * F.col("ra") * F.col("ra")) / n - mx * mx
-        syy = F.sum(F.col("w") * F.col("rb") * F.col("rb")) / n - my * my
-        row = j.agg(F.try_divide(sxy, F.sqrt(sxx * syy)).alias("spearman"), n.alias("n")).first()
-    finally:
-        ranks.unpersist()
-    return df.sparkSession.createDataFrame([(row["spearman"], row["n"])], "spearman double, n long")
+    ranks = r.df.select("var", "value", (F.col("cum_lo") + (F.col("cnt") + 1) / 2.0).alias("rank"))
+    ra = ranks.where(F.col("var") == "a").select(F.col("value").alias("a"), F.col("rank").alias("ra"))
+    rb = ranks.where(F.col("var") == "b").select(F.col("value").alias("b"), F.col("rank").alias("rb"))
+    pairs = base.groupBy("a", "b").agg(F.count(F.lit(1)).alias("w"))
+    j = pairs.join(ra, "a").join(rb, "b")
+    n = F.sum("w")
+    mx, my = F.sum(F.col("w") * F.col("ra")) / n, F.sum(F.col("w") * F.col("rb")) / n
+    sxy = F.sum(F.col("w") * F.col("ra") * F.col("rb")) / n - mx * my
+    sxx = F.sum(F.col("w") * F.col("ra") * F.col("ra")) / n - mx * mx
+    syy = F.sum(F.col("w") * F.col("rb") * F.col("rb")) / n - my * my
+    return j.agg(F.try_divide(sxy, F.sqrt(sxx * syy)).alias("spearman"), n.alias("n"))
 
 
 def covariance(df: DataFrame, a: str, b: str) -> DataFrame:
