@@ -172,7 +172,8 @@ def level_bin_map(woe_cat: DataFrame) -> DataFrame:
     return levels.join(others, "var", "left")
 
 
-def apply_level_bins(df: DataFrame, cols: list[str], bin_map: DataFrame) -> DataFrame:
+def apply_level_bins(df: DataFrame, cols: list[str], bin_map: DataFrame,
+                     max_rows: int = 1_000_000) -> DataFrame:
     """Replace each categorical column by its bin label; unknown levels get the
     'Others' bin of that variable, null when it has none (C7/C18).
 
@@ -181,7 +182,10 @@ def apply_level_bins(df: DataFrame, cols: list[str], bin_map: DataFrame) -> Data
     """
     # Materialise the bounded map once: every per-column broadcast below then reads
     # a local table instead of re-running the job that built the map.
-    rows = bin_map.select("var", "level", "bin", "others_bin").collect()
+    rows = bin_map.select("var", "level", "bin", "others_bin").limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"bin map has more than {max_rows} rows; fold rare levels first "
+                         "(only kept levels belong in the map, the rest take the 'Others' bin)")
     bin_map = df.sparkSession.createDataFrame(rows, "var string, level string, bin string, others_bin string")
     fallback = {r["var"]: r["others_bin"] for r in rows if r["others_bin"] is not None}
     out = df

@@ -279,3 +279,13 @@ def test_split_disjoint_and_covering(spark, fast):
     a, b = {r[0] for r in tr.collect()}, {r[0] for r in te.collect()}
     assert not (a & b) and len(a | b) == o.count()
     assert 0.15 < len(b) / o.count() < 0.35
+
+
+def test_bin_map_size_is_checked(spark):
+    from bandwise.operators.scorecard import apply_level_bins
+    df = spark.createDataFrame([("a",), ("b",), ("z",)], "v string")
+    m = spark.createDataFrame([("v", "a", "a,b", "Others"), ("v", "b", "a,b", "Others")],
+                              "var string, level string, bin string, others_bin string")
+    assert [r[0] for r in apply_level_bins(df, ["v"], m).orderBy("v").collect()] == ["Others", "a,b", "a,b"]
+    with pytest.raises(ValueError):
+        apply_level_bins(df, ["v"], m, max_rows=1)
