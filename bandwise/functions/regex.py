@@ -33,9 +33,17 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def search(col, pattern: str) -> Column:
-    """True when the pattern matches anywhere (``re.search``)."""
-    return _c(col).rlike(to_java_regex(pattern))
+def search(col, pattern: str, required: str | None = None) -> Column:
+    """True when the pattern matches anywhere (``re.search``).
+
+    ``required``: a literal every match must contain (e.g. "@" for e-mail
+    addresses); rows without it skip the regex engine. Nulls stay null."""
+    c = _c(col)
+    hit = c.rlike(to_java_regex(pattern))
+    if required is None:
+        return hit
+    return F.when(c.isNull(), F.lit(None).cast("boolean")).when(c.contains(required), hit) \
+        .otherwise(F.lit(False))
 
 
 def first_match(col, pattern: str) -> Column:
