@@ -289,3 +289,11 @@ def test_bin_map_size_is_checked(spark):
     assert [r[0] for r in apply_level_bins(df, ["v"], m).orderBy("v").collect()] == ["Others", "a,b", "a,b"]
     with pytest.raises(ValueError):
         apply_level_bins(df, ["v"], m, max_rows=1)
+
+
+def test_search_required_literal_prefilter(spark):
+    df = spark.createDataFrame([("mail a.b@x.org now",), ("no at sign x.org",), (None,), ("@ only",)], "t string")
+    pat = r"[A-Za-z0-9._]+@[A-Za-z0-9.]+\.[a-z]{2,}"
+    plain = [r[0] for r in df.select(search("t", pat)).collect()]
+    fast = [r[0] for r in df.select(search("t", pat, required="@")).collect()]
+    assert plain == fast == [True, False, None, False]
