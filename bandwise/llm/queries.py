@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bandwise.llm.line_dedup import drop_common_lines
+from bandwise.llm.minhash_dedup import near_duplicates
 from bandwise.llm.mixing import mix_sources
 from bandwise.llm.sharding import shard_documents
 from bandwise.sources.tables import load_table
@@ -42,6 +43,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@register("op2_odd_sketch_dedup")
+def op2_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return near_duplicates(docs, percent=80, width=2)
+
+
 @register("op3_rendezvous_sharding")
 def op3_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load_table(spark, sf_dir, "documents", ["doc_id", "text"])
