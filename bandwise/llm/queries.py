@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bandwise.llm.bpe import decode_documents, encode_documents
 from bandwise.llm.line_dedup import drop_common_lines
 from bandwise.llm.minhash_dedup import near_duplicates
 from bandwise.llm.mixing import mix_sources
 from bandwise.llm.sharding import shard_documents
 from bandwise.sources.tables import load_table
 
+#: Rank file and pre-token pattern of the registered query: a public multilingual vocabulary.
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -55,6 +60,18 @@ def op3_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(docs, weights=[1.0] * 8)
 
 
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row."""
+    out = decode_documents(encode_documents(docs, RANKS, PATTERN), RANKS)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op5_chunked_bpe")
+def op5_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(load_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 def _mix_sql(passes: int) -> str:
     """The same plan with window functions over whole sources."""
     steps = []
