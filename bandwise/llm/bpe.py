@@ -93,8 +93,8 @@ def stitch(table: Pieces, size: int, chunks: list[str], bounds: list[np.ndarray]
     n = len(chunks)
     at = [np.asarray(b, np.int64) + i * size for i, b in enumerate(bounds)]
     sure = [a if i == n - 1 else a[a <= i * size + len(chunks[i]) - GUARD] for i, a in enumerate(at)]
-    out, here, position = [], 0, 0
-    while here < n:
+    out, here, position, end_of_text = [np.empty(0, "<u4")], 0, 0, int(at[-1][-1])
+    while position < end_of_text:
         mine = sure[here][sure[here] >= position]
         shared, right = mine[-1:], None
         if here + 1 < n:
