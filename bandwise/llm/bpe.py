@@ -9,8 +9,11 @@ resynchronised: from there on the right chunk's pieces are the text's pieces,
 because the pattern never looks back. If no boundary is shared in the overlap
 (a run of one class longer than it), the seam is pre-tokenised again from the
 last sure boundary until it meets one of a later chunk, which is exact for any
-run length. Texts of one chunk need no shuffle; longer ones are encoded once
-per distinct text, and only their chunks are shuffled.
+run length. The end of a run of letters or of numbers is a boundary wherever
+pre-tokenising began before it, so both chunks of a seam see from the shared
+characters alone whether that can happen, and only then hand on their text and
+all their boundaries. Texts of one chunk need no shuffle; of longer ones the
+chunks are shuffled once as text and once as ids.
 
 Pieces are encoded by the given merge ranks; decoding concatenates the bytes
 of the ids.
@@ -31,14 +34,16 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.llm.common import stored, text_of
+from bandwise.llm.common import text_of, text_slices
 
 CHUNK_CHARS = 16_384
 OVERLAP_CHARS = 256
 #: Characters after a boundary that may decide about it: the longest fixed alternative has three.
 GUARD = 4
 #: Pieces a worker remembers before it forgets them all.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 100_000
+#: The end of a run of letters or numbers, before another character.
+RUN_END = regex.compile(r"\p{L}(?=\P{L})|\p{N}(?=\P{N})")
 
 
 @lru_cache(maxsize=4)
@@ -54,6 +59,8 @@ class Pieces(dict):
     def __init__(self, path: str, pattern: str):
         super().__init__()
         self.find = regex.compile(pattern).findall
+        #: As ids are shuffled: two bytes where they fit.
+        self.id_type = "<u2" if max(rank_table(path).values()) < 1 << 16 else "<u4"
         self.bpe = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=rank_table(path), special_tokens={})
 
     def __missing__(self, piece: str) -> list[int]:
@@ -87,12 +94,17 @@ def chunk_pieces(table: Pieces, chunk: str) -> tuple[np.ndarray, np.ndarray, np.
     return bounds, before, np.fromiter(chain.from_iterable(ids), "<u4")
 
 
-def stitch(table: Pieces, size: int, chunks: list[str], bounds: list[np.ndarray], before: list[np.ndarray],
+def resynchronises(shared: str) -> bool:
+    """Whether pre-tokenising from anywhere before these characters surely shares a boundary in them."""
+    return RUN_END.search(shared, 0, max(0, len(shared) - GUARD)) is not None
+
+
+def stitch(table: Pieces, size: int, chunks: list[str | None], lengths: list[int], bounds: list[np.ndarray], before: list[np.ndarray],
            ids: list[np.ndarray]) -> np.ndarray:
-    """The ids of the whole text from its chunks' pieces."""
+    """The ids of the whole text from its chunks' pieces (``chunks``: their text where a seam may need it)."""
     n = len(chunks)
     at = [np.asarray(b, np.int64) + i * size for i, b in enumerate(bounds)]
-    sure = [a if i == n - 1 else a[a <= i * size + len(chunks[i]) - GUARD] for i, a in enumerate(at)]
+    sure = [a if i == n - 1 else a[a <= i * size + lengths[i] - GUARD] for i, a in enumerate(at)]
     out, here, position, end_of_text = [np.empty(0, "<u4")], 0, 0, int(at[-1][-1])
     while position < end_of_text:
         mine = sure[here][sure[here] >= position]
@@ -135,7 +147,7 @@ def _bridge(table: Pieces, size: int, chunks: list[str], at: list[np.ndarray], h
 def _short(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pieces_of(path, pattern)
-        for batch in batches:
+        for batch in text_slices(batches):
             ids = [table.encode(table.find(t)).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
     return run
@@ -143,34 +155,56 @@ def _short(path: str, pattern: str):
 
 def _chunks(size: int, overlap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, text in zip(*(batch.column(c).to_pylist() for c in ("key", "text")), strict=True):
+        for batch in text_slices(batches):
+            for i, text in enumerate(batch.column("text").to_pylist()):
                 parts = cut(text, size, overlap)
                 for at in range(0, len(parts), 256):
                     some = parts[at:at + 256]
+                    same = [batch.column(c).take(pa.array([i] * len(some))) for c in ("doc_id", "key")]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([key] * len(some)), pa.array(range(at, at + len(some)), pa.int32()), pa.array(some)],
-                        ["key", "no", "chunk"])
+                        [*same, pa.array(range(at, at + len(some)), pa.int32()),
+                         pa.array([at + k == len(parts) - 1 for k in range(len(some))]), pa.array(some, pa.string())],
+                        ["doc_id", "key", "no", "last", "chunk"])
     return run
 
 
-def _encoded_chunks(path: str, pattern: str):
+def encoded_chunk(table: Pieces, size: int, overlap: int, no: int, last: bool, chunk: str):
+    """text (only if a seam may need it), length, boundaries, ids before each, ids.
+
+    Without the text, only the boundaries that a seam may share and the first
+    and last one are handed on.
+    """
+    bounds, before, ids = chunk_pieces(table, chunk)
+    safe = (no == 0 or resynchronises(chunk[:overlap])) and (last or resynchronises(chunk[size:]))
+    if safe:
+        use = (bounds <= overlap) | (bounds >= size)
+        use[[0, -1]] = True
+        bounds, before = bounds[use], before[use]
+    return None if safe else chunk, len(chunk), bounds, before, ids
+
+
+def _encoded_chunks(path: str, pattern: str, size: int, overlap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pieces_of(path, pattern)
-        for batch in batches:
-            done = [[x.tobytes() for x in chunk_pieces(table, c)] for c in batch.column("chunk").to_pylist()]
-            more = [pa.array([d[i] for d in done], pa.binary()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, "bounds", "before", "ids"])
+        for batch in text_slices(batches, "chunk"):
+            columns = (batch.column(c).to_pylist() for c in ("no", "last", "chunk"))
+            done = [encoded_chunk(table, size, overlap, *row) for row in zip(*columns, strict=True)]
+            binary = [pa.array([d[i].tobytes() for d in done], pa.binary()) for i in (2, 3)]
+            narrow = pa.array([d[4].astype(table.id_type).tobytes() for d in done], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("doc_id", "key", "no", "copies")), pa.array([d[0] for d in done], pa.string()),
+                 pa.array([d[1] for d in done], pa.int32()), *binary, narrow],
+                ["doc_id", "key", "no", "copies", "chunk", "chars", "bounds", "before", "ids"])
     return run
 
 
 def _stitched(path: str, pattern: str, size: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("no")
+        rows, table = rows.sort_values("no"), pieces_of(path, pattern)
         arrays = [[np.frombuffer(x, kind) for x in rows[c]]
-                  for c, kind in (("bounds", np.int32), ("before", np.int32), ("ids", "<u4"))]
-        ids = stitch(pieces_of(path, pattern), size, rows["chunk"].tolist(), *arrays)
-        return pd.DataFrame({"key": rows["key"].iloc[:1], "ids": [ids.astype("<u4").tobytes()]})
+                  for c, kind in (("bounds", np.int32), ("before", np.int32), ("ids", table.id_type))]
+        ids = stitch(table, size, rows["chunk"].tolist(), rows["chars"].tolist(), *arrays)
+        return rows[["doc_id", "copies"]].iloc[:1].assign(ids=[ids.astype("<u4").tobytes()])
     return run
 
 
@@ -182,17 +216,24 @@ def encode_documents(docs: DataFrame, ranks: str, pattern: str, id_col: str = "d
     pre-token pattern; no special tokens. A null or empty text has no ids.
     Repeated rows are all returned; an empty table gives an empty table.
     """
+    if not 0 <= overlap_chars <= chunk_chars:
+        raise ValueError("the overlap must not be longer than a chunk")
     docs = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     is_long = F.char_length("text") > chunk_chars
     short = docs.filter(~is_long).mapInArrow(_short(ranks, pattern), f"doc_id {id_type}, ids binary")
-    long = docs.filter(is_long).withColumn("key", F.sha2(F.col("text").cast("binary"), 256))
-    chunks = (long.select("key", "text").mapInArrow(_chunks(chunk_chars, overlap_chars), "key string, no int, chunk string")
-              .dropDuplicates(["key", "no"]))
-    encoded = (chunks.mapInArrow(_encoded_chunks(ranks, pattern),
-                                 "key string, no int, chunk string, bounds binary, before binary, ids binary")
-               .groupBy("key").applyInPandas(_stitched(ranks, pattern, chunk_chars), "key string, ids binary"))
-    long = long.select("doc_id", "key").join(stored(encoded), "key").select("doc_id", "ids")
+    # Rows repeated under one id and text are encoded once and counted.
+    chunks = (docs.filter(is_long).withColumn("key", F.sha2(F.col("text").cast("binary"), 256))
+              .mapInArrow(_chunks(chunk_chars, overlap_chars),
+                          f"doc_id {id_type}, key string, no int, last boolean, chunk string")
+              .groupBy("doc_id", "key", "no").agg(F.any_value("last").alias("last"), F.any_value("chunk").alias("chunk"),
+                                                  F.count(F.lit(1)).alias("copies")))
+    long = (chunks.mapInArrow(_encoded_chunks(ranks, pattern, chunk_chars, overlap_chars),
+                              f"doc_id {id_type}, key string, no int, copies long, chunk string, chars int, "
+                              "bounds binary, before binary, ids binary")
+            .groupBy("doc_id", "key").applyInPandas(_stitched(ranks, pattern, chunk_chars),
+                                                    f"doc_id {id_type}, copies long, ids binary")
+            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc_id", "ids"))
     return short.unionByName(long).select(
         "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
 
@@ -200,7 +241,7 @@ def encode_documents(docs: DataFrame, ranks: str, pattern: str, id_col: str = "d
 def _decoded(path: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = {rank: data for data, rank in rank_table(path).items()}
-        for batch in batches:
+        for batch in text_slices(batches, "ids"):
             texts = [b"".join(map(token.__getitem__, np.frombuffer(x or b"", "<u4").tolist()))
                      for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*names, "decoded"])

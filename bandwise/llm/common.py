@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,3 +76,12 @@ def spread_join(rows: DataFrame, small: DataFrame, key: str, salt_by: str, n_sma
     rows = rows.withColumn("_row_salt", salt)
     on = rows[key].eqNullSafe(small["_small_key"]) & (rows["_row_salt"] == small["_small_salt"])
     return rows.join(small, on, "left").drop("_small_key", "_small_salt", "_row_salt")
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``most`` bytes of text, one row at least, to bound a worker's memory."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        group = np.cumsum(sizes.astype(np.int64)) // most
+        for start, rows in zip(*np.unique(group, return_index=True, return_counts=True)[1:], strict=True):
+            yield batch.slice(int(start), int(rows))

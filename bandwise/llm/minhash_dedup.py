@@ -30,11 +30,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.llm.common import stored, text_of
+from bandwise.llm.common import stored, text_of, text_slices
 from bandwise.llm.components import components
 
 BANDS, ROWS, SKETCH_BITS = 50, 6, 512
@@ -125,40 +124,30 @@ def _long_lists(values: np.ndarray) -> pa.Array:
 
 def _features(width: int, bands: int, rows: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _slices(batch, "text"):
-                sets = shingle_sets(part.column("text").to_pylist(), width)
-                full = np.array([len(s) > 0 for s in sets], bool)
-                keys = np.zeros((len(sets), bands), np.uint64)
-                sketches = np.zeros((len(sets), bits // 64), np.uint64)
-                if full.any():
-                    samples = minhash([s for s in sets if len(s)], bands * rows)
-                    keys[full], sketches[full] = band_keys(samples, bands), odd_sketch(samples, bits)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([digest(s) for s in sets], pa.binary()), _long_lists(keys), _long_lists(sketches)],
-                    ["doc_id", "n_shingles", "digest", "bands", "sketch"])
+        for part in text_slices(batches):
+            sets = shingle_sets(part.column("text").to_pylist(), width)
+            full = np.array([len(s) > 0 for s in sets], bool)
+            keys = np.zeros((len(sets), bands), np.uint64)
+            sketches = np.zeros((len(sets), bits // 64), np.uint64)
+            if full.any():
+                samples = minhash([s for s in sets if len(s)], bands * rows)
+                keys[full], sketches[full] = band_keys(samples, bands), odd_sketch(samples, bits)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([digest(s) for s in sets], pa.binary()), _long_lists(keys), _long_lists(sketches)],
+                ["doc_id", "n_shingles", "digest", "bands", "sketch"])
     return run
 
 
-def _slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about ``most`` bytes of text, one row at least."""
-    group = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(np.int64)) // most
-    for g in np.unique(group):
-        at = np.flatnonzero(group == g)
-        yield batch.slice(int(at[0]), len(at))
-
-
 def _full_sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _slices(batch, "text"):
-                sets = shingle_sets(part.column("text").to_pylist(), width)
-                same = [digest(s) == d for s, d in zip(sets, part.column("digest").to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("nid").filter(pa.array(same)),
-                     pa.array([s.view(np.int64) for s, ok in zip(sets, same, strict=True) if ok], pa.list_(pa.int64()))],
-                    ["nid", "shingles"])
+        for part in text_slices(batches):
+            sets = shingle_sets(part.column("text").to_pylist(), width)
+            same = [digest(s) == d for s, d in zip(sets, part.column("digest").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("nid").filter(pa.array(same)),
+                 pa.array([s.view(np.int64) for s, ok in zip(sets, same, strict=True) if ok], pa.list_(pa.int64()))],
+                ["nid", "shingles"])
     return run
 
 
