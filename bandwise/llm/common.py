@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,9 +40,28 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder the session names."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to a table of its own in the folder ``spark.checkpoint.dir`` names, and read it.
+
+    Cuts the lineage like a checkpoint: the files survive lost executors. A
+    written table also has true size statistics and, unlike a checkpoint,
+    doesn't carry the plan's inferred constraints along, which multiply in
+    loops. Files stay until ``release`` or until the folder is cleaned.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/bandwise-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the files of ``stored`` tables that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "_stored_at", None):
+            jvm = df.sparkSession.sparkContext._jvm
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def held_out(key: str = "doc_id") -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.llm.common import stored
+from bandwise.llm.common import release, stored
 
 
 def _flattened(hooks: DataFrame) -> DataFrame:
@@ -14,7 +14,8 @@ def _flattened(hooks: DataFrame) -> DataFrame:
         nxt = hooks.select(F.col("hi").alias("via"), F.col("lo").alias("end"))
         jumped = stored(hooks.join(nxt, hooks["lo"] == nxt["via"], "left")
                         .select("hi", F.coalesce("end", "lo").alias("lo"), F.col("end").isNotNull().alias("moved")))
-        hooks = jumped.select("hi", "lo")
+        release(hooks)
+        hooks = jumped
         if jumped.filter("moved").isEmpty():
             return hooks
 
@@ -36,13 +37,15 @@ def components(links: DataFrame) -> DataFrame:
         right = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
         met = (links.select("a", "b").join(left, "a").join(right, "b").filter("ra <> rb")
                .select(F.greatest("ra", "rb").alias("hi"), F.least("ra", "rb").alias("lo")))
-        # A node that is itself no root's own root yet: its label may point on.
-        point = roots.filter("node <> root").select(F.col("node").alias("hi"), F.col("root").alias("lo"))
+        # A root may itself have a smaller root.
+        point = (roots.filter("node <> root").select(F.col("node").alias("hi"), F.col("root").alias("lo"))
+                 .join(roots.select(F.col("root").alias("hi")).distinct(), "hi", "left_semi"))
         hooks = stored(met.union(point).groupBy("hi").agg(F.min("lo").alias("lo")))
+        if hooks.isEmpty():
+            release(hooks)
+            return roots
         hooks = _flattened(hooks)
         found = hooks.select(F.col("hi").alias("root"), F.col("lo").alias("to"))
-        moved = stored(roots.join(found, "root", "left")
-                       .select("node", F.coalesce("to", "root").alias("root"), F.col("to").isNotNull().alias("moved")))
-        roots = moved.select("node", "root")
-        if moved.filter("moved").isEmpty():
-            return roots
+        moved = stored(roots.join(found, "root", "left").select("node", F.coalesce("to", "root").alias("root")))
+        release(roots, hooks)
+        roots = moved

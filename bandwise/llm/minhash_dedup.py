@@ -33,13 +33,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.llm.common import stored, text_of, text_slices
+from bandwise.llm.common import release, stored, text_of, text_slices
 from bandwise.llm.components import components
 
 BANDS, ROWS, SKETCH_BITS = 50, 6, 512
 #: A candidate pair is confirmed unless its sketches estimate a similarity this far below the threshold.
 MARGIN = 0.2
-STAR_ROUNDS = 4
+#: Further star rounds come first while more pairs than this per bucket entry are left to compare.
+STAR_ROUNDS, PAIRS_PER_ENTRY = 4, 64
 #: Values hashed at once: as many fit into a core's cache.
 BLOCK = 1 << 15
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -186,7 +187,9 @@ class _Links:
         left, right = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
         both = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("set_a", "set_b")))
         union = F.size("set_a") + F.size("set_b") - F.col("common")
-        return stored(both.filter(100 * F.col("common") >= self.percent * union).select("a", "b"))
+        out = stored(both.filter(100 * F.col("common") >= self.percent * union).select("a", "b"))
+        release(sets, pairs)
+        return out
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text",
@@ -255,9 +258,10 @@ def _link_components(nodes: DataFrame, links: _Links, star_rounds: int) -> DataF
         if not n:
             return roots
         open_ = stored(labelled.join(mixed.select("key", "main", "center"), "key"))
-        if pairs <= 8 * n or step == star_rounds:
+        if pairs <= PAIRS_PER_ENTRY * n or step == star_rounds:
             break
-        found = found.union(star(open_.filter("root <> main")))
+        found = stored(found.union(star(open_.filter("root <> main"))))
+        release(roots, mixed, open_)
         roots = components(found)
 
     # All pairs of a bucket across components: each node outside the largest against the others.
