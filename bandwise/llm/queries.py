@@ -13,6 +13,7 @@ from bandwise.llm.line_dedup import drop_common_lines
 from bandwise.llm.minhash_dedup import near_duplicates
 from bandwise.llm.mixing import mix_sources
 from bandwise.llm.sharding import shard_documents
+from bandwise.llm.topk import top_inner_products
 from bandwise.sources.tables import load_table
 
 #: Rank file and pre-token pattern of the registered query: a public multilingual vocabulary.
@@ -60,6 +61,18 @@ def op3_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(docs, weights=[1.0] * 8)
 
 
+@register("op4_norm_sorted_topk", """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+           FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5""")
+def op4_norm_sorted_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_inner_products(load_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]), k=5, query_every=50)
+
+
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row."""
     out = decode_documents(encode_documents(docs, RANKS, PATTERN), RANKS)
