@@ -98,6 +98,21 @@ def spread_join(rows: DataFrame, small: DataFrame, key: str, salt_by: str, n_sma
     return rows.join(small, on, "left").drop("_small_key", "_small_salt", "_row_salt")
 
 
+_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser (shift, xor, multiply)."""
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
+    return x ^ (x >> np.uint64(33))
+
+
+def chained(state: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Hash of (what ``state`` is the hash of, value)."""
+    return mix64(state * _MULTIPLIER + value)
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about ``most`` bytes of text, one row at least, to bound a worker's memory."""
     for batch in batches:

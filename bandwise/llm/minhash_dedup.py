@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.llm.common import release, stored, text_of, text_slices
+from bandwise.llm.common import chained, mix64, release, stored, text_of, text_slices
 from bandwise.llm.components import components
 
 BANDS, ROWS, SKETCH_BITS = 50, 6, 512
@@ -43,14 +43,6 @@ MARGIN = 0.2
 STAR_ROUNDS, PAIRS_PER_ENTRY = 4, 64
 #: Values hashed at once: as many fit into a core's cache.
 BLOCK = 1 << 15
-_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser (shift, xor, multiply)."""
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
-    return x ^ (x >> np.uint64(33))
 
 
 def shingle_sets(texts: Iterable[str | None], width: int) -> list[np.ndarray]:
@@ -67,7 +59,7 @@ def shingle_sets(texts: Iterable[str | None], width: int) -> list[np.ndarray]:
         n = min(width, len(doc))
         value = np.full(max(0, len(doc) - n + 1) if n else 0, np.uint64(n), np.uint64)
         for i in range(n):
-            value = _mix(value * _MULTIPLIER + h[i:i + len(value)])
+            value = chained(value, h[i:i + len(value)])
         sets.append(np.unique(value))
     return sets
 
@@ -97,17 +89,17 @@ def minhash(sets: list[np.ndarray], samples: int) -> np.ndarray:
 def band_keys(samples: np.ndarray, bands: int) -> np.ndarray:
     """(sets, bands) 64-bit keys; the band's number is part of its key."""
     rows = samples.reshape(bands, -1, samples.shape[1])
-    key = np.repeat(_mix(np.arange(1, bands + 1, dtype=np.uint64))[:, None], samples.shape[1], axis=1)
+    key = np.repeat(mix64(np.arange(1, bands + 1, dtype=np.uint64))[:, None], samples.shape[1], axis=1)
     for r in range(rows.shape[1]):
-        key = _mix(key * _MULTIPLIER + rows[:, r])
+        key = chained(key, rows[:, r])
     return key.T
 
 
 def odd_sketch(samples: np.ndarray, bits: int) -> np.ndarray:
     """(sets, bits / 64) parity bitmaps of the samples."""
     k, n = samples.shape
-    salt = _mix(np.arange(1, k + 1, dtype=np.uint64) * _MULTIPLIER)[:, None]
-    bit = (_mix(samples ^ salt) % np.uint64(bits)).astype(np.int64)
+    salt = mix64(np.arange(1, k + 1, dtype=np.uint64))[:, None]
+    bit = (mix64(samples ^ salt) % np.uint64(bits)).astype(np.int64)
     flips = np.bincount((bit + np.arange(n) * bits).ravel(), minlength=n * bits) & 1
     return np.packbits(flips.astype(np.uint8).reshape(n, bits), axis=1).view(np.uint64)
 

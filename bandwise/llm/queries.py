@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bandwise.llm.bpe import decode_documents, encode_documents
+from bandwise.llm.licenses import scan_licenses
 from bandwise.llm.line_dedup import drop_common_lines
 from bandwise.llm.minhash_dedup import near_duplicates
 from bandwise.llm.mixing import mix_sources
+from bandwise.llm.quality import COUNTS, judge_quality
 from bandwise.llm.sharding import shard_documents
 from bandwise.llm.topk import top_inner_products
 from bandwise.sources.tables import load_table
@@ -85,6 +87,18 @@ def op5_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(load_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
+@register("op8_isolation_quality")
+def op8_isolation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    labels = load_table(spark, sf_dir, "labels", ["doc_id", "quality"])
+    return judge_quality(docs, labels).select("doc_id", *COUNTS, "base_failed", "kept")
+
+
+@register("op9_license_scan")
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(load_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 def _mix_sql(passes: int) -> str:
     """The same plan with window functions over whole sources."""
     steps = []
