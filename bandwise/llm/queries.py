@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bandwise.llm.bpe import decode_documents, encode_documents
+from bandwise.llm.langid import identify_languages
 from bandwise.llm.licenses import scan_licenses
 from bandwise.llm.line_dedup import drop_common_lines
 from bandwise.llm.minhash_dedup import near_duplicates
@@ -16,6 +17,7 @@ from bandwise.llm.mixing import mix_sources
 from bandwise.llm.quality import COUNTS, judge_quality
 from bandwise.llm.sharding import shard_documents
 from bandwise.llm.topk import top_inner_products
+from bandwise.llm.toxicity import score_toxicity
 from bandwise.sources.tables import load_table
 
 #: Rank file and pre-token pattern of the registered query: a public multilingual vocabulary.
@@ -87,6 +89,18 @@ def op5_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(load_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
+@register("op6_nnpu_toxicity")
+def op6_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    labels = load_table(spark, sf_dir, "labels", ["doc_id", "toxic"])
+    return score_toxicity(docs, labels)
+
+
+@register("op7_ftrl_language_id")
+def op7_ftrl_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(load_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"]))
+
+
 @register("op8_isolation_quality")
 def op8_isolation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load_table(spark, sf_dir, "documents", ["doc_id", "text"])
