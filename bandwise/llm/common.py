@@ -39,15 +39,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, after_shuffle: bool = False) -> DataFrame:
     """Write ``df`` to a table of its own in the folder ``spark.checkpoint.dir`` names, and read it.
 
     Cuts the lineage like a checkpoint: the files survive lost executors. A
     written table also has true size statistics and, unlike a checkpoint,
     doesn't carry the plan's inferred constraints along, which multiply in
     loops. Files stay until ``release`` or until the folder is cleaned.
+    ``after_shuffle``: the last step was a shuffle, whose partitions may share
+    files (four tasks a core), however many there are.
     """
     spark = df.sparkSession
+    if after_shuffle:
+        df = df.coalesce(4 * spark.sparkContext.defaultParallelism)
     path = f"{checkpoint_dir(spark).rstrip('/')}/bandwise-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)

@@ -13,7 +13,7 @@ def _flattened(hooks: DataFrame) -> DataFrame:
     while True:
         nxt = hooks.select(F.col("hi").alias("via"), F.col("lo").alias("end"))
         jumped = stored(hooks.join(nxt, hooks["lo"] == nxt["via"], "left")
-                        .select("hi", F.coalesce("end", "lo").alias("lo"), F.col("end").isNotNull().alias("moved")))
+                        .select("hi", F.coalesce("end", "lo").alias("lo"), F.col("end").isNotNull().alias("moved")), True)
         release(hooks)
         hooks = jumped
         if jumped.filter("moved").isEmpty():
@@ -31,7 +31,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     roots = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
-                   .select("node", F.least("node", "least").alias("root")))
+                   .select("node", F.least("node", "least").alias("root")), True)
     while True:
         left = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
         right = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
@@ -40,12 +40,12 @@ def components(links: DataFrame) -> DataFrame:
         # A root may itself have a smaller root.
         point = (roots.filter("node <> root").select(F.col("node").alias("hi"), F.col("root").alias("lo"))
                  .join(roots.select(F.col("root").alias("hi")).distinct(), "hi", "left_semi"))
-        hooks = stored(met.union(point).groupBy("hi").agg(F.min("lo").alias("lo")))
+        hooks = stored(met.union(point).groupBy("hi").agg(F.min("lo").alias("lo")), True)
         if hooks.isEmpty():
             release(hooks)
             return roots
         hooks = _flattened(hooks)
         found = hooks.select(F.col("hi").alias("root"), F.col("lo").alias("to"))
-        moved = stored(roots.join(found, "root", "left").select("node", F.coalesce("to", "root").alias("root")))
+        moved = stored(roots.join(found, "root", "left").select("node", F.coalesce("to", "root").alias("root")), True)
         release(roots, hooks)
         roots = moved

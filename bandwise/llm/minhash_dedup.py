@@ -8,14 +8,17 @@
    1 + n / (4 k) ln(1 - 2 x / n).
 2. Rows with the same digest share a node, so copies are never paired.
 3. Nodes that share a band key are candidates. No bucket is expanded into its
-   pairs: in a star round every node is compared with one centre per bucket;
-   confirmed links make components. Then only pairs of one bucket whose nodes
-   are still in different components are left, and of these all are compared:
-   every node outside the bucket's largest component against the rest.
-   While that number is large, further star rounds come first.
+   pairs: in a star round every node is compared with one centre. A bucket's
+   centre is the node that shares most buckets with others (in a family of
+   copies, the one that the others were made from); a node's centre is the one
+   of most of its buckets. Confirmed links make components. Then only pairs of
+   one bucket whose nodes are still in different components are left, and of
+   these all are compared: every node outside the bucket's largest component
+   against the rest. While that number is large, further star rounds come
+   first.
 4. The odd sketches of a pair decide whether it is confirmed at all: the bound
    lies so far below the threshold that a true link fails with a probability
-   below 1e-10. Confirmation intersects the full sets.
+   below 1e-8. Confirmation intersects the full sets.
 
 Banding itself (50 bands of 6) misses a pair at similarity 0.8 with a
 probability of 3e-7, one at 0.9 with less than 1e-16.
@@ -30,17 +33,17 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bandwise.llm.common import chained, mix64, release, stored, text_of, text_slices
 from bandwise.llm.components import components
 
-BANDS, ROWS, SKETCH_BITS = 50, 6, 512
+BANDS, ROWS, SKETCH_BITS = 50, 6, 1024
 #: A candidate pair is confirmed unless its sketches estimate a similarity this far below the threshold.
-MARGIN = 0.2
+MARGIN = 0.15
 #: Further star rounds come first while more pairs than this per bucket entry are left to compare.
-STAR_ROUNDS, PAIRS_PER_ENTRY = 4, 64
+STAR_ROUNDS, PAIRS_PER_ENTRY = 4, 8
 #: Values hashed at once: as many fit into a core's cache.
 BLOCK = 1 << 15
 
@@ -175,11 +178,11 @@ class _Links:
         sets = (self.docs.join(wanted, self.docs["doc_id"].eqNullSafe(wanted["first_doc"]))
                 .select("nid", "digest", "text")
                 .mapInArrow(_full_sets(self.width), "nid long, shingles array<long>"))
-        sets = stored(sets.dropDuplicates(["nid"]))
+        sets = stored(sets.dropDuplicates(["nid"]), True)
         left, right = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
         both = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("set_a", "set_b")))
         union = F.size("set_a") + F.size("set_b") - F.col("common")
-        out = stored(both.filter(100 * F.col("common") >= self.percent * union).select("a", "b"))
+        out = stored(both.filter(100 * F.col("common") >= self.percent * union).select("a", "b"), True)
         release(sets, pairs)
         return out
 
@@ -206,14 +209,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col:
     nodes = stored(
         feats.filter("digest is not null").groupBy("digest")
         .agg(F.min("doc_id").alias("first_doc"), F.any_value(F.struct("n_shingles", "bands", "sketch")).alias("f"))
-        .select(F.monotonically_increasing_id().alias("nid"), "digest", "first_doc", "f.*"))
+        .select(F.monotonically_increasing_id().alias("nid"), "digest", "first_doc", "f.*"), True)
     links = _Links(docs, nodes, percent, width, bands * rows, bits)
     roots = _link_components(nodes, links, star_rounds)
 
     comp = nodes.join(roots.withColumnRenamed("node", "nid"), "nid", "left").select(
         "digest", "first_doc", F.coalesce("root", "nid").alias("root"))
-    least = stored(comp.groupBy("root").agg(F.min("first_doc").alias("component_id")))
-    by_digest = stored(comp.select("digest", "root").join(least, "root").select("digest", "component_id"))
+    least = stored(comp.groupBy("root").agg(F.min("first_doc").alias("component_id")), True)
+    by_digest = stored(comp.select("digest", "root").join(least, "root").select("digest", "component_id"), True)
     out = feats.select("doc_id", "n_shingles", "digest").join(by_digest, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
@@ -223,33 +226,36 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col:
 def _link_components(nodes: DataFrame, links: _Links, star_rounds: int) -> DataFrame:
     """(node, root) of every node that has a link."""
     entries = nodes.select("nid", F.explode("bands").alias("key"))
-    shared = stored(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("nid").alias("center"))
-                    .filter("n > 1").select("key", "center"))
-    members = stored(entries.join(shared, "key"))
-
-    def star(pairs: DataFrame) -> DataFrame:
-        """Links of each node to one centre: the smallest that its sketch allows."""
-        pairs = pairs.select(F.col("nid").alias("a"), F.col("center").alias("b")).filter("a <> b").distinct()
-        likely = pairs.join(links.side("a"), "a").join(links.side("b"), "b").filter(links.likely())
-        return links.confirmed(stored(likely.groupBy("a").agg(F.min("b").alias("b"))))
-
-    found = star(members)
+    shared = stored(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), True)
+    popular = F.sum("n").over(Window.partitionBy("nid"))
+    members = stored(entries.join(shared, "key").select("key", "nid", popular.alias("popular")), True)
+
+    def star(centred: DataFrame) -> DataFrame:
+        """Links of each node to the centre (nid, center) it shares most buckets with."""
+        nearest = (centred.filter("nid <> center").groupBy("nid", "center").agg(F.count(F.lit(1)).alias("n"))
+                   .groupBy(F.col("nid").alias("a"))
+                   .agg(F.max(F.struct("n", "center"))["center"].alias("b")))
+        likely = nearest.join(links.side("a"), "a").join(links.side("b"), "b").filter(links.likely())
+        return links.confirmed(stored(likely.select("a", "b"), True))
+
+    centers = members.groupBy("key").agg(F.max(F.struct("popular", "nid"))["nid"].alias("center"))
+    found = star(members.join(centers, "key"))
     roots = components(found)
     for step in range(1, star_rounds + 1):
-        labelled = (members.select("key", "nid").join(roots.withColumnRenamed("node", "nid"), "nid", "left")
+        labelled = (members.join(roots.withColumnRenamed("node", "nid"), "nid", "left")
                     .select("key", "nid", F.coalesce("root", "nid").alias("root")))
-        parts = labelled.groupBy("key", "root").agg(
-            F.count(F.lit(1)).alias("n"), F.min_by("nid", F.xxhash64("nid", F.lit(step))).alias("center"))
+        parts = labelled.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.max(
+            F.struct(F.xxhash64("nid", F.lit(step)), "nid"))["nid"].alias("center"))
         mixed = (parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"),
                                           F.max(F.struct("n", "root", "center")).alias("main"))
                  .filter("parts > 1").select("key", "n", F.col("main.n").alias("main_n"), F.col("main.root").alias("main"),
                                              F.col("main.center").alias("center")))
-        mixed = stored(mixed)
+        mixed = stored(mixed, True)
         n, pairs = mixed.agg(F.coalesce(F.sum("n"), F.lit(0)),
                              F.coalesce(F.sum(F.col("n") * (F.col("n") - F.col("main_n"))), F.lit(0))).first()
         if not n:
             return roots
-        open_ = stored(labelled.join(mixed.select("key", "main", "center"), "key"))
+        open_ = stored(labelled.join(mixed.select("key", "main", "center"), "key"), True)
         if pairs <= PAIRS_PER_ENTRY * n or step == star_rounds:
             break
         found = stored(found.union(star(open_.filter("root <> main"))))
@@ -261,5 +267,6 @@ def _link_components(nodes: DataFrame, links: _Links, star_rounds: int) -> DataF
     a = (open_.filter("root <> main").select("key", F.col("nid").alias("a"), F.col("root").alias("root_a"), "main")
          .join(links.side("a"), "a"))
     across = (F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("main")) | (F.col("a") < F.col("b")))
-    rest = stored(a.join(b, "key").filter(across & links.likely()).select("a", "b").distinct())
-    return components(found.union(links.confirmed(rest)))
+    rest = stored(a.join(b, "key").filter(across & links.likely()).select("a", "b").distinct(), True)
+    more = links.confirmed(rest)
+    return roots if more.isEmpty() else components(found.union(more))
