@@ -17,13 +17,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from bandwise.llm.common import chained, held_out, text_of, text_slices
 
 #: Hash buckets of the n-grams of 1 to GRAMS characters.
 BUCKETS, GRAMS = 1 << 14, 3
-ROWS_PER_LANGUAGE, EPOCHS = 1_000, 3
+#: Fitted on about so many rows of a language; no more languages than that are learned.
+ROWS_PER_LANGUAGE, MOST_LANGUAGES, EPOCHS = 1_000, 1_000, 3
 #: Follow-the-regularised-leader: learning rate, its smoothing, and the L1 and L2 penalties.
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.01, 0.001
 UNKNOWN = "und"
@@ -139,9 +140,8 @@ def _predicted(names: list[str], w: np.ndarray, idf: np.ndarray, temperature: fl
                 p = softmax((weighted(*grams, idf) @ w[grams[0]] + w[BUCKETS]) / temperature)
                 out.append((names[int(p.argmax())], float(p.max())))
             yield pa.RecordBatch.from_arrays(
-                [*(part.column(c) for c in part.schema.names if c != "text"),
-                 pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.float64())],
-                [*(c for c in part.schema.names if c != "text"), "lang_pred", "score"])
+                [part.column("row"), pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.float64())],
+                ["row", "lang_pred", "score"])
     return run
 
 
@@ -150,9 +150,9 @@ def _draw(key: Column) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(7)), F.lit(1 << 40)) / float(1 << 40)
 
 
-def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                       rows_per_language: int = ROWS_PER_LANGUAGE) -> DataFrame:
-    """Per row: doc_id, held_out, lang_pred, score.
+def with_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                   rows_per_language: int = ROWS_PER_LANGUAGE) -> DataFrame:
+    """row (all columns of ``docs``, as a struct), lang_pred, score, per row.
 
     Learns from rows with a language that are not held out (crc32 of the id's
     text mod 5 is 0; null id: held out). A row joins the fitting sample if its
@@ -161,19 +161,29 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     is ``und`` with score 0, as is everything when there is nothing to learn
     from. Repeated rows are each returned; an empty table gives an empty table.
     """
-    docs = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"),
-                       F.col(lang_col).cast("string").alias("lang"), held_out(id_col).alias("held_out"))
-    learning = docs.filter(~F.col("held_out") & F.col("lang").isNotNull())
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), text_of(text_col).alias("text"))
+    learning = (docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull())
+                .select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"),
+                        F.col(lang_col).cast("string").alias("lang")))
     per_language = learning.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
     frequency = (learning.select("text").mapInArrow(_document_frequency, "bucket int, n long")
                  .groupBy("bucket").agg(F.sum("n").alias("n")).toPandas())  # BUCKETS + 1 rows at most
     df = np.zeros(BUCKETS + 1)
     np.add.at(df, frequency["bucket"].to_numpy(int), frequency["n"].to_numpy(float))  # -1: the number of texts
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
-    sample = (learning.withColumn("draw", _draw(F.col("doc_id"))).join(F.broadcast(per_language.limit(10_000)), "lang")
+    sample = (learning.withColumn("draw", _draw(F.col("doc_id"))).join(F.broadcast(per_language.limit(MOST_LANGUAGES)), "lang")
               .filter(F.col("draw") * F.col("rows") < rows_per_language).select("text", "lang", "draw")
               .mapInArrow(_grams, "lang string, draw double, at array<long>, counts array<long>").toPandas())
     names, w, temperature = fit(sample, idf) if len(sample) else ([], np.zeros((BUCKETS + 1, 0)), 1.0)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "held_out", "text").mapInArrow(
-        _predicted(names, w, idf, temperature), f"doc_id {id_type}, held_out boolean, lang_pred string, score double")
+    schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("lang_pred", T.StringType()),
+                           T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(_predicted(names, w, idf, temperature), schema)
+
+
+def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                       rows_per_language: int = ROWS_PER_LANGUAGE) -> DataFrame:
+    """doc_id, held_out, lang_pred, score per row; see ``with_languages``."""
+    key = F.col(id_col).alias("doc_id")
+    docs = docs.select(key, F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    out = with_languages(docs, rows_per_language=rows_per_language)
+    return out.select("row.doc_id", "lang_pred", "score").select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

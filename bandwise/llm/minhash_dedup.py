@@ -129,9 +129,9 @@ def _features(width: int, bands: int, rows: int, bits: int):
                 samples = minhash([s for s in sets if len(s)], bands * rows)
                 keys[full], sketches[full] = band_keys(samples, bands), odd_sketch(samples, bits)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                [part.column("doc_id"), part.column("row_key"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([digest(s) for s in sets], pa.binary()), _long_lists(keys), _long_lists(sketches)],
-                ["doc_id", "n_shingles", "digest", "bands", "sketch"])
+                ["doc_id", "row_key", "n_shingles", "digest", "bands", "sketch"])
     return run
 
 
@@ -187,10 +187,16 @@ class _Links:
         return out
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """128 bits of a row's id and text (null: empty)."""
+    key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), text_of(text_col))
+    return F.unhex(F.md5(key.cast("binary")))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text",
                     bands: int = BANDS, rows: int = ROWS, bits: int = SKETCH_BITS,
                     star_rounds: int = STAR_ROUNDS) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id, kept.
+    """Per row of ``docs``: doc_id, n_shingles, component_id, kept, row_key, component.
 
     Documents are linked if 100 * intersection >= ``percent`` * union of their
     sets of ``width``-word shingles (A-Z lower-cased, split at ASCII white
@@ -199,13 +205,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col:
     is linked with nothing: its component is its own id. ``kept`` is true where
     the row's id is its component's id (both null counts as equal: ids are null
     throughout). Rows repeated under one id are separate rows with the same
-    answer if their texts are alike. An empty table gives an empty table.
+    answer if their texts are alike. ``component`` is a number of the component
+    (null without words). An empty table gives an empty table.
     """
-    docs = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("row_key"),
+                       text_of(text_col).alias("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     feats = stored(docs.mapInArrow(
         _features(width, bands, rows, bits),
-        f"doc_id {id_type}, n_shingles long, digest binary, bands array<long>, sketch array<long>"))
+        f"doc_id {id_type}, row_key binary, n_shingles long, digest binary, bands array<long>, sketch array<long>"))
     nodes = stored(
         feats.filter("digest is not null").groupBy("digest")
         .agg(F.min("doc_id").alias("first_doc"), F.any_value(F.struct("n_shingles", "bands", "sketch")).alias("f"))
@@ -216,11 +224,27 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col:
     comp = nodes.join(roots.withColumnRenamed("node", "nid"), "nid", "left").select(
         "digest", "first_doc", F.coalesce("root", "nid").alias("root"))
     least = stored(comp.groupBy("root").agg(F.min("first_doc").alias("component_id")), True)
-    by_digest = stored(comp.select("digest", "root").join(least, "root").select("digest", "component_id"), True)
-    out = feats.select("doc_id", "n_shingles", "digest").join(by_digest, "digest", "left")
+    by_digest = stored(comp.select("digest", "root").join(least, "root"), True)
+    out = feats.select("doc_id", "row_key", "n_shingles", "digest").join(by_digest, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"))
+                      F.col("doc_id").eqNullSafe(component).alias("kept"), "row_key", F.col("root").alias("component"))
+
+
+def drop_near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id",
+                         text_col: str = "text", **options) -> DataFrame:
+    """All columns of the rows of ``docs`` that stay: one document of each component, the one with the smallest id.
+
+    Documents without words all stay. Rows equal in id and text count as one
+    document, of which one row stays. The texts move once.
+    """
+    verdicts = near_duplicates(docs, percent, width, id_col, text_col, **options).filter("kept")
+    chosen = (verdicts.filter("component is not null").groupBy("component").agg(F.min("row_key").alias("key")).select("key")
+              .union(verdicts.filter("component is null").select("row_key")).distinct())
+    key = row_key(id_col, text_col).alias("key")
+    once = docs.select(key, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).groupBy("key").agg(
+        F.first("row").alias("row"))
+    return once.join(chosen, "key", "left_semi").select("row.*")
 
 
 def _link_components(nodes: DataFrame, links: _Links, star_rounds: int) -> DataFrame:

@@ -56,7 +56,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_odd_sketch_dedup")
 def op2_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    return near_duplicates(docs, percent=80, width=2)
+    return near_duplicates(docs, percent=80, width=2).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @register("op3_rendezvous_sharding")
