@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.llm.common import chained, held_out, text_of, text_slices
+from bandwise.llm.common import chained, held_out, release, stored, text_of, text_slices
 
 LETTERS = regex.compile(r"\p{L}+")
 #: First letters of a word that are features of their own, by how often they occur in a text at least.
@@ -73,28 +73,32 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, pa.array(feature))], ["features"])
 
 
-def select_features(positive: list[np.ndarray], unlabelled: list[np.ndarray], most: int) -> np.ndarray:
-    """Sorted features that occur oftener in positive than in unlabelled texts, the strongest ones."""
-    values, n = np.unique(np.concatenate(positive), return_counts=True)
-    values, n = values[n >= LEAST_ROWS], n[n >= LEAST_ROWS]
-    if not len(values):
-        return values
-    every = np.concatenate([*unlabelled, np.empty(0, np.int64)])
-    at = np.searchsorted(values, every)
-    hit = (at < len(values)) & (values[np.minimum(at, len(values) - 1)] == every)
-    usual = (np.bincount(at[hit], minlength=len(values)) + 1) / (len(unlabelled) + 2)
-    errors = (n / len(positive) - usual) / np.sqrt(usual * (1 - usual) / len(positive))
-    good = np.flatnonzero(errors >= LEAST_ERRORS)
-    best = good[np.argsort(-errors[good], kind="stable")[:most]]
-    return np.sort(values[best])
+def select_features(examples: DataFrame, n_positive: int, n_unlabelled: int, most: int) -> np.ndarray:
+    """Sorted features that occur oftener in positive than in unlabelled examples, the ``most`` surest ones."""
+    counts = (examples.select("positive", F.explode("features").alias("feature")).groupBy("feature")
+              .agg(F.count_if("positive").alias("n"), F.count_if(~F.col("positive")).alias("m"))
+              .filter(F.col("n") >= LEAST_ROWS))
+    usual = (F.col("m") + 1) / F.lit(float(n_unlabelled + 2))
+    errors = (F.col("n") / F.lit(float(n_positive)) - usual) / F.sqrt(usual * (1 - usual) / F.lit(float(n_positive)))
+    best = counts.withColumn("errors", errors).filter(F.col("errors") >= LEAST_ERRORS)
+    return np.sort(best.orderBy(F.col("errors").desc(), "feature").limit(most).select("feature").toPandas()["feature"].to_numpy(np.int64))
+
+
+def _restricted(selected: np.ndarray):
+    """Features of every example that are selected, as their places."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.flatnonzero(np.isin(selected, np.asarray(f.values))) for f in batch.column("features")]
+            yield pa.RecordBatch.from_arrays([batch.column("positive"), pa.array(found, pa.list_(pa.int64()))],
+                                             ["positive", "at"])
+    return run
 
 
 class Rows:
     """Presence of selected features, by row."""
 
-    def __init__(self, examples: list[np.ndarray], selected: np.ndarray):
-        at = [np.flatnonzero(np.isin(selected, e, assume_unique=True)) for e in examples]
-        self.n, self.width = len(at), len(selected)
+    def __init__(self, at: list[np.ndarray], width: int):
+        self.n, self.width = len(at), width
         self.row = np.repeat(np.arange(self.n), [len(a) for a in at])
         self.feature = np.concatenate([*at, np.empty(0, np.int64)]).astype(np.int64)
 
@@ -147,7 +151,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     ``labels`` has doc_id and toxic (1: confirmed). Held-out ids (crc32 of the
     id's text mod 5 is 0; null: held out) are neither examples nor counted.
     At most ``positive_rows`` confirmed examples (by hash) and about
-    ``unlabelled_rows`` texts are trained on; a text without words has the
+    ``unlabelled_rows`` texts (by hash) are trained on; a text without words has the
     bias's score. Without confirmed examples all scores are 0. Repeated rows
     are each returned; an empty table gives an empty table.
     """
@@ -159,16 +163,18 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         chosen = (marks.filter("toxic = 1").select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(6)), "doc_id")
                   .limit(positive_rows))
         learning = docs.filter(~F.col("held_out"))
-        examples = "features array<long>"
-        positive = learning.join(F.broadcast(chosen), "doc_id").select("text").mapInArrow(_examples, examples).toPandas()
         n = learning.select("held_out").count()
         draw = F.pmod(F.xxhash64("doc_id", F.lit(16)), F.lit(1 << 40)) / float(1 << 40)
-        unlabelled = learning.filter(draw * n < unlabelled_rows).select("text").mapInArrow(_examples, examples).toPandas()
-        if len(positive) and len(unlabelled):
-            p, u = positive["features"].tolist(), unlabelled["features"].tolist()
-            selected = select_features(p, u, FEATURES)
-            prior = min(max(n_toxic / n_marks, 1e-4), 0.5)
-            w = train(Rows(p, selected), Rows(u, selected), prior)
+        positive = learning.join(F.broadcast(chosen), "doc_id").select("text").mapInArrow(_examples, "features array<long>")
+        unlabelled = learning.filter(draw * n < unlabelled_rows).select("text").mapInArrow(_examples, "features array<long>")
+        examples = stored(positive.withColumn("positive", F.lit(True)).union(unlabelled.withColumn("positive", F.lit(False))))
+        n_positive, n_unlabelled = examples.agg(F.count_if("positive"), F.count_if(~F.col("positive"))).first()
+        if n_positive and n_unlabelled:
+            selected = select_features(examples, n_positive, n_unlabelled, FEATURES)
+            found = examples.mapInArrow(_restricted(selected), "positive boolean, at array<long>").toPandas()
+            p, u = (Rows(found.loc[found["positive"] == side, "at"].tolist(), len(selected)) for side in (True, False))
+            w = train(p, u, min(max(n_toxic / n_marks, 1e-4), 0.5))
+        release(examples)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     out = docs.select("doc_id", "held_out", "text").mapInArrow(
         _scored(selected, w), f"doc_id {id_type}, held_out boolean, score double")
