@@ -14,8 +14,10 @@
    of most of its buckets. Confirmed links make components. Then only pairs of
    one bucket whose nodes are still in different components are left, and of
    these all are compared: every node outside the bucket's largest component
-   against the rest. While that number is large, further star rounds come
-   first.
+   against the rest. In small buckets the pairs are joined; those of large
+   buckets are compared inside tasks, in cells of bounded size, which give back
+   at most one link of a node to each component. While the number of pairs is
+   large, further star rounds come first.
 4. The odd sketches of a pair decide whether it is confirmed at all: the bound
    lies so far below the threshold that a true link fails with a probability
    below 1e-8. Confirmation intersects the full sets.
@@ -43,7 +45,9 @@ BANDS, ROWS, SKETCH_BITS = 50, 6, 1024
 #: A candidate pair is confirmed unless its sketches estimate a similarity this far below the threshold.
 MARGIN = 0.15
 #: Further star rounds come first while more pairs than this per bucket entry are left to compare.
-STAR_ROUNDS, PAIRS_PER_ENTRY = 4, 8
+STAR_ROUNDS, PAIRS_PER_ENTRY = 4, 64
+#: Buckets up to this size are joined with themselves; of larger ones, cells of so many nodes meet in a task.
+SMALL_BUCKET, CELL_NODES, CELL_OTHERS = 16, 256, 1024
 #: Values hashed at once: as many fit into a core's cache.
 BLOCK = 1 << 15
 
@@ -171,14 +175,17 @@ class _Links:
         sizes = 100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")
         return sizes & (_differing("sketch_a", "sketch_b", self.words) <= self.most)
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Of the likely pairs (a, b), those that reach the threshold on their full sets."""
-        used = pairs.select(F.col("a").alias("nid")).union(pairs.select(F.col("b").alias("nid"))).distinct()
+    def full_sets(self, used: DataFrame) -> DataFrame:
+        """nid, shingles of the nodes ``used`` (nid)."""
         wanted = self.nodes.select("nid", "digest", "first_doc").join(used, "nid", "left_semi")
         sets = (self.docs.join(wanted, self.docs["doc_id"].eqNullSafe(wanted["first_doc"]))
                 .select("nid", "digest", "text")
                 .mapInArrow(_full_sets(self.width), "nid long, shingles array<long>"))
-        sets = stored(sets.dropDuplicates(["nid"]), True)
+        return stored(sets.dropDuplicates(["nid"]), True)
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """Of the likely pairs (a, b), those that reach the threshold on their full sets."""
+        sets = self.full_sets(pairs.select(F.col("a").alias("nid")).union(pairs.select(F.col("b").alias("nid"))).distinct())
         left, right = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
         both = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("set_a", "set_b")))
         union = F.size("set_a") + F.size("set_b") - F.col("common")
@@ -187,6 +194,39 @@ class _Links:
         return out
 
 
+def link_cell(nodes: pd.DataFrame, others: pd.DataFrame, percent: int, most: int) -> list[tuple[int, int]]:
+    """Links of each of ``nodes`` to ``others`` of other components, at most one to each component.
+
+    Columns: nid, root, sketch, shingles (both 64-bit arrays; shingles sorted as unsigned numbers).
+    """
+    sketches = np.stack(others["sketch"].to_numpy()).view(np.uint64)
+    sizes = others["shingles"].map(len).to_numpy()
+    roots, ids = others["root"].to_numpy(), others["nid"].to_numpy()
+    sets = [np.asarray(s).view(np.uint64) for s in others["shingles"]]
+    out = []
+    for nid, root, sketch, own in nodes[["nid", "root", "sketch", "shingles"]].itertuples(index=False):
+        own = np.asarray(own).view(np.uint64)
+        differing = np.bitwise_count(sketches ^ np.asarray(sketch).view(np.uint64)).sum(axis=1)
+        least, largest = np.minimum(sizes, len(own)), np.maximum(sizes, len(own))
+        likely = np.flatnonzero((roots != root) & (100 * least >= percent * largest) & (differing <= most))
+        if not len(likely):
+            continue
+        values = np.concatenate([sets[i] for i in likely])
+        at = np.minimum(np.searchsorted(own, values), len(own) - 1)
+        first = np.cumsum([0, *(len(sets[i]) for i in likely)])[:-1]
+        common = np.add.reduceat((own[at] == values).astype(np.int64), first)
+        linked = likely[100 * common >= percent * (len(own) + sizes[likely] - common)]
+        out += [(nid, int(ids[i])) for i in linked[np.unique(roots[linked], return_index=True)[1]]]
+    return out
+
+
+def _cells(percent: int, most: int):
+    def run(nodes: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        links = link_cell(nodes, others, percent, most) if len(nodes) and len(others) else []
+        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
+    return run
+
+
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     """128 bits of a row's id and text (null: empty)."""
     key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), text_of(text_col))
@@ -279,7 +319,7 @@ def _link_components(nodes: DataFrame, links: _Links, star_rounds: int) -> DataF
                              F.coalesce(F.sum(F.col("n") * (F.col("n") - F.col("main_n"))), F.lit(0))).first()
         if not n:
             return roots
-        open_ = stored(labelled.join(mixed.select("key", "main", "center"), "key"), True)
+        open_ = stored(labelled.join(mixed.select("key", "main", "center", "n"), "key"), True)
         if pairs <= PAIRS_PER_ENTRY * n or step == star_rounds:
             break
         found = stored(found.union(star(open_.filter("root <> main"))))
@@ -287,10 +327,35 @@ def _link_components(nodes: DataFrame, links: _Links, star_rounds: int) -> DataF
         roots = components(found)
 
     # All pairs of a bucket across components: each node outside the largest against the others.
-    b = open_.select("key", F.col("nid").alias("b"), F.col("root").alias("root_b")).join(links.side("b"), "b")
-    a = (open_.filter("root <> main").select("key", F.col("nid").alias("a"), F.col("root").alias("root_a"), "main")
+    small = open_.filter(F.col("n") <= SMALL_BUCKET)
+    b = small.select("key", F.col("nid").alias("b"), F.col("root").alias("root_b")).join(links.side("b"), "b")
+    a = (small.filter("root <> main").select("key", F.col("nid").alias("a"), F.col("root").alias("root_a"), "main")
          .join(links.side("a"), "a"))
     across = (F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("main")) | (F.col("a") < F.col("b")))
-    rest = stored(a.join(b, "key").filter(across & links.likely()).select("a", "b").distinct(), True)
-    more = links.confirmed(rest)
+    more = links.confirmed(stored(a.join(b, "key").filter(across & links.likely()).select("a", "b").distinct(), True))
+    large = open_.filter(F.col("n") > SMALL_BUCKET)
+    if not large.isEmpty():
+        more = stored(more.union(_links_in_cells(large, nodes, links)))
     return roots if more.isEmpty() else components(found.union(more))
+
+
+def _links_in_cells(open_: DataFrame, nodes: DataFrame, links: _Links) -> DataFrame:
+    """Links across components of nodes that share a bucket (``open_``: nid, root, main of the bucket).
+
+    The nodes that met a component in a bucket where it is the largest are
+    compared with one another and with its members there, in cells.
+    """
+    members = stored(open_.select("main", "nid", "root").distinct(), True)
+    sizes = members.groupBy("main").agg(F.count_if(F.col("root") != F.col("main")).alias("n"), F.count(F.lit(1)).alias("m"))
+    parts = stored(sizes.select("main", F.ceil(F.col("n") / CELL_NODES).alias("rows"),
+                                F.ceil(F.col("m") / CELL_OTHERS).alias("columns")), True)
+    sets = links.full_sets(members.select("nid").distinct())
+    full = stored(members.join(sets, "nid").join(nodes.select("nid", "sketch"), "nid").join(parts, "main"), True)
+
+    def dealt(df: DataFrame, own: str, n: str, other: str, m: str) -> DataFrame:
+        return df.select("main", "nid", "root", "sketch", "shingles", F.pmod(F.xxhash64("nid"), F.col(n)).alias(own),
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.col(m) - 1)).alias(other)).groupBy("main", "row", "column")
+
+    left = dealt(full.filter("root <> main"), "row", "rows", "column", "columns")
+    right = dealt(full, "column", "columns", "row", "rows")
+    return left.cogroup(right).applyInPandas(_cells(links.percent, links.most), "a long, b long")
