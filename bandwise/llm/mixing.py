@@ -7,9 +7,10 @@ documents of a source by Q = [u / (1 - u)] / [p / (1 - p)], with a random u that
 the document and the seed alone decide, and takes them in that order as far as
 they fit into the words still wanted. What the first document that doesn't fit
 leaves open is filled in further passes down the same ranking, over documents
-that still fit. A pass is kept as two numbers of its source (the words that were
-open, the last Q taken), so the plan is one short row per source and applying
-it moves no text.
+that still fit, and at last by the one document that comes nearest to what is
+open, if it brings the source nearer to its target. A pass is kept as ranges of
+size and Q, so the plan is one short row per source and applying it moves no
+text.
 
 Only built-in functions are used. No task sorts a source: u falls into cells,
 the words per (source, cell) are summed map-side, and only the cell of each
@@ -73,8 +74,11 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, max
                     .otherwise(F.least("cap", F.col("final") * F.col("weight"))).alias("target")))
 
 
+CUTS = "array<struct<least:double,open:double,q0:double,q:double>>"
+
+
 def _taken(size: Column, q: Column, cuts: Column) -> Column:
-    return F.exists(cuts, lambda c: (size <= c["open"]) & (q <= c["q"]))
+    return F.exists(cuts, lambda c: (size >= c["least"]) & (size <= c["open"]) & (q >= c["q0"]) & (q <= c["q"]))
 
 
 def _rank(u: Column, p: Column) -> Column:
@@ -98,20 +102,46 @@ def mix_plan(docs: DataFrame, weights: Sequence[float], share: float = 1.5, max_
             .withColumn("certain", F.floor("copies").cast("long"))
             .withColumn("p", F.col("copies") - F.col("certain"))
             .withColumn("open", F.col("target") - F.col("certain") * F.col("source_size"))
-            .withColumn("cuts", F.array().cast("array<struct<open:double,q:double>>")).drop("copies"))
+            .withColumn("cuts", F.array().cast(CUTS)).drop("copies"))
     plan = stored(plan)
     rows = rows.withColumn("cell", F.floor(F.col("u") * cells).cast("int"))
     for _ in range(passes):
         plan = stored(_next_pass(rows, plan, n_sources))
+    plan = stored(_nearest(rows, plan, n_sources))
     return plan.select("source", *PLAN_COLUMNS)
 
 
-def _next_pass(rows: DataFrame, plan: DataFrame, n_sources: int) -> DataFrame:
+def _left(rows: DataFrame, plan: DataFrame, n_sources: int) -> DataFrame:
+    """The documents that can be sampled and have not been taken: source, cell, size, q, open."""
     q = _rank(F.col("u"), F.col("p"))
-    wanted = (spread_join(rows, plan.select("source", "p", "open", "cuts"), "source", "u", n_sources)
-              .withColumn("q", q).filter(F.col("q").isNotNull() & (F.col("size") <= F.col("open")))
-              .filter(~_taken(F.col("size"), F.col("q"), F.col("cuts")))
-              .select("source", "cell", "size", "q", "open"))
+    return (spread_join(rows, plan.select("source", "p", "open", "cuts"), "source", "u", n_sources)
+            .withColumn("q", q).filter(F.col("q").isNotNull() & ~_taken(F.col("size"), F.col("q"), F.col("cuts")))
+            .select("source", "cell", "size", "q", "open"))
+
+
+def _more_cuts(plan: DataFrame, cuts: DataFrame) -> DataFrame:
+    """The plan with another cut per source of ``cuts`` (source, cut, words)."""
+    cuts = cuts.withColumnRenamed("source", "cut_source")
+    return (plan.join(cuts, plan["source"].eqNullSafe(cuts["cut_source"]), "left")
+            .withColumn("cuts", F.concat("cuts", F.when(F.col("cut").isNotNull(), F.array("cut")).otherwise(F.array().cast(CUTS))))
+            .withColumn("open", F.col("open") - F.coalesce("words", F.lit(0))).drop("cut", "words", "cut_source"))
+
+
+def _cut(least: Column, most: Column, q0: Column, q: Column) -> Column:
+    names = ("least", "open", "q0", "q")
+    return F.struct(*(c.cast("double").alias(n) for n, c in zip(names, (least, most, q0, q), strict=True))).alias("cut")
+
+
+def _nearest(rows: DataFrame, plan: DataFrame, n_sources: int) -> DataFrame:
+    gap = F.abs(F.col("size") - F.col("open"))
+    best = (_left(rows, plan, n_sources).filter((F.col("size") > 0) & (gap < F.col("open"))).groupBy("source")
+            .agg(F.min(F.struct(gap.alias("gap"), "q", "size")).alias("best")).select("source", "best.*"))
+    size, q = F.col("size"), F.col("q")
+    return _more_cuts(plan, best.select("source", _cut(size, size, q, q), F.col("size").alias("words")))
+
+
+def _next_pass(rows: DataFrame, plan: DataFrame, n_sources: int) -> DataFrame:
+    wanted = _left(rows, plan, n_sources).filter(F.col("size") <= F.col("open"))
     running = Window.partitionBy("source").orderBy("cell")
     cells = (wanted.groupBy("source", "cell").agg(F.sum("size").alias("words"), F.max("q").alias("last"),
                                                   F.first("open").alias("open"))
@@ -128,13 +158,10 @@ def _next_pass(rows: DataFrame, plan: DataFrame, n_sources: int) -> DataFrame:
     part = (within.withColumn("sum", F.col("before") + F.sum("size").over(inside))
             .filter(F.col("sum") <= F.col("open")).groupBy("source")
             .agg(F.max("q").alias("q"), F.sum("size").alias("words")))
-    cut = whole.unionByName(part).groupBy("source").agg(F.max("q").alias("cut_q"), F.sum("words").alias("words"))
-    cut = cut.withColumnRenamed("source", "cut_source")
-    new = F.when(F.col("cut_q").isNotNull(), F.array(F.struct("open", F.col("cut_q").alias("q"))))
-    return (plan.join(cut, plan["source"].eqNullSafe(cut["cut_source"]), "left")
-            .withColumn("cuts", F.concat("cuts", F.coalesce(new, F.array().cast("array<struct<open:double,q:double>>"))))
-            .withColumn("open", F.col("open") - F.coalesce("words", F.lit(0)))
-            .drop("cut_q", "words", "cut_source"))
+    cut = whole.unionByName(part).groupBy("source").agg(F.max("q").alias("q"), F.sum("words").alias("words"))
+    cut = cut.join(plan.select(F.col("source").alias("plan_source"), "open"), F.col("source").eqNullSafe(F.col("plan_source")))
+    none = F.lit(0.0)
+    return _more_cuts(plan, cut.select("source", _cut(none, F.col("open"), none, F.col("q")), "words"))
 
 
 def apply_mix(docs: DataFrame, plan: DataFrame, seed: int = 17, id_col: str = "doc_id", text_col: str = "text",

@@ -146,7 +146,12 @@ r0 AS (SELECT doc_id, docs.source, size, source_size, target, floor(copies)::BIG
             THEN (u * (1 - (copies - floor(copies)))) / ((1 - u) * (copies - floor(copies))) END AS q,
        false AS extra, target - floor(copies) * source_size AS open
        FROM docs JOIN rates ON docs.source IS NOT DISTINCT FROM rates.source),""" + ",".join(steps) + f"""
-SELECT doc_id, size, source_size, target, size * (certain + extra::BIGINT) AS taken FROM r{passes}"""
+,
+nearest AS (SELECT source, arg_min(size, (abs(size - open), q)) AS pick_size, arg_min(q, (abs(size - open), q)) AS pick_q
+            FROM r{passes} WHERE q IS NOT NULL AND NOT extra AND size > 0 AND abs(size - open) < open GROUP BY source)
+SELECT doc_id, size, source_size, target,
+       size * (certain + (extra OR coalesce(size = pick_size AND q = pick_q, false))::BIGINT) AS taken
+FROM r{passes} r LEFT JOIN nearest n ON r.source IS NOT DISTINCT FROM n.source"""
 
 
 @register("op10_pareto_mix", _mix_sql(4))
