@@ -50,10 +50,13 @@ def normal_pdf(x, mu, sigma) -> Column:
 
 
 def binomial_pmf(n, x, p) -> Column:
-    """C(n, x) p^x (1-p)^(n-x), exact factorials up to n = 20."""
-    n, x, p = _c(n), _c(x), _c(p)
-    comb = F.factorial(n).cast("double") / (F.factorial(x).cast("double") * F.factorial(n - x).cast("double"))
-    return comb * F.pow(p, x) * F.pow(F.lit(1.0) - p, n - x)
+    """C(n, x) p^x (1-p)^(n-x) for any n (N6); 0 outside 0..n. The coefficient is a sum of logarithms."""
+    n, x, p = _c(n).cast("long"), _c(x).cast("long"), _c(p)
+    k = F.least(x, n - x)
+    log_choose = F.when(k > 0, F.aggregate(F.sequence(F.lit(1).cast("long"), k), F.lit(0.0),
+                                           lambda acc, i: acc + F.log((n - k + i) / i))).otherwise(0.0)
+    inside = F.exp(log_choose) * F.pow(p, x.cast("double")) * F.pow(F.lit(1.0) - p, (n - x).cast("double"))
+    return F.when((x < 0) | (x > n), F.lit(0.0)).when(n.isNotNull() & x.isNotNull(), inside)
 
 
 def power_law(x, c=1.0, a=2.0) -> Column:

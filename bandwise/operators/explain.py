@@ -55,18 +55,25 @@ def shap_long(shap: DataFrame, key_cols: list[str], features: list[str]) -> Data
     return shap.select(*key_cols, F.explode(arr).alias("s")).select(*key_cols, "s.*")
 
 
-def waterfall(long: DataFrame, key_cols: list[str], max_display: int = 14) -> DataFrame:
-    """Contributions ordered by |phi| per row; beyond ``max_display - 1`` they
-    are folded into one 'other features' row (O4/H5). Windows are partitioned
-    by row key, so each window holds one row's features."""
-    w = Window.partitionBy(*key_cols).orderBy(F.abs("phi").desc(), "feature")
-    ranked = long.withColumn("rank", F.row_number().over(w))
+def waterfall(shap: DataFrame, key_cols: list[str], features: list[str], max_display: int = 14) -> DataFrame:
+    """Contributions per row of ``shap`` in order of |phi| (O4/H5): keys, feature, phi, rank, running_phi.
+
+    Beyond ``max_display - 1`` they are folded into one 'other features' entry.
+    Each row sorts and folds its own short array, so no key has to be unique
+    and nothing is shuffled. Ties go by feature name.
+    """
     keep = max_display - 1
-    label = F.when(F.col("rank") <= keep, F.col("feature")).otherwise(F.lit("other features"))
-    out = ranked.groupBy(*key_cols, label.alias("feature")).agg(
-        F.sum("phi").alias("phi"), F.min("rank").alias("rank"))
-    run = Window.partitionBy(*key_cols).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    return out.withColumn("running_phi", F.sum("phi").over(run))
+    entry = F.array(*[F.struct((-F.abs(f"phi_{f}")).alias("order"), F.lit(f).alias("feature"),
+                               F.col(f"phi_{f}").alias("phi")) for f in features])
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda acc, e: acc + e["phi"])
+    shown = F.transform(F.slice("__all", 1, keep), lambda e: F.struct(e["feature"].alias("feature"), e["phi"].alias("phi")))
+    rest = F.slice("__all", keep + 1, max(1, len(features)))
+    folded = F.array(F.struct(F.lit("other features").alias("feature"), total(rest).alias("phi")))
+    out = shap.select(*key_cols, F.array_sort(entry).alias("__all"))
+    out = out.withColumn("__shown", F.when(F.size("__all") > keep, F.concat(shown, folded)).otherwise(shown))
+    return (out.select(*key_cols, "__shown", F.posexplode("__shown").alias("__at", "e"))
+            .select(*key_cols, "e.feature", "e.phi", (F.col("__at") + 1).alias("rank"),
+                    total(F.slice("__shown", F.lit(1), F.col("__at") + 1)).alias("running_phi")))
 
 
 def partial_dependence(model: LinearRegressionModel, background: DataFrame, features: list[str],

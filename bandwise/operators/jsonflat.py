@@ -7,11 +7,13 @@ top object start with ``_``. Values are Python-style text: ``None``,
 
 Each nesting level is one ``LATERAL variant_explode`` over the rows that are
 still objects/arrays; leaves of every level are unioned. The driver loops
-over depth (one small ``isEmpty`` probe per level) up to ``max_depth``.
+over depth (one small ``isEmpty`` probe per level) until no nested value is left.
 """
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +36,7 @@ def _text(v: Column, kind: Column) -> Column:
             .otherwise(v.cast("string")))
 
 
-def flatten_json(df: DataFrame, key_cols: list[str], json_col: str, max_depth: int = 64,
+def flatten_json(df: DataFrame, key_cols: list[str], json_col: str,
                  cut_every: int = 8) -> DataFrame:
     """Leaves of a JSON text column: (key..., variable, value).
 
@@ -47,14 +49,14 @@ def flatten_json(df: DataFrame, key_cols: list[str], json_col: str, max_depth: i
                 .where(F.col("v").isNotNull())
                 .select(*key_cols, F.lit("").alias("path"), F.col("v"), F.lit(False).alias("from_array")))
     leaves = []
-    for depth in range(max_depth):
+    for depth in itertools.count():
         frontier = frontier.withColumn("kind", _kind(F.col("v")))
         # A scalar reached through an object key is a leaf; through an array it is dropped.
         leaves.append(frontier.where(~F.col("kind").isin("object", "array") & ~F.col("from_array"))
                       .select(*key_cols, F.col("path").alias("variable"),
                               _text(F.col("v"), F.col("kind")).alias("value")))
         nested = frontier.where(F.col("kind").isin("object", "array")).drop("from_array")
-        if depth == max_depth - 1 or nested.isEmpty():
+        if nested.isEmpty():
             break
         exploded = nested.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()).alias("e"))
         frontier = exploded.select(

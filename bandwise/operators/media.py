@@ -33,37 +33,39 @@ def min_max_scale(df: DataFrame, value: str, group: list[str], out: str | None =
 
 
 def geometric_adstock(df: DataFrame, value: str, alpha: float | str = 0.5, length: int = 12,
-                      normalize: bool = False, partition: list[str] | None = None,
+                      normalize: bool = True, partition: list[str] | None = None,
                       order: str = "period", out: str = "adstock") -> DataFrame:
-    """sum_{l < L} alpha^l * x_{t-l} with zero padding before the first period.
+    """sum_{l < L} alpha^l * x_{t-l}, l in periods; a period without a row spent nothing.
 
-    ``alpha`` may be a column name (per-channel decay). ``normalize`` divides by
-    sum_{l < L} alpha^l (true division). One window per channel, L lag terms.
+    ``order`` is a date (periods are days) or a whole period number; one row
+    per partition and period. ``alpha`` may be a column name (per-channel
+    decay). ``normalize`` divides by sum_{l < L} alpha^l (true division). The
+    window is a range of L periods, so each row gathers at most L values.
     """
     partition = partition or ["channel"]
-    w = Window.partitionBy(*partition).orderBy(order)
+    is_date = df.schema[order].dataType.simpleString() in ("date", "timestamp", "timestamp_ntz")
+    period = (F.unix_date(F.col(order).cast("date")) if is_date else F.col(order)).cast("long")
+    w = Window.partitionBy(*partition).orderBy(period).rangeBetween(-(length - 1), 0)
     a = F.col(alpha) if isinstance(alpha, str) else F.lit(float(alpha))
-    terms = [F.pow(a, F.lit(float(l))) * F.coalesce(F.lag(F.col(value), l).over(w), F.lit(0.0))
-             if l else F.col(value).cast("double") for l in range(length)]
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
+    spent = F.collect_list(F.struct(period.alias("t"), F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("x")))
+    total = F.aggregate("__spent", F.lit(0.0),
+                        lambda acc, s: acc + F.pow("__alpha", (F.col("__t") - s["t"]).cast("double")) * s["x"])
     if normalize:
-        denom = F.lit(0.0)
-        for l in range(length):
-            denom = denom + F.pow(a, F.lit(float(l)))
-        total = total / denom
-    return df.withColumn(out, total)
+        total = total / F.aggregate(F.sequence(F.lit(0), F.lit(length - 1)), F.lit(0.0),
+                                    lambda acc, l: acc + F.pow("__alpha", l.cast("double")))
+    return (df.withColumn("__spent", spent.over(w)).withColumns({"__t": period, "__alpha": a.cast("double")})
+            .withColumn(out, total).drop("__spent", "__t", "__alpha"))
 
 
 def channel_contributions(spend: DataFrame, params: DataFrame, value: str = "spend",
                           length: int = 12) -> DataFrame:
     """beta * saturation(adstock(x)) for delayed channels, beta * saturation(x) otherwise (D3).
 
-    ``params``: (channel, alpha, mu, beta, delayed) - one row per channel, broadcast.
+    The adstock is normalised. ``params``: (channel, alpha, mu, beta, delayed),
+    one row per channel; Spark broadcasts it if its size allows.
     """
-    j = spend.join(F.broadcast(params), "channel")
-    j = geometric_adstock(j, value, alpha="alpha", length=length, normalize=False, out="__ad")
+    j = spend.join(params, "channel")
+    j = geometric_adstock(j, value, alpha="alpha", length=length, out="__ad")
     x = F.when(F.col("delayed"), F.col("__ad")).otherwise(F.col(value))
     return (j.withColumn("transformed", x)
             .withColumn("contribution", F.col("beta") * saturation(F.col("transformed"), F.col("mu")))

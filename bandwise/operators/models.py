@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import itertools
 import random
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes,
@@ -87,9 +86,16 @@ def build_pipeline(name: str, params: dict, n_rows: int, features: str = "featur
 
 
 def grid_points(space: dict, n_iter: int | None = None, seed: int = 12345) -> list[dict]:
-    """All points of a grid (M12) or ``n_iter`` seeded draws without repeats."""
+    """The points of a grid (M12) or ``n_iter`` seeded draws without repeats.
+
+    Depths beyond what Spark's trees allow mean the deepest tree: points that
+    become equal by that are searched once, under the depth really used.
+    """
     keys = sorted(space)
     points = [dict(zip(keys, vals)) for vals in itertools.product(*[space[k] for k in keys])]
+    if "max_depth" in space:
+        points = [p | {"max_depth": _depth(p["max_depth"])} for p in points]
+        points = [p for i, p in enumerate(points) if p not in points[:i]]
     if n_iter is not None and n_iter < len(points):
         points = random.Random(seed).sample(points, n_iter)
     return points
@@ -110,6 +116,12 @@ def log_loss_metric(pred: DataFrame, label: str = "label") -> float:
                                              metricName="logLoss").evaluate(pred)
 
 
+def accuracy(pred: DataFrame, label: str = "label") -> float:
+    """Share of rows whose class is predicted, from the confusion counts."""
+    n, right = pred.agg(F.count(F.lit(1)), F.count_if(F.col("prediction") == F.col(label))).first()
+    return right / n if n else float("nan")
+
+
 def score(pred: DataFrame, scoring: str = "roc_auc", label: str = "label") -> float:
     """Higher is better for both scorings."""
     if scoring == "roc_auc":
@@ -119,31 +131,6 @@ def score(pred: DataFrame, scoring: str = "roc_auc", label: str = "label") -> fl
     raise ValueError("scoring must be roc_auc or neg_log_loss")
 
 
-def cross_validate(name: str, points: list[dict], data: DataFrame, fold_col: str, k: int,
-                   scoring: str = "roc_auc", label: str = "label",
-                   parallelism: int = 4) -> list[tuple[dict, float]]:
-    """Mean CV score per parameter point; folds come from a hash column.
-
-    Every (point, fold) fit is an independent distributed Spark ML job; up to
-    ``parallelism`` of them are submitted concurrently from driver threads
-    (as ``CrossValidator(parallelism=...)`` does).
-    """
-    n = data.count()
-    n_fit = int(n * (k - 1) / k)
-
-    def run(task):
-        params, f = task
-        train = data.where(F.col(fold_col) != f)
-        valid = data.where(F.col(fold_col) == f)
-        model = build_pipeline(name, params, n_fit, label=label).fit(train)
-        return score(model.transform(valid), scoring, label)
-
-    tasks = [(p, f) for p in points for f in range(k)]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        scores = list(pool.map(run, tasks))
-    return [(p, sum(scores[i * k:(i + 1) * k]) / k) for i, p in enumerate(points)]
-
-
 def best_params(results: list[tuple[dict, float]]) -> dict:
     """Arg-max over search results (O5); ties keep the first point."""
     best = max(range(len(results)), key=lambda i: (results[i][1], -i))

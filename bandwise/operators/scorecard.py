@@ -172,39 +172,25 @@ def level_bin_map(woe_cat: DataFrame) -> DataFrame:
     return levels.join(others, "var", "left")
 
 
-def apply_level_bins(df: DataFrame, cols: list[str], bin_map: DataFrame,
-                     max_rows: int = 1_000_000) -> DataFrame:
-    """Replace each categorical column by its bin label; unknown levels get the
-    'Others' bin of that variable, null when it has none (C7/C18).
+def apply_level_bins(df: DataFrame, cols: list[str], bin_map: DataFrame) -> DataFrame:
+    """Replace each categorical column by its bin label; null and unknown levels get
+    the 'Others' bin of that variable, null when it has none (C7/C18).
 
-    ``bin_map`` has one row per kept level (bounded by 1/floor per variable) and
-    is broadcast; the fallback labels are one string per variable.
+    The map is joined per column, however many levels it has; the fallback
+    labels are one string per variable.
     """
-    # Materialise the bounded map once: every per-column broadcast below then reads
-    # a local table instead of re-running the job that built the map.
-    rows = bin_map.select("var", "level", "bin", "others_bin").limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"bin map has more than {max_rows} rows; fold rare levels first "
-                         "(only kept levels belong in the map, the rest take the 'Others' bin)")
-    bin_map = df.sparkSession.createDataFrame(rows, "var string, level string, bin string, others_bin string")
-    fallback = {r["var"]: r["others_bin"] for r in rows if r["others_bin"] is not None}
+    fallback = {r["var"]: r["others_bin"] for r in
+                bin_map.where(F.col("others_bin").isNotNull()).select("var", "others_bin").distinct().collect()}
     out = df
     for c in cols:
         m = (bin_map.where(F.col("var") == c)
              .select(F.col("level").alias(f"__l_{c}"), F.col("bin").alias(f"__b_{c}")))
-        fb = F.lit(fallback.get(c)).cast("string")
-        out = (out.join(F.broadcast(m), out[c].cast("string") == m[f"__l_{c}"], "left")
-               .withColumn(c, F.when(F.col(c).isNull(), F.lit(None).cast("string"))
-                           .otherwise(F.coalesce(F.col(f"__b_{c}"), fb)))
+        out = (out.join(m, out[c].cast("string") == m[f"__l_{c}"], "left")
+               .withColumn(c, F.coalesce(F.col(f"__b_{c}"), F.lit(fallback.get(c)).cast("string")))
                .drop(f"__l_{c}", f"__b_{c}"))
     return out
 
 
-def interval_label(lo: Column, hi: Column) -> Column:
-    """'(lo, hi]' text for a right-closed interval."""
-    return F.concat(F.lit("("), lo.cast("string"), F.lit(", "), hi.cast("string"), F.lit("]"))
-
-
 def cut_label_expr(x: Column, cuts: list[float]) -> Column:
     """Right-closed bin label of ``x`` for sorted cut points (C12); null outside."""
     if len(cuts) < 2:

@@ -2,7 +2,7 @@
 
 Random permutations are not reproducible across engines or recomputations, so
 every split is a pure function of a row key: the first 32 bits of
-``md5("<seed>:<key>")`` mod 10000. The same rows come out on every executor
+``md5("<seed>:<key>")``, compared with ``fraction * 2^32``. The same rows come out on every executor
 retry, in every partitioning, and in DuckDB (``('0x' || substr(md5(..),1,8))::UBIGINT``).
 """
 
@@ -11,14 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SCALE = 10000
+HASH_RANGE = 1 << 32
 
 
 def hash_key(key_cols: list[str], seed: int) -> Column:
     return F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols])
 
 
-def hash_bucket(key_cols: list[str], seed: int, modulus: int = SCALE, fast: bool = False) -> Column:
+def hash_bucket(key_cols: list[str], seed: int, modulus: int = HASH_RANGE, fast: bool = False) -> Column:
     """0..modulus-1 from the first 8 hex digits of md5(seed:key).
 
     ``fast=True`` uses Spark's ``xxhash64`` instead: several times cheaper per
@@ -33,7 +33,7 @@ def hash_bucket(key_cols: list[str], seed: int, modulus: int = SCALE, fast: bool
 def hash_split_flag(key_cols: list[str], seed: int = 12345, test_size: float = 0.2,
                     fast: bool = False) -> Column:
     """True for test rows."""
-    return hash_bucket(key_cols, seed, fast=fast) < F.lit(int(round(SCALE * test_size)))
+    return hash_bucket(key_cols, seed, fast=fast) < F.lit(float(HASH_RANGE) * test_size)
 
 
 def train_test_split(df: DataFrame, key_cols: list[str], seed: int = 12345,
@@ -45,7 +45,7 @@ def train_test_split(df: DataFrame, key_cols: list[str], seed: int = 12345,
 
 def complement(base: DataFrame, sample: DataFrame, key_cols: list[str]) -> DataFrame:
     """Rows of ``base`` whose key is not in ``sample`` (X3), a left-anti join."""
-    return base.join(sample.select(*key_cols).distinct(), key_cols, "left_anti")
+    return base.join(sample.select(*key_cols), key_cols, "left_anti")
 
 
 def kfold_column(key_cols: list[str], k: int = 5, seed: int = 777) -> Column:
@@ -55,7 +55,7 @@ def kfold_column(key_cols: list[str], k: int = 5, seed: int = 777) -> Column:
 
 def size_subset_flag(key_cols: list[str], fraction: float, seed: int = 999) -> Column:
     """Nested training-size subsets (X5): a row in the 10 % subset is also in 20 %."""
-    return hash_bucket(key_cols, seed) < F.lit(int(round(SCALE * fraction)))
+    return hash_bucket(key_cols, seed) < F.lit(float(HASH_RANGE) * fraction)
 
 
 def order_hash(key_cols: list[str], seed: int) -> Column:
@@ -63,32 +63,35 @@ def order_hash(key_cols: list[str], seed: int) -> Column:
     return F.conv(F.substring(F.md5(hash_key(key_cols, seed)), 1, 12), 16, 10).cast("long")
 
 
-def sample_n(df: DataFrame, n: int, key_cols: list[str], seed: int = 42,
-             small_n: int = 10_000) -> DataFrame:
-    """Exactly ``n`` rows without replacement (X1), ordered by (md5(seed:key), key).
+#: Bits of the order hash that one counting pass looks at, and the rows that one task may order.
+RADIX_BITS, ORDERED_ROWS = 16, 100_000
 
-    The order hash is uniform, so rows whose hash lies below ~(4n + 64)/N of the
-    hash range are a superset of the first n with overwhelming probability; the
-    top-n runs over those few rows (the final merge never sees more than
-    ~4n + 64 rows whatever the partition count) and returns the sample as a
-    small local table; if fewer than n candidates came back, the exact cutoff
-    path below is used. For n above ``small_n`` the exact hash cutoff comes from the
-    distributed rank operator instead. The limit is the operator itself.
+
+def sample_n(df: DataFrame, n: int, key_cols: list[str], seed: int = 42) -> DataFrame:
+    """Exactly ``n`` rows without replacement (X1): the first by (md5(seed:key), key).
+
+    The rows are counted by the first bits of their order hash; the cell in
+    which the n-th row lies is counted by the next bits, until it holds at most
+    ORDERED_ROWS rows. Rows of the cells before are taken by a plain filter,
+    only that last cell is ordered. Every count has 2^RADIX_BITS rows at most.
+    The limit is the operator itself.
     """
     hashed = df.withColumn("__o", order_hash(key_cols, seed))
-    total = df.count()
-    if n >= total:
-        return df
-    if n <= small_n:
-        cutoff = int(min(1.0, (4.0 * n + 64) / total) * float(1 << 48)) + 1
-        top = hashed.where(F.col("__o") < F.lit(cutoff)).orderBy("__o", *key_cols).limit(n)
-        rows = top.collect()  # the sample itself: at most small_n rows
-        if len(rows) == n:
-            return df.sparkSession.createDataFrame(rows, top.schema).drop("__o")
-    from bandwise.operators.quantiles import value_ranks  # local import: quantiles imports nothing from here
-    r = value_ranks(hashed.select("__o"), ["__o"])
-    cut = r.df.where((F.col("cum_lo") <= n - 1) & (F.col("cum_hi") > n - 1)).select("value", "cum_lo").first()
-    t, below = int(cut["value"]), int(cut["cum_lo"])
-    inside = hashed.where(F.col("__o") < F.lit(t))
-    ties = hashed.where(F.col("__o") == F.lit(t)).orderBy(*key_cols).limit(n - below)
-    return inside.unionByName(ties).drop("__o")
+    low, shift, want = 0, 48, n
+    while True:
+        shift -= RADIX_BITS
+        cell = F.shiftright(F.col("__o") - F.lit(low), shift).alias("cell")
+        inside = hashed.where((F.col("__o") >= low) & (F.col("__o") < low + (1 << (shift + RADIX_BITS))))
+        counts = sorted((r["cell"], r["rows"]) for r in
+                        inside.groupBy(cell).agg(F.count(F.lit(1)).alias("rows")).collect())
+        if shift == 48 - RADIX_BITS and sum(c for _, c in counts) <= n:
+            return df
+        for at, rows in counts:
+            if rows >= want:
+                break
+            want -= rows
+        low += at << shift
+        if rows <= ORDERED_ROWS or shift == 0:
+            break
+    last = hashed.where((F.col("__o") >= low) & (F.col("__o") < low + (1 << shift)))
+    return hashed.where(F.col("__o") < low).unionByName(last.orderBy("__o", *key_cols).limit(want)).drop("__o")

@@ -17,9 +17,10 @@ NUMS = ["p_size", "p_retailprice"]
 FLOOR = 0.04
 KEY = ["p_partkey"]
 
-_BUCKET = "(('0x' || substr(md5('12345:' || CAST(p_partkey AS VARCHAR)), 1, 8))::UBIGINT % 10000)"
-_SPLIT_CTE = f"""train AS (SELECT * FROM part WHERE NOT ({_BUCKET} < 2000)),
-test AS (SELECT * FROM part WHERE {_BUCKET} < 2000),
+_IS_TEST = ("('0x' || substr(md5('12345:' || CAST(p_partkey AS VARCHAR)), 1, 8))::UBIGINT::DOUBLE "
+            "< 4294967296::DOUBLE * 0.2::DOUBLE")
+_SPLIT_CTE = f"""train AS (SELECT * FROM part WHERE NOT ({_IS_TEST})),
+test AS (SELECT * FROM part WHERE {_IS_TEST}),
 l AS (SELECT 'p_brand' AS variable, p_brand AS level FROM train WHERE p_brand IS NOT NULL
       UNION ALL SELECT 'p_type', p_type FROM train WHERE p_type IS NOT NULL),
 c AS (SELECT variable, level, COUNT(*) AS cnt FROM l GROUP BY ALL),

@@ -25,8 +25,8 @@ LI_KEY_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
 def _split_sql(seed: int, test_size: float) -> str:
-    thr = int(round(10000 * test_size))
-    return (f"(('0x' || substr(md5('{seed}:' || {_LI_KEY_SQL}), 1, 8))::UBIGINT % 10000) < {thr}")
+    return (f"('0x' || substr(md5('{seed}:' || {_LI_KEY_SQL}), 1, 8))::UBIGINT::DOUBLE "
+            f"< 4294967296::DOUBLE * {test_size}::DOUBLE")
 
 
 def lineitem_scores(spark, sf_dir):

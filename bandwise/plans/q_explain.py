@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bandwise.operators.explain import (fit_ols, linear_shap, one_feature_ols, partial_dependence,
-                                        shap_long, waterfall)
+                                        waterfall)
 from bandwise.operators.quantiles import exact_quantiles
 from bandwise.operators.split import sample_n
 from bandwise.plans.catalog import register
@@ -14,12 +14,14 @@ from bandwise.plans.oracle_sql import _r
 from bandwise.sources.tables import load_table
 
 KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+#: Rows of the background sample.
+BACKGROUND = 100
 FEATURES = ["l_quantity", "l_discount"]
 TARGET = "l_extendedprice"
 _KEY_SQL = ("CAST(l_orderkey AS VARCHAR) || ':' || CAST(l_linenumber AS VARCHAR) || ':' || "
             "CAST(l_partkey AS VARCHAR) || ':' || CAST(l_suppkey AS VARCHAR)")
 _BG_SQL = (f"SELECT * FROM lineitem ORDER BY md5('42:' || {_KEY_SQL}), l_orderkey, l_linenumber, "
-           f"l_partkey, l_suppkey LIMIT 100")
+           f"l_partkey, l_suppkey LIMIT {BACKGROUND}")
 _COEF_SQL = """s AS (SELECT AVG(l_quantity) AS m1, AVG(l_discount) AS m2, AVG(l_extendedprice) AS my,
     covar_pop(l_quantity, l_quantity) AS s11, covar_pop(l_discount, l_discount) AS s22,
     covar_pop(l_quantity, l_discount) AS s12, covar_pop(l_quantity, l_extendedprice) AS s1y,
@@ -69,10 +71,16 @@ UNION ALL SELECT 'l_discount', ROUND(b2, 3) FROM coef""")(ols_two_features)
 
 def _shap(spark, sf_dir):
     li, m = _model(spark, sf_dir)
-    bg = sample_n(li, 100, KEY, seed=42)
+    bg = sample_n(li, BACKGROUND, KEY, seed=42)
     return li, m, bg, linear_shap(li, KEY, FEATURES, [float(c) for c in m.coefficients], float(m.intercept), bg)
 
 
+_PHI_SQL = f"""bg AS (SELECT AVG(l_quantity) AS q, AVG(l_discount) AS d FROM ({_BG_SQL})),
+phi AS (SELECT l.*, b1 * (l_quantity - q) AS p1, b2 * (l_discount - d) AS p2,
+               b0 + b1 * l_quantity + b2 * l_discount AS pred, b0 + b1 * q + b2 * d AS base
+        FROM lineitem l, coef, bg)"""
+
+
 def linear_shap_summary(spark, sf_dir):
     """H2/H3/H4: mean and mean-absolute Shapley value per feature over all lines,
     the largest additivity error, E[y] and E[x] - one aggregation over the rows."""
@@ -90,31 +98,37 @@ def linear_shap_summary(spark, sf_dir):
 
 
 register("linear_shap_summary", f"""WITH {_COEF_SQL},
-bg AS (SELECT AVG(l_quantity) AS q, AVG(l_discount) AS d FROM ({_BG_SQL})),
-phi AS (SELECT coef.b1 * (l.l_quantity - bg.q) AS p1, coef.b2 * (l.l_discount - bg.d) AS p2
-        FROM lineitem l, coef, bg),
+{_PHI_SQL},
 m AS (SELECT AVG(l_extendedprice) AS my, AVG(l_quantity) AS mq, AVG(l_discount) AS md FROM lineitem)
 SELECT 'l_quantity' AS feature, ROUND(AVG(p1), 3) AS mean_phi, ROUND(AVG(ABS(p1)), 3) AS mean_abs_phi,
-       0.0::DOUBLE AS max_additivity_error, ROUND(ANY_VALUE(m.my), 3) AS expected_y,
+       ROUND(MAX(ABS(p1 + p2 - (pred - base))), 3) AS max_additivity_error, ROUND(ANY_VALUE(m.my), 3) AS expected_y,
        ROUND(ANY_VALUE(m.mq), 3) AS expected_x FROM phi, m
 UNION ALL
-SELECT 'l_discount', ROUND(AVG(p2), 3), ROUND(AVG(ABS(p2)), 3), 0.0::DOUBLE, ROUND(ANY_VALUE(m.my), 3),
+SELECT 'l_discount', ROUND(AVG(p2), 3), ROUND(AVG(ABS(p2)), 3), ROUND(MAX(ABS(p1 + p2 - (pred - base))), 3), ROUND(ANY_VALUE(m.my), 3),
        ROUND(ANY_VALUE(m.md), 3) FROM phi, m""")(linear_shap_summary)
 
 
+def _tenths(expr: str) -> str:
+    return f"(ROUND({expr}, 1) + 0.0)::DOUBLE"
+
+
 def linear_shap_rows(spark, sf_dir):
     """H2/H6: per-line Shapley values, prediction, base value and additivity error."""
     _, _, _, shap = _shap(spark, sf_dir)
-    return rounded(shap)
+    return _round(shap.withColumn("additivity_error", F.abs("additivity_error")),
+                  ["phi_l_quantity", "phi_l_discount", "prediction", "base", "additivity_error"], 1)
 
 
-register("linear_shap_rows")(linear_shap_rows)
+register("linear_shap_rows", f"""WITH {_COEF_SQL}, {_PHI_SQL}
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_extendedprice, l_tax,
+       {_tenths('p1')} AS phi_l_quantity, {_tenths('p2')} AS phi_l_discount, {_tenths('pred')} AS prediction,
+       {_tenths('base')} AS base, {_tenths('ABS(p1 + p2 - (pred - base))')} AS additivity_error FROM phi""")(linear_shap_rows)
 
 
 def partial_dependence_q(spark, sf_dir):
     """H1: mean prediction with quantity fixed at each decile over 100 background lines."""
     li, m = _model(spark, sf_dir)
-    bg = sample_n(li, 100, KEY, seed=42)
+    bg = sample_n(li, BACKGROUND, KEY, seed=42)
     q = exact_quantiles(li, ["l_quantity"], [i / 10 for i in range(11)])
     grid = sorted({r["value"] for r in q.collect()})
     pd_ = partial_dependence(m, bg.select(*FEATURES), FEATURES, "l_quantity", grid)
@@ -131,13 +145,16 @@ FROM g, coef, bg""")(partial_dependence_q)
 
 
 def waterfall_q(spark, sf_dir):
-    """Per-line contributions of three features by |phi|, the third folded."""
-    li = _li(spark, sf_dir)
-    feats = FEATURES + ["l_tax"]
-    m = fit_ols(li, feats, TARGET)
-    bg = sample_n(li, 100, KEY, seed=42)
-    shap = linear_shap(li, KEY, feats, [float(c) for c in m.coefficients], float(m.intercept), bg)
-    return rounded(waterfall(shap_long(shap, KEY, feats), KEY, max_display=3))
+    """Per-line contributions in order of |phi|, all but the first folded."""
+    _, _, _, shap = _shap(spark, sf_dir)
+    return _round(waterfall(shap, KEY, FEATURES, max_display=2), ["phi", "running_phi"], 1)
 
 
-register("waterfall")(waterfall_q)
+register("waterfall", f"""WITH {_COEF_SQL}, {_PHI_SQL},
+o AS (SELECT *, ABS(p1) > ABS(p2) AS first1 FROM phi)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN first1 THEN 'l_quantity' ELSE 'l_discount' END AS feature,
+       {_tenths('CASE WHEN first1 THEN p1 ELSE p2 END')} AS phi, 1::INTEGER AS rank,
+       {_tenths('CASE WHEN first1 THEN p1 ELSE p2 END')} AS running_phi FROM o
+UNION ALL
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'other features', {_tenths('CASE WHEN first1 THEN p2 ELSE p1 END')},
+       2::INTEGER, {_tenths('p1 + p2')} FROM o""")(waterfall_q)

@@ -42,24 +42,33 @@ SELECT channel, CAST(period AS VARCHAR) AS period, {_r('spend', 'spend')},
 FROM s WINDOW w AS (PARTITION BY channel)""")(spend_scaled)
 
 
-def _lag_sum_sql(value: str, alpha: float, length: int) -> str:
-    return " + ".join([f"CAST({value} AS DOUBLE)"] + [
-        f"POW({alpha}, {float(l)}) * COALESCE(LAG({value}, {l}) OVER w, 0.0)" for l in range(1, length)])
+def _gapped(spark, sf_dir):
+    """Spend of the days whose number is not divisible by 3 or by the channel's name length: with gaps."""
+    n = F.unix_date("period")
+    return _spend(spark, sf_dir).filter((n % 3 != 0) & (n % F.char_length("channel") != 0))
 
 
 def adstock(spark, sf_dir):
-    """Geometric adstock (alpha 0.5, 12 periods), raw and normalised."""
-    s = geometric_adstock(_spend(spark, sf_dir), "spend", ALPHA, L, normalize=False, out="adstock")
+    """Geometric adstock (alpha 0.5, 12 periods), raw and normalised, of a series with missing days."""
+    s = geometric_adstock(_gapped(spark, sf_dir), "spend", ALPHA, L, normalize=False, out="adstock")
     s = geometric_adstock(s, "spend", ALPHA, L, normalize=True, out="adstock_norm")
     return rounded(s)
 
 
+def _adstock_sql(table: str, value: str, alpha: str) -> str:
+    """Sum over the rows of the last L days, by a join on the dates."""
+    return (f"(SELECT SUM(POW({alpha}, (a.period - b.period)::DOUBLE) * b.{value}) FROM {table} b "
+            f"WHERE b.channel = a.channel AND b.period BETWEEN a.period - {L - 1} AND a.period)")
+
+
+_NORM = f"list_sum(list_transform(range({L}), lambda l: POW({{}}, l::DOUBLE)))"
 register("adstock", f"""
-WITH s AS ({_SPEND_SQL})
+WITH s AS (SELECT * FROM ({_SPEND_SQL}) WHERE (period - DATE '1970-01-01') % 3 <> 0
+           AND (period - DATE '1970-01-01') % length(channel) <> 0)
 SELECT channel, CAST(period AS VARCHAR) AS period, {_r('spend', 'spend')},
-  {_r(_lag_sum_sql('spend', ALPHA, L), 'adstock')},
-  {_r('(' + _lag_sum_sql('spend', ALPHA, L) + ') / (' + ' + '.join(f'POW({ALPHA}, {float(l)})' for l in range(L)) + ')', 'adstock_norm')}
-FROM s WINDOW w AS (PARTITION BY channel ORDER BY period)""")(adstock)
+  {_r(_adstock_sql('s', 'spend', str(ALPHA)), 'adstock')},
+  {_r(_adstock_sql('s', 'spend', str(ALPHA)) + ' / ' + _NORM.format(ALPHA), 'adstock_norm')}
+FROM s a""")(adstock)
 
 
 def saturation_q(spark, sf_dir):
@@ -90,15 +99,14 @@ def mmm_response(spark, sf_dir):
 
 def _mmm_sql() -> str:
     vals = ", ".join(f"('{c}', {a}, {m}, {b}, {str(d).upper()})" for c, a, m, b, d in CHANNEL_PARAMS)
-    lag = " + ".join(["x"] + [f"POW(alpha, {float(l)}) * COALESCE(LAG(x, {l}) OVER w, 0.0)" for l in range(1, L)])
     return f"""
 WITH s AS ({_SPEND_SQL}),
 x AS (SELECT channel, period,
         (spend - MIN(spend) OVER w) / NULLIF(MAX(spend) OVER w - MIN(spend) OVER w, 0) AS x
       FROM s WINDOW w AS (PARTITION BY channel)),
 p AS (SELECT * FROM (VALUES {vals}) t(channel, alpha, mu, beta, delayed)),
-a AS (SELECT x.*, p.alpha, p.mu, p.beta, p.delayed, {lag} AS ad
-      FROM x JOIN p USING (channel) WINDOW w AS (PARTITION BY channel ORDER BY period)),
+j AS (SELECT x.*, p.alpha, p.mu, p.beta, p.delayed FROM x JOIN p USING (channel)),
+a AS (SELECT a.*, {_adstock_sql('j', 'x', 'a.alpha')} / {_NORM.format('a.alpha')} AS ad FROM j a),
 c AS (SELECT period, beta * (1 - EXP(-mu * CASE WHEN delayed THEN ad ELSE x END))
                          / (1 + EXP(-mu * CASE WHEN delayed THEN ad ELSE x END)) AS contribution FROM a)
 SELECT CAST(period AS VARCHAR) AS period, {_r('0.0 + SUM(contribution)', 'response')}, COUNT(*) AS channels FROM c GROUP BY period"""

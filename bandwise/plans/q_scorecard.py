@@ -31,8 +31,8 @@ _BASE_SQL = """SELECT o.o_orderkey, c.c_mktsegment, o.o_orderpriority,
        CAST(c.c_nationkey AS VARCHAR) AS c_nation, o.o_totalprice, c.c_acctbal,
        CAST(o.o_orderstatus = 'F' AS INTEGER) AS target
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"""
-_TRAIN_SQL = (f"SELECT * FROM ({_BASE_SQL}) WHERE NOT ((('0x' || substr(md5('1:' || "
-              f"CAST(o_orderkey AS VARCHAR)), 1, 8))::UBIGINT % 10000) < 2000)")
+_TRAIN_SQL = (f"SELECT * FROM ({_BASE_SQL}) WHERE NOT (('0x' || substr(md5('1:' || "
+              f"CAST(o_orderkey AS VARCHAR)), 1, 8))::UBIGINT::DOUBLE < 4294967296::DOUBLE * 0.2::DOUBLE)")
 
 
 # ---------------------------------------------------------------- Spark side

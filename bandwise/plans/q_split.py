@@ -13,8 +13,12 @@ from bandwise.sources.tables import load_table
 KEY = ["o_orderkey"]
 
 
-def _bucket_sql(seed: int, modulus: int = 10000) -> str:
-    return (f"(('0x' || substr(md5('{seed}:' || CAST(o_orderkey AS VARCHAR)), 1, 8))::UBIGINT % {modulus})")
+def _hash_sql(seed: int) -> str:
+    return f"('0x' || substr(md5('{seed}:' || CAST(o_orderkey AS VARCHAR)), 1, 8))::UBIGINT"
+
+
+def _below_sql(seed: int, fraction) -> str:
+    return f"({_hash_sql(seed)})::DOUBLE < 4294967296::DOUBLE * {fraction}::DOUBLE"
 
 
 def hash_split(spark, sf_dir):
@@ -25,7 +29,7 @@ def hash_split(spark, sf_dir):
 
 register("hash_split", f"""
 SELECT o_orderkey, o_orderstatus, ROUND(o_totalprice, 6) AS o_totalprice,
-       {_bucket_sql(12345)} < 2000 AS is_test FROM orders""")(hash_split)
+       {_below_sql(12345, 0.2)} AS is_test FROM orders""")(hash_split)
 
 
 def split_complement(spark, sf_dir):
@@ -37,7 +41,7 @@ def split_complement(spark, sf_dir):
 
 register("split_complement", f"""
 SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN (
-  SELECT o_orderkey FROM orders WHERE NOT ({_bucket_sql(7)} < 3000))""")(split_complement)
+  SELECT o_orderkey FROM orders WHERE NOT ({_below_sql(7, 0.3)}))""")(split_complement)
 
 
 def kfold_counts(spark, sf_dir):
@@ -49,7 +53,7 @@ def kfold_counts(spark, sf_dir):
 
 
 register("kfold_counts", f"""
-SELECT CAST({_bucket_sql(777, 5)} AS INTEGER) AS fold, COUNT(*) AS rows,
+SELECT CAST(({_hash_sql(777)}) % 5 AS INTEGER) AS fold, COUNT(*) AS rows,
        CAST(SUM(CAST(o_orderstatus = 'F' AS INTEGER)) AS BIGINT) AS events
 FROM orders GROUP BY ALL""")(kfold_counts)
 
@@ -65,6 +69,7 @@ SELECT o_orderkey, ROUND(o_totalprice, 6) AS o_totalprice FROM orders
 ORDER BY md5('42:' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 100""")(sample_rows)
 
 
+# Shares of the training rows.
 SIZES = [0.05, 0.1, 0.2, 0.4, 0.75, 1.0]
 
 
@@ -79,9 +84,9 @@ def learning_curve_subsets(spark, sf_dir):
 
 
 register("learning_curve_subsets", f"""
-WITH train AS (SELECT o_orderkey FROM orders WHERE NOT ({_bucket_sql(12345)} < 2000)),
+WITH train AS (SELECT o_orderkey FROM orders WHERE NOT ({_below_sql(12345, 0.2)})),
 sizes AS (SELECT * FROM (VALUES {', '.join(f'({s})' for s in SIZES)}) s(f))
 SELECT CAST(f AS DOUBLE) AS training_fraction, COUNT(*) AS rows
 FROM train, sizes
-WHERE {_bucket_sql(999)} < CAST(ROUND(10000 * f) AS BIGINT)
+WHERE {_below_sql(999, 'f')}
 GROUP BY f""")(learning_curve_subsets)

@@ -125,9 +125,9 @@ def test_pearson_fixture(spark):
 
 def test_adstock_fixture(spark):
     df = spark.createDataFrame([("c", i, float(i)) for i in range(1, 5)], "channel string, period int, x double")
-    got = [r["adstock"] for r in geometric_adstock(df, "x", 0.5, 12).orderBy("period").collect()]
+    got = [r["adstock"] for r in geometric_adstock(df, "x", 0.5, 12, normalize=False).orderBy("period").collect()]
     assert got == pytest.approx([1.0, 2.5, 4.25, 6.125])
-    ident = [r["adstock"] for r in geometric_adstock(df, "x", 0.0, 12).orderBy("period").collect()]
+    ident = [r["adstock"] for r in geometric_adstock(df, "x", 0.0, 12, normalize=False).orderBy("period").collect()]
     assert ident == pytest.approx([1.0, 2.0, 3.0, 4.0])
     sat = spark.range(1).select(saturation(F.lit(2.0), 0.5).alias("s")).first()["s"]
     assert sat == pytest.approx(math.tanh(0.5))
@@ -251,12 +251,14 @@ def test_profile_approximate_options(spark):
             assert approx[v]["var_median"] == pytest.approx(r["var_median"], rel=0.05, abs=1.0)
 
 
-@pytest.mark.parametrize("n", [1, 7, 100, 1200])
-def test_sample_n_exact_and_ordered(spark, n):
+@pytest.mark.parametrize("n, ordered", [(1, 100_000), (7, 2), (100, 2), (1200, 1), (1200, 100_000)])
+def test_sample_n_exact_and_ordered(spark, monkeypatch, n, ordered):
+    from bandwise.operators import split
     from bandwise.operators.split import order_hash, sample_n
+    monkeypatch.setattr(split, "ORDERED_ROWS", ordered)
     from tests.conftest import SF_SMALL
     o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey")
-    got = {r[0] for r in sample_n(o, n, ["o_orderkey"], seed=9, small_n=1000).collect()}
+    got = {r[0] for r in sample_n(o, n, ["o_orderkey"], seed=9).collect()}
     ref = [r[0] for r in o.withColumn("h", order_hash(["o_orderkey"], 9)).orderBy("h", "o_orderkey").collect()]
     assert len(got) == n and got == set(ref[:n])
 
@@ -281,14 +283,81 @@ def test_split_disjoint_and_covering(spark, fast):
     assert 0.15 < len(b) / o.count() < 0.35
 
 
-def test_bin_map_size_is_checked(spark):
+def test_unknown_and_null_levels_take_the_others_bin(spark):
     from bandwise.operators.scorecard import apply_level_bins
-    df = spark.createDataFrame([("a",), ("b",), ("z",)], "v string")
+    df = spark.createDataFrame([("a",), ("b",), ("z",), (None,)], "v string")
     m = spark.createDataFrame([("v", "a", "a,b", "Others"), ("v", "b", "a,b", "Others")],
                               "var string, level string, bin string, others_bin string")
-    assert [r[0] for r in apply_level_bins(df, ["v"], m).orderBy("v").collect()] == ["Others", "a,b", "a,b"]
-    with pytest.raises(ValueError):
-        apply_level_bins(df, ["v"], m, max_rows=1)
+    assert sorted(r[0] for r in apply_level_bins(df, ["v"], m).collect()) == ["Others", "Others", "a,b", "a,b"]
+    none = m.withColumn("others_bin", F.lit(None).cast("string"))
+    assert sorted(str(r[0]) for r in apply_level_bins(df, ["v"], none).collect()) == ["None", "None", "a,b", "a,b"]
+
+
+def test_adstock_counts_periods_not_rows(spark):
+    import datetime
+    df = spark.createDataFrame([("c", datetime.date(2024, 1, 1), 1.0), ("c", datetime.date(2024, 1, 5), 1.0)],
+                               "channel string, period date, x double")
+    got = [r["adstock"] for r in geometric_adstock(df, "x", 0.5, 12, normalize=False).orderBy("period").collect()]
+    assert got == [1.0, 1.0 + 0.5 ** 4]
+    full = sum(0.5 ** i for i in range(12))
+    norm = [r["adstock"] for r in geometric_adstock(df, "x", 0.5, 12).orderBy("period").collect()]
+    assert norm == pytest.approx([1 / full, (1 + 0.5 ** 4) / full])
+
+
+def test_waterfall_needs_no_unique_key(spark):
+    from bandwise.operators.explain import waterfall
+    df = spark.createDataFrame([(1, 3.0, -5.0, 1.0), (1, 3.0, -5.0, 1.0), (2, 0.0, 0.5, -0.5)],
+                               "k int, phi_a double, phi_b double, phi_c double")
+    got = sorted(tuple(r) for r in waterfall(df, ["k"], ["a", "b", "c"], max_display=2).collect())
+    assert got == sorted([(1, "b", -5.0, 1, -5.0), (1, "other features", 4.0, 2, -1.0)] * 2
+                         + [(2, "b", 0.5, 1, 0.5), (2, "other features", -0.5, 2, 0.0)])
+    whole = [r["feature"] for r in waterfall(df, ["k"], ["a", "b", "c"]).where("k = 2").orderBy("rank").collect()]
+    assert whole == ["b", "c", "a"]
+
+
+def test_binomial_of_any_size(spark):
+    import math
+    from bandwise.functions.mathfn import binomial_pmf
+    rows = [(25, 7), (1000, 500), (3, 0), (3, 3), (3, 4), (0, 0)]
+    df = spark.createDataFrame(rows, "n int, x int")
+    got = [r[0] for r in df.select(binomial_pmf("n", "x", 0.3)).collect()]
+    assert got == pytest.approx([math.comb(n, x) * 0.3 ** x * 0.7 ** (n - x) if x <= n else 0.0 for n, x in rows])
+
+
+def test_boolean_columns_are_features(spark):
+    from bandwise.operators.encode import feature_columns, feature_names, fit_one_hot, transform_one_hot
+    from bandwise.operators.prep import fill_nulls
+    df = spark.createDataFrame([(True, "a"), (None, None), (False, "b")], "f boolean, s string")
+    filled = fill_nulls(df)
+    assert [tuple(r) for r in filled.collect()] == [(True, "a"), (False, "."), (False, "b")]
+    cats, nums = feature_columns(filled)
+    assert (cats, nums) == (["s"], ["f"])
+    model = fit_one_hot(filled, cats, nums)
+    assert feature_names(model, cats, nums)[0] == "f"
+    assert [r["features"][0] for r in transform_one_hot(model, filled).collect()] == [1.0, 0.0, 0.0]
+
+
+def test_split_fractions_are_not_rounded(spark):
+    from bandwise.operators.split import hash_split_flag
+    df = spark.range(200_000).withColumn("k", F.col("id"))
+    third, tiny = (df.where(hash_split_flag(["k"], 3, f)).count() for f in (1 / 3, 0.00004))
+    assert abs(third / 200_000 - 1 / 3) < 0.005 and 0 < tiny < 40
+    h = F.conv(F.substring(F.md5(F.concat(F.lit("3:"), F.col("k").cast("string"))), 1, 8), 16, 10).cast("long")
+    assert third == df.where(h < F.lit((1 << 32) / 3)).count()
+
+
+def test_equal_depths_are_searched_once():
+    from bandwise.operators.models import GBM_PARAMS, MAX_DEPTH, grid_points
+    points = grid_points(GBM_PARAMS)
+    assert len(points) == 4 * 3 * 2 * 4
+    assert {p["max_depth"] for p in points} == {3, 10, 20, MAX_DEPTH}
+
+
+def test_json_has_no_depth_limit(spark):
+    depth = 70
+    df = spark.createDataFrame([(1, '{"a":' * depth + "1" + "}" * depth)], "id int, j string")
+    got = flatten_json(df, ["id"], "j").collect()
+    assert [(r["variable"], r["value"]) for r in got] == [("_a" * depth, "1")]
 
 
 def test_search_required_literal_prefilter(spark):
