@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.operators.quantiles import quantiles_from_ranks, value_ranks
+from bandwise.operators.quantiles import quantiles_from_ranks, selected_ranks
 
 # Edge rules for the first/last edge after the quantile edges are computed.
 EDGE_RULES = ("extend01", "fixed01", "none")
@@ -41,8 +41,9 @@ def quantile_edges(df: DataFrame, col: str, bins: int = 10, edge_rule: str = "ex
         raise ValueError(f"edge_rule must be one of {EDGE_RULES}")
     probs = quantile_probs(bins)
     raw = F.col(col).cast("double")
+    raw = F.when(~F.isnan(raw), raw)  # NaN counts as missing
     if method == "exact":
-        r = value_ranks(df.select(col), [col], extras={"mn": F.min(raw), "mx": F.max(raw)})
+        r = selected_ranks(df.select(col), [col], probs, extras={"mn": F.min(raw), "mx": F.max(raw)})
         q = quantiles_from_ranks(r, probs, round_digits=round_digits)
         values = [row["value"] for row in q.orderBy("prob_index").collect()]
         mm = (r.extras["mn"], r.extras["mx"])

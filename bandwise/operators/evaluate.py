@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bandwise.operators.bins import band_bounds, band_expr, quantile_edges, quantile_probs
-from bandwise.operators.quantiles import interpolate, value_ranks
+from bandwise.operators.quantiles import interpolate, selected_ranks
 
 
 def event_flag(target: Column | str, event=1) -> Column:
@@ -105,7 +105,8 @@ def score_performance(df: DataFrame, score_col: str, target_col: str, event=1, b
     With ``edges`` given (the train edges) the rows are banded with them
     (test-set mode); otherwise quantile edges are computed from ``df``.
     """
-    base = df.select(F.col(score_col).cast("double").alias("__score"),
+    score = F.col(score_col).cast("double")
+    base = df.select(F.when(~F.isnan(score), score).alias("__score"),  # NaN counts as missing
                      event_flag(target_col, event).alias("__flag"))
     counts = None
     if edges is None and method == "exact":
@@ -133,7 +134,7 @@ def _edges_and_counts(base: DataFrame, bins: int, edge_rule: str, round_digits,
     a looked-up value; otherwise the counts come from a banding pass.
     """
     raw = F.col("__score")
-    r = value_ranks(base, ["__score"], sums={"bad": F.col("__flag")},
+    r = selected_ranks(base, ["__score"], quantile_probs(bins), sums={"bad": F.col("__flag")},
                     extras={"mn": F.min(raw), "mx": F.max(raw)})
     quant = interpolate(r, quantile_probs(bins), round_digits)
     n, total_bad = r.n.get("__score", 0), r.totals["bad"].get("__score", 0.0)

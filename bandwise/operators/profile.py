@@ -4,20 +4,18 @@ The profile is one row per column: type, var_vals (distinct non-null count),
 var_min, var_max, var_mean, var_median (numeric only), CorrelationWithTarget
 (numeric only, pairwise non-null Pearson), percentZeros and percentNull (both
 over all rows). The column statistics ride along the first pass of the
-distributed exact median (bucket bounds); the median's distinct-value table
-also gives the numeric distinct counts, and one shuffle over the unpivoted
-(var, value) pairs with map-side combine counts the other columns. Every
+distributed exact median; one shuffle over the unpivoted (var, value) pairs
+with map-side combine counts the distinct values. Every
 result table has one row per column.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from bandwise.operators.quantiles import Ranked, interpolate, value_ranks
+from bandwise.operators.quantiles import interpolate, selected_ranks
 
 
 def pearson(a: Column | str, b: Column | str) -> Column:
@@ -51,7 +49,7 @@ def univariate(df: DataFrame, target: str | None = None, median: bool | str = Tr
                          f"avg{i}": F.avg(c).cast("double"), f"zer{i}": F.count_if(c == 0)})
             if has_target:
                 aggs[f"cor{i}"] = pearson(c, F.col(f"`{target}`"))
-    medians, numeric_distinct = {}, None
+    medians = {}
     if median == "approx" and numeric:
         for i, f in enumerate(fields):
             if f.name in numeric:
@@ -60,17 +58,10 @@ def univariate(df: DataFrame, target: str | None = None, median: bool | str = Tr
         for i, f in enumerate(fields):
             aggs[f"hll{i}"] = F.approx_count_distinct(F.col(f"`{f.name}`"))
     if (median is True or median == "exact") and numeric:
-        # The column statistics ride along the first pass of the distributed median;
-        # the distinct-value table then serves the median and the numeric distinct counts.
-        r = value_ranks(df, numeric, extras=aggs)
+        # The column statistics ride along the first pass of the distributed median.
+        r = selected_ranks(df, numeric, [0.5], extras=aggs)
         stats = r.extras
-        ranked = r.df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            medians = {var: v for var, _, _, v, _ in interpolate(Ranked(ranked, r.n, r.totals), [0.5])}
-            numeric_distinct = {row["var"]: row["d"] for row in
-                                ranked.groupBy("var").agg(F.count(F.lit(1)).alias("d")).collect()}
-        finally:
-            ranked.unpersist()
+        medians = {var: v for var, _, _, v, _ in interpolate(r, [0.5])}
     else:
         row = df.agg(*[e.alias(k) for k, e in aggs.items()]).first()
         stats = row.asDict()
@@ -96,13 +87,8 @@ def univariate(df: DataFrame, target: str | None = None, median: bool | str = Tr
     if distinct == "approx":
         distinct = df.sparkSession.createDataFrame(
             [(f.name, int(stats[f"hll{i}"])) for i, f in enumerate(fields)], "variable string, var_vals long")
-    elif numeric_distinct is None:
-        distinct = distinct_counts(df)
     else:
-        others = [f.name for f in fields if f.name not in numeric]
-        known = df.sparkSession.createDataFrame(
-            [(c, int(numeric_distinct.get(c, 0))) for c in numeric], "variable string, var_vals long")
-        distinct = known.unionByName(distinct_counts(df, others)) if others else known
+        distinct = distinct_counts(df)
     out = stats_df.join(distinct, "variable", "left").withColumn(
         "var_vals", F.coalesce("var_vals", F.lit(0).cast("long")))
     return out.select("variable", "type", "var_vals", "var_min", "var_max", "var_mean", "var_median",

@@ -2,22 +2,29 @@
 
 Spark's exact ``percentile`` aggregate keeps a value->count map that is merged
 in ONE task for a global aggregate, so its memory grows with the number of
-distinct values. Here the work is spread out instead:
+distinct values. Two operators spread the work out instead:
 
-1. One pass computes, per column, ``percentile_approx`` bucket boundaries
-   (B-1 values, B bounded by a parameter), the non-null count and the totals
-   of any summed columns. ``Bucketizer`` (JVM binary search) then assigns a
-   bucket id to every row. Buckets are value ranges, so they are ordered.
+``selected_ranks`` finds a few order statistics (quantiles): a counting pass
+over equal-width bins, of which only those that hold a wanted position are
+looked at again - split further until they hold few rows, then ranked value by
+value. What is shuffled is the bin counts and the rows of the last bins.
+
+``value_ranks`` ranks every distinct value (rank correlation, tree bins):
+
+1. Bucket boundaries per column from quantile sketches that are merged in two
+   levels, so no task receives the sketches of all others. Boundaries need
+   little accuracy: they only balance the buckets.
 2. ``groupBy(var, bucket, value)`` collapses duplicates map-side (a hot value
    becomes one row per map task, then one row).
 3. Bucket totals (at most columns x B rows, broadcast) give each bucket's
    offset; a window partitioned by (var, bucket) and ordered by value gives the
    running count inside the bucket. ``cum_lo`` = rows strictly below the value,
    ``cum_hi`` = ``cum_lo + cnt``.
-4. Quantile positions (``(N-1)*p``, the numpy / DuckDB ``quantile_cont`` rule)
-   are found with a per-row filter of a literal position array; only the
-   matching rows (at most 2 per probability and column) reach the driver,
-   which interpolates.
+
+Quantile positions (``(N-1)*p``, the numpy / DuckDB ``quantile_cont`` rule) are
+found with a per-row filter of a literal position array; only the matching
+rows (at most 2 per probability and column) reach the driver, which
+interpolates. NaN counts as missing, like null.
 """
 
 from __future__ import annotations
@@ -33,9 +40,8 @@ from pyspark.sql import functions as F
 def _default_buckets(df: DataFrame) -> int:
     """4 buckets per shuffle partition, between 64 and 10,000.
 
-    The cap keeps the bounds sketch small (accuracy 10 x buckets, a few MB per
-    column); 10,000 buckets still leave ~10^7 distinct values per window
-    partition at 10^11 distinct values."""
+    10,000 buckets leave ~10^7 distinct values per window partition at 10^11
+    distinct values; ``buckets`` of ``value_ranks`` overrides it."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     return int(min(10_000, max(64, 4 * parts)))
 
@@ -67,27 +73,20 @@ def value_ranks(df: DataFrame, cols: list[str], buckets: int | None = None,
     extras = extras or {}
     buckets = buckets or _default_buckets(df)
     sums = sums or {}
-    vals = [
-        (F.round(F.col(f"`{c}`").cast("double"), round_digits) if round_digits is not None
-         else F.col(f"`{c}`").cast("double")).alias(f"__v{i}")
-        for i, c in enumerate(cols)
-    ]
-    extra = [col.cast("double").alias(f"__s_{k}") for k, col in sums.items()]
-    wide = df.select("*", *vals, *extra)
-    vcols = [f"__v{i}" for i in range(len(cols))]
-    probs = [i / buckets for i in range(1, buckets)]
-    accuracy = max(10_000, 10 * buckets)
-    aggs = []
-    for i, v in enumerate(vcols):
-        aggs += [F.percentile_approx(v, probs, accuracy).alias(f"q{i}"), F.count(v).alias(f"n{i}")]
-        aggs += [F.sum(F.when(F.col(v).isNotNull(), F.col(f"__s_{k}"))).alias(f"t{i}_{k}") for k in sums]
-    aggs += [e.alias(f"x_{k}") for k, e in extras.items()]
-    head = wide.agg(*aggs).first()
-    n = {c: int(head[f"n{i}"]) for i, c in enumerate(cols)}
-    totals = {k: {c: float(head[f"t{i}_{k}"] or 0.0) for i, c in enumerate(cols)} for k in sums}
+    wide, vcols = _with_values(df, cols, sums, round_digits)
+    head, n, totals = _totals(wide, cols, vcols, sums, extras)
+    # Two levels: sketches of the same residue meet first, then at most SKETCH_GROUPS of them.
+    size = min(65_535, max(200, 4 * buckets))
+    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    near = (wide.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("__g"))
+            .agg(*[F.kll_sketch_agg_double(v, F.lit(size)).alias(f"q{i}") for i, v in enumerate(vcols)]))
+    merged = near.agg(*[F.kll_merge_agg_double(f"q{i}", F.lit(size)).alias(f"q{i}") for i in range(len(cols))])
+    some = [i for i, c in enumerate(cols) if n[c]]
+    bounds = (merged.select(*[F.kll_sketch_get_quantile_double(f"q{i}", probs).alias(f"q{i}") for i in some]).first()
+              if some else {})
     splits = []
     for i in range(len(cols)):
-        b = sorted({x for x in (head[f"q{i}"] or []) if x is not None and math.isfinite(x)})
+        b = sorted({x for x in (bounds[f"q{i}"] if i in some else []) if x is not None and math.isfinite(x)})
         # Bucketizer needs at least one inner split (all-null or empty columns have none).
         splits.append([-math.inf] + (b or [0.0]) + [math.inf])
     bcols = [f"__b{i}" for i in range(len(cols))]
@@ -125,6 +124,136 @@ def value_ranks(df: DataFrame, cols: list[str], buckets: int | None = None,
     return Ranked(ranked.select(*keep), n, totals, {k: head[f"x_{k}"] for k in extras})
 
 
+def _with_values(df: DataFrame, cols: list[str], sums: dict[str, Column], round_digits: int | None = None):
+    """``df`` with the columns as doubles (NaN to null) ``__v<i>`` and the summed columns ``__s_<k>``."""
+    def value(c):
+        x = F.col(f"`{c}`").cast("double")
+        x = F.when(~F.isnan(x), x)
+        return x if round_digits is None else F.round(x, round_digits)
+    vcols = [f"__v{i}" for i in range(len(cols))]
+    wide = df.select("*", *[value(c).alias(v) for c, v in zip(cols, vcols)],
+                     *[col.cast("double").alias(f"__s_{k}") for k, col in sums.items()])
+    return wide, vcols
+
+
+def _totals(wide: DataFrame, cols, vcols, sums, extras, more=()):
+    """One aggregation: non-null counts, totals of the summed columns, extra expressions."""
+    aggs = [F.count(v).alias(f"n{i}") for i, v in enumerate(vcols)]
+    aggs += [F.sum(F.when(F.col(v).isNotNull(), F.col(f"__s_{k}"))).alias(f"t{i}_{k}")
+             for i, v in enumerate(vcols) for k in sums]
+    head = wide.agg(*aggs, *[e.alias(f"x_{k}") for k, e in extras.items()], *more).first()
+    n = {c: int(head[f"n{i}"]) for i, c in enumerate(cols)}
+    return head, n, {k: {c: float(head[f"t{i}_{k}"] or 0.0) for i, c in enumerate(cols)} for k in sums}
+
+
+#: Sketches that meet in the last merge; bins of a counting pass; rows up to which a bin is ranked value by value.
+SKETCH_GROUPS, BINS, RANKED_ROWS = 64, 2048, 200_000
+
+
+def _bin(x: Column, low: float, high: float) -> Column:
+    """0 .. BINS - 1 of a finite value between the finite ``low`` and ``high``; -1 and BINS for the infinities."""
+    if high > low:
+        share = (x / 2 - F.lit(low / 2)) / F.lit(high / 2 - low / 2)
+        inner = F.least(F.greatest(F.floor(share * BINS), F.lit(0)), F.lit(BINS - 1))
+    else:
+        inner = F.lit(0).cast("long")
+    return F.when(x == math.inf, F.lit(BINS)).when(x == -math.inf, F.lit(-1)).otherwise(inner).cast("int")
+
+
+@dataclass
+class _Span:
+    """Values of one column from ``low`` to ``high``: rows before it, rows in it, wanted positions."""
+    var: str
+    low: float
+    high: float
+    before: int
+    rows: int
+    sums_before: dict[str, float]
+    wanted: list[int]
+
+    def holds(self, x: Column) -> Column:
+        return (x >= F.lit(self.low)) & (x <= F.lit(self.high))
+
+    @property
+    def done(self) -> bool:
+        return self.rows <= RANKED_ROWS or self.low == self.high
+
+
+def selected_ranks(df: DataFrame, cols: list[str], probs: list[float], sums: dict[str, Column] | None = None,
+                   extras: dict[str, Column] | None = None) -> Ranked:
+    """Like ``value_ranks``, but the table holds only the values around the positions of ``probs``."""
+    sums, extras = sums or {}, extras or {}
+    wide, vcols = _with_values(df, cols, sums)
+    finite = [F.when(F.abs(F.col(v)) < math.inf, F.col(v)) for v in vcols]
+    more = [agg(x).alias(f"{k}{i}") for i, x in enumerate(finite) for k, agg in (("lo", F.min), ("hi", F.max))]
+    head, n, totals = _totals(wide, cols, vcols, sums, extras, more)
+    column = dict(zip(cols, vcols))
+    spans = [_Span(c, -math.inf, math.inf, 0, n[c], dict.fromkeys(sums, 0.0),
+                   sorted({q for _, _, lo, hi, _ in _positions(n[c], probs) for q in (lo, hi)}))
+             for c in cols if n[c]]
+    limits = {c: (head[f"lo{i}"] or 0.0, head[f"hi{i}"] or 0.0) for i, c in enumerate(cols)}
+    first = True
+    while first or not all(s.done for s in spans):
+        spans = _narrowed(wide, column, [s for s in spans if first or not s.done], sums, limits if first else None) + [
+            s for s in spans if not first and s.done]
+        first = False
+    scols = [f"__s_{k}" for k in sums]
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("var"), F.col(column[c]).alias("value"), _which(F.col(column[c]), c, spans).alias("span"))
+        for c in cols])) if cols else None
+    long = wide.select(cells.alias("c"), *scols).select("c.*", *scols).where(F.col("span").isNotNull())
+    counts = long.groupBy("var", "span", "value").agg(
+        F.count(F.lit(1)).alias("cnt"), *[F.sum(f"__s_{k}").alias(k) for k in sums])
+    w = Window.partitionBy("var", "span").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+
+    def start(of):
+        return F.element_at(F.array(*[F.lit(of(s)) for s in spans] or [F.lit(0)]), F.col("span") + 1)
+    ranked = counts.withColumn("cum_hi", start(lambda s: s.before).cast("long") + F.sum("cnt").over(w))
+    for k in sums:
+        ranked = ranked.withColumn(f"cum_{k}", start(lambda s: float(s.sums_before[k])) + F.sum(k).over(w))
+    ranked = ranked.withColumn("cum_lo", F.col("cum_hi") - F.col("cnt"))
+    keep = ["var", "value", "cnt", "cum_lo", "cum_hi", *[x for k in sums for x in (k, f"cum_{k}")]]
+    return Ranked(ranked.select(*keep), n, totals, {k: head[f"x_{k}"] for k in extras})
+
+
+def _which(x: Column, var: str, spans: list[_Span]) -> Column:
+    """Number of the span of ``var`` that holds the value, else null."""
+    return F.coalesce(*[F.when(s.holds(x), F.lit(i)) for i, s in enumerate(spans) if s.var == var],
+                      F.lit(None).cast("int"))
+
+
+def _narrowed(wide, column, spans, sums, limits) -> list[_Span]:
+    """The bins of the spans that hold a wanted position, from one counting pass (spans x BINS rows at most)."""
+    def edges(s):
+        return limits[s.var] if limits else (s.low, s.high)
+    cells = []
+    for c, v in column.items():
+        own = [(i, s) for i, s in enumerate(spans) if s.var == c]
+        if own:
+            x = F.col(v)
+            place = F.coalesce(*[F.when(s.holds(x), F.struct(F.lit(i).alias("span"), _bin(x, *edges(s)).alias("bin")))
+                                 for i, s in own])
+            cells.append(F.struct(place.alias("place"), x.alias("value")))
+    scols = [f"__s_{k}" for k in sums]
+    if not cells:
+        return []
+    table = (wide.select(F.explode(F.array(*cells)).alias("c"), *scols).where(F.col("c.place").isNotNull())
+             .groupBy("c.place.span", "c.place.bin")
+             .agg(F.count(F.lit(1)).alias("rows"), F.min("c.value").alias("low"), F.max("c.value").alias("high"),
+                  *[F.sum(f"__s_{k}").alias(f"s_{k}") for k in sums]).collect())
+    out = []
+    for i, s in enumerate(spans):
+        before, sums_before = s.before, dict(s.sums_before)
+        for r in sorted((r for r in table if r["span"] == i), key=lambda r: r["bin"]):
+            wanted = [q for q in s.wanted if before <= q < before + r["rows"]]
+            if wanted:
+                out.append(_Span(s.var, r["low"], r["high"], before, r["rows"], dict(sums_before), wanted))
+            before += r["rows"]
+            for k in sums:
+                sums_before[k] += r[f"s_{k}"] or 0.0
+    return out
+
+
 def _positions(n: int, probs: list[float]):
     plan = []
     for i, p in enumerate(probs):
@@ -180,13 +309,13 @@ def interpolate(r: Ranked, probs: list[float], round_digits: int | None = None):
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    buckets: int | None = None, round_digits: int | None = None) -> DataFrame:
+                    round_digits: int | None = None) -> DataFrame:
     """Linear-interpolation quantiles (numpy default, DuckDB ``quantile_cont``).
 
-    Runs two jobs and returns a small local DataFrame
+    Returns a small local DataFrame
     ``var string, prob_index int, prob double, value double``.
     """
-    return quantiles_from_ranks(value_ranks(df, cols, buckets=buckets), probs, round_digits=round_digits)
+    return quantiles_from_ranks(selected_ranks(df, cols, probs), probs, round_digits=round_digits)
 
 
 def average_ranks(r: Ranked) -> DataFrame:

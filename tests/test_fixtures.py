@@ -366,3 +366,38 @@ def test_search_required_literal_prefilter(spark):
     plain = [r[0] for r in df.select(search("t", pat)).collect()]
     fast = [r[0] for r in df.select(search("t", pat, required="@")).collect()]
     assert plain == fast == [True, False, None, False]
+
+
+@pytest.mark.parametrize("ranked_rows", [1, 5, 200_000])
+def test_selected_ranks_of_any_shape(spark, monkeypatch, ranked_rows):
+    """Heavy tails, ties, infinities, null and NaN: the same order statistics as a sort."""
+    import random
+    from bandwise.operators import quantiles as Q
+    monkeypatch.setattr(Q, "RANKED_ROWS", ranked_rows)
+    monkeypatch.setattr(Q, "BINS", 8)
+    rng = random.Random(2)
+    a = [10 ** rng.uniform(-5, 5) * rng.choice([-1, 1]) for _ in range(60)] + [3.0] * 30 + [math.inf, -math.inf, 1e300]
+    b = [None] * 50 + [float("nan")] * 10 + [7.0] * (len(a) - 60)
+    df = spark.createDataFrame([(x, y, 1 if i % 3 else 0) for i, (x, y) in enumerate(zip(a, b))], "a double, b double, e int")
+    probs = [0.1, 0.25, 0.5, 0.9]
+    r = Q.selected_ranks(df, ["a", "b"], probs, sums={"e": F.col("e")})
+    got = {(v, i): (x, lo["cum_e"]) for v, i, _, x, (lo, _) in Q.interpolate(r, probs)}
+    s = sorted(zip(a, [1 if i % 3 else 0 for i in range(len(a))]))
+    for i, p in enumerate(probs):
+        h = (len(s) - 1) * p
+        lo, frac = int(h), h - int(h)
+        want = s[lo][0] + (s[lo + 1][0] - s[lo][0]) * frac
+        assert got["a", i][0] == pytest.approx(want)
+        assert got["a", i][1] == sum(e for x, e in s if x <= s[lo][0])
+        assert got["b", i][0] == 7.0
+    assert r.n == {"a": len(a), "b": len(a) - 60}
+
+
+def test_nan_scores_are_missing_in_both_modes(spark):
+    from bandwise.operators.evaluate import score_performance
+    df = spark.createDataFrame([(float("nan"), 1), (0.2, 0), (0.4, 1), (0.6, 1), (None, 1)], "s double, t int")
+    train, edges = score_performance(df, "s", "t", bins=2)
+    assert edges == pytest.approx([0.0, 0.4, 1.0])
+    test, _ = score_performance(df, "s", "t", edges=edges)
+    assert sorted(map(repr, train.collect())) == sorted(map(repr, test.collect()))
+    assert train.where("is_total").first()["Total"] == 3
