@@ -100,6 +100,18 @@ def drop_low_cardinality(df: DataFrame, profile: DataFrame, min_vals: int = 2,
     return df.drop(*names), names
 
 
+def drop_constant(df: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, list[str]]:
+    """Drop columns with fewer than two distinct non-null values (P9): no two values
+    are distinct where the smallest is the largest, so one aggregation tells."""
+    names = [c for c in df.columns if c not in set(keep or [])]
+    if not names:
+        return df, []
+    row = df.agg(*[F.coalesce(F.min(F.col(f"`{c}`")) == F.max(F.col(f"`{c}`")), F.lit(True)).alias(f"c{i}")
+                   for i, c in enumerate(names)]).first()
+    dropped = [c for i, c in enumerate(names) if row[f"c{i}"]]
+    return df.drop(*dropped), dropped
+
+
 # Regular expressions for the content of text columns.
 INTEGER_TEXT = r"^\s*[-+]?[0-9]+\s*$"
 FLOAT_TEXT = r"^\s*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?\s*$"

@@ -23,12 +23,12 @@ def left_lookup(df: DataFrame, table: DataFrame, key: str, value: str, out: str
 
 def semi(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key is in ``keys`` (J4, ``isin`` of a computed set)."""
-    return df.join(keys.select(*on).distinct(), on, "left_semi")
+    return df.join(keys.select(*on), on, "left_semi")
 
 
 def anti(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key is not in ``keys``."""
-    return df.join(keys.select(*on).distinct(), on, "left_anti")
+    return df.join(keys.select(*on), on, "left_anti")
 
 
 def align(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:

@@ -19,6 +19,7 @@ INF = float("inf")
 # Fixed value: label of the bin that collects small levels.
 OTHERS = "Others"
 
+# Names of the report columns.
 WOE_COLS = ["badCnt", "totalCnt", "goodCnt", "popPercentage", "badDistribution", "goodDistribution",
             "distributedGoodBad", "WOE", "IV", "badRate"]
 
@@ -243,41 +244,34 @@ def cramers_v(df: DataFrame, cols: list[str]) -> DataFrame:
     """Cramér's V for every column pair i < j in ``cols`` order (C16), no
     continuity correction: V = sqrt(chi2 / (n * (min(r, c) - 1))).
 
-    One pass: each row emits one (pair, level, level) record per pair plus one
-    (column, level) record per column, map-side; one ``groupBy`` then yields
-    all contingency tables, the distinct non-null levels of each column (r, c)
-    and the row count n (all rows, nulls included). chi2 = N * (sum O^2/(R*C) - 1)
-    over the non-null cells of a pair, N their total.
+    One scan and one shuffle of counts: each row emits a (pair number, level,
+    level) record per pair, and one ``groupBy`` yields all contingency tables,
+    missing levels included. Everything else follows from those cells: n (all
+    rows), r and c (distinct levels) and chi2 = N * (sum O^2/(R*C) - 1) over the
+    cells without a missing level, N their total.
     """
     pairs = [(i, j) for i in range(len(cols)) for j in range(len(cols)) if i < j]
     if not pairs:
         return df.sparkSession.createDataFrame([], "var1 string, var2 string, CramersV double")
-    single = F.lit(None).cast("string")
 
     def lvl(c):
         return F.col(f"`{c}`").cast("string")
-    records = F.explode(F.array(
-        *[F.struct(F.lit(cols[i]).alias("var1"), F.lit(cols[j]).alias("var2"), lvl(cols[i]).alias("l1"),
-                   lvl(cols[j]).alias("l2")) for i, j in pairs],
-        *[F.struct(F.lit(c).alias("var1"), single.alias("var2"), lvl(c).alias("l1"), single.alias("l2"))
-          for c in cols]))
-    obs = (df.select(records.alias("s")).select("s.*")
-           .groupBy("var1", "var2", "l1", "l2").agg(F.count(F.lit(1)).alias("o")))
-    # obs has at most pairs x r x c + columns x r rows (bins per variable are bounded).
-    cells = (obs.where(F.col("var2").isNotNull() & F.col("l1").isNotNull() & F.col("l2").isNotNull())
-             .withColumn("R", F.sum("o").over(Window.partitionBy("var1", "var2", "l1")))
-             .withColumn("C", F.sum("o").over(Window.partitionBy("var1", "var2", "l2")))
-             .withColumn("N", F.sum("o").over(Window.partitionBy("var1", "var2"))))
-    chi = cells.groupBy("var1", "var2").agg(
-        (F.first("N") * (F.sum(F.col("o") * F.col("o") / (F.col("R") * F.col("C"))) - 1.0)).alias("chi2"))
-    per_col = (obs.where(F.col("var2").isNull()).groupBy(F.col("var1").alias("var"))
-               .agg(F.count_if(F.col("l1").isNotNull()).alias("d"), F.sum("o").alias("n")))
-    d1 = per_col.select(F.col("var").alias("var1"), F.col("d").alias("d1"), "n")
-    d2 = per_col.select(F.col("var").alias("var2"), F.col("d").alias("d2"))
-    # per_col has one row per column: broadcast.
-    return (chi.join(F.broadcast(d1), "var1").join(F.broadcast(d2), "var2")
-            .select("var1", "var2",
-                    F.sqrt(F.try_divide(F.col("chi2"), F.col("n") * (F.least("d1", "d2") - 1))).alias("CramersV")))
+    records = F.explode(F.array(*[
+        F.struct(F.lit(p).alias("pair"), lvl(cols[i]).alias("l1"), lvl(cols[j]).alias("l2"))
+        for p, (i, j) in enumerate(pairs)]))
+    cells = df.select(records.alias("s")).select("s.*").groupBy("pair", "l1", "l2").agg(F.count(F.lit(1)).alias("o"))
+    full = F.col("l1").isNotNull() & F.col("l2").isNotNull()
+    cells = (cells.withColumn("f", F.when(full, F.col("o")))
+             .withColumn("R", F.sum("f").over(Window.partitionBy("pair", "l1")))
+             .withColumn("C", F.sum("f").over(Window.partitionBy("pair", "l2"))))
+    table = cells.groupBy("pair").agg(
+        F.sum("o").alias("n"), F.sum("f").alias("full"), F.sum(F.col("f") * F.col("f") / (F.col("R") * F.col("C"))).alias("s"),
+        F.count_distinct("l1").alias("d1"), F.count_distinct("l2").alias("d2"))
+    names = F.array(*[F.struct(F.lit(cols[i]).alias("var1"), F.lit(cols[j]).alias("var2")) for i, j in pairs])
+    chi2 = F.col("full") * (F.col("s") - 1.0)
+    return (table.where(F.col("full").isNotNull()).withColumn("v", F.element_at(names, F.col("pair") + 1))
+            .select("v.var1", "v.var2",
+                    F.sqrt(F.try_divide(chi2, F.col("n") * (F.least("d1", "d2") - 1))).alias("CramersV")))
 
 
 def cramers_v_select(pairs: DataFrame, iv: DataFrame, cv_max: float = 0.6) -> tuple[list[str], DataFrame]:

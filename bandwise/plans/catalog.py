@@ -7,6 +7,7 @@ DataFrame whose floating columns are rounded to 6 decimals.
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,14 +27,9 @@ def register(name: str, sql: str | None = None):
 
 def _load_all():
     # Import query modules for their registration side effect.
-    from bandwise.plans import q_evaluate  # noqa: F401
-    for mod in ("q_profile", "q_split", "q_encode", "q_scorecard", "q_stats", "q_media",
+    for mod in ("q_evaluate", "q_profile", "q_split", "q_encode", "q_scorecard", "q_stats", "q_media",
                 "q_text", "q_explain", "q_models", "q_udf", "q_relational", "q_streaming"):
-        try:
-            __import__(f"bandwise.plans.{mod}")
-        except ModuleNotFoundError as e:  # modules are added as operators land
-            if e.name != f"bandwise.plans.{mod}":
-                raise
+        importlib.import_module(f"bandwise.plans.{mod}")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

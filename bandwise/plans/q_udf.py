@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bandwise.operators.partition_udf import (SENTENCE_END, TOKEN_PATTERN, attach_token_count, map_partitions,
+from bandwise.operators.partition_udf import (SENTENCE_END, TOKEN_PATTERN, attach_token_count, get_partition, map_partitions,
                                               partition_sizes, text_stats_batch)
 from bandwise.plans.catalog import register
 from bandwise.sources.tables import load_table
@@ -15,10 +15,9 @@ _STATS_SQL = f"""SELECT doc_id, CAST(len(regexp_extract_all(COALESCE(text, ''),
 
 
 def text_udf_partitions(spark, sf_dir):
-    """Text statistics computed per partition with mapInPandas (16 partitions)."""
+    """G1: text statistics computed per partition of the scan with mapInPandas; no text is shuffled."""
     d = load_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    return map_partitions(d, text_stats_batch, "doc_id long, n_tokens long, n_sentences long, n_chars long",
-                          partitions=16)
+    return map_partitions(d, text_stats_batch, "doc_id long, n_tokens long, n_sentences long, n_chars long")
 
 
 register("text_udf_partitions", _STATS_SQL)(text_udf_partitions)
@@ -34,22 +33,27 @@ register("text_udf_column", f"""SELECT doc_id, lang,
   CAST(len(regexp_extract_all(COALESCE(text, ''), '{TOKEN_PATTERN}')) AS BIGINT) AS n_tokens FROM documents""")(text_udf_column)
 
 
+PARTITIONS = 16
+
+
 def partition_counts(spark, sf_dir):
-    """Results per partition - one row per partition of a 16-way repartition."""
-    d = load_table(spark, sf_dir, "documents", ["doc_id"]).repartition(16)
-    return partition_sizes(d)
+    """Partitions of a PARTITIONS-way repartition, their rows, and the rows of the first one fetched alone."""
+    d = load_table(spark, sf_dir, "documents", ["doc_id"]).repartitionByRange(PARTITIONS, "doc_id")
+    sizes = partition_sizes(d).agg(F.count(F.lit(1)).alias("partitions"), F.sum("rows").alias("rows"))
+    return sizes.crossJoin(F.broadcast(get_partition(d, 0).agg(F.min("doc_id").alias("first_doc"))))
 
 
-register("partition_counts")(partition_counts)
+register("partition_counts", f"""SELECT {PARTITIONS}::BIGINT AS partitions, COUNT(*)::BIGINT AS rows,
+       MIN(doc_id) AS first_doc FROM documents""")(partition_counts)
 
 
 def tokens_per_language(spark, sf_dir):
-    """G1 + aggregation: total tokens per language from the per-partition statistics."""
-    d = load_table(spark, sf_dir, "documents", ["doc_id", "lang", "text"])
-    stats = map_partitions(d, text_stats_batch, "doc_id long, lang string, n_tokens long, n_sentences long, "
-                                                "n_chars long")
-    return stats.groupBy("lang").agg(F.sum("n_tokens").alias("tokens"), F.sum("n_chars").alias("chars"),
-                                     F.count(F.lit(1)).alias("docs"))
+    """Total tokens and characters per language, with built-in functions only."""
+    d = load_table(spark, sf_dir, "documents", ["lang", "text"])
+    text = F.coalesce("text", F.lit(""))
+    return d.groupBy("lang").agg(
+        F.sum(F.regexp_count(text, F.lit(TOKEN_PATTERN)).cast("long")).alias("tokens"),
+        F.sum(F.char_length(text).cast("long")).alias("chars"), F.count(F.lit(1)).alias("docs"))
 
 
 register("tokens_per_language", f"""SELECT lang,

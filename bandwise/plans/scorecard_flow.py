@@ -12,7 +12,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.types import NumericType, StringType
 
-from bandwise.operators.prep import drop_low_cardinality
+from bandwise.operators.prep import drop_constant
 from bandwise.operators.profile import univariate
 from bandwise.operators.scorecard import (apply_cuts, apply_level_bins, cramers_v, cramers_v_select,
                                           iv_filter, iv_totals, level_bin_map, structure_bin_map,
@@ -33,7 +33,7 @@ class Scorecard:
 
     def train_test_split(self, seed: int = 1, test_size: float = 0.2):
         keep = [self.target] + self.key_cols
-        self.base, self.dropped_constant = drop_low_cardinality(self.base, self.var_start_list, keep=keep)
+        self.base, self.dropped_constant = drop_constant(self.base, keep=keep)
         train, self.test = train_test_split(self.base, self.key_cols, seed, test_size)
         # Every later step reads the train rows: keep them (recomputable from lineage on loss).
         self.train = train.persist(StorageLevel.MEMORY_AND_DISK)
