@@ -28,7 +28,7 @@ def register(name: str, sql: str | None = None):
 def _load_all():
     # Import query modules for their registration side effect.
     for mod in ("q_evaluate", "q_profile", "q_split", "q_encode", "q_scorecard", "q_stats", "q_media",
-                "q_text", "q_explain", "q_models", "q_udf", "q_relational", "q_streaming"):
+                "q_text", "q_explain", "q_models", "q_checks", "q_udf", "q_relational", "q_streaming"):
         importlib.import_module(f"bandwise.plans.{mod}")
 
 
