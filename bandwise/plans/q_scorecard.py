@@ -363,3 +363,48 @@ def scorecard_final(spark, sf_dir):
 
 
 register("scorecard_final")(scorecard_final)
+
+
+# Columns that are related: a hint that mostly tells the target of every fourth order, and two binnings of one price.
+RELATED = ["c_mktsegment", "hint", "price_band", "price_bin"]
+BAND_CUTS = [-INF, 100000.0, 200000.0, INF]
+
+
+def related_selection(spark, sf_dir):
+    """C15/C17 on related columns: total IV, the keep flag, and which variables the elimination drops by name."""
+    told = (F.col("target") == 1) != (F.col("o_orderkey") % 12 == 0)
+    hint = F.when(F.col("o_orderkey") % 4 != 0, "none").when(told, "bad").otherwise("good")
+    train = _train(spark, sf_dir).withColumns(
+        {"hint": hint, "price_band": F.col("o_totalprice"), "price_bin": F.col("o_totalprice")})
+    binned = apply_cuts(train, {"price_band": BAND_CUTS, "price_bin": PRICE_CUTS}).select("target", *RELATED)
+    iv = iv_totals(woe_binned(binned, RELATED, "target"))
+    dropped, _ = cramers_v_select(cramers_v(binned, RELATED), iv, 0.6)
+    return rounded(iv.withColumn("keep", F.col("IV") >= F.lit(0.02)).withColumn("dropped", F.col("var").isin(dropped)))
+
+
+def _related_sql() -> str:
+    unpivoted = " UNION ALL ".join(f"SELECT '{c}' AS var, {c} AS bin, target FROM bt WHERE {c} IS NOT NULL" for c in RELATED)
+    woe = _woe_sql(f"""train AS ({_TRAIN_SQL}),
+bt AS (SELECT target, c_mktsegment, CASE WHEN o_orderkey % 4 <> 0 THEN 'none'
+            WHEN (target = 1) <> (o_orderkey % 12 = 0) THEN 'bad' ELSE 'good' END AS hint,
+       {_cut_case('o_totalprice', BAND_CUTS)} AS price_band, {_cut_case('o_totalprice', PRICE_CUTS)} AS price_bin FROM train),
+binned AS ({unpivoted})""")
+    pairs = [(a, b) for i, a in enumerate(RELATED) for b in RELATED[i + 1:]]
+    train = f"""SELECT target, c_mktsegment,
+       CASE WHEN o_orderkey % 4 <> 0 THEN 'none'
+            WHEN (target = 1) <> (o_orderkey % 12 = 0) THEN 'bad' ELSE 'good' END AS hint,
+       {_cut_case('o_totalprice', BAND_CUTS)} AS price_band, {_cut_case('o_totalprice', PRICE_CUTS)} AS price_bin
+       FROM ({_TRAIN_SQL})"""
+    cells = " UNION ALL ".join(f"SELECT '{a}' AS var1, '{b}' AS var2, {a} AS l1, {b} AS l2 FROM rel" for a, b in pairs)
+    return f"""WITH woe AS ({woe}), ivs AS (SELECT var, IV FROM woe WHERE is_total),
+rel AS ({train}), cells AS ({cells}),
+obs AS (SELECT var1, var2, l1, l2, COUNT(*) AS o FROM cells GROUP BY ALL),
+m AS (SELECT *, SUM(o) OVER (PARTITION BY var1, var2, l1) AS r, SUM(o) OVER (PARTITION BY var1, var2, l2) AS c FROM obs),
+v AS (SELECT var1, var2, SQRT((SUM(o * o / (r * c)) - 1.0) / (LEAST(COUNT(DISTINCT l1), COUNT(DISTINCT l2)) - 1)) AS v
+      FROM m GROUP BY ALL),
+gone AS (SELECT CASE WHEN a.IV > b.IV THEN v.var2 ELSE v.var1 END AS var
+         FROM v JOIN ivs a ON a.var = v.var1 JOIN ivs b ON b.var = v.var2 WHERE v.v > 0.6)
+SELECT var, IV, IV >= 0.02 AS keep, var IN (SELECT var FROM gone) AS dropped FROM ivs"""
+
+
+register("related_selection", _related_sql())(related_selection)
