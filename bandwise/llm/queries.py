@@ -59,7 +59,34 @@ def op2_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs, percent=80, width=2).select("doc_id", "n_shingles", "component_id", "kept")
 
 
-@register("op3_rendezvous_sharding")
+def _uniform_sql(text: str) -> str:
+    return f"((('0x' || substr(md5({text}), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE)"
+
+
+def _winner_sql(shards: int) -> str:
+    scores = (f"(-1.0 / ln({_uniform_sql(f"coalesce(doc_id::VARCHAR, '') || ':{i}'")}), {-i})" for i in range(shards))
+    return f"-list_max([{', '.join(scores)}])[2]"
+
+
+#: crc32 by its table, which a recursive query derives from the polynomial.
+_CRC_SQL = """RECURSIVE steps(i, k, v) AS (
+  SELECT i, 0, i FROM range(256) t(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM steps WHERE k < 8),
+crc_table AS (SELECT list(v ORDER BY i) AS t FROM steps WHERE k = 8),
+docs AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+         xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(
+               regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)),
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+  FROM documents, crc_table)"""
+
+
+@register("op3_rendezvous_sharding", f"""WITH {_CRC_SQL},
+dealt AS (SELECT *, {_winner_sql(8)} AS shard, {_winner_sql(9)} AS grown_shard,
+          {_uniform_sql("concat_ws(':', coalesce(doc_id::VARCHAR, ''), text_crc32::VARCHAR, size::VARCHAR)")} AS u FROM docs)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY u, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot,
+       grown_shard::INTEGER AS grown_shard FROM dealt""")
 def op3_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load_table(spark, sf_dir, "documents", ["doc_id", "text"])
     return shard_documents(docs, weights=[1.0] * 8)

@@ -5,10 +5,10 @@ to the shard with the largest ``-weight / ln(u)``. Only the record's key, the
 shard numbers and their weights decide, so one more shard takes records only
 into itself and a record otherwise stays where it was.
 
-Slots number the records of a shard without gaps. They are counted from the
-sizes of (shard, bucket) cells, so no task sorts a whole shard: records are
-dealt to hash buckets, numbered inside their cell, and moved by the number of
-records in the cells before.
+Slots number the records of a shard without gaps, in the order of a hash of the
+record. They are counted from the sizes of (shard, hash range) cells, so no
+task sorts a whole shard: records are numbered inside their cell and moved by
+the number of records in the cells before.
 """
 
 from __future__ import annotations
@@ -24,11 +24,16 @@ from bandwise.llm.common import stored, text_of
 DIGITS = 13
 
 
-def shard_score(key: Column, shard: int, weight: float) -> Column:
-    """-weight / ln(u) with u in (0, 1) from the md5 of "key:shard"."""
-    text = F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f":{shard}"))
+def uniform(*parts: Column) -> Column:
+    """u in (0, 1) from the md5 of the parts, joined by colons (null: empty)."""
+    text = F.concat_ws(":", *(F.coalesce(p.cast("string"), F.lit("")) for p in parts))
     bits = F.conv(F.substring(F.md5(text.cast("binary")), 1, DIGITS), 16, 10).cast("double")
-    return F.lit(-float(weight)) / F.log((bits + 0.5) / float(16 ** DIGITS))
+    return (bits + 0.5) / float(16 ** DIGITS)
+
+
+def shard_score(key: Column, shard: int, weight: float) -> Column:
+    """-weight / ln(u) of "key:shard"."""
+    return F.lit(-float(weight)) / F.log(uniform(key, F.lit(shard)))
 
 
 def rendezvous_shard(key: Column, weights: Sequence[float]) -> Column:
@@ -47,10 +52,9 @@ def shard_documents(docs: DataFrame, weights: Sequence[float], id_col: str = "do
 
     ``grown_shard`` is the shard after one more shard of ``added_weight`` is
     added. A null text has no bytes (size 1, crc32 0); a null id counts as the
-    empty key, so all such rows share a shard, but are dealt to buckets by
-    their text. Repeated rows keep a slot each. Slots follow (bucket, id, crc,
-    size), so a rerun gives the same rows the same slots; only rows equal in
-    all of these can trade places. An empty table gives an empty table.
+    empty key, so all such rows share a shard. Repeated rows keep a slot each.
+    Slots follow (hash of id, crc and size, then these), so a rerun gives the
+    same rows the same slots; only rows equal in all of these can trade places. An empty table gives an empty table.
     """
     body = text_of(text_col).cast("binary")
     key = F.col(id_col)
@@ -60,8 +64,9 @@ def shard_documents(docs: DataFrame, weights: Sequence[float], id_col: str = "do
         rendezvous_shard(key, weights).alias("shard"),
         rendezvous_shard(key, [*weights, added_weight]).alias("grown_shard")))
     cells = max(1, -(-rows.count() // (rows_per_cell * len(weights))) * 4)
-    order = ["doc_id", "text_crc32", "size"]
-    rows = rows.withColumn("cell", F.pmod(F.xxhash64(*order), F.lit(cells)).cast("int"))
+    order = ["u", "doc_id", "text_crc32", "size"]
+    rows = rows.withColumn("u", uniform(*map(F.col, order[1:])))
+    rows = rows.withColumn("cell", F.floor(F.col("u") * cells).cast("int"))
     before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = (rows.groupBy("shard", "cell").agg(F.count(F.lit(1)).alias("n"))
               .select("shard", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")))
