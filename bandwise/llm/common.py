@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -117,10 +119,22 @@ def chained(state: np.ndarray, value: np.ndarray) -> np.ndarray:
     return mix64(state * _MULTIPLIER + value)
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def give_back() -> None:
+    """Return freed memory to the system: a worker process lives on for the tasks of other operators."""
+    pa.default_memory_pool().release_unused()
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about ``most`` bytes of text, one row at least, to bound a worker's memory."""
-    for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        group = np.cumsum(sizes.astype(np.int64)) // most
-        for start, rows in zip(*np.unique(group, return_index=True, return_counts=True)[1:], strict=True):
-            yield batch.slice(int(start), int(rows))
+    try:
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+            group = np.cumsum(sizes.astype(np.int64)) // most
+            for start, rows in zip(*np.unique(group, return_index=True, return_counts=True)[1:], strict=True):
+                yield batch.slice(int(start), int(rows))
+    finally:
+        give_back()

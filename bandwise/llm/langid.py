@@ -24,7 +24,7 @@ from bandwise.llm.common import chained, held_out, text_of, text_slices
 #: Hash buckets of the n-grams of 1 to GRAMS characters.
 BUCKETS, GRAMS = 1 << 14, 3
 #: Fitted on about so many rows of a language; no more languages than that are learned.
-ROWS_PER_LANGUAGE, MOST_LANGUAGES, EPOCHS = 1_000, 1_000, 3
+ROWS_PER_LANGUAGE, MOST_LANGUAGES, EPOCHS = 500, 1_000, 3
 #: Follow-the-regularised-leader: learning rate, its smoothing, and the L1 and L2 penalties.
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.01, 0.001
 UNKNOWN = "und"
@@ -77,8 +77,8 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = [i for i, g in enumerate(grams) if g]
         yield pa.RecordBatch.from_arrays(
             [part.column("lang").take(pa.array(use, pa.int64())), part.column("draw").take(pa.array(use, pa.int64())),
-             pa.array([grams[i][0] for i in use], pa.list_(pa.int64())),
-             pa.array([grams[i][1] for i in use], pa.list_(pa.int64()))], ["lang", "draw", "at", "counts"])
+             pa.array([grams[i][0] for i in use], pa.list_(pa.int32())),
+             pa.array([grams[i][1] for i in use], pa.list_(pa.int32()))], ["lang", "draw", "at", "counts"])
 
 
 class Ftrl:
@@ -110,7 +110,7 @@ def fit(sample: pd.DataFrame, idf: np.ndarray) -> tuple[list[str], np.ndarray, f
     """(languages, weights, temperature) from rows of lang, draw (0 to 1), at, counts."""
     sample = sample.sort_values("draw", kind="stable")
     names = sorted(sample["lang"].unique())
-    rows = [(np.append(a, BUCKETS), np.append(weighted(a, c, idf), 1.0), names.index(k))
+    rows = [(np.append(a, np.int32(BUCKETS)), np.append(weighted(a, c, idf), 1.0).astype(np.float32), names.index(k))
             for k, a, c in zip(sample["lang"], sample["at"], sample["counts"], strict=True)]
     kept_back = rows[::5] if len(rows) >= 10 * len(names) else rows
     learning = [r for i, r in enumerate(rows) if i % 5] if kept_back is not rows else rows
@@ -173,7 +173,7 @@ def with_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
     sample = (learning.withColumn("draw", _draw(F.col("doc_id"))).join(F.broadcast(per_language.limit(MOST_LANGUAGES)), "lang")
               .filter(F.col("draw") * F.col("rows") < rows_per_language).select("text", "lang", "draw")
-              .mapInArrow(_grams, "lang string, draw double, at array<long>, counts array<long>").toPandas())
+              .mapInArrow(_grams, "lang string, draw double, at array<int>, counts array<int>").toPandas())
     names, w, temperature = fit(sample, idf) if len(sample) else ([], np.zeros((BUCKETS + 1, 0)), 1.0)
     schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
