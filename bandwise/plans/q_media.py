@@ -56,8 +56,8 @@ def adstock(spark, sf_dir):
 
 
 def _adstock_sql(table: str, value: str, alpha: str) -> str:
-    """Sum over the rows of the last L days, by a join on the dates."""
-    return (f"(SELECT SUM(POW({alpha}, (a.period - b.period)::DOUBLE) * b.{value}) FROM {table} b "
+    """Sum over the rows of the last L days, by a join on the dates; oldest first, as the operator adds."""
+    return (f"(SELECT SUM(POW({alpha}, (a.period - b.period)::DOUBLE) * b.{value} ORDER BY b.period) FROM {table} b "
             f"WHERE b.channel = a.channel AND b.period BETWEEN a.period - {L - 1} AND a.period)")
 
 
