@@ -11,7 +11,7 @@ original names and are translated to Spark ML parameters:
   (Spark regularises a mean loss).
 
 The linear SVM gets probabilities from a Platt step: a logistic regression
-fitted on the SVM margin.
+fitted on out-of-fold SVM margins.
 """
 
 from __future__ import annotations
@@ -51,8 +51,35 @@ def _depth(d) -> int:
     return int(min(MAX_DEPTH, d))
 
 
+class CalibratedSVM:
+    """Linear SVM whose Platt step sees out-of-fold margins only (M5).
+
+    Rows are dealt to ``folds`` parts by the hash of their features; each part
+    gets margins from an SVM fitted on the others, the logistic step is fitted
+    on all of these, and the SVM that is kept on all rows.
+    """
+
+    def __init__(self, scaler: StandardScaler, label: str, reg: float, features: str, folds: int = 3):
+        self.scaler, self.label, self.features, self.folds = scaler, label, features, folds
+        self.svc = LinearSVC(featuresCol="__scaled", labelCol=label, regParam=reg,
+                             rawPredictionCol="__svm_raw", predictionCol="__svm_pred")
+        self.margin = VectorSlicer(inputCol="__svm_raw", outputCol="__margin_vec", indices=[1])
+        self.platt = LogisticRegression(featuresCol="__margin_vec", labelCol=label, regParam=0.0)
+
+    def fit(self, df: DataFrame) -> PipelineModel:
+        scaler = self.scaler.fit(df)
+        fold = F.pmod(F.xxhash64(vector_to_array(self.features)), F.lit(self.folds))
+        scaled = scaler.transform(df).withColumn("__part", fold)
+        margins = None
+        for f in range(self.folds):
+            model = self.svc.fit(scaled.where(F.col("__part") != f))
+            part = self.margin.transform(model.transform(scaled.where(F.col("__part") == f))).select("__margin_vec", self.label)
+            margins = part if margins is None else margins.union(part)
+        return PipelineModel(stages=[scaler, self.svc.fit(scaled), self.margin, self.platt.fit(margins)])
+
+
 def build_pipeline(name: str, params: dict, n_rows: int, features: str = "features",
-                   label: str = "label", seed: int = 1) -> Pipeline:
+                   label: str = "label", seed: int = 1) -> Pipeline | CalibratedSVM:
     """Pipeline for one model name and one parameter point (M3-M7)."""
     if name == "gbm":
         est = GBTClassifier(featuresCol=features, labelCol=label, seed=seed,
@@ -77,11 +104,7 @@ def build_pipeline(name: str, params: dict, n_rows: int, features: str = "featur
         lr = LogisticRegression(featuresCol="__scaled", labelCol=label, regParam=reg, elasticNetParam=0.0)
         return Pipeline(stages=[scaler, lr])
     if name == "svm":
-        svc = LinearSVC(featuresCol="__scaled", labelCol=label, regParam=reg,
-                        rawPredictionCol="__svm_raw", predictionCol="__svm_pred")
-        margin = VectorSlicer(inputCol="__svm_raw", outputCol="__margin_vec", indices=[1])
-        platt = LogisticRegression(featuresCol="__margin_vec", labelCol=label, regParam=0.0)
-        return Pipeline(stages=[scaler, svc, margin, platt])
+        return CalibratedSVM(scaler, label, reg, features)
     raise ValueError(f"unknown model {name}")
 
 
