@@ -75,6 +75,11 @@ def held_out(key: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS)) == 0
 
 
+def draw(seed: int, *columns: str) -> Column:
+    """Uniform in [0, 1) from a row's values: ``draw * rows < n`` takes about n rows, the same ones each time."""
+    return F.pmod(F.xxhash64(*columns, F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` clashes with it."""
     taken = {c.lower() for c in df.columns}

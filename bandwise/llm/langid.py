@@ -16,10 +16,10 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F, types as T
 
-from bandwise.llm.common import chained, held_out, text_of, text_slices
+from bandwise.llm.common import chained, draw, held_out, text_of, text_slices
 
 #: Hash buckets of the n-grams of 1 to GRAMS characters.
 BUCKETS, GRAMS = 1 << 14, 3
@@ -145,11 +145,6 @@ def _predicted(names: list[str], w: np.ndarray, idf: np.ndarray, temperature: fl
     return run
 
 
-def _draw(key: Column) -> Column:
-    """Uniform in [0, 1) from the row's key."""
-    return F.pmod(F.xxhash64(key, F.lit(7)), F.lit(1 << 40)) / float(1 << 40)
-
-
 def with_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                    rows_per_language: int = ROWS_PER_LANGUAGE) -> DataFrame:
     """row (all columns of ``docs``, as a struct), lang_pred, score, per row.
@@ -171,7 +166,7 @@ def with_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     df = np.zeros(BUCKETS + 1)
     np.add.at(df, frequency["bucket"].to_numpy(int), frequency["n"].to_numpy(float))  # -1: the number of texts
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
-    sample = (learning.withColumn("draw", _draw(F.col("doc_id"))).join(F.broadcast(per_language.limit(MOST_LANGUAGES)), "lang")
+    sample = (learning.withColumn("draw", draw(7, "doc_id")).join(F.broadcast(per_language.limit(MOST_LANGUAGES)), "lang")
               .filter(F.col("draw") * F.col("rows") < rows_per_language).select("text", "lang", "draw")
               .mapInArrow(_grams, "lang string, draw double, at array<int>, counts array<int>").toPandas())
     names, w, temperature = fit(sample, idf) if len(sample) else ([], np.zeros((BUCKETS + 1, 0)), 1.0)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.llm.common import chained, stored, text_of, text_slices
+from bandwise.llm.common import chained, draw, stored, text_of, text_slices
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -165,8 +165,8 @@ def judge_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                   bad_to_clean: float = BAD_TO_CLEAN, seed: int = 8) -> DataFrame:
     """Per row: doc_id, COUNTS, base_failed, anomaly (0 to 1 per FEATURES), kept.
 
-    ``labels`` has doc_id and quality (1: clean, 0: not). ``sample_rows`` bounds
-    the rows that the forest is grown on; statistics, scores and the threshold
+    ``labels`` has doc_id and quality (1: clean, 0: not). The forest is grown on
+    about ``sample_rows`` rows, drawn by hash; statistics, scores and the threshold
     cover all rows. base_failed: fewer than ``min_words`` words, or more than
     ``max_repeat_percent`` percent of the words in repeated windows. Null text
     counts as empty (no words: base_failed). Without labels of both kinds
@@ -179,8 +179,10 @@ def judge_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     rows = stored(docs.mapInArrow(_measured, f"doc_id {id_type}, {counted}, stats array<double>"))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     rows = rows.withColumn("base_failed", failed)
-    sample = (rows.filter(~F.col("base_failed")).select("stats", F.xxhash64("doc_id", F.lit(seed)).alias("order"), "n_words", "word_chars")
-              .orderBy("order", "n_words", "word_chars").limit(sample_rows).select("stats").toPandas())
+    judged = rows.filter(~F.col("base_failed"))
+    # The limit only bounds rows that are equal in all that is drawn by.
+    sample = (judged.filter(draw(seed, "doc_id", "n_words", "word_chars") * judged.count() < sample_rows)
+              .select("stats").limit(2 * sample_rows).toPandas())
     if len(sample) < 2:
         return rows.select("doc_id", *COUNTS, "base_failed", F.lit(None).cast("array<double>").alias("anomaly"),
                            (~F.col("base_failed")).alias("kept"))

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.llm.common import chained, held_out, release, stored, text_of, text_slices
+from bandwise.llm.common import chained, draw, held_out, release, stored, text_of, text_slices
 
 LETTERS = regex.compile(r"\p{L}+")
 #: First letters of a word that are features of their own, by how often they occur in a text at least.
@@ -150,8 +150,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     ``labels`` has doc_id and toxic (1: confirmed). Held-out ids (crc32 of the
     id's text mod 5 is 0; null: held out) are neither examples nor counted.
-    At most ``positive_rows`` confirmed examples (by hash) and about
-    ``unlabelled_rows`` texts (by hash) are trained on; a text without words has the
+    About ``positive_rows`` confirmed examples and ``unlabelled_rows`` texts,
+    drawn by hash, are trained on; a text without words has the
     bias's score. Without confirmed examples all scores are 0. Repeated rows
     are each returned; an empty table gives an empty table.
     """
@@ -160,13 +160,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     n_marks, n_toxic = marks.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("toxic").cast("long")), F.lit(0))).first()
     selected, w = np.empty(0, np.int64), np.array([-np.inf])
     if n_toxic:
-        chosen = (marks.filter("toxic = 1").select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(6)), "doc_id")
-                  .limit(positive_rows))
         learning = docs.filter(~F.col("held_out"))
+        chosen = (marks.filter("toxic = 1").filter(draw(6, "doc_id") * n_toxic < positive_rows).select("doc_id").distinct()
+                  .limit(2 * positive_rows))
         n = learning.select("held_out").count()
-        draw = F.pmod(F.xxhash64("doc_id", F.lit(16)), F.lit(1 << 40)) / float(1 << 40)
         positive = learning.join(F.broadcast(chosen), "doc_id").select("text").mapInArrow(_examples, "features array<long>")
-        unlabelled = learning.filter(draw * n < unlabelled_rows).select("text").mapInArrow(_examples, "features array<long>")
+        unlabelled = learning.filter(draw(16, "doc_id") * n < unlabelled_rows).select("text").mapInArrow(_examples, "features array<long>")
         examples = stored(positive.withColumn("positive", F.lit(True)).union(unlabelled.withColumn("positive", F.lit(False))))
         n_positive, n_unlabelled = examples.agg(F.count_if("positive"), F.count_if(~F.col("positive"))).first()
         if n_positive and n_unlabelled:
