@@ -93,5 +93,7 @@ def sample_n(df: DataFrame, n: int, key_cols: list[str], seed: int = 42) -> Data
         low += at << shift
         if rows <= ORDERED_ROWS or shift == 0:
             break
+    if n <= ORDERED_ROWS:  # what is before the cell is few rows as well: one scan
+        return hashed.where(F.col("__o") < low + (1 << shift)).orderBy("__o", *key_cols).limit(n).drop("__o")
     last = hashed.where((F.col("__o") >= low) & (F.col("__o") < low + (1 << shift)))
     return hashed.where(F.col("__o") < low).unionByName(last.orderBy("__o", *key_cols).limit(want)).drop("__o")
