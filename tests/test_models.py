@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from bandwise.operators.models import check_model_names, grid_points
+import __spark_entry__ as entry
+from bandwise.operators.models import FOREST_PARAMS, GBM_PARAMS, LOGISTIC_C, SVM_C, check_model_names, grid_points
 from bandwise.plans.model_selection import ModelSelection, model_apply
 from bandwise.plans.q_models import model_base
 from bandwise.session import checkpoint_dir
@@ -46,3 +47,24 @@ def test_whole_base_transform_and_run(spark):
     ms = ModelSelection(base, "target", ["o_orderkey"], models=["naive_bayes"], cv=2)
     metrics, tables, summary = ms.run()
     assert metrics.count() == 2 and summary.count() == 2
+
+
+@pytest.mark.parametrize("query, families", [
+    ("fit_models", {"logistic_regression", "naive_bayes", "random_forest", "gbm", "svm"}),
+    ("evaluate_models", {"logistic_regression", "random_forest"}), ("learning_curve", {"logistic_regression"}),
+    ("feature_importance", {"random_forest"}), ("model_apply", {"logistic_regression"}),
+    ("holdout_evaluation", {"logistic_regression"})])
+def test_queries_search_the_declared_spaces(spark, monkeypatch, query, families):
+    class Reached(Exception):
+        pass
+
+    def reached(ms):
+        assert ms.spaces == {"gbm": GBM_PARAMS, "random_forest": FOREST_PARAMS, "logistic_regression": {"C": LOGISTIC_C},
+                             "svm": {"C": SVM_C}, "naive_bayes": {}}
+        assert ms.n_iter == 100 and ms.cv == 5 and ms.train_sizes == [0.05, 0.1, 0.2, 0.4, 0.75, 1.0]
+        assert set(ms.models) == families
+        raise Reached
+
+    monkeypatch.setattr(ModelSelection, "fit_learning_curve", reached)
+    with pytest.raises(Reached):
+        entry.queries()[query](spark, SF_SMALL)
