@@ -142,8 +142,8 @@ def _scored(forests: list[IsolationForest]):
 def calibrated_thresholds(bins: pd.DataFrame, clean_kept: float, bad_to_clean: float, n_bins: int = BINS) -> list[float]:
     """Per statistic the anomaly score from which it rejects (over 1: never).
 
-    ``bins``: statistic, quality (1: clean), bin, n. The lowest cut that keeps
-    ``clean_kept`` of the clean rows counts if it rejects a share of the others
+    ``bins``: statistic, quality (1: clean), bin, n. Counts the lowest cut that
+    keeps ``clean_kept`` of the clean rows and rejects a share of the others
     that is ``bad_to_clean`` times the share of clean rows it costs (one row at
     least).
     """
@@ -154,9 +154,10 @@ def calibrated_thresholds(bins: pd.DataFrame, clean_kept: float, bad_to_clean: f
         total = table.sum(axis=1)
         if total.all():
             kept = np.cumsum(table, axis=1) / total[:, None]
-            cut = int(np.argmax(kept[1] >= clean_kept))
-            if 1 - kept[0, cut] >= bad_to_clean * max(1 - kept[1, cut], 1 / total[1] / bad_to_clean):
-                out[int(j)] = (cut + 1) / n_bins
+            least = bad_to_clean * np.maximum(1 - kept[1], 1 / total[1] / bad_to_clean)
+            good = (kept[1] >= clean_kept) & (1 - kept[0] >= least)
+            if good.any():
+                out[int(j)] = (int(np.argmax(good)) + 1) / n_bins
     return out
 
 

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -124,6 +125,16 @@ def test_quality(spark, odd, nothing):
     assert quality.judge_quality(nothing, marks).count() == 0
 
 
+def test_rare_defects_get_a_stricter_cut():
+    # 100,000 clean rows, 90 of them in bin 8,500; 10,000 bad ones, 150 of them (1.5 %) in bin 9,500.
+    bins = pd.DataFrame([(0, 1, 5_000, 99_910), (0, 1, 8_500, 90), (0, 0, 5_000, 9_850), (0, 0, 9_500, 150),
+                         (1, 1, 5_000, 99_910), (1, 1, 8_500, 90), (1, 0, 5_000, 9_990), (1, 0, 8_500, 10)],
+                        columns=["statistic", "quality", "bin", "n"])
+    cuts = quality.calibrated_thresholds(bins, 0.999, 50)
+    assert 0.85 < cuts[0] <= 0.95  # keeps every clean row, rejects the defect
+    assert all(c > 1 for c in cuts[1:])  # nothing stricter to reject
+
+
 def test_isolation_forest_finds_the_odd_one():
     rows = np.concatenate((np.random.default_rng(0).normal(0, 1, (500, 2)), [[9.0, 9.0]]))
     scores = quality.IsolationForest(rows, 100, 128).score(rows)
