@@ -158,3 +158,41 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN first1 THEN 'l_
 UNION ALL
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'other features', {_tenths('CASE WHEN first1 THEN p2 ELSE p1 END')},
        2::INTEGER, {_tenths('p1 + p2')} FROM o""")(waterfall_q)
+
+
+FEATURES_3 = FEATURES + ["l_tax"]
+
+
+def waterfall_three(spark, sf_dir):
+    """Per-line contributions of three features in order of |phi|, the third folded."""
+    li = _li(spark, sf_dir)
+    m = fit_ols(li, FEATURES_3, TARGET)
+    bg = sample_n(li, BACKGROUND, KEY, seed=42)
+    shap = linear_shap(li, KEY, FEATURES_3, [float(c) for c in m.coefficients], float(m.intercept), bg)
+    return _round(waterfall(shap, KEY, FEATURES_3, max_display=3), ["phi", "running_phi"], 1)
+
+
+def _covariances(names: list[str]) -> str:
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    short = {c: str(i + 1) for i, c in enumerate(FEATURES_3)} | {TARGET: "y"}
+    return ", ".join(f"covar_pop({a}, {b}) AS s{short[a]}{short[b]}" for a, b in pairs)
+
+
+register("waterfall_three", f"""WITH s AS (SELECT {_covariances(FEATURES_3 + [TARGET])} FROM lineitem),
+d AS (SELECT *, s11 * (s22 * s33 - s23 * s23) - s12 * (s12 * s33 - s23 * s13) + s13 * (s12 * s23 - s22 * s13) AS det FROM s),
+coef AS (SELECT
+  (s1y * (s22 * s33 - s23 * s23) - s12 * (s2y * s33 - s23 * s3y) + s13 * (s2y * s23 - s22 * s3y)) / det AS b1,
+  (s11 * (s2y * s33 - s23 * s3y) - s1y * (s12 * s33 - s23 * s13) + s13 * (s12 * s3y - s2y * s13)) / det AS b2,
+  (s11 * (s22 * s3y - s2y * s23) - s12 * (s12 * s3y - s2y * s13) + s1y * (s12 * s23 - s22 * s13)) / det AS b3 FROM d),
+bg AS (SELECT AVG(l_quantity) AS q, AVG(l_discount) AS d, AVG(l_tax) AS t FROM ({_BG_SQL})),
+phi AS (SELECT l.*, b1 * (l_quantity - q) AS p1, b2 * (l_discount - d) AS p2, b3 * (l_tax - t) AS p3
+        FROM lineitem l, coef, bg),
+o AS (SELECT *, list_sort([{{'o': -ABS(p1), 'f': 'l_quantity', 'p': p1}}, {{'o': -ABS(p2), 'f': 'l_discount', 'p': p2}},
+                           {{'o': -ABS(p3), 'f': 'l_tax', 'p': p3}}]) AS e FROM phi)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, e[1].f AS feature, {_tenths('e[1].p')} AS phi, 1::INTEGER AS rank,
+       {_tenths('e[1].p')} AS running_phi FROM o
+UNION ALL
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, e[2].f, {_tenths('e[2].p')}, 2::INTEGER, {_tenths('e[1].p + e[2].p')} FROM o
+UNION ALL
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'other features', {_tenths('e[3].p')}, 3::INTEGER,
+       {_tenths('e[1].p + e[2].p + e[3].p')} FROM o""")(waterfall_three)

@@ -71,6 +71,21 @@ SELECT channel, CAST(period AS VARCHAR) AS period, {_r('spend', 'spend')},
 FROM s a""")(adstock)
 
 
+def adstock_all_days(spark, sf_dir):
+    """The same over every day's spend of every channel."""
+    s = geometric_adstock(_spend(spark, sf_dir), "spend", ALPHA, L, normalize=False, out="adstock")
+    s = geometric_adstock(s, "spend", ALPHA, L, normalize=True, out="adstock_norm")
+    return rounded(s)
+
+
+register("adstock_all_days", f"""
+WITH s AS ({_SPEND_SQL})
+SELECT channel, CAST(period AS VARCHAR) AS period, {_r('spend', 'spend')},
+  {_r(_adstock_sql('s', 'spend', str(ALPHA)), 'adstock')},
+  {_r(_adstock_sql('s', 'spend', str(ALPHA)) + ' / ' + _NORM.format(ALPHA), 'adstock_norm')}
+FROM s a""")(adstock_all_days)
+
+
 def saturation_q(spark, sf_dir):
     """Saturation (mu 3) of the scaled daily spend."""
     s = min_max_scale(_spend(spark, sf_dir), "spend", ["channel"], out="x")

@@ -401,3 +401,14 @@ def test_nan_scores_are_missing_in_both_modes(spark):
     test, _ = score_performance(df, "s", "t", edges=edges)
     assert sorted(map(repr, train.collect())) == sorted(map(repr, test.collect()))
     assert train.where("is_total").first()["Total"] == 3
+
+
+def test_adstock_of_all_days_and_waterfall_of_three(spark):
+    import __spark_entry__ as entry
+    from bandwise.plans.q_media import _spend
+    from tests.conftest import SF_SMALL
+    days = {(r["channel"], str(r["period"])) for r in _spend(spark, SF_SMALL).collect()}
+    got = entry.queries()["adstock_all_days"](spark, SF_SMALL).collect()
+    assert {(r["channel"], str(r["period"])) for r in got} == days and len(got) == len(days)
+    ranks = entry.queries()["waterfall_three"](spark, SF_SMALL).groupBy("rank").count().collect()
+    assert {r["rank"] for r in ranks} == {1, 2, 3} and len({r["count"] for r in ranks}) == 1
