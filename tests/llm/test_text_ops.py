@@ -67,6 +67,16 @@ def test_language_accuracy_and_odd_rows(spark, odd, nothing):
     assert {r.lang_pred for r in identify_languages(none).collect()} == {"und"}
 
 
+def test_language_sample_is_a_thousand_rows_a_language(spark, monkeypatch):
+    from bandwise.llm import langid
+    docs = spark.range(6000).selectExpr("id AS doc_id", "concat('word ', id) AS text", "if(id % 2 = 0, 'en', 'de') AS lang")
+    sizes = []
+    monkeypatch.setattr(langid, "fit", lambda sample, idf: (sizes.append(sample["lang"].value_counts().to_dict()),
+                                                            (["de"], np.zeros((langid.BUCKETS + 1, 1)), 1.0))[1])
+    langid.with_languages(docs)
+    assert set(sizes[0]) == {"en", "de"} and all(850 <= n <= 1150 for n in sizes[0].values())
+
+
 def test_toxicity_accuracy_and_odd_rows(spark, odd, nothing):
     labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic")
     rows = queries.op6_nnpu_toxicity(spark, SF).join(labels, "doc_id").collect()
