@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bandwise.llm.bpe import decode_documents, encode_documents
+from bandwise.llm.importance import resample
 from bandwise.llm.langid import identify_languages
 from bandwise.llm.licenses import scan_licenses
 from bandwise.llm.line_dedup import drop_common_lines
@@ -16,6 +17,7 @@ from bandwise.llm.minhash_dedup import near_duplicates
 from bandwise.llm.mixing import mix_sources
 from bandwise.llm.quality import COUNTS, judge_quality
 from bandwise.llm.sharding import shard_documents
+from bandwise.llm.substring_dedup import drop_repeated_passages
 from bandwise.llm.topk import top_inner_products
 from bandwise.llm.toxicity import score_toxicity
 from bandwise.sources.tables import load_table
@@ -69,10 +71,11 @@ def _winner_sql(shards: int) -> str:
 
 
 #: crc32 by its table, which a recursive query derives from the polynomial.
-_CRC_SQL = """RECURSIVE steps(i, k, v) AS (
+_CRC_TABLE_SQL = """RECURSIVE steps(i, k, v) AS (
   SELECT i, 0, i FROM range(256) t(i)
   UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM steps WHERE k < 8),
-crc_table AS (SELECT list(v ORDER BY i) AS t FROM steps WHERE k = 8),
+crc_table AS (SELECT list(v ORDER BY i) AS t FROM steps WHERE k = 8),"""
+_CRC_SQL = _CRC_TABLE_SQL + """
 docs AS (
   SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
          xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(
@@ -188,6 +191,69 @@ def op10_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def _words_sql(table: str, id_col: str) -> str:
+    return rf"""(SELECT id, rn, unnest(l) AS word, generate_subscripts(l, 1) AS pos
+        FROM (SELECT {id_col} AS id, row_number() OVER () AS rn, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS l FROM {table}))"""
+
+
+def _features_sql(words: str) -> str:
+    return f"""(SELECT rn, word AS f FROM {words} UNION ALL
+    SELECT rn, f FROM (SELECT rn, word || ' ' || lead(word) OVER (PARTITION BY rn ORDER BY pos) AS f FROM {words})
+    WHERE f IS NOT NULL)"""
+
+
+@register("op12_segment_resample", f"""WITH {_CRC_TABLE_SQL}
+doc_words AS {_words_sql("documents", "doc_id")},
+target_words AS {_words_sql("benchmark", "item_id")},
+df AS {_features_sql("doc_words")},
+tf AS {_features_sql("target_words")},
+hashed AS (SELECT f, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(
+             regexp_extract_all(hex(encode(f)), '..'), lambda h: ('0x' || h)::BIGINT)),
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+           FROM (SELECT f FROM df UNION SELECT f FROM tf), crc_table),
+db AS (SELECT rn, bucket FROM df JOIN hashed USING (f)),
+s AS (SELECT bucket, count(*)::DOUBLE AS s FROM db GROUP BY bucket),
+t AS (SELECT bucket, count(*)::DOUBLE AS t FROM tf JOIN hashed USING (f) GROUP BY bucket),
+gains AS (SELECT b.i AS bucket, floor(1000 * ln((coalesce(t, 0) + 1) * ((SELECT sum(s) FROM s) + 10000)
+            / ((coalesce(s, 0) + 1) * ((SELECT coalesce(sum(t), 0) FROM t) + 10000))))::BIGINT AS gain
+          FROM range(10000) b(i) LEFT JOIN s ON s.bucket = b.i LEFT JOIN t ON t.bucket = b.i),
+weights AS (SELECT rn, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+            FROM db JOIN gains USING (bucket) GROUP BY rn),
+scored AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
+             + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score
+           FROM (SELECT doc_id, row_number() OVER () AS rn FROM documents) LEFT JOIN weights USING (rn)),
+ranked AS (SELECT *, n_features >= 39 AS fits,
+           row_number() OVER (PARTITION BY n_features >= 39 ORDER BY score DESC, doc_id NULLS LAST) AS r,
+           count(*) FILTER (WHERE n_features >= 39) OVER () * 25 // 100 AS n_drawn FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN fits AND r <= n_drawn THEN r END AS rank FROM ranked""")
+def op12_segment_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    target = load_table(spark, sf_dir, "benchmark", ["text"])
+    out = resample(docs, target, percent=25, least_words=20, seed=7)
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@register("op13_fixed_block_dedup", r"""
+WITH docs AS (SELECT doc_id, coalesce(doc_id, 9223372036854775807) AS id, row_number() OVER () AS rn,
+              regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS l FROM documents),
+windows AS (SELECT id, rn, s, md5(array_to_string(l[s:s + 12], ' ')) AS g
+            FROM (SELECT id, rn, l, unnest(range(1, len(l) - 11)) AS s FROM docs)),
+least AS (SELECT g, min(id) AS first FROM windows GROUP BY g),
+gone AS (SELECT DISTINCT rn, unnest(range(s, s + 13)) AS pos FROM windows JOIN least USING (g) WHERE id > first),
+words AS (SELECT doc_id, rn, unnest(l) AS word, generate_subscripts(l, 1) AS pos FROM docs),
+kept AS (SELECT w.rn, count(g.pos) AS n_removed, string_agg(word, ' ' ORDER BY w.pos) FILTER (WHERE g.pos IS NULL) AS text
+         FROM words w LEFT JOIN gone g ON w.rn = g.rn AND w.pos = g.pos GROUP BY w.rn)
+SELECT doc_id, len(l)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (rn)""")
+def op13_fixed_block_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    out = drop_repeated_passages(docs, width=13)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
