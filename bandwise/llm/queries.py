@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bandwise.llm.bpe import decode_documents, encode_documents
+from bandwise.llm.hard_negatives import mine_hard_negatives
 from bandwise.llm.importance import resample
 from bandwise.llm.langid import identify_languages
 from bandwise.llm.licenses import scan_licenses
@@ -191,6 +192,27 @@ def op10_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+@register("op11_bond_hard_negatives", """
+WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.e, c.e)::BIGINT AS score
+           FROM v a JOIN v c ON len(a.e) = len(c.e) WHERE a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+positives AS (SELECT * FROM scored WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+ AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5""")
+def op11_bond_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = load_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(vectors.withColumn("label", label))
+
+
 def _words_sql(table: str, id_col: str) -> str:
     return rf"""(SELECT id, rn, unnest(l) AS word, generate_subscripts(l, 1) AS pos
         FROM (SELECT {id_col} AS id, row_number() OVER () AS rn, regexp_extract_all(
