@@ -11,7 +11,11 @@ original names and are translated to Spark ML parameters:
   (Spark regularises a mean loss).
 
 The linear SVM gets probabilities from a Platt step: a logistic regression
-fitted on out-of-fold SVM margins.
+fitted on out-of-fold SVM margins. A forest is fitted as a regression forest on
+the 0/1 label: the decrease of variance is half the Gini decrease, leaves hold
+event shares and the prediction is their mean. (Spark's classification trees
+merge leaves that predict the same class, which loses the shares: with an event
+rate of a third and no strong feature every tree becomes its root.)
 """
 
 from __future__ import annotations
@@ -20,14 +24,16 @@ import itertools
 import random
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorSlicer
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bandwise.operators.ensembles import BoostedTrees
+
 MODEL_NAMES = ("gbm", "random_forest", "svm", "naive_bayes", "logistic_regression")
 MAX_DEPTH = 30
 
@@ -90,12 +96,13 @@ def build_pipeline(name: str, params: dict, n_rows: int, features: str = "featur
         return Pipeline(stages=[est])
     if name == "random_forest":
         mf = params.get("max_features", "auto")
-        est = RandomForestClassifier(featuresCol=features, labelCol=label, seed=seed,
-                                     numTrees=int(params.get("n_estimators", 20)),
-                                     maxDepth=_depth(params.get("max_depth", 5)),
-                                     minWeightFractionPerNode=float(params.get("min_weight_fraction_leaf", 0.0)),
-                                     featureSubsetStrategy="all" if mf is None else str(mf))
-        return Pipeline(stages=[est])
+        est = RandomForestRegressor(featuresCol=features, labelCol=label, seed=seed, predictionCol="__event",
+                                    numTrees=int(params.get("n_estimators", 20)),
+                                    maxDepth=_depth(params.get("max_depth", 5)),
+                                    minWeightFractionPerNode=float(params.get("min_weight_fraction_leaf", 0.0)),
+                                    featureSubsetStrategy={None: "all", "auto": "sqrt"}.get(mf, mf))
+        both = SQLTransformer(statement="SELECT *, 1.0D - __event AS __other, CAST(__event > 0.5 AS DOUBLE) AS prediction FROM __THIS__")
+        return Pipeline(stages=[est, both, VectorAssembler(inputCols=["__other", "__event"], outputCol="probability")])
     if name == "naive_bayes":
         return Pipeline(stages=[NaiveBayes(featuresCol=features, labelCol=label, modelType="gaussian")])
     scaler = StandardScaler(inputCol=features, outputCol="__scaled", withMean=True, withStd=True)
@@ -105,20 +112,15 @@ def build_pipeline(name: str, params: dict, n_rows: int, features: str = "featur
         return Pipeline(stages=[scaler, lr])
     if name == "svm":
         return CalibratedSVM(scaler, label, reg, features)
+    if name == "svm_margin":  # without the step to probabilities: ``probability`` holds the margins
+        return Pipeline(stages=[scaler, LinearSVC(featuresCol="__scaled", labelCol=label, regParam=reg, rawPredictionCol="probability")])
     raise ValueError(f"unknown model {name}")
 
 
 def grid_points(space: dict, n_iter: int | None = None, seed: int = 12345) -> list[dict]:
-    """The points of a grid (M12) or ``n_iter`` seeded draws without repeats.
-
-    Depths beyond what Spark's trees allow mean the deepest tree: points that
-    become equal by that are searched once, under the depth really used.
-    """
+    """The points of a grid (M12) or ``n_iter`` seeded draws without repeats."""
     keys = sorted(space)
     points = [dict(zip(keys, vals)) for vals in itertools.product(*[space[k] for k in keys])]
-    if "max_depth" in space:
-        points = [p | {"max_depth": _depth(p["max_depth"])} for p in points]
-        points = [p for i, p in enumerate(points) if p not in points[:i]]
     if n_iter is not None and n_iter < len(points):
         points = random.Random(seed).sample(points, n_iter)
     return points
@@ -154,14 +156,29 @@ def score(pred: DataFrame, scoring: str = "roc_auc", label: str = "label") -> fl
     raise ValueError("scoring must be roc_auc or neg_log_loss")
 
 
+def margin_score(pred: DataFrame, scoring: str = "roc_auc", label: str = "label", margin: str = "margin") -> float:
+    """The same from the margins of a logistic model."""
+    if scoring == "roc_auc":
+        return BinaryClassificationEvaluator(rawPredictionCol=margin, labelCol=label).evaluate(pred)
+    if scoring == "neg_log_loss":
+        m = F.col(margin)
+        # -log(1 + exp(-m)) for events, -log(1 + exp(m)) for the others, without overflow.
+        signed = F.when(F.col(label) == 1, -m).otherwise(m)
+        return pred.agg(-F.avg(F.greatest(signed, F.lit(0.0)) + F.log1p(F.exp(-F.abs(m))))).first()[0]
+    raise ValueError("scoring must be roc_auc or neg_log_loss")
+
+
 def best_params(results: list[tuple[dict, float]]) -> dict:
     """Arg-max over search results (O5); ties keep the first point."""
     best = max(range(len(results)), key=lambda i: (results[i][1], -i))
     return results[best][0]
 
 
-def feature_importance(model: PipelineModel, names: list[str]) -> list[tuple[str, float]]:
+def feature_importance(model, names: list[str]) -> list[tuple[str, float]]:
     """(Variable, Gini_importance) sorted descending (M20); tree models only."""
-    last = model.stages[-1]
-    imp = last.featureImportances.toArray().tolist()
+    if isinstance(model, BoostedTrees):
+        imp = model.importances
+    else:
+        trees = next(s for s in model.stages if hasattr(s, "featureImportances"))
+        imp = trees.featureImportances.toArray().tolist()
     return sorted(zip(names, imp), key=lambda t: -t[1])

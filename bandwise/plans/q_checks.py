@@ -7,7 +7,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from bandwise.operators.evaluate import classification_metrics
-from bandwise.operators.models import auc, build_pipeline, log_loss_metric, probability_of_event
+from bandwise.operators.models import LOGISTIC_C, auc, build_pipeline, log_loss_metric, probability_of_event
+from bandwise.operators.newton import logistic_fits, with_margins
+from bandwise.operators.split import kfold_column
 from bandwise.plans.catalog import register
 from bandwise.plans.common import rounded
 from bandwise.plans.model_selection import adequate_size, learning_curve_table
@@ -122,3 +124,45 @@ d AS (SELECT *, ROW_NUMBER() OVER w AS place, ABS(mb - LAG(mb) OVER w)
 c AS (SELECT COALESCE(MAX(place) FILTER (WHERE differs), 1) AS place FROM d)
 SELECT size, n AS training_sample_size, {_r('ma', 'mean_train_accuracy')}, {_r('mb', 'mean_test_accuracy')},
        {_r('sa', 'std_train_accuracy')}, {_r('sb', 'std_test_accuracy')}, d.place = c.place AS chosen FROM d, c""")(curve_choice)
+
+
+def logistic_cost_grid(spark, sf_dir):
+    """Logistic regressions of all declared costs and 5 folds in the same passes; held-out log loss."""
+    o = load_table(spark, sf_dir, "orders", ["o_orderkey", "o_totalprice", "o_orderstatus"])
+    rows = o.select(array_to_vector(F.array("o_totalprice")).alias("features"),
+                    (F.col("o_orderstatus") == "F").cast("double").alias("label"),
+                    kfold_column(["o_orderkey"], 5, 777).alias("__fold")).persist()
+    fits = logistic_fits(rows, LOGISTIC_C, 5)
+    own = F.expr("CASE WHEN label = 1 THEN -m ELSE m END")
+    held = (with_margins(rows, fits).select("label", F.col("__fold").alias("fold"), F.posexplode("margins").alias("i", "m"))
+            .groupBy("i", "fold").agg((-F.avg(F.greatest(own, F.lit(0.0)) + F.log1p(F.exp(-F.abs("m"))))).alias("neg_log_loss")).collect())
+    loss = {(LOGISTIC_C[r["i"]], r["fold"]): r["neg_log_loss"] for r in held}  # a row per fit
+    rows.unpersist()
+    return rounded(spark.createDataFrame(
+        [(m.cost, m.fold, float(m.theta[0]), float(m.theta[1]), loss[m.cost, m.fold]) for m in fits],
+        "cost double, fold int, slope double, intercept double, neg_log_loss double"))
+
+
+def _newton_sql(steps: int = 10) -> str:
+    """The same systems, two unknowns each, solved by Cramer's rule step by step."""
+    at = "SELECT cost, f, n, mean, sd, reg, b, a, (x - mean) / sd AS z, y, 1 / (1 + exp(-(b * (x - mean) / sd + a))) AS p"
+    out = []
+    for k in range(steps):
+        out.append(f"""
+s{k} AS (SELECT cost, f, n, mean, sd, reg, b, a, SUM(p * (1 - p) * z * z) / n + reg AS h11, SUM(p * (1 - p) * z) / n AS h12,
+         SUM(p * (1 - p)) / n AS h22, SUM((p - y) * z) / n + reg * b AS g1, SUM(p - y) / n AS g2
+         FROM ({at} FROM i{k} JOIN o ON o.fold <> f) GROUP BY cost, f, n, mean, sd, reg, b, a),
+i{k + 1} AS (SELECT cost, f, n, mean, sd, reg, b - (h22 * g1 - h12 * g2) / (h11 * h22 - h12 * h12) AS b,
+         a - (h11 * g2 - h12 * g1) / (h11 * h22 - h12 * h12) AS a FROM s{k})""")
+    return f"""
+WITH o AS (SELECT o_totalprice AS x, (o_orderstatus = 'F')::INTEGER::DOUBLE AS y,
+           CAST((('0x' || substr(md5('777:' || CAST(o_orderkey AS VARCHAR)), 1, 8))::UBIGINT) % 5 AS INTEGER) AS fold FROM orders),
+m AS (SELECT f, COUNT(*) AS n, AVG(x) AS mean, STDDEV_SAMP(x) AS sd FROM o JOIN (SELECT unnest(range(5)) AS f) ON fold <> f GROUP BY f),
+i0 AS (SELECT cost, f, n, mean, sd, 1 / (cost * n) AS reg, 0.0::DOUBLE AS b, 0.0::DOUBLE AS a
+       FROM m, (SELECT unnest([{', '.join(f'{c}::DOUBLE' for c in LOGISTIC_C)}]) AS cost)),{','.join(out)}
+SELECT cost, CAST(f AS INTEGER) AS fold, {_r('b', 'slope')}, {_r('a', 'intercept')},
+       {_r('AVG(CASE WHEN y = 1 THEN ln(p) ELSE ln(1 - p) END)', 'neg_log_loss')}
+FROM ({at} FROM i{steps} JOIN o ON o.fold = f) GROUP BY cost, f, b, a"""
+
+
+register("logistic_cost_grid", _newton_sql())(logistic_cost_grid)

@@ -49,8 +49,29 @@ def test_whole_base_transform_and_run(spark):
     assert metrics.count() == 2 and summary.count() == 2
 
 
+@pytest.mark.parametrize("scoring", ["roc_auc", "neg_log_loss"])
+def test_all_families_end_and_apply(spark, scoring):
+    base = model_base(spark, SF_SMALL)
+    families = ["gbm", "random_forest", "svm", "logistic_regression"]
+    ms = ModelSelection(base, "target", ["o_orderkey"], categorical_columns=["c_nationkey"], models=families, cv=2, scoring=scoring,
+                        fit_rows=300, parallelism=8)
+    ms.fit_models(gbm_params={"n_estimators": [3, 10], "max_depth": [3, 80]}, random_forest_params={"n_estimators": [3, 10]},
+                  logistic_c=[0.1, 1.0], svm_c=[1.0])
+    assert {m: len(s) for m, s in ms.search.items()} == {"gbm": 4, "random_forest": 2, "svm": 1, "logistic_regression": 2}
+    assert all((0 <= s <= 1) if scoring == "roc_auc" else s < 0 for found in ms.search.values() for _, s in found)
+    assert ms.apply_models().count() == 8 and ms.evaluate_models()[1].count() == 8
+    assert len(ms.importance("gbm")) == len(ms.importance("random_forest")) == len(ms.feature_names)
+    ms.select_retrain_model(["gbm", "random_forest"])
+    path = f"{checkpoint_dir(spark)}/test_models_trees"
+    ms.save_model_objects(path)
+    for name in ("gbm", "random_forest"):
+        scored = model_apply(base.drop("target"), path, name, ["o_orderkey"], predict_proba=True)
+        assert scored.filter("p_event BETWEEN 0 AND 1").count() == base.count()
+    ms.release()
+
+
 @pytest.mark.parametrize("query, families", [
-    ("fit_models", {"logistic_regression", "naive_bayes", "random_forest", "gbm", "svm"}),
+    ("fit_models", {"logistic_regression", "naive_bayes", "random_forest"}), ("fit_gbm", {"gbm"}), ("fit_svm", {"svm"}),
     ("evaluate_models", {"logistic_regression", "random_forest"}), ("learning_curve", {"logistic_regression"}),
     ("feature_importance", {"random_forest"}), ("model_apply", {"logistic_regression"}),
     ("holdout_evaluation", {"logistic_regression"})])
