@@ -4,10 +4,9 @@ Spark's exact ``percentile`` aggregate keeps a value->count map that is merged
 in ONE task for a global aggregate, so its memory grows with the number of
 distinct values. Two operators spread the work out instead:
 
-``selected_ranks`` finds a few order statistics (quantiles): a counting pass
-over equal-width bins, of which only those that hold a wanted position are
-looked at again - split further until they hold few rows, then ranked value by
-value. What is shuffled is the bin counts and the rows of the last bins.
+``selected_ranks`` finds a few order statistics (quantiles) by radix selection
+over the ordered 64-bit images of the values: at most four counting passes,
+whatever the distribution. What is shuffled is counts per task and digit.
 
 ``value_ranks`` ranks every distinct value (rank correlation, tree bins):
 
@@ -30,8 +29,12 @@ interpolates. NaN counts as missing, like null.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,18 +78,10 @@ def value_ranks(df: DataFrame, cols: list[str], buckets: int | None = None,
     sums = sums or {}
     wide, vcols = _with_values(df, cols, sums, round_digits)
     head, n, totals = _totals(wide, cols, vcols, sums, extras)
-    # Two levels: sketches of the same residue meet first, then at most SKETCH_GROUPS of them.
-    size = min(65_535, max(200, 4 * buckets))
-    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    near = (wide.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("__g"))
-            .agg(*[F.kll_sketch_agg_double(v, F.lit(size)).alias(f"q{i}") for i, v in enumerate(vcols)]))
-    merged = near.agg(*[F.kll_merge_agg_double(f"q{i}", F.lit(size)).alias(f"q{i}") for i in range(len(cols))])
-    some = [i for i, c in enumerate(cols) if n[c]]
-    bounds = (merged.select(*[F.kll_sketch_get_quantile_double(f"q{i}", probs).alias(f"q{i}") for i in some]).first()
-              if some else {})
+    bounds = _bounds(wide, vcols, buckets, [i for i, c in enumerate(cols) if n[c]])
     splits = []
     for i in range(len(cols)):
-        b = sorted({x for x in (bounds[f"q{i}"] if i in some else []) if x is not None and math.isfinite(x)})
+        b = sorted({x for x in bounds.get(i, []) if x is not None and math.isfinite(x)})
         # Bucketizer needs at least one inner split (all-null or empty columns have none).
         splits.append([-math.inf] + (b or [0.0]) + [math.inf])
     bcols = [f"__b{i}" for i in range(len(cols))]
@@ -124,6 +119,67 @@ def value_ranks(df: DataFrame, cols: list[str], buckets: int | None = None,
     return Ranked(ranked.select(*keep), n, totals, {k: head[f"x_{k}"] for k in extras})
 
 
+def _bounds(wide: DataFrame, vcols: list[str], buckets: int, some: list[int]) -> dict[int, list[float]]:
+    """Bucket boundaries of the columns ``some`` (with values), repeated where a value fills several buckets.
+
+    Two levels: sketches of the same residue meet first, then at most SKETCH_GROUPS of them.
+    """
+    if not some:
+        return {}
+    size = min(65_535, max(200, 4 * buckets))
+    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    near = (wide.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("__g"))
+            .agg(*[F.kll_sketch_agg_double(vcols[i], F.lit(size)).alias(f"q{i}") for i in some]))
+    merged = near.agg(*[F.kll_merge_agg_double(f"q{i}", F.lit(size)).alias(f"q{i}") for i in some])
+    row = merged.select(*[F.kll_sketch_get_quantile_double(f"q{i}", probs).alias(f"q{i}") for i in some]).first()
+    return {i: list(row[f"q{i}"]) for i in some}
+
+
+def attach_ranks(df: DataFrame, col: str, out: str, weight: str | None = None, buckets: int | None = None) -> DataFrame:
+    """``df`` with the average-tie rank of ``col`` as ``out``; rows without a value are left out.
+
+    A row counts ``weight`` times. Rows move once, to the bucket of their value,
+    and are numbered there from the buckets' counts; nothing is joined on a
+    value. A value that fills several buckets is dealt over them by a hash of
+    the whole row: its rank follows from the counts alone. The table of buckets
+    (at most ``buckets`` rows) is broadcast.
+    """
+    buckets = buckets or _default_buckets(df)
+    x, w = F.col("__v0"), F.col(f"`{weight}`") if weight else F.lit(1)
+    wide, vcols = _with_values(df, [col], {}, None)
+    wide = wide.where(x.isNotNull())
+    salt = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    bounds = sorted(b for b in _bounds(wide, vcols, buckets, [0])[0] if b is not None and math.isfinite(b)) if wide.head(1) else []
+    distinct = sorted(set(bounds))
+    copies = [bounds.count(b) for b in distinct]
+    first = [0, *np.cumsum(copies).tolist()]
+    group = "__group"
+    placed = Bucketizer(splits=[-math.inf, *(distinct or [0.0]), math.inf], inputCol="__v0", outputCol=group,
+                        handleInvalid="keep").transform(wide).withColumn(group, F.col(group).cast("int"))
+    # Group g holds the values from bound g - 1 on; a repeated bound itself has that many buckets, the last shared with the group.
+    at = F.col(group) + 1
+    own = F.element_at(F.array(*[F.lit(v) for v in (first if distinct else [0, 1])]), at)
+    many = F.element_at(F.array(*[F.lit(v) for v in ([1, *copies] if distinct else [1, 1])]), at)
+    edge = F.element_at(F.array(*[F.lit(v) for v in ([math.nan, *distinct] if distinct else [math.nan, math.nan])]), at)
+    hot = (many > 1) & (x == edge)
+    placed = placed.withColumn("__hot", F.coalesce(hot, F.lit(False))).withColumn(
+        "__bucket", F.when(F.col("__hot"), own - F.pmod(salt, many).cast("int")).otherwise(own))
+    counts = placed.groupBy("__bucket").agg(F.sum(w).alias("all"), F.coalesce(F.sum(F.when(F.col("__hot"), w)), F.lit(0)).alias("hot"),
+                                            F.max(F.when(F.col("__hot"), F.col(group))).alias("g"))
+    ahead = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)  # a row per bucket
+    table = counts.withColumn("__offset", F.coalesce(F.sum("all").over(ahead), F.lit(0)))
+    same = Window.partitionBy("g")
+    table = table.select("__bucket", "__offset", F.when(F.col("g").isNotNull(), F.min("__offset").over(same)).alias("__hot_below"),
+                         F.when(F.col("g").isNotNull(), F.sum("hot").over(same)).alias("__hot_ties"))
+    inside = Window.partitionBy("__bucket").orderBy("__v0")
+    ties = F.sum(w).over(inside.rangeBetween(Window.currentRow, Window.currentRow))
+    upto = F.sum(w).over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = placed.withColumn("__ties", ties).withColumn("__upto", upto).join(F.broadcast(table), "__bucket")
+    below = F.when(F.col("__hot"), F.col("__hot_below")).otherwise(F.col("__offset") + F.col("__upto") - F.col("__ties"))
+    equal = F.when(F.col("__hot"), F.col("__hot_ties")).otherwise(F.col("__ties"))
+    return ranked.select(*[F.col(f"`{c}`") for c in df.columns], (below + (equal + 1) / 2.0).alias(out))
+
+
 def _with_values(df: DataFrame, cols: list[str], sums: dict[str, Column], round_digits: int | None = None):
     """``df`` with the columns as doubles (NaN to null) ``__v<i>`` and the summed columns ``__s_<k>``."""
     def value(c):
@@ -136,122 +192,180 @@ def _with_values(df: DataFrame, cols: list[str], sums: dict[str, Column], round_
     return wide, vcols
 
 
-def _totals(wide: DataFrame, cols, vcols, sums, extras, more=()):
+def _totals(wide: DataFrame, cols, vcols, sums, extras):
     """One aggregation: non-null counts, totals of the summed columns, extra expressions."""
     aggs = [F.count(v).alias(f"n{i}") for i, v in enumerate(vcols)]
     aggs += [F.sum(F.when(F.col(v).isNotNull(), F.col(f"__s_{k}"))).alias(f"t{i}_{k}")
              for i, v in enumerate(vcols) for k in sums]
-    head = wide.agg(*aggs, *[e.alias(f"x_{k}") for k, e in extras.items()], *more).first()
+    head = wide.agg(*aggs, *[e.alias(f"x_{k}") for k, e in extras.items()]).first()
     n = {c: int(head[f"n{i}"]) for i, c in enumerate(cols)}
     return head, n, {k: {c: float(head[f"t{i}_{k}"] or 0.0) for i, c in enumerate(cols)} for k in sums}
 
 
-#: Sketches that meet in the last merge; bins of a counting pass; rows up to which a bin is ranked value by value.
-SKETCH_GROUPS, BINS, RANKED_ROWS = 64, 2048, 200_000
+#: Sketches that meet in the last merge.
+SKETCH_GROUPS = 64
+#: Bits of a value's image that one counting pass looks at; rows up to which a cell is counted value by value.
+DIGIT_BITS, RANKED_ROWS = 16, 200_000
+#: (cell, digit) entries that a task gathers before it hands them on.
+HELD_ENTRIES = 1 << 20
 
 
-def _bin(x: Column, low: float, high: float) -> Column:
-    """0 .. BINS - 1 of a finite value between the finite ``low`` and ``high``; -1 and BINS for the infinities."""
-    if high > low:
-        share = (x / 2 - F.lit(low / 2)) / F.lit(high / 2 - low / 2)
-        inner = F.least(F.greatest(F.floor(share * BINS), F.lit(0)), F.lit(BINS - 1))
-    else:
-        inner = F.lit(0).cast("long")
-    return F.when(x == math.inf, F.lit(BINS)).when(x == -math.inf, F.lit(-1)).otherwise(inner).cast("int")
+def ordered_image(x: np.ndarray) -> np.ndarray:
+    """64-bit integers in the order of the doubles (-0.0 as 0.0)."""
+    bits = (x + 0.0).view(np.int64)
+    return np.where(bits < 0, bits ^ np.int64(0x7FFFFFFFFFFFFFFF), bits)
+
+
+def image_value(image: int) -> float:
+    bits = np.array([image], np.int64)
+    return float(np.where(bits < 0, bits ^ np.int64(0x7FFFFFFFFFFFFFFF), bits).view(np.float64)[0])
+
+
+def unsigned_image(image: np.ndarray) -> np.ndarray:
+    return image.view(np.uint64) ^ np.uint64(1 << 63)
 
 
 @dataclass
-class _Span:
-    """Values of one column from ``low`` to ``high``: rows before it, rows in it, wanted positions."""
-    var: str
-    low: float
-    high: float
+class _Cell:
+    """Values of one column whose images begin alike: rows and sums before them, wanted positions among them."""
+    column: int
+    prefix: int
     before: int
     rows: int
-    sums_before: dict[str, float]
+    sums_before: list[float]
     wanted: list[int]
 
-    def holds(self, x: Column) -> Column:
-        return (x >= F.lit(self.low)) & (x <= F.lit(self.high))
 
-    @property
-    def done(self) -> bool:
-        return self.rows <= RANKED_ROWS or self.low == self.high
+def merged_entries(parts: list[tuple]) -> tuple:
+    """(cell, part, rows, low, high, *sums) with one entry per (cell, part)."""
+    columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+    order = np.lexsort((columns[1], columns[0]))
+    columns = [c[order] for c in columns]
+    new = np.ones(len(order), bool)
+    new[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
+    first = np.flatnonzero(new)
+    if not len(first):
+        return tuple(columns)
+    folds = [np.add, np.minimum, np.maximum, *[np.add] * (len(columns) - 5)]
+    return (columns[0][first], columns[1][first], *(f.reduceat(c, first) for f, c in zip(folds, columns[2:], strict=True)))
+
+
+def _counting(n_columns: int, n_sums: int, cells: list[_Cell] | None, shift: int, depth: int):
+    """Task side of a pass: rows and sums by (cell, part); a part is the next digit, with ``shift`` -1 the whole value.
+
+    ``depth``: bits of the images behind the cells' prefixes.
+    """
+    by_column: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for c in range(n_columns):
+        own = sorted((x.prefix, i) for i, x in enumerate(cells or []) if x.column == c)
+        by_column[c] = np.array([p for p, _ in own], np.uint64), np.array([i for _, i in own], np.int64)
+    names = ["cell", "part", "rows", "low", "high", *(f"s{k}" for k in range(n_sums))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            sums = [pc.fill_null(batch.column(n_columns + k), 0.0).to_numpy(zero_copy_only=False) for k in range(n_sums)]
+            for c in range(n_columns):
+                x = pc.fill_null(batch.column(c), math.nan).to_numpy(zero_copy_only=False)
+                at = np.flatnonzero(~np.isnan(x))
+                image = ordered_image(x[at])
+                if cells is None:
+                    cell = np.full(len(at), c, np.int64)
+                else:
+                    prefixes, numbers = by_column[c]
+                    if not len(prefixes):
+                        continue
+                    own = unsigned_image(image) >> np.uint64(depth)
+                    place = np.minimum(np.searchsorted(prefixes, own), len(prefixes) - 1)
+                    hit = prefixes[place] == own
+                    at, image, cell = at[hit], image[hit], numbers[place[hit]]
+                if shift >= 0:
+                    part = ((unsigned_image(image) >> np.uint64(shift)) & np.uint64((1 << DIGIT_BITS) - 1)).astype(np.int64)
+                else:
+                    part = image
+                held.append(merged_entries([(cell, part, np.ones(len(at), np.int64), image, image, *(w[at] for w in sums))]))
+                size += len(held[-1][0])
+            if size > HELD_ENTRIES:
+                held = [merged_entries(held)]
+                size = len(held[0][0])
+                if size > HELD_ENTRIES // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(v) for v in held[0]], names)
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in merged_entries(held)], names)
+    return run
 
 
 def selected_ranks(df: DataFrame, cols: list[str], probs: list[float], sums: dict[str, Column] | None = None,
-                   extras: dict[str, Column] | None = None) -> Ranked:
-    """Like ``value_ranks``, but the table holds only the values around the positions of ``probs``."""
+                   extras: dict[str, Column] | None = None, ranked_rows: int = RANKED_ROWS) -> Ranked:
+    """Like ``value_ranks``, but the table holds only the values at the positions of ``probs``.
+
+    Radix selection over the ordered 64-bit image of the doubles: a pass counts
+    rows and sums by the next 16 bits of the images that share their first bits
+    with a wanted position. Running counts and the choice of the digits hit are
+    made in Spark, so the driver receives no more rows than there are wanted
+    positions. Four passes read all 64 bits, whatever the distribution; once
+    the cells that are left have at most ``ranked_rows`` rows, one pass counts
+    them value by value instead.
+    """
     sums, extras = sums or {}, extras or {}
     wide, vcols = _with_values(df, cols, sums)
-    finite = [F.when(F.abs(F.col(v)) < math.inf, F.col(v)) for v in vcols]
-    more = [agg(x).alias(f"{k}{i}") for i, x in enumerate(finite) for k, agg in (("lo", F.min), ("hi", F.max))]
-    head, n, totals = _totals(wide, cols, vcols, sums, extras, more)
-    column = dict(zip(cols, vcols))
-    spans = [_Span(c, -math.inf, math.inf, 0, n[c], dict.fromkeys(sums, 0.0),
-                   sorted({q for _, _, lo, hi, _ in _positions(n[c], probs) for q in (lo, hi)}))
-             for c in cols if n[c]]
-    limits = {c: (head[f"lo{i}"] or 0.0, head[f"hi{i}"] or 0.0) for i, c in enumerate(cols)}
-    first = True
-    while first or not all(s.done for s in spans):
-        spans = _narrowed(wide, column, [s for s in spans if first or not s.done], sums, limits if first else None) + [
-            s for s in spans if not first and s.done]
-        first = False
     scols = [f"__s_{k}" for k in sums]
-    cells = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("var"), F.col(column[c]).alias("value"), _which(F.col(column[c]), c, spans).alias("span"))
-        for c in cols])) if cols else None
-    long = wide.select(cells.alias("c"), *scols).select("c.*", *scols).where(F.col("span").isNotNull())
-    counts = long.groupBy("var", "span", "value").agg(
-        F.count(F.lit(1)).alias("cnt"), *[F.sum(f"__s_{k}").alias(k) for k in sums])
-    w = Window.partitionBy("var", "span").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-
-    def start(of):
-        return F.element_at(F.array(*[F.lit(of(s)) for s in spans] or [F.lit(0)]), F.col("span") + 1)
-    ranked = counts.withColumn("cum_hi", start(lambda s: s.before).cast("long") + F.sum("cnt").over(w))
-    for k in sums:
-        ranked = ranked.withColumn(f"cum_{k}", start(lambda s: float(s.sums_before[k])) + F.sum(k).over(w))
-    ranked = ranked.withColumn("cum_lo", F.col("cum_hi") - F.col("cnt"))
+    head = wide.agg(*[e.alias(f"x_{k}") for k, e in extras.items()]).first() if extras else {}
+    source = wide.select(*vcols, *scols)
+    schema = "cell long, part long, rows long, low long, high long" + "".join(f", s{k} double" for k in range(len(scols)))
+    n, totals = dict.fromkeys(cols, 0), {k: dict.fromkeys(cols, 0.0) for k in sums}
+    found, cells, shift = [], None, 64
+    while cols and (cells is None or cells):
+        by_value = cells is not None and all(c.rows <= ranked_rows for c in cells)
+        last, shift = shift, -1 if by_value else shift - DIGIT_BITS
+        counts = (source.mapInArrow(_counting(len(vcols), len(scols), cells, shift, last), schema).groupBy("cell", "part")
+                  .agg(*[F.sum(c).alias(c) for c in ("rows", *(f"s{k}" for k in range(len(scols))))],
+                       F.min("low").alias("low"), F.max("high").alias("high")))
+        hit = _hit(counts, cells, probs, len(scols)).collect()
+        left = []
+        for r in hit:
+            column = r["cell"] if cells is None else cells[r["cell"]].column
+            start = 0 if cells is None else cells[r["cell"]].before
+            sums_start = [0.0] * len(scols) if cells is None else cells[r["cell"]].sums_before
+            if cells is None:
+                n[cols[column]] = r["all_rows"]
+                for k, name in enumerate(sums):
+                    totals[name][cols[column]] = float(r[f"all{k}"] or 0.0)
+            before = start + r["before"]
+            sums_before = [a + (r[f"b{k}"] or 0.0) for k, a in enumerate(sums_start)]
+            if r["low"] == r["high"]:
+                own = [x for k in range(len(scols)) for x in (float(r[f"s{k}"] or 0.0), sums_before[k] + float(r[f"s{k}"] or 0.0))]
+                found.append((cols[column], image_value(r["low"]), r["rows"], before, before + r["rows"], *own))
+            else:
+                prefix = int(unsigned_image(np.array([r["low"]], np.int64))[0]) >> shift
+                left.append(_Cell(column, prefix, before, r["rows"], sums_before, [start + q for q in r["wanted"]]))
+        cells = left
+    names = "var string, value double, cnt long, cum_lo long, cum_hi long" + "".join(f", `{k}` double, `cum_{k}` double" for k in sums)
+    table = df.sparkSession.createDataFrame(found, names)
     keep = ["var", "value", "cnt", "cum_lo", "cum_hi", *[x for k in sums for x in (k, f"cum_{k}")]]
-    return Ranked(ranked.select(*keep), n, totals, {k: head[f"x_{k}"] for k in extras})
-
-
-def _which(x: Column, var: str, spans: list[_Span]) -> Column:
-    """Number of the span of ``var`` that holds the value, else null."""
-    return F.coalesce(*[F.when(s.holds(x), F.lit(i)) for i, s in enumerate(spans) if s.var == var],
-                      F.lit(None).cast("int"))
-
-
-def _narrowed(wide, column, spans, sums, limits) -> list[_Span]:
-    """The bins of the spans that hold a wanted position, from one counting pass (spans x BINS rows at most)."""
-    def edges(s):
-        return limits[s.var] if limits else (s.low, s.high)
-    cells = []
-    for c, v in column.items():
-        own = [(i, s) for i, s in enumerate(spans) if s.var == c]
-        if own:
-            x = F.col(v)
-            place = F.coalesce(*[F.when(s.holds(x), F.struct(F.lit(i).alias("span"), _bin(x, *edges(s)).alias("bin")))
-                                 for i, s in own])
-            cells.append(F.struct(place.alias("place"), x.alias("value")))
-    scols = [f"__s_{k}" for k in sums]
-    if not cells:
-        return []
-    table = (wide.select(F.explode(F.array(*cells)).alias("c"), *scols).where(F.col("c.place").isNotNull())
-             .groupBy("c.place.span", "c.place.bin")
-             .agg(F.count(F.lit(1)).alias("rows"), F.min("c.value").alias("low"), F.max("c.value").alias("high"),
-                  *[F.sum(f"__s_{k}").alias(f"s_{k}") for k in sums]).collect())
-    out = []
-    for i, s in enumerate(spans):
-        before, sums_before = s.before, dict(s.sums_before)
-        for r in sorted((r for r in table if r["span"] == i), key=lambda r: r["bin"]):
-            wanted = [q for q in s.wanted if before <= q < before + r["rows"]]
-            if wanted:
-                out.append(_Span(s.var, r["low"], r["high"], before, r["rows"], dict(sums_before), wanted))
-            before += r["rows"]
-            for k in sums:
-                sums_before[k] += r[f"s_{k}"] or 0.0
-    return out
+    return Ranked(table.select(*keep), n, totals, {k: head[f"x_{k}"] for k in extras})
+
+
+def _hit(counts: DataFrame, cells: list[_Cell] | None, probs: list[float], n_sums: int) -> DataFrame:
+    """Of the counted parts, those that hold a wanted position: rows before them in their cell, and these positions."""
+    # A cell has 2^16 parts at most, or ranked_rows.
+    ahead = Window.partitionBy("cell").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("cell")
+    sums = [c for k in range(n_sums) for c in (F.sum(f"s{k}").over(ahead).alias(f"b{k}"), F.sum(f"s{k}").over(whole).alias(f"all{k}"))]
+    running = counts.select("*", F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias("before"),
+                            F.sum("rows").over(whole).alias("all_rows"), *sums)
+    if cells is None:
+        places = []
+        for p in probs:
+            low = F.floor((F.col("all_rows") - 1).cast("double") * F.lit(float(p))).cast("long")
+            places += [low, F.least(low + 1, F.col("all_rows") - 1)]
+        wanted = F.array(*places) if places else F.array().cast("array<long>")
+    else:
+        wanted = F.element_at(F.array(*[F.array(*[F.lit(q - c.before).cast("long") for q in c.wanted]) for c in cells]),
+                              (F.col("cell") + 1).cast("int"))
+    inside = F.array_distinct(F.filter(wanted, lambda q: (q >= F.col("before")) & (q < F.col("before") + F.col("rows"))))
+    return running.withColumn("wanted", inside).where(F.size("wanted") > 0)
 
 
 def _positions(n: int, probs: list[float]):

@@ -10,8 +10,11 @@ survives only with a share >= ``small_sample_floor``, so a variable has at most
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,33 +108,26 @@ def merge_level_bins(pdf: pd.DataFrame, min_pct: float = 0.06) -> list[tuple[lis
     merged forward (C5, the last bin excepted). Returns [(levels, bad, total)].
     """
     pdf = pdf.assign(rate=pdf["badCnt"] / pdf["totalCnt"]).sort_values(["rate", "level"], kind="mergesort")
-    names = [[str(x)] for x in pdf["level"]]
-    bad = [int(x) for x in pdf["badCnt"]]
-    tot = [int(x) for x in pdf["totalCnt"]]
-    all_tot = float(sum(tot))
-
-    def forward(cond):
-        nonlocal names, bad, tot
-        n = len(names)
-        gone = [False] * n
-        for i in range(n - 1):
-            if cond(i):
-                bad[i + 1] += bad[i]
-                tot[i + 1] += tot[i]
-                names[i + 1] = names[i] + names[i + 1]
-                gone[i] = True
-        keep = [j for j in range(n) if not gone[j]]
-        names, bad, tot = [names[j] for j in keep], [bad[j] for j in keep], [tot[j] for j in keep]
-
-    forward(lambda i: tot[i] / all_tot < min_pct)
-    last = len(names) - 1
-    if last >= 1 and tot[last] / all_tot < min_pct:
-        bad[last - 1] += bad[last]
-        tot[last - 1] += tot[last]
-        names[last - 1] = names[last - 1] + names[last]
-        names, bad, tot = names[:last], bad[:last], tot[:last]
-    forward(lambda i: bad[i] == 0)
-    return list(zip(names, bad, tot))
+    bins = [([str(lvl)], int(bad), int(total)) for lvl, bad, total in zip(pdf["level"], pdf["badCnt"], pdf["totalCnt"], strict=True)]
+    rows = float(sum(b[2] for b in bins))
+
+    def joined(a, b):
+        return a[0] + b[0], a[1] + b[1], a[2] + b[2]
+
+    def closed(bins, unfinished):
+        """Bins filled from left to right; one is closed as soon as it is no longer ``unfinished``, or at the end."""
+        out, filling = [], ([], 0, 0)
+        for b in bins:
+            filling = joined(filling, b)
+            if not unfinished(filling):
+                out.append(filling)
+                filling = ([], 0, 0)
+        return out + [filling] * bool(filling[0])
+
+    bins = closed(bins, lambda b: b[2] / rows < min_pct)
+    if len(bins) > 1 and bins[-1][2] / rows < min_pct:
+        bins[-2:] = [joined(bins[-2], bins[-1])]
+    return closed(bins, lambda b: b[1] == 0)
 
 
 MERGED_SCHEMA = "var string, bin_id int, cuts array<string>, badCnt long, totalCnt long"
@@ -240,43 +236,123 @@ def iv_filter(iv: DataFrame, iv_min: float = 0.02) -> tuple[list[str], list[str]
     return keep, drop
 
 
+#: Rows whose levels are crossed at once, and contingency cells a task holds before it hands them on.
+CROSSED_ROWS, HELD_CELLS = 1 << 15, 1 << 21
+
+
+class _Crossed:
+    """Contingency cells of all column pairs over some rows of a task.
+
+    The levels of all columns are numbered once per task; a cell is (number of
+    the first level, number of the second), so one sorted list of numbers with
+    counts holds every pair's table.
+    """
+
+    def __init__(self, k: int):
+        self.k, self.held, self.size = k, [], 0
+        self.numbers: list[dict] = [{} for _ in range(k)]
+        self.levels: list[tuple[int, str | None]] = []
+
+    def add(self, columns: list[pa.Array]) -> None:
+        codes = np.empty((len(columns[0]), self.k), np.int64)
+        for i, c in enumerate(columns):
+            local = c.dictionary_encode(null_encoding="encode")
+            known = self.numbers[i]
+            own = np.empty(len(local.dictionary), np.int64)
+            for j, level in enumerate(local.dictionary.to_pylist()):
+                if level not in known:
+                    known[level] = len(self.levels)
+                    self.levels.append((i, level))
+                own[j] = known[level]
+            codes[:, i] = own[local.indices.to_numpy()]
+        width = len(self.levels)
+        for i in range(self.k - 1):
+            present, first = np.unique(codes[:, i], return_inverse=True)
+            keys = (first[:, None] * width + codes[:, i + 1:]).ravel()
+            if len(present) * width <= 1 << 22:
+                counts = np.bincount(keys, minlength=0)
+                keys = np.flatnonzero(counts)
+                counts = counts[keys]
+            else:
+                keys, counts = np.unique(keys, return_counts=True)
+            self.held.append(((present[keys // width] << 32) | (keys % width), counts))
+            self.size += len(keys)
+        if self.size > HELD_CELLS:
+            self.merge()
+
+    def merge(self) -> None:
+        keys, counts = (np.concatenate(c) for c in zip(*self.held, strict=True))
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        self.held = [(keys[first], np.add.reduceat(counts, first))] if len(keys) else []
+        self.size = len(first) if len(keys) else 0
+
+    def rows(self) -> pa.RecordBatch:
+        self.merge()
+        keys, counts = self.held[0] if self.held else (np.empty(0, np.int64), np.empty(0, np.int64))
+        column = np.array([c for c, _ in self.levels], np.int32)
+        name = pa.array([n for _, n in self.levels], pa.string())
+        a, b = keys >> 32, keys & 0xFFFFFFFF
+        return pa.RecordBatch.from_arrays([pa.array(column[a]), pa.array(column[b]), name.take(pa.array(a)), name.take(pa.array(b)),
+                                           pa.array(counts)], ["i", "j", "l1", "l2", "o"])
+
+
+def _crossing(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        crossed = _Crossed(k)
+        for batch in batches:
+            for at in range(0, len(batch), CROSSED_ROWS):
+                crossed.add([c.slice(at, CROSSED_ROWS) for c in batch.columns])
+                if crossed.size > HELD_CELLS // 2 or len(crossed.levels) > HELD_CELLS:
+                    yield crossed.rows()
+                    crossed = _Crossed(k)
+        if crossed.held:
+            yield crossed.rows()
+    return run
+
+
+def contingency(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(i, j, l1, l2, o): cells of the table of every column pair i < j, missing levels included as null.
+
+    Each task counts all pairs over its rows and sends one row per cell that
+    occurs, so what is shuffled follows the cells, not the rows.
+    """
+    levels = df.select(*[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(cols)])
+    cells = levels.mapInArrow(_crossing(len(cols)), "i int, j int, l1 string, l2 string, o long")
+    return cells.groupBy("i", "j", "l1", "l2").agg(F.sum("o").alias("o"))
+
+
 def cramers_v(df: DataFrame, cols: list[str]) -> DataFrame:
     """Cramér's V for every column pair i < j in ``cols`` order (C16), no
     continuity correction: V = sqrt(chi2 / (n * (min(r, c) - 1))).
 
-    One scan and one shuffle of counts: each row emits a (pair number, level,
-    level) record per pair, and one ``groupBy`` yields all contingency tables,
-    missing levels included. Everything else follows from those cells: n (all
-    rows), r and c (distinct levels) and chi2 = N * (sum O^2/(R*C) - 1) over the
-    cells without a missing level, N their total.
+    Everything follows from the cells of ``contingency``: n (all rows), r and c
+    (distinct levels) and chi2 = N * (sum O^2/(R*C) - 1) over the cells without
+    a missing level, N their total.
     """
-    pairs = [(i, j) for i in range(len(cols)) for j in range(len(cols)) if i < j]
-    if not pairs:
+    if len(cols) < 2:
         return df.sparkSession.createDataFrame([], "var1 string, var2 string, CramersV double")
-
-    def lvl(c):
-        return F.col(f"`{c}`").cast("string")
-    records = F.explode(F.array(*[
-        F.struct(F.lit(p).alias("pair"), lvl(cols[i]).alias("l1"), lvl(cols[j]).alias("l2"))
-        for p, (i, j) in enumerate(pairs)]))
-    cells = df.select(records.alias("s")).select("s.*").groupBy("pair", "l1", "l2").agg(F.count(F.lit(1)).alias("o"))
     full = F.col("l1").isNotNull() & F.col("l2").isNotNull()
-    cells = (cells.withColumn("f", F.when(full, F.col("o")))
-             .withColumn("R", F.sum("f").over(Window.partitionBy("pair", "l1")))
-             .withColumn("C", F.sum("f").over(Window.partitionBy("pair", "l2"))))
-    table = cells.groupBy("pair").agg(
+    rows, columns = Window.partitionBy("i", "j", "l1"), Window.partitionBy("i", "j", "l2")
+    cells = (contingency(df, cols).withColumn("f", F.when(full, F.col("o")))
+             .withColumn("R", F.sum("f").over(rows))
+             .withColumn("one1", F.when(F.col("l1").isNotNull(), (F.row_number().over(rows.orderBy("l2")) == 1).cast("long")))
+             .withColumn("C", F.sum("f").over(columns))
+             .withColumn("one2", F.when(F.col("l2").isNotNull(), (F.row_number().over(columns.orderBy("l1")) == 1).cast("long"))))
+    table = cells.groupBy("i", "j").agg(
         F.sum("o").alias("n"), F.sum("f").alias("full"), F.sum(F.col("f") * F.col("f") / (F.col("R") * F.col("C"))).alias("s"),
-        F.count_distinct("l1").alias("d1"), F.count_distinct("l2").alias("d2"))
-    names = F.array(*[F.struct(F.lit(cols[i]).alias("var1"), F.lit(cols[j]).alias("var2")) for i, j in pairs])
+        F.sum("one1").alias("d1"), F.sum("one2").alias("d2"))
+    names = F.array(*[F.lit(c) for c in cols])
     chi2 = F.col("full") * (F.col("s") - 1.0)
-    return (table.where(F.col("full").isNotNull()).withColumn("v", F.element_at(names, F.col("pair") + 1))
-            .select("v.var1", "v.var2",
+    return (table.where(F.col("full").isNotNull())
+            .select(F.element_at(names, F.col("i") + 1).alias("var1"), F.element_at(names, F.col("j") + 1).alias("var2"),
                     F.sqrt(F.try_divide(chi2, F.col("n") * (F.least("d1", "d2") - 1))).alias("CramersV")))
 
 
 def cramers_v_select(pairs: DataFrame, iv: DataFrame, cv_max: float = 0.6) -> tuple[list[str], DataFrame]:
-    """Greedy elimination (C17): take the pair with the highest V above ``cv_max``,
-    drop its lower-IV member (var1 on ties), remove that variable's pairs, repeat.
+    """Greedy elimination (C17): pairs above ``cv_max`` from the highest V down; one whose members
+    are both still there loses its lower-IV member (var1 on ties).
 
     Returns (dropped variables, pair table with var1_IV / var2_IV). The pair
     table has one row per column pair, so the loop runs on collected rows.
@@ -285,17 +361,14 @@ def cramers_v_select(pairs: DataFrame, iv: DataFrame, cv_max: float = 0.6) -> tu
     iv2 = iv.select(F.col("var").alias("var2"), F.col("IV").alias("var2_IV"))
     table = pairs.join(iv1, "var1", "left").join(iv2, "var2", "left").select(
         "var1", "var2", "CramersV", "var1_IV", "var2_IV")
-    rows = sorted((r for r in table.collect() if r["CramersV"] is not None and r["CramersV"] > cv_max),
-                  key=lambda r: (-r["CramersV"], r["var1"], r["var2"]))
-    dropped: list[str] = []
-    while rows:
-        top = rows[0]
-        i1 = top["var1_IV"] if top["var1_IV"] is not None else -INF
-        i2 = top["var2_IV"] if top["var2_IV"] is not None else -INF
-        victim = top["var2"] if i1 > i2 else top["var1"]
-        dropped.append(victim)
-        rows = [r for r in rows if r["var1"] != victim and r["var2"] != victim]
-    return dropped, table
+    strong = sorted((r for r in table.collect() if r["CramersV"] is not None and r["CramersV"] > cv_max),
+                    key=lambda r: (-r["CramersV"], r["var1"], r["var2"]))
+    dropped: dict[str, None] = {}  # in the order they fall
+    for r in strong:
+        if r["var1"] not in dropped and r["var2"] not in dropped:
+            first, second = (-INF if r[c] is None else r[c] for c in ("var1_IV", "var2_IV"))
+            dropped[r["var2"] if first > second else r["var1"]] = None
+    return list(dropped), table
 
 
 def structure_bin_map(spark, structure: dict[str, list[list[str]]]) -> DataFrame:

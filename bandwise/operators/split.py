@@ -8,10 +8,14 @@ retry, in every partitioning, and in DuckDB (``('0x' || substr(md5(..),1,8))::UB
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HASH_RANGE = 1 << 32
+from bandwise.session import cut_lineage
+
+HASH_RANGE, HASH_48 = 1 << 32, 1 << 48
 
 
 def hash_key(key_cols: list[str], seed: int) -> Column:
@@ -63,37 +67,44 @@ def order_hash(key_cols: list[str], seed: int) -> Column:
     return F.conv(F.substring(F.md5(hash_key(key_cols, seed)), 1, 12), 16, 10).cast("long")
 
 
-#: Bits of the order hash that one counting pass looks at, and the rows that one task may order.
-RADIX_BITS, ORDERED_ROWS = 16, 100_000
+#: Rows that one task may order; larger samples are cut by counts first.
+ORDERED_ROWS = 100_000
 
 
-def sample_n(df: DataFrame, n: int, key_cols: list[str], seed: int = 42) -> DataFrame:
+def sample_n(df: DataFrame, n: int, key_cols: list[str], seed: int = 42, ordered_rows: int = ORDERED_ROWS) -> DataFrame:
     """Exactly ``n`` rows without replacement (X1): the first by (md5(seed:key), key).
 
-    The rows are counted by the first bits of their order hash; the cell in
-    which the n-th row lies is counted by the next bits, until it holds at most
-    ORDERED_ROWS rows. Rows of the cells before are taken by a plain filter,
-    only that last cell is ordered. Every count has 2^RADIX_BITS rows at most.
+    After a count, one scan keeps the rows whose hash lies below a guess that
+    leaves n rows with ten standard deviations to spare; only those are ordered,
+    and written, so that nothing hashes the table again. Should they be fewer
+    than n after all, the guess is widened. Beyond ``ordered_rows`` the kept
+    rows are counted by hash cells, whole cells are taken and one is ordered.
     The limit is the operator itself.
     """
+    total = df.count()
+    if total <= n:
+        return df
+    order, keep = ["__o", *key_cols], n + 10 * math.sqrt(n) + 20
     hashed = df.withColumn("__o", order_hash(key_cols, seed))
-    low, shift, want = 0, 48, n
     while True:
-        shift -= RADIX_BITS
-        cell = F.shiftright(F.col("__o") - F.lit(low), shift).alias("cell")
-        inside = hashed.where((F.col("__o") >= low) & (F.col("__o") < low + (1 << (shift + RADIX_BITS))))
-        counts = sorted((r["cell"], r["rows"]) for r in
-                        inside.groupBy(cell).agg(F.count(F.lit(1)).alias("rows")).collect())
-        if shift == 48 - RADIX_BITS and sum(c for _, c in counts) <= n:
-            return df
-        for at, rows in counts:
-            if rows >= want:
-                break
-            want -= rows
-        low += at << shift
-        if rows <= ORDERED_ROWS or shift == 0:
-            break
-    if n <= ORDERED_ROWS:  # what is before the cell is few rows as well: one scan
-        return hashed.where(F.col("__o") < low + (1 << shift)).orderBy("__o", *key_cols).limit(n).drop("__o")
-    last = hashed.where((F.col("__o") >= low) & (F.col("__o") < low + (1 << shift)))
-    return hashed.where(F.col("__o") < low).unionByName(last.orderBy("__o", *key_cols).limit(want)).drop("__o")
+        bound = min(HASH_48, math.ceil(HASH_48 * min(1.0, keep / total)))
+        near = hashed.where(F.col("__o") < F.lit(bound))
+        if n <= ordered_rows:
+            out = cut_lineage(near.orderBy(*order).limit(n).drop("__o"))
+            if bound == HASH_48 or out.count() == n:
+                return out
+        else:
+            near = cut_lineage(near)
+            cells = max(2, -(-n // ordered_rows) * 4)
+            # Cells of equal width: whole numbers, so that every engine cuts alike.
+            cell = F.expr(f"__o div {-(-bound // cells)}")
+            counts = sorted((r["cell"], r["n"]) for r in near.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect())
+            if bound == HASH_48 or sum(c for _, c in counts) >= n:
+                want = n
+                for at, rows in counts:
+                    if rows >= want:
+                        break
+                    want -= rows
+                last = near.where(cell == at).orderBy(*order).limit(want)
+                return near.where(cell < at).unionByName(last).drop("__o")
+        keep *= 4

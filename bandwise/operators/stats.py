@@ -10,11 +10,25 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bandwise.operators.profile import pearson
-from bandwise.operators.quantiles import value_ranks
+from bandwise.operators.quantiles import attach_ranks
+from bandwise.session import stored
+
+
+def centroids(df: DataFrame, vector_col: str, by: list[str], out: str = "centroid") -> DataFrame:
+    """Mean vector per group (N8): (*by, out array<double>), one running vector per group and task.
+
+    Rows with a null vector are left out; a null component or a vector of
+    another length than its group's raises.
+    """
+    vectors = df.where(F.col(vector_col).isNotNull()).select(
+        *by, array_to_vector(F.transform(vector_col, lambda x: x.cast("double"))).alias("__v"))
+    return vectors.groupBy(*by).agg(vector_to_array(Summarizer.mean(F.col("__v"))).alias(out))
 
 
 def correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
@@ -28,19 +42,13 @@ def correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     """Spearman rank correlation (T2): Pearson of average-tie ranks.
 
-    Ranks come from the distributed ``value_ranks`` (no single-task window).
-    Rows are first collapsed to distinct (a, b) pairs with counts, so the
-    rank joins see each pair once; the correlation is count-weighted. Both
-    rank lookups come from the same plan, so Spark reuses its shuffle.
+    Rows are first collapsed to distinct (a, b) pairs with counts; then each
+    column's ranks are attached in turn (``attach_ranks``), the pair moving along.
     """
-    base = df.select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")) \
-        .where(F.col("a").isNotNull() & F.col("b").isNotNull())
-    r = value_ranks(base, ["a", "b"])
-    ranks = r.df.select("var", "value", (F.col("cum_lo") + (F.col("cnt") + 1) / 2.0).alias("rank"))
-    ra = ranks.where(F.col("var") == "a").select(F.col("value").alias("a"), F.col("rank").alias("ra"))
-    rb = ranks.where(F.col("var") == "b").select(F.col("value").alias("b"), F.col("rank").alias("rb"))
-    pairs = base.groupBy("a", "b").agg(F.count(F.lit(1)).alias("w"))
-    j = pairs.join(ra, "a").join(rb, "b")
+    base = df.select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"))
+    base = base.where(~F.isnan("a") & ~F.isnan("b") & F.col("a").isNotNull() & F.col("b").isNotNull())
+    pairs = stored(base.groupBy("a", "b").agg(F.count(F.lit(1)).alias("w")))
+    j = attach_ranks(stored(attach_ranks(pairs, "a", "ra", "w")), "b", "rb", "w")
     n = F.sum("w")
     mx, my = F.sum(F.col("w") * F.col("ra")) / n, F.sum(F.col("w") * F.col("rb")) / n
     sxy = F.sum(F.col("w") * F.col("ra") * F.col("rb")) / n - mx * my

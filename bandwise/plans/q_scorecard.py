@@ -311,7 +311,70 @@ def tree_bins(spark, sf_dir):
     return rounded(nodes)
 
 
-register("tree_bins")(tree_bins)
+def _tree_sql(leaves: int = 6, share: float = 0.06) -> str:
+    """Best-first growth over all distinct values, one split a step, then every leaf count from the recorded splits."""
+    def impurity(b, n):
+        return f"({n} - ({b} * {b} + ({n} - {b}) * ({n} - {b})) / {n})"
+
+    values = " UNION ALL ".join(f"SELECT '{c}' AS var, {c} AS value, target FROM train WHERE {c} IS NOT NULL" for c in NUMS)
+    steps = []
+    for k in range(leaves - 1):
+        steps.append(f"""
+n{k} AS (SELECT var, value, n, bad, len(list_filter(cuts, lambda c: c < value)) AS node FROM above JOIN cuts{k} USING (var)),
+r{k} AS (SELECT *, SUM(n) OVER w AS nl, SUM(bad) OVER w AS bl, SUM(n) OVER (PARTITION BY var, node) AS nt,
+         SUM(bad) OVER (PARTITION BY var, node) AS bt FROM n{k} WINDOW w AS (PARTITION BY var, node ORDER BY value)),
+b{k} AS (SELECT var, node, value, nt, bt, nl, bl FROM r{k}, least WHERE nl < nt AND nl >= min_leaf AND nt - nl >= min_leaf
+         QUALIFY row_number() OVER (PARTITION BY var, node ORDER BY
+           {impurity('bl', 'nl')} + {impurity('(bt - bl)', '(nt - nl)')}, value) = 1),
+g{k} AS (SELECT var, value FROM b{k} WHERE {impurity('bt', 'nt')} / nt > 1e-7
+         QUALIFY row_number() OVER (PARTITION BY var ORDER BY
+           {impurity('bt', 'nt')} - {impurity('bl', 'nl')} - {impurity('(bt - bl)', '(nt - nl)')} DESC) = 1),
+cuts{k + 1} AS (SELECT var, CASE WHEN value IS NULL THEN cuts ELSE list_append(cuts, value) END AS cuts
+                FROM cuts{k} LEFT JOIN g{k} USING (var))""")
+    return f"""
+train AS ({_TRAIN_SQL}),
+vals AS ({values}),
+least AS (SELECT round(COUNT(*) * {share})::BIGINT AS min_leaf FROM train),
+above AS (SELECT var, value, COUNT(*)::DOUBLE AS n, SUM(target)::DOUBLE AS bad FROM vals WHERE value > 0 GROUP BY ALL),
+cuts0 AS (SELECT DISTINCT var, CAST([] AS DOUBLE[]) AS cuts FROM above),{','.join(steps)},
+counts AS (SELECT unnest(range(2, {leaves} + 1)) AS k),
+leaf AS (SELECT var, k, 1 AS tree, len(list_filter(cuts[1:k - 1], lambda c: c < value)) AS node, MIN(value) AS amin,
+         MAX(value) AS amax, SUM(bad) AS bad, SUM(n) AS n FROM above JOIN cuts{leaves - 1} USING (var), counts GROUP BY ALL
+         UNION ALL
+         SELECT var, k, 0, -1, MIN(value), MAX(value), SUM(target), COUNT(*) FROM vals, counts WHERE value <= 0 GROUP BY var, k),
+sized AS (SELECT *, bad / n * 100.0 AS rate, SUM(n) OVER v AS tn, SUM(bad) OVER v AS tb,
+          row_number() OVER (PARTITION BY var, k, tree ORDER BY amax) AS place,
+          sign(bad / n * 100.0 - lead(bad / n * 100.0) OVER (PARTITION BY var, k ORDER BY amax, tree)) AS sgn
+          FROM leaf WINDOW v AS (PARTITION BY var, k)),
+monotone AS (SELECT var, k, COUNT(DISTINCT sgn) FILTER (WHERE tree = 1 AND sgn IS NOT NULL) = 1 AS good FROM sized GROUP BY var, k),
+chosen AS (SELECT var, COALESCE(MAX(k) FILTER (WHERE good), 2) AS k FROM monotone GROUP BY var),
+nodes AS (SELECT *, CASE WHEN bad = 0 AND n = bad THEN 'nan'::DOUBLE WHEN bad = 0 THEN 'inf'::DOUBLE WHEN n = bad THEN '-inf'::DOUBLE
+                         ELSE ln(((n - bad) / (tn - tb)) / (bad / tb)) END * ((n - bad) / (tn - tb) - bad / tb) * 100.0 AS iv
+          FROM sized JOIN chosen USING (var, k))"""
+
+
+register("tree_bins", f"""WITH {_tree_sql()}
+SELECT var, CAST(CASE WHEN tree = 0 THEN -1 ELSE place END AS INTEGER) AS node, FALSE AS is_total, {_r('amin', 'amin')}, {_r('amax', 'amax')},
+       CAST(bad AS BIGINT) AS badCnt, CAST(n AS BIGINT) AS totalCnt, {_r('n / tn * 100.0', 'popPercentage')}, {_r('iv', 'IV')},
+       {_r('rate', 'badRate')}, {_r('sgn', 'badSign')}, CAST(k AS INTEGER) AS n_leaves FROM nodes
+UNION ALL
+SELECT var, NULL, TRUE, {_r('MIN(amin)', 'amin')}, {_r('MAX(amax)', 'amax')}, CAST(SUM(bad) AS BIGINT), CAST(SUM(n) AS BIGINT), 100.0,
+       {_r('SUM(iv) FILTER (WHERE isfinite(iv))', 'IV')}, {_r('SUM(bad) / SUM(n) * 100.0', 'badRate')}, NULL, CAST(k AS INTEGER)
+FROM nodes GROUP BY var, k""")(tree_bins)
+
+
+def tree_cuts(spark, sf_dir):
+    """C11: the cut points that the tree gives each numeric variable, in order."""
+    _, cuts = tree_binning(_train(spark, sf_dir), NUMS, "target", 6, 0.0, [-1.0])
+    return rounded(spark.createDataFrame([(v, i, float(c)) for v, points in cuts.items() for i, c in enumerate(points)],
+                                         "var string, place int, cut double"))
+
+
+register("tree_cuts", f"""WITH {_tree_sql()},
+ends AS (SELECT var, amax AS cut FROM nodes WHERE rate > 0 AND rate < 100
+         QUALIFY row_number() OVER (PARTITION BY var ORDER BY amax DESC, tree DESC) > 1
+         UNION SELECT DISTINCT var, -1.0 FROM vals UNION SELECT DISTINCT var, unnest(['-inf'::DOUBLE, 'inf'::DOUBLE]) FROM vals)
+SELECT var, CAST(row_number() OVER (PARTITION BY var ORDER BY cut) - 1 AS INTEGER) AS place, {_r('cut', 'cut')} FROM ends""")(tree_cuts)
 
 
 def cramers_v_selection(spark, sf_dir):

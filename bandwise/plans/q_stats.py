@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from bandwise.functions.mathfn import (angle, binomial_pmf, dot, is_finite, log_base,
                                        logit, norm, normal_pdf, power_law, sigmoid)
-from bandwise.operators.stats import (chebyshev, cohens_d_welch, conditional_probability, correlations,
+from bandwise.operators.stats import (centroids, chebyshev, cohens_d_welch, conditional_probability, correlations,
                                       covariance, impurity, information_gain, log_loss, softmax,
                                       spearman, zscore)
 from bandwise.plans.catalog import register
@@ -229,10 +229,7 @@ FROM lineitem""")(scalar_functions)
 def cosine_angle(spark, sf_dir):
     """Dot product, norms and angle between each embedding and its label centroid."""
     emb = load_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
-    parts = emb.select("label", F.posexplode("embedding").alias("pos", "x"))
-    cent = (parts.groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
-            .groupBy("label").agg(F.sort_array(F.collect_list(F.struct("pos", "m"))).alias("c"))
-            .select("label", F.transform("c", lambda s: s["m"]).alias("centroid")))
+    cent = centroids(emb, "embedding", ["label"])
     # The centroid table has one row per label with one entry per dimension.
     j = emb.join(cent, "label")
     return rounded(j.select("vec_id", "label", dot("embedding", "centroid").alias("dot"),

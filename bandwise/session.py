@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,3 +69,14 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table of its own in the checkpoint folder, and read it.
+
+    Like a checkpoint the files survive lost executors; a written table also has
+    true sizes, and its plan carries no constraints along.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/bandwise-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

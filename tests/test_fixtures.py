@@ -255,10 +255,9 @@ def test_profile_approximate_options(spark):
 def test_sample_n_exact_and_ordered(spark, monkeypatch, n, ordered):
     from bandwise.operators import split
     from bandwise.operators.split import order_hash, sample_n
-    monkeypatch.setattr(split, "ORDERED_ROWS", ordered)
     from tests.conftest import SF_SMALL
     o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey")
-    got = {r[0] for r in sample_n(o, n, ["o_orderkey"], seed=9).collect()}
+    got = {r[0] for r in sample_n(o, n, ["o_orderkey"], seed=9, ordered_rows=ordered).collect()}
     ref = [r[0] for r in o.withColumn("h", order_hash(["o_orderkey"], 9)).orderBy("h", "o_orderkey").collect()]
     assert len(got) == n and got == set(ref[:n])
 
@@ -347,10 +346,11 @@ def test_split_fractions_are_not_rounded(spark):
 
 
 def test_equal_depths_are_searched_once():
-    from bandwise.operators.models import GBM_PARAMS, MAX_DEPTH, grid_points
+    from bandwise.operators.ensembles import collapsed
+    from bandwise.operators.models import GBM_PARAMS, grid_points
     points = grid_points(GBM_PARAMS)
-    assert len(points) == 4 * 3 * 2 * 4
-    assert {p["max_depth"] for p in points} == {3, 10, 20, MAX_DEPTH}
+    assert len(points) == 4 * 3 * 2 * 5 and {p["max_depth"] for p in points} == {3, 10, 20, 40, 80}
+    assert {(p["min_weight_fraction_leaf"], p["max_depth"]) for p in map(collapsed, points)} == {(0.1, 3), (0.1, 9), (0.06, 3), (0.06, 10), (0.06, 15)}
 
 
 def test_json_has_no_depth_limit(spark):
@@ -373,14 +373,21 @@ def test_selected_ranks_of_any_shape(spark, monkeypatch, ranked_rows):
     """Heavy tails, ties, infinities, null and NaN: the same order statistics as a sort."""
     import random
     from bandwise.operators import quantiles as Q
-    monkeypatch.setattr(Q, "RANKED_ROWS", ranked_rows)
-    monkeypatch.setattr(Q, "BINS", 8)
+    passes, counting, received, hit = [], Q._counting, [], Q._hit
+    monkeypatch.setattr(Q, "_counting", lambda *a: passes.append(a[3]) or counting(*a))
+
+    def seen(*a):
+        out = hit(*a)
+        received.append(out.count())
+        return out
+    monkeypatch.setattr(Q, "_hit", seen)
     rng = random.Random(2)
-    a = [10 ** rng.uniform(-5, 5) * rng.choice([-1, 1]) for _ in range(60)] + [3.0] * 30 + [math.inf, -math.inf, 1e300]
+    a = [10 ** rng.uniform(-5, 5) * rng.choice([-1, 1]) for _ in range(60)] + [3.0] * 30 + [math.inf, -math.inf, 1e300, 0.0, -0.0]
     b = [None] * 50 + [float("nan")] * 10 + [7.0] * (len(a) - 60)
     df = spark.createDataFrame([(x, y, 1 if i % 3 else 0) for i, (x, y) in enumerate(zip(a, b))], "a double, b double, e int")
     probs = [0.1, 0.25, 0.5, 0.9]
-    r = Q.selected_ranks(df, ["a", "b"], probs, sums={"e": F.col("e")})
+    r = Q.selected_ranks(df, ["a", "b"], probs, sums={"e": F.col("e")}, ranked_rows=ranked_rows)
+    assert len(passes) <= (2 if ranked_rows > 10 else 4) and max(received) <= 2 * 2 * len(probs)
     got = {(v, i): (x, lo["cum_e"]) for v, i, _, x, (lo, _) in Q.interpolate(r, probs)}
     s = sorted(zip(a, [1 if i % 3 else 0 for i in range(len(a))]))
     for i, p in enumerate(probs):

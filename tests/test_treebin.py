@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from bandwise.operators.quantiles import value_ranks
+from bandwise.operators import treebin
 from bandwise.operators.treebin import grow_trees, leaves_after, tree_binning
 
 
@@ -62,16 +62,23 @@ def brute_force_leaves(xs, ys, max_leaves, min_leaf):
     return [[(data[a][0], data[b - 1][0]) for a, b in h] for h in history]
 
 
+@pytest.mark.parametrize("refined", [None, 3, 40])
 @pytest.mark.parametrize("seed", [1, 7])
-def test_tree_matches_brute_force(spark, seed):
+def test_tree_matches_brute_force(spark, monkeypatch, seed, refined):
     rnd = random.Random(seed)
     xs = [round(rnd.uniform(0, 100), 3) for _ in range(1500)]
     ys = [1 if rnd.random() < (0.15 + 0.5 * ((x // 20) % 2) + 0.003 * x) else 0 for x in xs]
     df = spark.createDataFrame(list(zip(xs, ys)), "x double, y int")
     min_leaf = int(round(len(xs) * 0.06))
-    r = value_ranks(df.select("x", "y"), ["x"], sums={"bad": F.col("y").cast("double")})
-    trees = grow_trees(r.df, {"x": (r.n["x"], r.totals["bad"]["x"])}, 6, min_leaf)
+    if refined:
+        monkeypatch.setattr(treebin, "REFINED", refined)
+    received = []
+    refine = treebin.Histogram.refine
+    monkeypatch.setattr(treebin.Histogram, "refine", lambda h, bins: received.append((len(bins), sum(len(b.low) for b in bins.values()))) or refine(h, bins))
+    rows = df.select("x", F.col("y").cast("double").alias("y"))
+    trees = grow_trees(rows, {"x": (len(xs), float(sum(ys)), min(xs), max(xs))}, 6, min_leaf)
     root, splits = trees["x"]
+    assert all(parts <= bins * treebin.REFINED for bins, parts in received)
     want = brute_force_leaves(xs, ys, 6, min_leaf)
     for k in range(len(want)):
         got = [(lf.vmin, lf.vmax) for lf in leaves_after(root, splits, k)]
