@@ -5,71 +5,84 @@ scalar array items are dropped; the top-level path is empty, so keys of the
 top object start with ``_``. Values are Python-style text: ``None``,
 ``True``/``False``, numbers and strings as text.
 
-Each nesting level is one ``LATERAL variant_explode`` over the rows that are
-still objects/arrays; leaves of every level are unioned. The driver loops
-over depth (one small ``isEmpty`` probe per level) until no nested value is left.
+One narrow pass: each task walks its rows' documents, whatever their depth, and
+nothing is shuffled or kept between levels. (A recursive query over
+``variant_explode`` gives the same leaves, but Spark writes down every level and
+stops at ``spark.sql.cteRecursionRowLimit`` rows, a million by default.)
 """
 
 from __future__ import annotations
 
-import itertools
+import json
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from bandwise.session import checkpoint_dir
+#: Leaves that a task gathers before it hands them on.
+HELD_LEAVES = 50_000
 
 
-def _kind(v: Column) -> Column:
-    t = F.schema_of_variant(v)
-    return (F.when(F.is_variant_null(v), F.lit("null"))
-            .when(t.startswith("OBJECT"), F.lit("object"))
-            .when(t.startswith("ARRAY"), F.lit("array"))
-            .when(t == "BOOLEAN", F.lit("bool"))
-            .otherwise(F.lit("scalar")))
+def _not_json(_: str):
+    raise ValueError("NaN and Infinity are not JSON")
 
 
-def _text(v: Column, kind: Column) -> Column:
-    """Python ``str()`` of a JSON scalar."""
-    return (F.when(kind == "null", F.lit("None"))
-            .when(kind == "bool", F.when(F.variant_get(v, "$", "boolean"), F.lit("True")).otherwise(F.lit("False")))
-            .otherwise(v.cast("string")))
+_DECODER = json.JSONDecoder(parse_constant=_not_json)
 
 
-def flatten_json(df: DataFrame, key_cols: list[str], json_col: str,
-                 cut_every: int = 8) -> DataFrame:
+def leaves(text: str | None) -> Iterator[tuple[str, str]]:
+    """(variable, value) of the leaves of one document; none if it is no JSON or a scalar."""
+    try:
+        open_values = [("", _DECODER.decode(text))] if text else []
+    except (ValueError, RecursionError):
+        return
+    while open_values:
+        path, value = open_values.pop()
+        if isinstance(value, dict):
+            for key, item in value.items():
+                if isinstance(item, (dict, list)):
+                    open_values.append((f"{path}_{key}", item))
+                else:
+                    yield f"{path}_{key}", str(item)
+        elif isinstance(value, list):
+            open_values += [(f"{path}_", item) for item in value if isinstance(item, (dict, list))]
+
+
+def _walk(key_cols: list[str]):
+    names = [*key_cols, "variable", "value"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [batch.column(i) for i in range(len(key_cols))]
+            at, variables, values = [], [], []
+
+            def gathered():
+                own = pa.array(at, pa.int64())
+                return pa.RecordBatch.from_arrays(
+                    [*(k.take(own) for k in keys), pa.array(variables, pa.string()), pa.array(values, pa.string())], names)
+
+            for i, text in enumerate(batch.column(len(key_cols))):
+                for variable, value in leaves(text.as_py()):
+                    at.append(i)
+                    variables.append(variable)
+                    values.append(value)
+                    if len(at) >= HELD_LEAVES:
+                        yield gathered()
+                        at, variables, values = [], [], []
+            yield gathered()
+    return run
+
+
+def flatten_json(df: DataFrame, key_cols: list[str], json_col: str) -> DataFrame:
     """Leaves of a JSON text column: (key..., variable, value).
 
-    Rows whose text is not valid JSON produce no leaves (``try_parse_json``).
-    Every ``cut_every`` levels the frontier is checkpointed to the shared
-    checkpoint folder so deep documents do not grow the plan without bound.
+    Rows whose text is null, not valid JSON or nested deeper than the JSON
+    parser goes (about 1,000 levels) have no leaves. A key column is carried as
+    it is, also if it is called like a result column. Of equal keys in one
+    object the last counts.
     """
-    spark = df.sparkSession
-    frontier = (df.select(*key_cols, F.try_parse_json(F.col(json_col)).alias("v"))
-                .where(F.col("v").isNotNull())
-                .select(*key_cols, F.lit("").alias("path"), F.col("v"), F.lit(False).alias("from_array")))
-    leaves = []
-    for depth in itertools.count():
-        frontier = frontier.withColumn("kind", _kind(F.col("v")))
-        # A scalar reached through an object key is a leaf; through an array it is dropped.
-        leaves.append(frontier.where(~F.col("kind").isin("object", "array") & ~F.col("from_array"))
-                      .select(*key_cols, F.col("path").alias("variable"),
-                              _text(F.col("v"), F.col("kind")).alias("value")))
-        nested = frontier.where(F.col("kind").isin("object", "array")).drop("from_array")
-        if nested.isEmpty():
-            break
-        exploded = nested.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()).alias("e"))
-        frontier = exploded.select(
-            *key_cols,
-            F.when(F.col("kind") == "object", F.concat(F.col("path"), F.lit("_"), F.col("e.key")))
-            .otherwise(F.concat(F.col("path"), F.lit("_"))).alias("path"),
-            F.col("e.value").alias("v"),
-            (F.col("kind") == "array").alias("from_array"))
-        if cut_every and (depth + 1) % cut_every == 0:
-            checkpoint_dir(spark)
-            frontier = frontier.checkpoint(eager=True)
-    out = leaves[0]
-    for part in leaves[1:]:
-        out = out.unionByName(part)
-    # Leaves of the top level have an empty path only when the document is a scalar.
-    return out.where(F.col("variable") != "")
+    rows = df.select(*[F.col(f"`{c}`") for c in key_cols], F.col(f"`{json_col}`").cast("string").alias("__json"))
+    schema = StructType([*rows.schema.fields[:-1], StructField("variable", StringType()), StructField("value", StringType())])
+    return rows.mapInArrow(_walk(key_cols), schema)

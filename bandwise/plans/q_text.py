@@ -129,3 +129,28 @@ SELECT e.event_id, '_' || j.key AS variable,
             WHEN 'VARCHAR' THEN j.value ->> '$' ELSE CAST(j.value AS VARCHAR) END AS value
 FROM events e, json_each(e.props) j
 WHERE json_type(j.value) NOT IN ('OBJECT', 'ARRAY')""")(json_flatten)
+
+
+def json_nested(spark, sf_dir):
+    """An order with its customer and lines as one nested document -> leaves, three levels deep."""
+    o = load_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"])
+    li = load_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount",
+                                               "l_returnflag", "l_linestatus"])
+    line = F.struct(F.col("l_linenumber").alias("number"), F.array("l_returnflag", "l_linestatus").alias("tags"),
+                    (F.col("l_discount") > 0.05).alias("cut"),
+                    F.struct(F.col("l_partkey").alias("part"), F.when(F.col("l_quantity") > 10, F.col("l_suppkey")).alias("supplier")).alias("item"))
+    lines = li.groupBy("l_orderkey").agg(F.collect_list(line).alias("lines"))  # an order's lines
+    document = F.to_json(F.struct(F.col("o_orderstatus").alias("status"), F.struct(F.col("o_custkey").alias("key")).alias("customer"), "lines"),
+                         {"ignoreNullFields": "false"})
+    return flatten_json(o.join(lines, o.o_orderkey == lines.l_orderkey).select("o_orderkey", document.alias("doc")), ["o_orderkey"], "doc")
+
+
+register("json_nested", """
+WITH d AS (SELECT o.*, l.* FROM orders o JOIN lineitem l ON o_orderkey = l_orderkey),
+k AS (SELECT DISTINCT o_orderkey, o_orderstatus, o_custkey FROM d)
+SELECT o_orderkey, '_status' AS variable, o_orderstatus AS value FROM k
+UNION ALL SELECT o_orderkey, '_customer_key', CAST(o_custkey AS VARCHAR) FROM k
+UNION ALL SELECT o_orderkey, '_lines__number', CAST(l_linenumber AS VARCHAR) FROM d
+UNION ALL SELECT o_orderkey, '_lines__cut', CASE WHEN l_discount > 0.05 THEN 'True' ELSE 'False' END FROM d
+UNION ALL SELECT o_orderkey, '_lines__item_part', CAST(l_partkey AS VARCHAR) FROM d
+UNION ALL SELECT o_orderkey, '_lines__item_supplier', CASE WHEN l_quantity > 10 THEN CAST(l_suppkey AS VARCHAR) ELSE 'None' END FROM d""")(json_nested)
