@@ -81,15 +81,3 @@ def band_bounds(band: Column | str, edges: list[float]) -> tuple[Column, Column]
     band = F.col(band) if isinstance(band, str) else band
     arr = F.array(*[F.lit(float(e)) for e in edges])
     return F.element_at(arr, band), F.element_at(arr, band + 1)
-
-
-def cut_points_expr(x: Column | str, cuts: list[float]) -> Column:
-    """Right-closed band id for cut points that may include -inf/+inf
-    (``pd.cut(x, cuts, right=True)``, lowest edge excluded)."""
-    x = F.col(x) if isinstance(x, str) else x
-    if len(cuts) < 2:
-        return F.lit(None).cast("int")
-    expr = F.when(x <= F.lit(cuts[0]), F.lit(None).cast("int"))
-    for i, e in enumerate(cuts[1:], start=1):
-        expr = expr.when(x <= F.lit(e), F.lit(i))
-    return expr.otherwise(F.lit(None).cast("int"))

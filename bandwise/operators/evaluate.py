@@ -82,7 +82,8 @@ def ks_gini_table(counts: DataFrame, band_col: str = "band_id", event_name: str
     band_cols = [c for c in counts.columns if c not in (ev, tot)]
     ordered = band_cols + ["is_total", tot, ev, non, cnon, cev, "Population_%", f"{cnon}_%",
                            f"{cev}_%", "Difference", f"{ev}_rate", "Gini"]
-    return out.select(*ordered)
+    # O2: bands in order, the total last; a row per band.
+    return out.select(*ordered).orderBy("is_total", order)
 
 
 def ks_gini_summary(table: DataFrame) -> DataFrame:

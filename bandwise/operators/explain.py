@@ -48,13 +48,6 @@ def linear_shap(df: DataFrame, key_cols: list[str], features: list[str], coefs:
     return out.withColumn("additivity_error", total - (F.col("prediction") - F.col("base")))
 
 
-def shap_long(shap: DataFrame, key_cols: list[str], features: list[str]) -> DataFrame:
-    """Long form (keys, feature, value, phi) (H6: feature value vs phi pairs)."""
-    arr = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value"),
-                             F.col(f"phi_{f}").alias("phi")) for f in features])
-    return shap.select(*key_cols, F.explode(arr).alias("s")).select(*key_cols, "s.*")
-
-
 def waterfall(shap: DataFrame, key_cols: list[str], features: list[str], max_display: int = 14) -> DataFrame:
     """Contributions per row of ``shap`` in order of |phi| (O4/H5): keys, feature, phi, rank, running_phi.
 

@@ -1,8 +1,8 @@
 """Univariate profile (A1) and the small aggregations around it.
 
 The profile is one row per column: type, var_vals (distinct non-null count),
-var_min, var_max, var_mean, var_median (numeric only), CorrelationWithTarget
-(numeric only, pairwise non-null Pearson), percentZeros and percentNull (both
+var_min, var_max, var_mean, var_median (numbers and booleans), CorrelationWithTarget
+(the same, pairwise non-null Pearson), percentZeros and percentNull (both
 over all rows). The column statistics ride along the first pass of the
 distributed exact median; one shuffle over the unpivoted (var, value) pairs
 with map-side combine counts the distinct values. Every
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import BooleanType, NumericType, StringType
 
 from bandwise.operators.quantiles import interpolate, selected_ranks
 
@@ -38,12 +38,14 @@ def univariate(df: DataFrame, target: str | None = None, median: bool | str = Tr
     same pass). The approximate options keep a very wide table at one pass.
     """
     fields = df.schema.fields
-    numeric = [f.name for f in fields if isinstance(f.dataType, NumericType)]
+    # Booleans count as the numbers 0 and 1; False is zero.
+    numeric = [f.name for f in fields if isinstance(f.dataType, (NumericType, BooleanType))]
     has_target = target is not None and isinstance(df.schema[target].dataType, NumericType)
     aggs = {"__n": F.count(F.lit(1))}
     for i, f in enumerate(fields):
         c = F.col(f"`{f.name}`")
         aggs[f"nul{i}"] = F.count_if(c.isNull())
+        c = c.cast("int") if isinstance(f.dataType, BooleanType) else c
         if f.name in numeric:
             aggs.update({f"min{i}": F.min(c).cast("double"), f"max{i}": F.max(c).cast("double"),
                          f"avg{i}": F.avg(c).cast("double"), f"zer{i}": F.count_if(c == 0)})
@@ -167,15 +169,3 @@ def distinct_levels(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Distinct levels per string column (A11): (variable, level)."""
     cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
     return long_values(df, cols).select("variable", F.col("value").alias("level")).distinct()
-
-
-def fold_mean_std(scores: DataFrame, group_col: str, value_col: str) -> DataFrame:
-    """Mean and population std over CV folds per group."""
-    return scores.groupBy(group_col).agg(F.avg(value_col).alias("mean"),
-                                         F.stddev_pop(value_col).alias("std"))
-
-
-def share_of_total(df: DataFrame, value_col: str, partition: list[str] | None = None) -> Column:
-    """x / sum(x) over a partition (W2). Use on aggregated tables only."""
-    w = Window.partitionBy(*(partition or [])) if partition else Window.partitionBy(F.lit(1))
-    return F.col(value_col) / F.sum(value_col).over(w)

@@ -12,7 +12,7 @@ import math
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bandwise.operators.profile import pearson
@@ -138,13 +138,17 @@ def _impurities(shares: DataFrame, keys: list[str]) -> DataFrame:
 def class_shares(df: DataFrame, label: str, keys: list[str]) -> DataFrame:
     """(keys..., class, cnt, n_node, p) with p = class share inside each node.
 
-    ``counts`` has one row per (node, class); the node total is a window over
-    that aggregated table (bounded by nodes x classes), not over raw rows."""
+    One row per (node, class); node totals are an aggregation of these rows,
+    joined back on the node (the whole table is one node: one number)."""
     keys = keys or []
     counts = df.groupBy(*keys, F.col(label).alias("class")).agg(F.count(F.lit(1)).alias("cnt"))
-    w = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    return (counts.withColumn("n_node", F.sum("cnt").over(w))
-            .withColumn("p", F.col("cnt") / F.col("n_node")))
+    if keys:
+        totals = counts.groupBy(*keys).agg(F.sum("cnt").alias("n_node")).toDF(*[f"__n_{k}" for k in keys], "n_node")
+        same = [counts[k].eqNullSafe(totals[f"__n_{k}"]) for k in keys]
+        counts = counts.join(totals, same).drop(*[f"__n_{k}" for k in keys])
+    else:
+        counts = counts.withColumn("n_node", F.lit(counts.agg(F.sum("cnt")).first()[0]).cast("long"))
+    return counts.withColumn("p", F.col("cnt") / F.col("n_node"))
 
 
 def impurity(df: DataFrame, label: str) -> DataFrame:

@@ -42,15 +42,9 @@ SELECT channel, CAST(period AS VARCHAR) AS period, {_r('spend', 'spend')},
 FROM s WINDOW w AS (PARTITION BY channel)""")(spend_scaled)
 
 
-def _gapped(spark, sf_dir):
-    """Spend of the days whose number is not divisible by 3 or by the channel's name length: with gaps."""
-    n = F.unix_date("period")
-    return _spend(spark, sf_dir).filter((n % 3 != 0) & (n % F.char_length("channel") != 0))
-
-
 def adstock(spark, sf_dir):
-    """Geometric adstock (alpha 0.5, 12 periods), raw and normalised, of a series with missing days."""
-    s = geometric_adstock(_gapped(spark, sf_dir), "spend", ALPHA, L, normalize=False, out="adstock")
+    """Geometric adstock (alpha 0.5, 12 periods) of every channel's spend, raw and normalised."""
+    s = geometric_adstock(_spend(spark, sf_dir), "spend", ALPHA, L, normalize=False, out="adstock")
     s = geometric_adstock(s, "spend", ALPHA, L, normalize=True, out="adstock_norm")
     return rounded(s)
 
@@ -63,8 +57,7 @@ def _adstock_sql(table: str, value: str, alpha: str) -> str:
 
 _NORM = f"list_sum(list_transform(range({L}), lambda l: POW({{}}, l::DOUBLE)))"
 register("adstock", f"""
-WITH s AS (SELECT * FROM ({_SPEND_SQL}) WHERE (period - DATE '1970-01-01') % 3 <> 0
-           AND (period - DATE '1970-01-01') % length(channel) <> 0)
+WITH s AS ({_SPEND_SQL})
 SELECT channel, CAST(period AS VARCHAR) AS period, {_r('spend', 'spend')},
   {_r(_adstock_sql('s', 'spend', str(ALPHA)), 'adstock')},
   {_r(_adstock_sql('s', 'spend', str(ALPHA)) + ' / ' + _NORM.format(ALPHA), 'adstock_norm')}

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from bandwise.operators.prep import (BOOLEAN_TEXT, FLOAT_TEXT, INTEGER_TEXT, drop_low_cardinality,
-                                     flatten_struct, infer_column_types, prepare)
+                                     fill_nulls, flatten_struct, infer_column_types, prepare)
 from bandwise.operators.profile import (crosstab_long, distinct_levels, margins_pivot,
                                         min_max_rollup, univariate, value_shares)
 from bandwise.plans.catalog import register
 from bandwise.plans.common import rounded
 from bandwise.plans.oracle_sql import _r
+from bandwise.session import checkpoint_dir
+from bandwise.sources.files import read_csv, write_report
 from bandwise.sources.tables import load_table
 
 # orders with a 0/1 target: order status 'F'.
@@ -195,3 +199,53 @@ register("flatten_names", f"""
 SELECT c_mktsegment AS c_mktsegment_, COUNT(*) AS stats_count_,
        {_r('MIN(c_acctbal)', 'stats_acctbal_min_')}, {_r('MAX(c_acctbal)', 'stats_acctbal_max_')}
 FROM customer GROUP BY c_mktsegment""")(flatten_names)
+
+
+_FLAGS_BASE = """SELECT o_totalprice, o_orderpriority < '2' AS urgent, CASE WHEN o_orderpriority < '4' THEN o_totalprice > 200000 END AS dear,
+  CAST(o_orderstatus = 'F' AS INTEGER) AS target FROM orders"""
+
+
+def boolean_profile(spark, sf_dir):
+    """Profile of boolean columns, one of them with nulls; False is zero."""
+    o = load_table(spark, sf_dir, "orders", ["o_totalprice", "o_orderpriority", "o_orderstatus"])
+    dear = F.when(F.col("o_orderpriority") < "4", F.col("o_totalprice") > 200000)
+    base = o.select("o_totalprice", (F.col("o_orderpriority") < "2").alias("urgent"), dear.alias("dear"),
+                    (F.col("o_orderstatus") == "F").cast("int").alias("target"))
+    return rounded(univariate(base, target="target"))
+
+
+register("boolean_profile", _profile_sql(
+    [("o_totalprice", "double", True), ("urgent", "boolean", True), ("dear", "boolean", True), ("target", "int", True)],
+    f"SELECT o_totalprice, urgent::INTEGER AS urgent, dear::INTEGER AS dear, target FROM ({_FLAGS_BASE})"))(boolean_profile)
+
+
+def null_fill_joined(spark, sf_dir):
+    """Numeric, text and boolean nulls of a left join (customers without an urgent order), filled by type."""
+    c = load_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
+    o = load_table(spark, sf_dir, "orders", ["o_custkey", "o_orderpriority", "o_orderstatus", "o_totalprice"])
+    urgent = o.where(F.col("o_orderpriority") < "2").groupBy("o_custkey").agg(
+        F.sum("o_totalprice").alias("total"), F.max("o_orderstatus").alias("status"), F.max(F.col("o_totalprice") > 250000).alias("dear"),
+        F.count(F.lit(1)).alias("orders"))
+    joined = c.join(urgent, c.c_custkey == urgent.o_custkey, "left").drop("o_custkey")
+    return rounded(fill_nulls(joined, num_na=0, cat_na="."))
+
+
+register("null_fill_joined", f"""
+WITH u AS (SELECT o_custkey, SUM(o_totalprice) AS total, MAX(o_orderstatus) AS status, MAX(o_totalprice > 250000) AS dear, COUNT(*) AS orders
+           FROM orders WHERE o_orderpriority < '2' GROUP BY o_custkey)
+SELECT c_custkey, c_mktsegment, {_r('COALESCE(total, 0)', 'total')}, COALESCE(status, '.') AS status, COALESCE(dear, FALSE) AS dear,
+       COALESCE(orders, 0) AS orders FROM customer LEFT JOIN u ON c_custkey = o_custkey""")(null_fill_joined)
+
+
+def csv_round_trip(spark, sf_dir):
+    """Orders written as a CSV report and read again: declared schema, key column, dates, pruned columns."""
+    o = load_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderpriority", "o_totalprice", "o_orderdate"])
+    path = f"{checkpoint_dir(spark).rstrip('/')}/csv_round_trip_{uuid.uuid4().hex}"
+    write_report(o.withColumn("o_orderdate", F.date_format("o_orderdate", "dd/MM/yyyy")), path)
+    schema = "o_orderkey bigint, o_orderpriority string, o_totalprice double, o_orderdate date"
+    back = read_csv(spark, path, schema, key_col="key", columns=["key", "o_totalprice", "o_orderdate"], date_format="dd/MM/yyyy")
+    return rounded(back)
+
+
+register("csv_round_trip", f"""
+SELECT o_orderkey AS key, {_r('o_totalprice', 'o_totalprice')}, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate FROM orders""")(csv_round_trip)

@@ -471,3 +471,24 @@ SELECT var, IV, IV >= 0.02 AS keep, var IN (SELECT var FROM gone) AS dropped FRO
 
 
 register("related_selection", _related_sql())(related_selection)
+
+
+#: Share of the rows below which a level of ``levels_replaced`` is folded: some nations are, some are not.
+NATION_FLOOR = 0.04
+
+
+def levels_replaced(spark, sf_dir):
+    """Every train row's levels replaced by their bin labels; folded nations get the bin that holds Others."""
+    train = _train(spark, sf_dir)
+    folded = fold_small_levels(level_counts(train, CATS, "target"), NATION_FLOOR)
+    kept = folded.where(F.col("mapped") != "Others")
+    bins = kept.select("var", "level", F.concat(F.lit("bin:"), "mapped").alias("bin"), F.lit("Others").alias("others_bin"))
+    return apply_level_bins(train, CATS, bins).select("o_orderkey", *CATS)
+
+
+register("levels_replaced", f"""
+WITH train AS ({_TRAIN_SQL}),
+{", ".join(f"k{i} AS (SELECT {c} AS level FROM train GROUP BY 1 HAVING COUNT(*) / (SELECT COUNT(*) FROM train)::DOUBLE >= {NATION_FLOOR})"
+           for i, c in enumerate(CATS))}
+SELECT o_orderkey, {", ".join(f"CASE WHEN {c} IN (SELECT level FROM k{i}) THEN 'bin:' || {c} ELSE 'Others' END AS {c}" for i, c in enumerate(CATS))}
+FROM train""")(levels_replaced)

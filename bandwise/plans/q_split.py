@@ -8,6 +8,7 @@ from bandwise.operators.split import (complement, hash_split_flag, kfold_column,
                                       size_subset_flag, train_test_split)
 from bandwise.plans.catalog import register
 from bandwise.plans.common import rounded
+from bandwise.plans.model_selection import TRAIN_SIZES
 from bandwise.sources.tables import load_table
 
 KEY = ["o_orderkey"]
@@ -69,8 +70,7 @@ SELECT o_orderkey, ROUND(o_totalprice, 6) AS o_totalprice FROM orders
 ORDER BY md5('42:' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 100""")(sample_rows)
 
 
-# Shares of the training rows.
-SIZES = [0.05, 0.1, 0.2, 0.4, 0.75, 1.0]
+SIZES = list(TRAIN_SIZES)
 
 
 def learning_curve_subsets(spark, sf_dir):

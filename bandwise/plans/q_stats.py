@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bandwise.functions.mathfn import (angle, binomial_pmf, dot, is_finite, log_base,
+from bandwise.functions.mathfn import (angle, binomial_pmf, dot, four_significant, is_finite, log_base,
                                        logit, norm, normal_pdf, power_law, sigmoid)
+from bandwise.operators.prep import complement_probability
 from bandwise.operators.stats import (centroids, chebyshev, cohens_d_welch, conditional_probability, correlations,
                                       covariance, impurity, information_gain, log_loss, softmax,
                                       spearman, zscore)
@@ -245,3 +246,28 @@ j AS (SELECT e.vec_id, e.label, list_dot_product(e.v, c.centroid) AS d,
       FROM e JOIN c USING (label))
 SELECT vec_id, label, {_r('d', 'dot')}, {_r('na', 'norm')},
        {_r('ACOS(LEAST(1.0, GREATEST(-1.0, d / (na * nc))))', 'angle')} FROM j""")(cosine_angle)
+
+
+def four_significant_digits(spark, sf_dir):
+    """Prices and their thousandths at 4 significant digits, ties by the binary value."""
+    p = load_table(spark, sf_dir, "part", ["p_partkey", "p_retailprice", "p_size"])
+    return p.select("p_partkey", four_significant("p_retailprice").alias("price"),
+                    four_significant(F.col("p_retailprice") / 1000).alias("thousands"),
+                    four_significant(F.col("p_size") + 1000.5).alias("half"))
+
+
+register("four_significant_digits", """
+SELECT p_partkey, CAST(printf('%.3e', p_retailprice) AS DOUBLE) AS price, CAST(printf('%.3e', p_retailprice / 1000) AS DOUBLE) AS thousands,
+       CAST(printf('%.3e', p_size + 1000.5::DOUBLE) AS DOUBLE) AS half FROM part""")(four_significant_digits)
+
+
+def complement_probabilities(spark, sf_dir):
+    """A stored probability of the event (quantity / 60) and of the other outcome."""
+    li = load_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"])
+    p = li.withColumn("p_event", F.col("l_quantity") / 60.0)
+    return rounded(p.select("l_orderkey", "l_linenumber", "l_partkey", "p_event", complement_probability("p_event").alias("p_other")))
+
+
+register("complement_probabilities", f"""
+SELECT l_orderkey, l_linenumber, l_partkey, {_r('l_quantity / 60.0', 'p_event')}, {_r('1.0 - l_quantity / 60.0', 'p_other')}
+FROM lineitem""")(complement_probabilities)

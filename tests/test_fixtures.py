@@ -188,9 +188,22 @@ def test_classification_metrics_brute_force(spark):
 
 
 def test_four_significant(spark):
-    df = spark.createDataFrame([(12345.678,), (0.000123456,), (987.1,)], "x double")
+    df = spark.createDataFrame([(12345.678,), (0.000123456,), (987.1,), (1.0005,), (1000.5,), (1001.5,), (None,), (-0.00099995,)], "x double")
     got = [r[0] for r in df.select(four_significant("x")).collect()]
-    assert got == [12350.0, 0.0001235, 987.1]
+    assert got == [12350.0, 0.0001235, 987.1, 1.0, 1000.0, 1002.0, None, float("%.3e" % -0.00099995)]
+
+
+def test_ks_table_is_in_order(spark):
+    bands = spark.createDataFrame([(2, 3, 10), (1, 1, 10), (3, 6, 10)], "band_id int, Event long, Total long")
+    assert [(r["band_id"], r["is_total"]) for r in ks_gini_table(bands).collect()] == [(3, False), (2, False), (1, False), (None, True)]
+    assert [r["band_id"] for r in ks_gini_table(bands, ascending=True).collect()] == [1, 2, 3, None]
+
+
+def test_profile_of_booleans(spark):
+    df = spark.createDataFrame([(True, 1), (False, 0), (False, 1), (None, 0)], "b boolean, target int")
+    r = univariate(df, "target").where("variable = 'b'").first()
+    assert (r["var_min"], r["var_max"], r["var_median"], r["percentZeros"], r["percentNull"]) == (0.0, 1.0, 0.0, 0.5, 0.25)
+    assert r["var_mean"] == pytest.approx(1 / 3) and r["CorrelationWithTarget"] == pytest.approx(0.5)
 
 
 def test_regex_lookaround_query_vs_python(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from bandwise.operators.models import FOREST_PARAMS, GBM_PARAMS, LOGISTIC_C, SVM_C, check_model_names, grid_points
-from bandwise.plans.model_selection import ModelSelection, model_apply
+from bandwise.plans.model_selection import TRAIN_SIZES, ModelSelection, model_apply
 from bandwise.plans.q_models import model_base
 from bandwise.session import checkpoint_dir
 from tests.conftest import SF_SMALL
@@ -82,7 +82,7 @@ def test_queries_search_the_declared_spaces(spark, monkeypatch, query, families)
     def reached(ms):
         assert ms.spaces == {"gbm": GBM_PARAMS, "random_forest": FOREST_PARAMS, "logistic_regression": {"C": LOGISTIC_C},
                              "svm": {"C": SVM_C}, "naive_bayes": {}}
-        assert ms.n_iter == 100 and ms.cv == 5 and ms.train_sizes == [0.05, 0.1, 0.2, 0.4, 0.75, 1.0]
+        assert ms.n_iter == 100 and ms.cv == 5 and ms.train_sizes == list(TRAIN_SIZES)
         assert set(ms.models) == families
         raise Reached
 
