@@ -43,7 +43,9 @@ GBM_PARAMS = {"learning_rate": [0.001, 0.01, 0.1, 1], "n_estimators": [10, 100,
 FOREST_PARAMS = {"n_estimators": [10, 100, 200, 500], "min_weight_fraction_leaf": [0.06, 0.1],
                  "max_depth": [3, 10, 20, 40, 80], "max_features": ["auto", "sqrt", "log2", None]}
 LOGISTIC_C = [0.001, 0.01, 0.1, 1, 10]
+SVM_KERNELS = ["rbf", "sigmoid", "linear", "poly"]
 SVM_C = [0.001, 0.01, 0.1, 1.0, 10.0, 100]
+SVM_GAMMA = [0.001, 0.01, 0.1, 1.0, 10.0, 100]
 
 
 def check_model_names(models: list[str]) -> None:
@@ -65,23 +67,23 @@ class CalibratedSVM:
     on all of these, and the SVM that is kept on all rows.
     """
 
-    def __init__(self, scaler: StandardScaler, label: str, reg: float, features: str, folds: int = 3):
+    def __init__(self, scaler: StandardScaler | None, label: str, reg: float, features: str, folds: int = 3):
         self.scaler, self.label, self.features, self.folds = scaler, label, features, folds
-        self.svc = LinearSVC(featuresCol="__scaled", labelCol=label, regParam=reg,
+        self.svc = LinearSVC(featuresCol="__scaled" if scaler else features, labelCol=label, regParam=reg, standardization=scaler is not None,
                              rawPredictionCol="__svm_raw", predictionCol="__svm_pred")
         self.margin = VectorSlicer(inputCol="__svm_raw", outputCol="__margin_vec", indices=[1])
         self.platt = LogisticRegression(featuresCol="__margin_vec", labelCol=label, regParam=0.0)
 
     def fit(self, df: DataFrame) -> PipelineModel:
-        scaler = self.scaler.fit(df)
+        first = [self.scaler.fit(df)] if self.scaler else []
         fold = F.pmod(F.xxhash64(vector_to_array(self.features)), F.lit(self.folds))
-        scaled = scaler.transform(df).withColumn("__part", fold)
+        scaled = (first[0].transform(df) if first else df).withColumn("__part", fold)
         margins = None
         for f in range(self.folds):
             model = self.svc.fit(scaled.where(F.col("__part") != f))
             part = self.margin.transform(model.transform(scaled.where(F.col("__part") == f))).select("__margin_vec", self.label)
             margins = part if margins is None else margins.union(part)
-        return PipelineModel(stages=[scaler, self.svc.fit(scaled), self.margin, self.platt.fit(margins)])
+        return PipelineModel(stages=[*first, self.svc.fit(scaled), self.margin, self.platt.fit(margins)])
 
 
 def build_pipeline(name: str, params: dict, n_rows: int, features: str = "features",

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from bandwise.operators.models import FOREST_PARAMS, GBM_PARAMS, LOGISTIC_C, SVM_C, check_model_names, grid_points
+from bandwise.operators.models import FOREST_PARAMS, GBM_PARAMS, LOGISTIC_C, SVM_C, SVM_GAMMA, SVM_KERNELS, check_model_names, grid_points
 from bandwise.plans.model_selection import TRAIN_SIZES, ModelSelection, model_apply
 from bandwise.plans.q_models import model_base
 from bandwise.session import checkpoint_dir
@@ -56,15 +56,15 @@ def test_all_families_end_and_apply(spark, scoring):
     ms = ModelSelection(base, "target", ["o_orderkey"], categorical_columns=["c_nationkey"], models=families, cv=2, scoring=scoring,
                         fit_rows=300, parallelism=8)
     ms.fit_models(gbm_params={"n_estimators": [3, 10], "max_depth": [3, 80]}, random_forest_params={"n_estimators": [3, 10]},
-                  logistic_c=[0.1, 1.0], svm_c=[1.0])
-    assert {m: len(s) for m, s in ms.search.items()} == {"gbm": 4, "random_forest": 2, "svm": 1, "logistic_regression": 2}
+                  logistic_c=[0.1, 1.0], svm_c=[1.0], svm_kernels=["rbf", "poly"], svm_gamma=[0.1, 1.0])
+    assert {m: len(s) for m, s in ms.search.items()} == {"gbm": 4, "random_forest": 2, "svm": 4, "logistic_regression": 2}
     assert all((0 <= s <= 1) if scoring == "roc_auc" else s < 0 for found in ms.search.values() for _, s in found)
     assert ms.apply_models().count() == 8 and ms.evaluate_models()[1].count() == 8
     assert len(ms.importance("gbm")) == len(ms.importance("random_forest")) == len(ms.feature_names)
-    ms.select_retrain_model(["gbm", "random_forest"])
+    ms.select_retrain_model(["gbm", "random_forest", "svm"])
     path = f"{checkpoint_dir(spark)}/test_models_trees"
     ms.save_model_objects(path)
-    for name in ("gbm", "random_forest"):
+    for name in ("gbm", "random_forest", "svm"):
         scored = model_apply(base.drop("target"), path, name, ["o_orderkey"], predict_proba=True)
         assert scored.filter("p_event BETWEEN 0 AND 1").count() == base.count()
     ms.release()
@@ -81,7 +81,7 @@ def test_queries_search_the_declared_spaces(spark, monkeypatch, query, families)
 
     def reached(ms):
         assert ms.spaces == {"gbm": GBM_PARAMS, "random_forest": FOREST_PARAMS, "logistic_regression": {"C": LOGISTIC_C},
-                             "svm": {"C": SVM_C}, "naive_bayes": {}}
+                             "svm": {"kernel": SVM_KERNELS, "C": SVM_C, "gamma": SVM_GAMMA}, "naive_bayes": {}}
         assert ms.n_iter == 100 and ms.cv == 5 and ms.train_sizes == list(TRAIN_SIZES)
         assert set(ms.models) == families
         raise Reached
