@@ -80,9 +80,9 @@ def draw(seed: int, *columns: str) -> Column:
     return F.pmod(F.xxhash64(*columns, F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
 
 
-def free_name(df: DataFrame, name: str) -> str:
-    """``name``, with underscores in front until no column of ``df`` clashes with it."""
-    taken = {c.lower() for c in df.columns}
+def free_name(df: DataFrame | list[str], name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` (or of a list of names) clashes with it."""
+    taken = {c.lower() for c in (df if isinstance(df, list) else df.columns)}
     while name.lower() in taken:
         name = "_" + name
     return name
@@ -99,14 +99,15 @@ def spread_join(rows: DataFrame, small: DataFrame, key: str, salt_by: str, n_sma
     it is broadcast; a larger one is repeated per salt and joined on (key,
     salt), so a hot key's rows are shared out over ``salts`` tasks.
     """
-    small = small.withColumnRenamed(key, "_small_key")
+    taken = rows.columns + small.columns
+    other, own, dealt = (free_name(taken, n) for n in ("_small_key", "_small_salt", "_row_salt"))
+    small = small.withColumnRenamed(key, other)
     if n_small <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(small), rows[key].eqNullSafe(small["_small_key"]), "left").drop("_small_key")
-    small = small.withColumn("_small_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salt = F.pmod(F.xxhash64(F.col(salt_by)), F.lit(salts)).cast("int")
-    rows = rows.withColumn("_row_salt", salt)
-    on = rows[key].eqNullSafe(small["_small_key"]) & (rows["_row_salt"] == small["_small_salt"])
-    return rows.join(small, on, "left").drop("_small_key", "_small_salt", "_row_salt")
+        return rows.join(F.broadcast(small), rows[f"`{key}`"].eqNullSafe(small[other]), "left").drop(other)
+    small = small.withColumn(own, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    rows = rows.withColumn(dealt, F.pmod(F.xxhash64(F.col(f"`{salt_by}`")), F.lit(salts)).cast("int"))
+    on = rows[f"`{key}`"].eqNullSafe(small[other]) & (rows[dealt] == small[own])
+    return rows.join(small, on, "left").drop(other, own, dealt)
 
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)

@@ -24,7 +24,7 @@ from bandwise.llm.common import chained, draw, held_out, text_of, text_slices
 #: Hash buckets of the n-grams of 1 to GRAMS characters.
 BUCKETS, GRAMS = 1 << 14, 3
 #: Fitted on about so many rows of a language; no more languages than that are learned.
-ROWS_PER_LANGUAGE, MOST_LANGUAGES, EPOCHS = 1_000, 1_000, 3
+ROWS_PER_LANGUAGE, MOST_LANGUAGES, EPOCHS = 1_000, 100, 3
 #: Follow-the-regularised-leader: learning rate, its smoothing, and the L1 and L2 penalties.
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.01, 0.001
 UNKNOWN = "und"
@@ -76,9 +76,9 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = [gram_counts(t) for t in part.column("text").to_pylist()]
         use = [i for i, g in enumerate(grams) if g]
         yield pa.RecordBatch.from_arrays(
-            [part.column("lang").take(pa.array(use, pa.int64())), part.column("draw").take(pa.array(use, pa.int64())),
+            [part.column("lang").take(pa.array(use, pa.int64())), part.column("place").take(pa.array(use, pa.int64())),
              pa.array([grams[i][0] for i in use], pa.list_(pa.int32())),
-             pa.array([grams[i][1] for i in use], pa.list_(pa.int32()))], ["lang", "draw", "at", "counts"])
+             pa.array([grams[i][1] for i in use], pa.list_(pa.int32()))], ["lang", "place", "at", "counts"])
 
 
 class Ftrl:
@@ -107,8 +107,8 @@ def softmax(scores: np.ndarray) -> np.ndarray:
 
 
 def fit(sample: pd.DataFrame, idf: np.ndarray) -> tuple[list[str], np.ndarray, float]:
-    """(languages, weights, temperature) from rows of lang, draw (0 to 1), at, counts."""
-    sample = sample.sort_values("draw", kind="stable")
+    """(languages, weights, temperature) from rows of lang, place (their random order), at, counts."""
+    sample = sample.sort_values("place", kind="stable")
     names = sorted(sample["lang"].unique())
     rows = [(np.append(a, np.int32(BUCKETS)), np.append(weighted(a, c, idf), 1.0).astype(np.float32), names.index(k))
             for k, a, c in zip(sample["lang"], sample["at"], sample["counts"], strict=True)]
@@ -122,8 +122,13 @@ def fit(sample: pd.DataFrame, idf: np.ndarray) -> tuple[list[str], np.ndarray, f
     scores = np.array([x @ w[at] for at, x, _ in kept_back])
     truth = np.array([k for *_, k in kept_back])
 
+    # One row in doubt for each language: rows that are all right would ask for no temperature at all.
+    doubt = 1 / (len(truth) + len(names))
+
     def loss(t: float) -> float:
-        return -np.log(softmax(scores / t)[np.arange(len(truth)), truth] + 1e-12).mean()
+        p = np.log(softmax(scores / t) + 1e-300)
+        right = p[np.arange(len(truth)), truth]
+        return -((1 - len(names) * doubt) * right + doubt * p.sum(axis=1)).mean()
 
     return names, w, float(min(np.geomspace(0.05, 5, 60), key=loss))
 
@@ -146,13 +151,15 @@ def _predicted(names: list[str], w: np.ndarray, idf: np.ndarray, temperature: fl
 
 
 def with_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                   rows_per_language: int = ROWS_PER_LANGUAGE) -> DataFrame:
+                   rows_per_language: int = ROWS_PER_LANGUAGE, most_languages: int = MOST_LANGUAGES) -> DataFrame:
     """row (all columns of ``docs``, as a struct), lang_pred, score, per row.
 
     Learns from rows with a language that are not held out (crc32 of the id's
-    text mod 5 is 0; null id: held out). A row joins the fitting sample if its
-    hash falls below ``rows_per_language`` / rows of its language, so the
-    sample holds about that many rows of each. Null, empty or letterless text
+    text mod 5 is 0; null id: held out), of the ``most_languages`` languages with
+    the most rows (ties by name). A row joins the fitting sample if the hash of
+    its id and text falls below ``rows_per_language`` / rows of its language;
+    repeated rows join once. So the sample holds about that many rows of each,
+    whatever ids repeat, and it is learned in the order of a second hash. Null, empty or letterless text
     is ``und`` with score 0, as is everything when there is nothing to learn
     from. Repeated rows are each returned; an empty table gives an empty table.
     """
@@ -166,9 +173,11 @@ def with_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     df = np.zeros(BUCKETS + 1)
     np.add.at(df, frequency["bucket"].to_numpy(int), frequency["n"].to_numpy(float))  # -1: the number of texts
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
-    sample = (learning.withColumn("draw", draw(7, "doc_id")).join(F.broadcast(per_language.limit(MOST_LANGUAGES)), "lang")
-              .filter(F.col("draw") * F.col("rows") < rows_per_language).select("text", "lang", "draw")
-              .mapInArrow(_grams, "lang string, draw double, at array<int>, counts array<int>").toPandas())
+    largest = per_language.orderBy(F.col("rows").desc(), "lang").limit(most_languages)
+    sample = (learning.withColumn("draw", draw(7, "doc_id", "text")).join(F.broadcast(largest), "lang")
+              .filter(F.col("draw") * F.col("rows") < rows_per_language).withColumn("place", draw(8, "doc_id", "text"))
+              .dropDuplicates(["lang", "draw"]).select("text", "lang", "place")
+              .mapInArrow(_grams, "lang string, place double, at array<int>, counts array<int>").toPandas())
     names, w, temperature = fit(sample, idf) if len(sample) else ([], np.zeros((BUCKETS + 1, 0)), 1.0)
     schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])

@@ -171,12 +171,21 @@ levels AS (SELECT *, cap / weight AS ratio,
 final AS (SELECT min_by(level, (ratio, place)) AS level FROM levels WHERE ratio > level),
 targets AS (SELECT source, source_size, CASE WHEN f.level IS NULL THEN cap ELSE least(cap, f.level * weight) END AS target
             FROM levels, final f),
-rates AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS copies FROM targets),
-r0 AS (SELECT doc_id, docs.source, size, source_size, target, floor(copies)::BIGINT AS certain,
+by_x AS (SELECT source, floor(sqrt(size::DOUBLE) * 1000)::BIGINT AS x, sum(size) AS words FROM docs WHERE size > 0 GROUP BY ALL),
+caps AS (SELECT source, x, coalesce(sum(words) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+         (sum(words::HUGEINT * x) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS rest
+         FROM by_x WINDOW w AS (PARTITION BY source ORDER BY x DESC)),
+rate AS (SELECT c.source, arg_max((target - 2.0::DOUBLE * before) / rest, x) AS rate
+         FROM caps c JOIN targets t ON c.source IS NOT DISTINCT FROM t.source
+         WHERE (target - 2.0::DOUBLE * before) / rest * x < 2 GROUP BY c.source),
+hoped AS (SELECT docs.*, source_size, target,
+          coalesce(least(2.0::DOUBLE, rate * floor(sqrt(greatest(size, 1)::DOUBLE) * 1000)::BIGINT), 2.0::DOUBLE) AS copies
+          FROM docs JOIN targets t ON docs.source IS NOT DISTINCT FROM t.source LEFT JOIN rate r ON docs.source IS NOT DISTINCT FROM r.source),
+r0 AS (SELECT doc_id, source, size, source_size, target, floor(copies)::BIGINT AS certain,
        CASE WHEN copies > floor(copies)
             THEN (u * (1 - (copies - floor(copies)))) / ((1 - u) * (copies - floor(copies))) END AS q,
-       false AS extra, target - floor(copies) * source_size AS open
-       FROM docs JOIN rates ON docs.source IS NOT DISTINCT FROM rates.source),""" + ",".join(steps) + f"""
+       false AS extra, target - sum(floor(copies)::BIGINT * size) OVER (PARTITION BY source) AS open
+       FROM hoped),""" + ",".join(steps) + f"""
 ,
 nearest AS (SELECT source, arg_min(size, (abs(size - open), q)) AS pick_size, arg_min(q, (abs(size - open), q)) AS pick_q
             FROM r{passes} WHERE q IS NOT NULL AND NOT extra AND size > 0 AND abs(size - open) < open GROUP BY source)

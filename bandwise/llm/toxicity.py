@@ -151,7 +151,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     ``labels`` has doc_id and toxic (1: confirmed). Held-out ids (crc32 of the
     id's text mod 5 is 0; null: held out) are neither examples nor counted.
     About ``positive_rows`` confirmed examples and ``unlabelled_rows`` texts,
-    drawn by hash, are trained on; a text without words has the
+    drawn by the hash of id and text, are trained on, repeated rows once, so that
+    ids that repeat do not enlarge the sample; a text without words has the
     bias's score. Without confirmed examples all scores are 0. Repeated rows
     are each returned; an empty table gives an empty table.
     """
@@ -161,11 +162,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     selected, w = np.empty(0, np.int64), np.array([-np.inf])
     if n_toxic:
         learning = docs.filter(~F.col("held_out"))
-        chosen = (marks.filter("toxic = 1").filter(draw(6, "doc_id") * n_toxic < positive_rows).select("doc_id").distinct()
-                  .limit(2 * positive_rows))
-        n = learning.select("held_out").count()
-        positive = learning.join(F.broadcast(chosen), "doc_id").select("text").mapInArrow(_examples, "features array<long>")
-        unlabelled = learning.filter(draw(16, "doc_id") * n < unlabelled_rows).select("text").mapInArrow(_examples, "features array<long>")
+        confirmed = (learning.select("doc_id", draw(6, "doc_id", "text").alias("draw"))
+                     .join(marks.filter("toxic = 1").select("doc_id"), "doc_id", "left_semi"))
+        n_confirmed, n = confirmed.count(), learning.select("held_out").count()
+        chosen = confirmed.filter(F.col("draw") * n_confirmed < positive_rows).distinct()  # about positive_rows rows
+        positive = (learning.withColumn("draw", draw(6, "doc_id", "text")).join(F.broadcast(chosen), ["doc_id", "draw"])
+                    .dropDuplicates(["draw"]).select("text").mapInArrow(_examples, "features array<long>"))
+        unlabelled = (learning.withColumn("draw", draw(16, "doc_id", "text")).filter(F.col("draw") * n < unlabelled_rows)
+                      .dropDuplicates(["draw"]).select("text").mapInArrow(_examples, "features array<long>"))
         examples = stored(positive.withColumn("positive", F.lit(True)).union(unlabelled.withColumn("positive", F.lit(False))))
         n_positive, n_unlabelled = examples.agg(F.count_if("positive"), F.count_if(~F.col("positive"))).first()
         if n_positive and n_unlabelled:

@@ -7,7 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from bandwise.llm import topk
+from bandwise.llm import mixing, topk
 from bandwise.llm.common import spread_join
 from bandwise.llm.mixing import mix_sources
 from bandwise.llm.queries import op10_pareto_mix
@@ -81,6 +81,38 @@ def test_mix(spark, cells):
     assert sorted((r.doc_id, r.copies) for r in got) == sorted((r.doc_id, r.copies) for r in again)
 
 
+def test_inclusion_follows_the_documents_own_odds(spark):
+    """Over seeds each document is taken as often as its expected copies say, and these differ within a source."""
+    rows = [doc(i, "w " * (3 + i % 5 * 40), source="a" if i % 3 else "b") for i in range(600)]
+    df = spark.createDataFrame(rows, DOCS).cache()
+    plan = mixing.mix_plan(df, (1.0, 1.0), 1.2, 2)
+    rate = {r["source"]: r["rate"] for r in plan.collect()}
+    seeds, taken = 30, defaultdict(int)
+    for seed in range(seeds):
+        for r in mix_sources(df, (1.0, 1.0), 1.2, 2, seed=seed, passes=1).collect():
+            taken[r.source, r.size] += r.copies
+    n = defaultdict(int)
+    for r in rows:
+        n[r[3], len(r[1].split())] += seeds
+    want = {(s, size): min(2.0, rate[s] * math.floor(math.sqrt(size) * 1000)) for s, size in n}
+    assert len({round(w, 6) for (s, _), w in want.items() if s == "a"}) == 5
+    assert sum(want[k] * k[1] * n[k] for k in n) / seeds == pytest.approx(sum(r["target"] for r in plan.collect()))
+    for k, w in want.items():
+        p = w - math.floor(w)
+        assert abs(taken[k] / n[k] - w) < 0.02 + 4 * math.sqrt(p * (1 - p) / n[k]), (k, taken[k] / n[k], w)
+
+
+def test_mix_keeps_columns_of_any_name(spark):
+    names = ["_small_key", "_plan_p", "_plan_rate", "_plan_cuts", "_mix_u", "_mix_source", "cell", "q", "_row_salt"]
+    df = spark.createDataFrame([(i, "a b " * i, "s", *["mine"] * len(names)) for i in range(20)],
+                               "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    got = mix_sources(df)
+    assert set(df.columns) <= set(got.columns) and got.filter(" AND ".join(f"{n} = 'mine'" for n in names)).count() == 20
+    small = spark.createDataFrame([("s", 1)], "source string, w int")
+    for n in (1, 10 ** 9):
+        assert spread_join(df, small, "source", "doc_id", n, salts=3).columns == [*df.columns, "w"]
+
+
 def test_mix_of_odd_rows(odd, nothing):
     got = mix_sources(odd)
     assert set(odd.columns) <= set(got.columns) and got.count() == len(odd_rows())

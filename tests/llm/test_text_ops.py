@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+import math
+
 import numpy as np
 import pandas as pd
 import public_tokenizers
@@ -11,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bandwise.llm import bpe, licenses, quality, queries
+from bandwise.llm import langid, toxicity
 from bandwise.llm.langid import identify_languages, with_languages
 from bandwise.llm.toxicity import score_toxicity
 from tests.conftest import SF_SMALL
@@ -78,8 +81,9 @@ def test_language_sample_is_a_thousand_rows_a_language(spark, monkeypatch):
 
 
 def test_toxicity_accuracy_and_odd_rows(spark, odd, nothing):
-    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic")
-    rows = queries.op6_nnpu_toxicity(spark, SF).join(labels, "doc_id").collect()
+    large = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{large}/labels.parquet").select("doc_id", "toxic")
+    rows = queries.op6_nnpu_toxicity(spark, large).filter("held_out").join(labels, "doc_id").collect()
     clean = [r for r in rows if not r.toxic]
     toxic = [r for r in rows if r.toxic]
     assert sum(r.predicted for r in clean) / len(clean) <= 0.03
@@ -187,3 +191,80 @@ def test_licenses(spark, odd, nothing):
     assert sorted(repr(tuple(r)) for r in got) == want
     assert sum(r.labels != r.base_labels for r in got) > 10
     assert licenses.scan_licenses(nothing).count() == 0
+
+
+def plain_ftrl(rows, classes, epochs):
+    """Follow the regularised leader, one weight at a time; rows: ({place: value}, label)."""
+    z, n = {}, {}
+
+    def weight(key):
+        if abs(z.get(key, 0.0)) <= langid.L1:
+            return 0.0
+        return -(z[key] - math.copysign(langid.L1, z[key])) / ((langid.BETA + math.sqrt(n[key])) / langid.ALPHA + langid.L2)
+
+    for _ in range(epochs):
+        for x, label in rows:
+            scores = [sum(v * weight((i, c)) for i, v in x.items()) for c in range(classes)]
+            e = [math.exp(s - max(scores)) for s in scores]
+            for c in range(classes):
+                for i, v in x.items():
+                    g = v * (e[c] / sum(e) - (c == label))
+                    w, old = weight((i, c)), n.get((i, c), 0.0)
+                    z[i, c] = z.get((i, c), 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / langid.ALPHA * w
+                    n[i, c] = old + g * g
+    return {key: weight(key) for key in z}
+
+
+def test_ftrl_against_a_plain_version():
+    rng = np.random.default_rng(0)
+    rows = [(rng.choice(200, 12, replace=False), rng.normal(size=12), int(rng.integers(3))) for _ in range(50)]
+    model = langid.Ftrl(3)
+    for _ in range(2):
+        for at, x, label in rows:
+            model.learn(at, x, label)
+    want = plain_ftrl([(dict(zip(at.tolist(), x.tolist())), label) for at, x, label in rows], 3, 2)
+    got = model.weights(slice(None))
+    assert all(abs(got[i, c] - w) < 1e-9 for (i, c), w in want.items()) and np.count_nonzero(got) == sum(w != 0 for w in want.values())
+
+
+def test_language_sample_is_bounded_for_repeated_ids_and_rows(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(langid, "fit", lambda sample, idf: (sizes.append(sample["lang"].value_counts().to_dict()),
+                                                            (["de"], np.zeros((langid.BUCKETS + 1, 1)), 1.0))[1])
+    one_id = spark.range(20_000).selectExpr("1L AS doc_id", "concat('word ', id) AS text", "'en' AS lang")
+    one_row = spark.range(20_000).selectExpr("2L AS doc_id", "'the same' AS text", "'de' AS lang")
+    many = spark.range(400).selectExpr("id + 10 AS doc_id", "concat('rare ', id) AS text", "concat('l', id) AS lang")
+    with_languages(one_id.union(one_row).union(many), rows_per_language=1000, most_languages=5)
+    assert 800 < sizes[0]["en"] < 1200 and sizes[0].get("de", 0) <= 1 and len(sizes[0]) <= 5
+
+
+def test_nnpu_risk_against_a_plain_version():
+    rng = np.random.default_rng(1)
+    width, prior = 6, 0.2
+    p, u = ([np.sort(rng.choice(width, int(rng.integers(0, 4)), replace=False)) for _ in range(n)] for n in (9, 30))
+
+    def risk(w):
+        def mean_loss(rows, sign):
+            return np.mean([math.log1p(math.exp(-sign * (sum(w[i] for i in r) + w[-1]))) for r in rows])
+        negatives = mean_loss(u, -1) - prior * mean_loss(p, -1)
+        return prior * mean_loss(p, 1) + max(0.0, negatives), negatives
+
+    rows = [toxicity.Rows(x, width) for x in (p, u)]
+    w = rng.normal(size=width + 1) * 0.1
+    scores = [r.scores(w) for r in rows]
+    assert np.allclose(scores[1], [sum(w[i] for i in r) + w[-1] for r in u])
+    g = prior * rows[0].gradient(toxicity.sigmoid(scores[0]) - 1) + rows[1].gradient(toxicity.sigmoid(scores[1])) - prior * rows[0].gradient(toxicity.sigmoid(scores[0]))
+    step = 1e-6 * np.eye(width + 1)
+    assert risk(w)[1] > 0 and np.allclose(g, [(risk(w + d)[0] - risk(w - d)[0]) / 2e-6 for d in step], atol=1e-6)
+    trained = toxicity.train(*rows, prior)
+    assert risk(trained)[0] < risk(np.append(np.zeros(width), math.log(prior / (1 - prior))))[0]
+
+
+def test_toxicity_sample_is_bounded_for_repeated_ids(spark, monkeypatch):
+    sizes = []
+    train = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda p, u, prior: sizes.append((p.n, u.n)) or train(p, u, prior, 3))
+    docs = spark.range(6000).selectExpr("if(id % 2 = 0, 1L, id) AS doc_id", "concat('word', id % 700, ' bad thing') AS text")
+    marks = spark.createDataFrame([(1, 1), (3, 0), (7, 0), (11, 1)], "doc_id long, toxic int")
+    assert score_toxicity(docs, marks, positive_rows=200, unlabelled_rows=300).count() == 6000
+    assert 0 < sizes[0][0] <= 300 and 0 < sizes[0][1] <= 400
