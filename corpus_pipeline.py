@@ -22,7 +22,7 @@ from bandwise.llm.queries import bpe_digests
 from bandwise.sources.tables import load_table
 
 #: Probability of the predicted language below which a document is rejected.
-LEAST_SCORE = 0.35
+LEAST_SCORE = 0.5
 #: Documents from which a line is dropped.
 LINE_DOCUMENTS = 10
 #: Words per shingle, and percent of shingles that near-duplicates share.
