@@ -62,6 +62,8 @@ class Ranked:
     n: dict[str, int]
     totals: dict[str, dict[str, float]] = field(default_factory=dict)
     extras: dict[str, object] = field(default_factory=dict)
+    #: The rows of ``df`` where the driver holds them anyway.
+    rows: list[dict] | None = None
 
 
 def value_ranks(df: DataFrame, cols: list[str], buckets: int | None = None,
@@ -130,54 +132,58 @@ def _bounds(wide: DataFrame, vcols: list[str], buckets: int, some: list[int]) ->
     probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     near = (wide.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("__g"))
             .agg(*[F.kll_sketch_agg_double(vcols[i], F.lit(size)).alias(f"q{i}") for i in some]))
-    merged = near.agg(*[F.kll_merge_agg_double(f"q{i}", F.lit(size)).alias(f"q{i}") for i in some])
-    row = merged.select(*[F.kll_sketch_get_quantile_double(f"q{i}", probs).alias(f"q{i}") for i in some]).first()
-    return {i: list(row[f"q{i}"]) for i in some}
+    merged = near.agg(F.count(F.lit(1)).alias("parts"), *[F.kll_merge_agg_double(f"q{i}", F.lit(size)).alias(f"q{i}") for i in some])
+    row = merged.where("parts > 0").select(*[F.kll_sketch_get_quantile_double(f"q{i}", probs).alias(f"q{i}") for i in some]).first()
+    return {i: list(row[f"q{i}"]) if row else [] for i in some}
 
 
-def attach_ranks(df: DataFrame, col: str, out: str, weight: str | None = None, buckets: int | None = None) -> DataFrame:
-    """``df`` with the average-tie rank of ``col`` as ``out``; rows without a value are left out.
+def attach_ranks(df: DataFrame, ranks: dict[str, str], weight: str | None = None, buckets: int | None = None) -> DataFrame:
+    """``df`` with the average-tie ranks of columns, ``ranks``: column -> name of its rank; rows lacking a value are left out.
 
-    A row counts ``weight`` times. Rows move once, to the bucket of their value,
-    and are numbered there from the buckets' counts; nothing is joined on a
-    value. A value that fills several buckets is dealt over them by a hash of
-    the whole row: its rank follows from the counts alone. The table of buckets
-    (at most ``buckets`` rows) is broadcast.
+    A row counts ``weight`` times. For each column the rows move once, to the
+    bucket of their value, and are numbered there from the buckets' counts;
+    nothing is joined on a value. A value that fills several buckets is dealt
+    over them by a hash of the whole row: its rank follows from the counts
+    alone. The tables of buckets (at most ``buckets`` rows) are broadcast.
+    ``df`` is read for the bounds, the counts and the ranks: hand in a stored table.
     """
+    cols = list(ranks)
     buckets = buckets or _default_buckets(df)
-    x, w = F.col("__v0"), F.col(f"`{weight}`") if weight else F.lit(1)
-    wide, vcols = _with_values(df, [col], {}, None)
-    wide = wide.where(x.isNotNull())
+    w = F.col(f"`{weight}`") if weight else F.lit(1)
+    wide, vcols = _with_values(df, cols, {}, None)
+    for v in vcols:
+        wide = wide.where(F.col(v).isNotNull())
+    found = _bounds(wide, vcols, buckets, list(range(len(cols))))
+    bounds = [sorted(b for b in found[i] or [] if b is not None and math.isfinite(b)) for i in range(len(cols))]
+    placed = Bucketizer(splitsArray=[[-math.inf, *(sorted(set(b)) or [0.0]), math.inf] for b in bounds], inputCols=vcols,
+                        outputCols=[f"__g{i}" for i in range(len(cols))], handleInvalid="keep").transform(wide)
     salt = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    bounds = sorted(b for b in _bounds(wide, vcols, buckets, [0])[0] if b is not None and math.isfinite(b)) if wide.head(1) else []
-    distinct = sorted(set(bounds))
-    copies = [bounds.count(b) for b in distinct]
-    first = [0, *np.cumsum(copies).tolist()]
-    group = "__group"
-    placed = Bucketizer(splits=[-math.inf, *(distinct or [0.0]), math.inf], inputCol="__v0", outputCol=group,
-                        handleInvalid="keep").transform(wide).withColumn(group, F.col(group).cast("int"))
-    # Group g holds the values from bound g - 1 on; a repeated bound itself has that many buckets, the last shared with the group.
-    at = F.col(group) + 1
-    own = F.element_at(F.array(*[F.lit(v) for v in (first if distinct else [0, 1])]), at)
-    many = F.element_at(F.array(*[F.lit(v) for v in ([1, *copies] if distinct else [1, 1])]), at)
-    edge = F.element_at(F.array(*[F.lit(v) for v in ([math.nan, *distinct] if distinct else [math.nan, math.nan])]), at)
-    hot = (many > 1) & (x == edge)
-    placed = placed.withColumn("__hot", F.coalesce(hot, F.lit(False))).withColumn(
-        "__bucket", F.when(F.col("__hot"), own - F.pmod(salt, many).cast("int")).otherwise(own))
-    counts = placed.groupBy("__bucket").agg(F.sum(w).alias("all"), F.coalesce(F.sum(F.when(F.col("__hot"), w)), F.lit(0)).alias("hot"),
-                                            F.max(F.when(F.col("__hot"), F.col(group))).alias("g"))
-    ahead = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)  # a row per bucket
-    table = counts.withColumn("__offset", F.coalesce(F.sum("all").over(ahead), F.lit(0)))
-    same = Window.partitionBy("g")
-    table = table.select("__bucket", "__offset", F.when(F.col("g").isNotNull(), F.min("__offset").over(same)).alias("__hot_below"),
-                         F.when(F.col("g").isNotNull(), F.sum("hot").over(same)).alias("__hot_ties"))
-    inside = Window.partitionBy("__bucket").orderBy("__v0")
-    ties = F.sum(w).over(inside.rangeBetween(Window.currentRow, Window.currentRow))
-    upto = F.sum(w).over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = placed.withColumn("__ties", ties).withColumn("__upto", upto).join(F.broadcast(table), "__bucket")
-    below = F.when(F.col("__hot"), F.col("__hot_below")).otherwise(F.col("__offset") + F.col("__upto") - F.col("__ties"))
-    equal = F.when(F.col("__hot"), F.col("__hot_ties")).otherwise(F.col("__ties"))
-    return ranked.select(*[F.col(f"`{c}`") for c in df.columns], (below + (equal + 1) / 2.0).alias(out))
+    for i, own_bounds in enumerate(bounds):
+        distinct = sorted(set(own_bounds)) or [math.nan]
+        copies = [1, *(max(1, own_bounds.count(b)) for b in distinct)]
+        # Group g holds the values from bound g - 1 on; a repeated bound itself has that many buckets, the last shared with the group.
+        at = F.col(f"__g{i}").cast("int") + 1
+        last, many, edge = (F.element_at(F.array(*[F.lit(v) for v in values]), at)
+                            for values in ((np.cumsum(copies) - 1).tolist(), copies, [math.nan, *distinct]))
+        placed = placed.withColumn(f"__h{i}", F.when((many > 1) & (F.col(vcols[i]) == edge), at)).withColumn(
+            f"__b{i}", F.when(F.col(f"__h{i}").isNotNull(), last - F.pmod(salt, many).cast("int")).otherwise(last).cast("int"))
+    ranked = placed
+    for i, (v, out) in enumerate(zip(vcols, ranks.values(), strict=True)):
+        hot, bucket = F.col(f"__h{i}"), f"__b{i}"
+        counts = placed.groupBy(bucket).agg(F.sum(w).alias("all"), F.coalesce(F.sum(F.when(hot.isNotNull(), w)), F.lit(0)).alias("hot"),
+                                            F.max(hot).alias("g"))
+        ahead = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)  # a row per bucket
+        table = counts.withColumn("__offset", F.coalesce(F.sum("all").over(ahead), F.lit(0)))
+        same = Window.partitionBy("g")
+        table = table.select(bucket, "__offset", F.min("__offset").over(same).alias("__hot_below"), F.sum("hot").over(same).alias("__hot_ties"))
+        inside = Window.partitionBy(bucket).orderBy(v)
+        ties = F.sum(w).over(inside.rangeBetween(Window.currentRow, Window.currentRow))
+        upto = F.sum(w).over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        joined = ranked.withColumn("__ties", ties).withColumn("__upto", upto).join(F.broadcast(table), bucket)
+        below = F.when(hot.isNotNull(), F.col("__hot_below")).otherwise(F.col("__offset") + F.col("__upto") - F.col("__ties"))
+        equal = F.when(hot.isNotNull(), F.col("__hot_ties")).otherwise(F.col("__ties"))
+        ranked = joined.withColumn(out, below + (equal + 1) / 2.0).drop("__ties", "__upto", "__offset", "__hot_below", "__hot_ties")
+    return ranked.select(*[F.col(f"`{c}`") for c in df.columns], *ranks.values())
 
 
 def _with_values(df: DataFrame, cols: list[str], sums: dict[str, Column], round_digits: int | None = None):
@@ -344,7 +350,8 @@ def selected_ranks(df: DataFrame, cols: list[str], probs: list[float], sums: dic
     names = "var string, value double, cnt long, cum_lo long, cum_hi long" + "".join(f", `{k}` double, `cum_{k}` double" for k in sums)
     table = df.sparkSession.createDataFrame(found, names)
     keep = ["var", "value", "cnt", "cum_lo", "cum_hi", *[x for k in sums for x in (k, f"cum_{k}")]]
-    return Ranked(table.select(*keep), n, totals, {k: head[f"x_{k}"] for k in extras})
+    rows = [dict(zip(table.columns, r, strict=True)) for r in found]
+    return Ranked(table.select(*keep), n, totals, {k: head[f"x_{k}"] for k in extras}, rows)
 
 
 def _hit(counts: DataFrame, cells: list[_Cell] | None, probs: list[float], n_sums: int) -> DataFrame:
@@ -385,6 +392,8 @@ def order_statistics(r: Ranked, positions: dict[str, list[int]]) -> dict[tuple[s
     pos = {v: sorted(set(p)) for v, p in positions.items() if p}
     if not pos:
         return {}
+    if r.rows is not None:
+        return {(row["var"], q): row for row in r.rows for q in pos.get(row["var"], []) if row["cum_lo"] <= q < row["cum_hi"]}
     pos_map = F.create_map(*[x for var, ps in pos.items() for x in (
         F.lit(var), F.array(*[F.lit(p).cast("long") for p in ps]))])
     hits = (r.df.select("*", F.explode(F.filter(

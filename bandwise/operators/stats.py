@@ -42,13 +42,13 @@ def correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     """Spearman rank correlation (T2): Pearson of average-tie ranks.
 
-    Rows are first collapsed to distinct (a, b) pairs with counts; then each
-    column's ranks are attached in turn (``attach_ranks``), the pair moving along.
+    Rows are first collapsed to distinct (a, b) pairs with counts; then both
+    columns' ranks are attached (``attach_ranks``), the pair moving along.
     """
     base = df.select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"))
     base = base.where(~F.isnan("a") & ~F.isnan("b") & F.col("a").isNotNull() & F.col("b").isNotNull())
     pairs = stored(base.groupBy("a", "b").agg(F.count(F.lit(1)).alias("w")))
-    j = attach_ranks(stored(attach_ranks(pairs, "a", "ra", "w")), "b", "rb", "w")
+    j = attach_ranks(pairs, {"a": "ra", "b": "rb"}, "w")
     n = F.sum("w")
     mx, my = F.sum(F.col("w") * F.col("ra")) / n, F.sum(F.col("w") * F.col("rb")) / n
     sxy = F.sum(F.col("w") * F.col("ra") * F.col("rb")) / n - mx * my

@@ -20,7 +20,7 @@ def test_attached_ranks(spark, weight):
     rows = [(i, 0.0 if i % 2 else rng.choice([-1.5, 2.5, rng.gauss(0, 1), float("inf"), None, float("nan")]), rng.randrange(1, 4))
             for i in range(3000)]  # half of the rows hold one value
     df = spark.createDataFrame(rows, "id long, x double, w int").repartition(5)
-    got = {r["id"]: r["rank"] for r in attach_ranks(df, "x", "rank", weight, buckets=16).collect()}
+    got = {r["id"]: r["rank"] for r in attach_ranks(df, {"x": "rank"}, weight, buckets=16).collect()}
     values = pd.Series({i: x for i, x, _ in rows if x is not None and x == x})
     times = pd.Series({i: (w if weight else 1) for i, _, w in rows}).loc[values.index]
     want = pd.Series(np.repeat(values.to_numpy(), times)).rank().groupby(np.repeat(values.index.to_numpy(), times)).first()
@@ -34,7 +34,7 @@ def test_a_hot_value_fills_many_tasks(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        sizes = [r["n"] for r in attach_ranks(df, "x", "rank", buckets=64).groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+        sizes = [r["n"] for r in attach_ranks(df, {"x": "rank"}, buckets=64).groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
@@ -48,7 +48,7 @@ def test_spearman_of_zero_inflated_columns(spark):
     got = spearman(spark.createDataFrame(rows, "a double, b double"), "a", "b").first()
     want = pd.DataFrame(rows[:800]).rank().corr().iloc[0, 1]
     assert got["spearman"] == pytest.approx(want) and got["n"] == 800
-    assert attach_ranks(spark.createDataFrame([], "x double"), "x", "r").count() == 0
+    assert attach_ranks(spark.createDataFrame([], "x double"), {"x": "r"}).count() == 0
 
 
 def test_tables_of_two_hundred_columns(spark, monkeypatch):
