@@ -6,8 +6,11 @@
 2. Vectors are sorted by descending length (range partitioned) and packed into
    blocks of ``block`` rows, one Spark row each; queries are packed likewise.
 3. The block with the longest vectors gives every query a first k-th best
-   score. Then each query block meets the other blocks in the order of their
-   length. A query skips a block whose length bound |q| |x| stays below its
+   score, and so the length below which no vector can matter to it. Headers
+   meet first: a block (its longest vector, a few numbers) is sent to a group
+   of queries only if its longest vector reaches the least length that one of
+   them needs. Then each query block meets the blocks sent in the order of
+   their length. A query skips a block whose length bound |q| |x| stays below its
    present k-th best score; otherwise the partial sum over the first rotated
    coordinates plus the Cauchy-Schwarz bound of the residuals decides which
    vectors are worth their exact integer score.
@@ -191,11 +194,18 @@ def _search(k: int, turned: dict[int, tuple[np.ndarray, int]]):
     return run
 
 
+def least_length(q_lengths: np.ndarray, bounds: np.ndarray) -> float:
+    """Length of the shortest vectors that can still reach a query's bound, with the slack of ``search_block``."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        need = np.where(q_lengths > 0, (bounds - 1e-9) / (q_lengths * (1 + 1e-9)), np.where(bounds <= 1e-9, -np.inf, np.inf))
+    return float(need.min(initial=np.inf))
+
+
 def _first_bounds(k: int):
-    """Adds each query's k-th best score within the block of the longest vectors."""
+    """Adds each query's k-th best score within the block of the longest vectors, and the length that a vector needs."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            out = []
+            out, need = [], []
             for row in frame.itertuples(index=False):
                 q_ids, q = _unpack(row.dim, row.q_ids, row.q_vectors)
                 best = Best(k, q_ids)
@@ -203,10 +213,21 @@ def _first_bounds(k: int):
                 for i, s in enumerate(exact_scores(q, x)):
                     best.add(i, s, ids)
                 out.append(best.bound.tobytes())
-            yield frame[["dim", "q_ids", "q_vectors"]].assign(at_least=out)
+                need.append(least_length(np.sqrt((q * q).sum(axis=1)), best.bound))
+            yield frame[["dim", "q_ids", "q_vectors"]].assign(at_least=out, need=need)
     return run
 
 
+def headers(blocks: DataFrame) -> DataFrame:
+    """A block's key, dimension and longest vector, and its ids."""
+    return blocks.select(F.md5("ids").alias("key"), "dim", "longest", "ids")
+
+
+def needed_blocks(pairs: DataFrame, needs: DataFrame) -> DataFrame:
+    """key, dim, row, column: of the blocks' headers dealt to all groups of queries, those that a query can need."""
+    return pairs.join(needs, ["row", "dim"]).filter(F.col("longest") >= F.col("need")).select("key", "dim", "row", "column")
+
+
 def top_inner_products(vectors: DataFrame, k: int = 5, query_every: int = 50, scale: float = 256.0,
                        id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK,
                        cell_blocks: int = 8, cell_queries: int = 2) -> DataFrame:
@@ -233,16 +254,18 @@ def top_inner_products(vectors: DataFrame, k: int = 5, query_every: int = 50, sc
     # One block per dimension, with the longest vectors.
     first = blocks.groupBy("dim").agg(F.max_by(F.struct("ids", "vectors"), F.struct("longest", "ids")).alias("b"))
     queries = stored(queries.join(F.broadcast(first.select("dim", "b.*")), "dim").mapInPandas(
-        _first_bounds(k), "dim int, q_ids binary, q_vectors binary, at_least binary"))
+        _first_bounds(k), "dim int, q_ids binary, q_vectors binary, at_least binary, need double"))
     columns, rows = (max(1, math.ceil(n / (block * m))) for n, m in ((n_rows, cell_blocks), (n_queries, cell_queries)))
 
     def dealt(df: DataFrame, own: str, by: str, n: int, other: str, m: int) -> DataFrame:
         return (df.withColumn(own, F.pmod(F.xxhash64(by), F.lit(n)).cast("int"))
                 .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1)))))
 
-    left = dealt(queries, "row", "q_ids", rows, "column", columns).groupBy("row", "column")
-    right = dealt(blocks, "column", "ids", columns, "row", rows).groupBy("row", "column")
-    found = left.cogroup(right).applyInPandas(_search(k, turned), "query_id long, vec_id long, score long")
+    left = dealt(queries, "row", "q_ids", rows, "column", columns)
+    needs = queries.withColumn("row", F.pmod(F.xxhash64("q_ids"), F.lit(rows)).cast("int")).groupBy("row", "dim").agg(F.min("need").alias("need"))
+    sent = needed_blocks(dealt(headers(blocks), "column", "ids", columns, "row", rows).drop("ids"), needs)
+    right = blocks.withColumn("key", F.md5("ids")).join(sent, ["key", "dim"]).drop("key")
+    found = left.drop("need").groupBy("row", "column").cogroup(right.groupBy("row", "column")).applyInPandas(_search(k, turned), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return (found.withColumn("rank", rank).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

@@ -161,6 +161,20 @@ def test_top_k(spark):
         assert top(df, block=block, cell_blocks=3) == brute_top(rows, 5, 50)
 
 
+def test_short_blocks_are_not_sent(spark, monkeypatch):
+    """A few long vectors answer all queries: the blocks of short ones stay where they are."""
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.normal(0, 100 if i < 32 else 0.5, 6)]) for i in range(640)]
+    dealt, kept = [], []
+    needed = topk.needed_blocks
+    monkeypatch.setattr(topk, "needed_blocks", lambda pairs, needs: dealt.append(pairs.count()) or kept.append(needed(pairs, needs).count()) or needed(pairs, needs))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert top(df, block=16, cell_blocks=3, cell_queries=1) == brute_top(rows, 5, 50)
+    assert kept[0] < 0.7 * dealt[0]
+    assert topk.least_length(np.array([2.0, 0.0]), np.array([10.0, -np.inf])) == -np.inf
+    assert topk.least_length(np.array([2.0]), np.array([10.0])) == pytest.approx(5.0) and topk.least_length(np.array([0.0]), np.array([1.0])) == np.inf
+
+
 def test_top_k_beyond_exact_doubles(spark):
     rows = [(i, [float(3 ** i) * 1e4, -1e9, 7.0 + i]) for i in range(12)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
