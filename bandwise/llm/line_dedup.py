@@ -5,9 +5,10 @@ Plan, all in built-in functions:
 1. Each text is split at \\n and every line normalised to its key (ASCII white
    space stripped at both ends, A-Z lower-cased); keys explode to (document,
    position, 128-bit hash).
-2. ``groupBy(hash, document)`` gathers the positions, so a very common line is
-   spread over its documents' partitions; a second, map-side combined count
-   gives the documents per hash.
+2. ``groupBy(hash, document, content)`` gathers the positions, so a very common
+   line is spread over its documents' partitions, documents without an id by
+   their text; the table is written once. A second, map-side combined count
+   gives the distinct ids per hash.
 3. Occurrences of hashes at or over the threshold are found with a join on
    (hash, salt): the rare frequent hashes are repeated per salt, so that the
    occurrences of one hot line are shared out over ``salts`` tasks.
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.llm.common import ASCII_SPACE, ascii_lower, free_name, let, text_of
+from bandwise.llm.common import ASCII_SPACE, ascii_lower, free_name, let, stored, text_of
 
 SALTS = 32
 
@@ -51,16 +52,15 @@ def drop_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         rows.select(F.col(key).alias("id"), F.col(content).alias("content"),
                     F.posexplode(line_keys(text_of(text_col))).alias("pos", "line"))
         .filter(F.char_length("line") >= min_chars)
-        .select("id", F.unhex(F.md5("line")).alias("hash"), F.struct("content", "pos").alias("spot")))
-    per_doc = occurrences.groupBy("hash", "id").agg(F.collect_list("spot").alias("spots"))
-    frequent = (per_doc.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs)
+        .select("id", "content", F.unhex(F.md5("line")).alias("hash"), "pos"))
+    per_doc = stored(occurrences.groupBy("hash", "id", "content").agg(F.collect_list("pos").alias("spots")))
+    frequent = (per_doc.select("hash", "id").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs)
                 .select("hash", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")))
     dropped = (
-        per_doc.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
+        per_doc.withColumn("salt", F.pmod(F.xxhash64("id", "content"), F.lit(salts)).cast("int"))
         .join(frequent, ["hash", "salt"])
-        .select("id", F.explode("spots").alias("spot"))
-        .groupBy("id", F.col("spot.content").alias("content"))
-        .agg(F.collect_list("spot.pos").alias(gone)))
+        .select("id", "content", F.explode("spots").alias("pos"))
+        .groupBy("id", "content").agg(F.collect_list("pos").alias(gone)))
     lines = F.split(text_of(text_col), "\n", -1)
     kept = let(lines, lambda x: F.array_join(F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.coalesce(F.col(gone), F.array().cast("array<int>"))),
