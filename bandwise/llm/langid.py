@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F, types as T
 
-from bandwise.llm.common import chained, draw, held_out, text_of, text_slices
+from bandwise.llm.common import chained, draw, give_back, held_out, text_of, text_slices
 
 #: Hash buckets of the n-grams of 1 to GRAMS characters.
 BUCKETS, GRAMS = 1 << 14, 3
@@ -179,6 +179,8 @@ def with_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
               .dropDuplicates(["lang", "draw"]).select("text", "lang", "place")
               .mapInArrow(_grams, "lang string, place double, at array<int>, counts array<int>").toPandas())
     names, w, temperature = fit(sample, idf) if len(sample) else ([], np.zeros((BUCKETS + 1, 0)), 1.0)
+    del sample
+    give_back()
     schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
     return rows.mapInArrow(_predicted(names, w, idf, temperature), schema)
