@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bandwise.llm.common import BROADCAST_ROWS, free_name, spread_join, stored, text_of
+from bandwise.llm.common import BROADCAST_ROWS, free_name, release, spread_join, stored, text_of
 
 #: Words: runs of anything but [\x20\x09-\x0D].
 WORD = r"[^\x20\x09-\x0D]+"
@@ -145,7 +145,9 @@ def mix_plan(docs: DataFrame, weights: Sequence[float], share: float = 1.5, max_
                   .withColumn("open", F.col("target") - F.coalesce("sure", F.lit(0)))
                   .withColumn("cuts", F.array().cast(CUTS)).drop("sure", "sure_source"))
     for _ in range(passes):
-        plan = stored(_next_pass(rows, plan, n_sources, max_copies, cells))
+        wanted = stored(_left(rows, plan, n_sources, max_copies, cells).filter(F.col("size") <= F.col("open")))
+        plan = stored(_next_pass(wanted, plan))
+        release(wanted)
     plan = stored(_nearest(rows, plan, n_sources, max_copies, cells))
     return plan.select("source", *PLAN_COLUMNS)
 
@@ -182,8 +184,8 @@ def _nearest(rows: DataFrame, plan: DataFrame, n_sources: int, max_copies: int,
     return _more_cuts(plan, best.select("source", _cut(size, size, q, q), F.col("size").alias("words")))
 
 
-def _next_pass(rows: DataFrame, plan: DataFrame, n_sources: int, max_copies: int, cells: int) -> DataFrame:
-    wanted = _left(rows, plan, n_sources, max_copies, cells).filter(F.col("size") <= F.col("open"))
+def _next_pass(wanted: DataFrame, plan: DataFrame) -> DataFrame:
+    """The plan with another cut down the ranking of ``wanted``, the documents left that still fit."""
     running = Window.partitionBy("source").orderBy("cell")
     summed = (wanted.groupBy("source", "cell").agg(F.sum("size").alias("words"), F.max("q").alias("last"),
                                                   F.first("open").alias("open"))
