@@ -16,8 +16,10 @@
    these all are compared: every node outside the bucket's largest component
    against the rest. In small buckets the pairs are joined; those of large
    buckets are compared inside tasks, in cells of bounded size, which give back
-   at most one link of a node to each component. While the number of pairs is
-   large, further star rounds come first.
+   at most one link of a node to each component. Cells are cut per bucket (a pair
+   meets in the first bucket it shares) or, where that copies less, from all
+   buckets of a component; only nodes that share a bucket are compared. While the
+   number of pairs is large, further star rounds come first.
 4. The odd sketches of a pair decide whether it is confirmed at all: the bound
    lies so far below the threshold that a true link fails with a probability
    below 1e-8. Confirmation intersects the full sets.
@@ -177,11 +179,10 @@ class _Links:
 
     def full_sets(self, used: DataFrame) -> DataFrame:
         """nid, shingles of the nodes ``used`` (nid)."""
-        wanted = self.nodes.select("nid", "digest", "first_doc").join(used, "nid", "left_semi")
-        sets = (self.docs.join(wanted, self.docs["doc_id"].eqNullSafe(wanted["first_doc"]))
-                .select("nid", "digest", "text")
+        wanted = self.nodes.select("nid", "digest", "row_key").join(used, "nid", "left_semi")
+        sets = (self.docs.join(wanted, "row_key").select("nid", "digest", "text")
                 .mapInArrow(_full_sets(self.width), "nid long, shingles array<long>"))
-        return stored(sets.dropDuplicates(["nid"]), True)
+        return stored(sets.dropDuplicates(["nid"]))
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Of the likely pairs (a, b), those that reach the threshold on their full sets."""
@@ -189,26 +190,35 @@ class _Links:
         left, right = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
         both = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("set_a", "set_b")))
         union = F.size("set_a") + F.size("set_b") - F.col("common")
-        out = stored(both.filter(100 * F.col("common") >= self.percent * union).select("a", "b"), True)
+        out = stored(both.filter(100 * F.col("common") >= self.percent * union).select("a", "b"))
         release(sets, pairs)
         return out
 
 
-def link_cell(nodes: pd.DataFrame, others: pd.DataFrame, percent: int, most: int) -> list[tuple[int, int]]:
+def link_cell(nodes: pd.DataFrame, others: pd.DataFrame, percent: int, most: int,
+              key: int | None = None) -> list[tuple[int, int]]:
     """Links of each of ``nodes`` to ``others`` of other components, at most one to each component.
 
-    Columns: nid, root, sketch, shingles (both 64-bit arrays; shingles sorted as unsigned numbers).
+    Only nodes that share a bucket are compared; with ``key``, only in the
+    first bucket they share. Columns: nid, root, bands, sketch, shingles (the
+    last three 64-bit arrays; shingles sorted as unsigned numbers).
     """
     sketches = np.stack(others["sketch"].to_numpy()).view(np.uint64)
+    bands = np.stack(others["bands"].to_numpy())
     sizes = others["shingles"].map(len).to_numpy()
     roots, ids = others["root"].to_numpy(), others["nid"].to_numpy()
     sets = [np.asarray(s).view(np.uint64) for s in others["shingles"]]
     out = []
-    for nid, root, sketch, own in nodes[["nid", "root", "sketch", "shingles"]].itertuples(index=False):
-        own = np.asarray(own).view(np.uint64)
+    for nid, root, mine, sketch, own in nodes[["nid", "root", "bands", "sketch", "shingles"]].itertuples(index=False):
+        own, mine = np.asarray(own).view(np.uint64), np.asarray(mine)
         differing = np.bitwise_count(sketches ^ np.asarray(sketch).view(np.uint64)).sum(axis=1)
         least, largest = np.minimum(sizes, len(own)), np.maximum(sizes, len(own))
         likely = np.flatnonzero((roots != root) & (100 * least >= percent * largest) & (differing <= most))
+        shared = bands[likely] == mine
+        meet = shared.any(axis=1)
+        if key is not None:
+            meet &= mine[shared.argmax(axis=1)] == key
+        likely = likely[meet]
         if not len(likely):
             continue
         values = np.concatenate([sets[i] for i in likely])
@@ -221,8 +231,10 @@ def link_cell(nodes: pd.DataFrame, others: pd.DataFrame, percent: int, most: int
 
 
 def _cells(percent: int, most: int):
-    def run(nodes: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        links = link_cell(nodes, others, percent, most) if len(nodes) and len(others) else []
+    def run(cell: tuple, nodes: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        _, by_bucket, key, _, _ = cell
+        links = (link_cell(nodes, others, percent, most, int(key) if by_bucket else None)
+                 if len(nodes) and len(others) else [])
         return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
     return run
 
@@ -246,7 +258,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col:
     the row's id is its component's id (both null counts as equal: ids are null
     throughout). Rows repeated under one id are separate rows with the same
     answer if their texts are alike. ``component`` is a number of the component
-    (null without words). An empty table gives an empty table.
+    (null without words). An empty table gives an empty table. Texts are looked
+    up by ``row_key``, so repeated or null ids make no hot key; rows without
+    words take no part in the last join, and the many rows of one text are its
+    probing side, which Spark splits. Of the tables written on the way only the
+    result's stays.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("row_key"),
                        text_of(text_col).alias("text"))
@@ -256,19 +272,25 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col:
         f"doc_id {id_type}, row_key binary, n_shingles long, digest binary, bands array<long>, sketch array<long>"))
     nodes = stored(
         feats.filter("digest is not null").groupBy("digest")
-        .agg(F.min("doc_id").alias("first_doc"), F.any_value(F.struct("n_shingles", "bands", "sketch")).alias("f"))
-        .select(F.monotonically_increasing_id().alias("nid"), "digest", "first_doc", "f.*"), True)
+        .agg(F.min("doc_id").alias("first_doc"), F.any_value(F.struct("row_key", "n_shingles", "bands", "sketch")).alias("f"))
+        .select(F.monotonically_increasing_id().alias("nid"), "digest", "first_doc", "f.*"))
     links = _Links(docs, nodes, percent, width, bands * rows, bits)
     roots = _link_components(nodes, links, star_rounds)
 
     comp = nodes.join(roots.withColumnRenamed("node", "nid"), "nid", "left").select(
         "digest", "first_doc", F.coalesce("root", "nid").alias("root"))
-    least = stored(comp.groupBy("root").agg(F.min("first_doc").alias("component_id")), True)
-    by_digest = stored(comp.select("digest", "root").join(least, "root"), True)
-    out = feats.select("doc_id", "row_key", "n_shingles", "digest").join(by_digest, "digest", "left")
-    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"), "row_key", F.col("root").alias("component"))
+    least = stored(comp.groupBy("root").agg(F.min("first_doc").alias("component_id")))
+    by_digest = stored(comp.select("digest", "root").join(least, "root"))
+    release(nodes, roots, least)
+    rows_of = feats.select("doc_id", "row_key", "n_shingles", "digest")
+    none = rows_of.filter("digest is null").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "row_key", F.lit(None).cast("long").alias("component"))
+    some = rows_of.filter("digest is not null").join(by_digest, "digest").select(
+        "doc_id", "n_shingles", "component_id", "row_key", F.col("root").alias("component"))
+    out = stored(some.union(none))
+    release(feats, by_digest)
+    return out.select("doc_id", "n_shingles", "component_id",
+                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "row_key", "component")
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id",
@@ -276,23 +298,26 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_
     """All columns of the rows of ``docs`` that stay: one document of each component, the one with the smallest id.
 
     Documents without words all stay. Rows equal in id and text count as one
-    document, of which one row stays. The texts move once.
+    document, of which one row stays: the one whose other columns have the
+    smallest hash, the same in every run. The texts move once.
     """
     verdicts = near_duplicates(docs, percent, width, id_col, text_col, **options).filter("kept")
     chosen = (verdicts.filter("component is not null").groupBy("component").agg(F.min("row_key").alias("key")).select("key")
               .union(verdicts.filter("component is null").select("row_key")).distinct())
     key = row_key(id_col, text_col).alias("key")
-    once = docs.select(key, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).groupBy("key").agg(
-        F.first("row").alias("row"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
+    order = F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)
+    once = (docs.select(key, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), order.alias("order"))
+            .groupBy("key").agg(F.min_by("row", "order").alias("row")))
     return once.join(chosen, "key", "left_semi").select("row.*")
 
 
 def _link_components(nodes: DataFrame, links: _Links, star_rounds: int) -> DataFrame:
     """(node, root) of every node that has a link."""
     entries = nodes.select("nid", F.explode("bands").alias("key"))
-    shared = stored(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), True)
+    shared = stored(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     popular = F.sum("n").over(Window.partitionBy("nid"))
-    members = stored(entries.join(shared, "key").select("key", "nid", popular.alias("popular")), True)
+    members = stored(entries.join(shared, "key").select("key", "nid", popular.alias("popular")))
 
     def star(centred: DataFrame) -> DataFrame:
         """Links of each node to the centre (nid, center) it shares most buckets with."""
@@ -300,7 +325,7 @@ def _link_components(nodes: DataFrame, links: _Links, star_rounds: int) -> DataF
                    .groupBy(F.col("nid").alias("a"))
                    .agg(F.max(F.struct("n", "center"))["center"].alias("b")))
         likely = nearest.join(links.side("a"), "a").join(links.side("b"), "b").filter(links.likely())
-        return links.confirmed(stored(likely.select("a", "b"), True))
+        return links.confirmed(stored(likely.select("a", "b")))
 
     centers = members.groupBy("key").agg(F.max(F.struct("popular", "nid"))["nid"].alias("center"))
     found = star(members.join(centers, "key"))
@@ -314,16 +339,18 @@ def _link_components(nodes: DataFrame, links: _Links, star_rounds: int) -> DataF
                                           F.max(F.struct("n", "root", "center")).alias("main"))
                  .filter("parts > 1").select("key", "n", F.col("main.n").alias("main_n"), F.col("main.root").alias("main"),
                                              F.col("main.center").alias("center")))
-        mixed = stored(mixed, True)
+        mixed = stored(mixed)
         n, pairs = mixed.agg(F.coalesce(F.sum("n"), F.lit(0)),
                              F.coalesce(F.sum(F.col("n") * (F.col("n") - F.col("main_n"))), F.lit(0))).first()
         if not n:
+            release(shared, members, mixed)
             return roots
-        open_ = stored(labelled.join(mixed.select("key", "main", "center", "n"), "key"), True)
+        open_ = stored(labelled.join(mixed.select("key", "main", "center", "n"), "key"))
         if pairs <= PAIRS_PER_ENTRY * n or step == star_rounds:
             break
-        found = stored(found.union(star(open_.filter("root <> main"))))
-        release(roots, mixed, open_)
+        wider = stored(found.union(star(open_.filter("root <> main"))))
+        release(found, roots, mixed, open_)
+        found = wider
         roots = components(found)
 
     # All pairs of a bucket across components: each node outside the largest against the others.
@@ -332,30 +359,51 @@ def _link_components(nodes: DataFrame, links: _Links, star_rounds: int) -> DataF
     a = (small.filter("root <> main").select("key", F.col("nid").alias("a"), F.col("root").alias("root_a"), "main")
          .join(links.side("a"), "a"))
     across = (F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("main")) | (F.col("a") < F.col("b")))
-    more = links.confirmed(stored(a.join(b, "key").filter(across & links.likely()).select("a", "b").distinct(), True))
+    more = links.confirmed(stored(a.join(b, "key").filter(across & links.likely()).select("a", "b").distinct()))
     large = open_.filter(F.col("n") > SMALL_BUCKET)
     if not large.isEmpty():
         more = stored(more.union(_links_in_cells(large, nodes, links)))
-    return roots if more.isEmpty() else components(found.union(more))
+    release(shared, members, mixed, open_)
+    if more.isEmpty():
+        return roots
+    release(roots)
+    return components(found.union(more))
 
 
 def _links_in_cells(open_: DataFrame, nodes: DataFrame, links: _Links) -> DataFrame:
-    """Links across components of nodes that share a bucket (``open_``: nid, root, main of the bucket).
+    """Links across components of nodes that share a bucket (``open_``: key, nid, root, main of the bucket).
 
-    The nodes that met a component in a bucket where it is the largest are
-    compared with one another and with its members there, in cells.
+    In each bucket the nodes outside its largest component, ``main``, meet all
+    its nodes. Either every bucket of a ``main`` has cells of its own, or all its
+    buckets have common ones: whichever ships fewer copies of sets.
     """
-    members = stored(open_.select("main", "nid", "root").distinct(), True)
-    sizes = members.groupBy("main").agg(F.count_if(F.col("root") != F.col("main")).alias("n"), F.count(F.lit(1)).alias("m"))
-    parts = stored(sizes.select("main", F.ceil(F.col("n") / CELL_NODES).alias("rows"),
-                                F.ceil(F.col("m") / CELL_OTHERS).alias("columns")), True)
+    def copies(*by: str) -> DataFrame:
+        """Per group: cells in both directions and the rows they ship."""
+        rows, columns = F.ceil(F.col("n") / CELL_NODES), F.ceil(F.col("m") / CELL_OTHERS)
+        return (open_.select("main", *by, "nid", "root").distinct().groupBy("main", *by)
+                .agg(F.count_if(F.col("root") != F.col("main")).alias("n"), F.count(F.lit(1)).alias("m"))
+                .withColumn("copies", F.col("n") * columns + F.col("m") * rows))
+
+    per_bucket = copies("key").groupBy("main").agg(F.sum("copies").alias("apart"))
+    by_bucket = (copies().join(per_bucket, "main")
+                 .select("main", (F.col("apart") < F.col("copies")).alias("by_bucket")))
+    bucket = F.when(F.col("by_bucket"), F.col("key")).otherwise(F.lit(0)).alias("bucket")
+    members = stored(open_.select("main", "key", "nid", "root").join(by_bucket, "main")
+                     .select("main", "by_bucket", bucket, "nid", "root").distinct())
+    group = ["main", "by_bucket", "bucket"]
+    parts = stored(members.groupBy(*group).agg(F.count_if(F.col("root") != F.col("main")).alias("n"), F.count(F.lit(1)).alias("m"))
+                   .select(*group, F.ceil(F.col("n") / CELL_NODES).alias("rows"),
+                           F.ceil(F.col("m") / CELL_OTHERS).alias("columns")))
     sets = links.full_sets(members.select("nid").distinct())
-    full = stored(members.join(sets, "nid").join(nodes.select("nid", "sketch"), "nid").join(parts, "main"), True)
+    carried = sets.join(nodes.select("nid", "bands", "sketch"), "nid")
+    full = stored(members.join(parts, group).join(carried, "nid"))
 
     def dealt(df: DataFrame, own: str, n: str, other: str, m: str) -> DataFrame:
-        return df.select("main", "nid", "root", "sketch", "shingles", F.pmod(F.xxhash64("nid"), F.col(n)).alias(own),
-                         F.explode(F.sequence(F.lit(0).cast("long"), F.col(m) - 1)).alias(other)).groupBy("main", "row", "column")
+        return df.select(*group, "nid", "root", "bands", "sketch", "shingles", F.pmod(F.xxhash64("nid"), F.col(n)).alias(own),
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.col(m) - 1)).alias(other)).groupBy(*group, "row", "column")
 
     left = dealt(full.filter("root <> main"), "row", "rows", "column", "columns")
     right = dealt(full, "column", "columns", "row", "rows")
-    return left.cogroup(right).applyInPandas(_cells(links.percent, links.most), "a long, b long")
+    out = stored(left.cogroup(right).applyInPandas(_cells(links.percent, links.most), "a long, b long"))
+    release(members, parts, sets, full)
+    return out
