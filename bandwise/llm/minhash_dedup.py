@@ -377,26 +377,27 @@ def _links_in_cells(open_: DataFrame, nodes: DataFrame, links: _Links) -> DataFr
     its nodes. Either every bucket of a ``main`` has cells of its own, or all its
     buckets have common ones: whichever ships fewer copies of sets.
     """
-    def copies(*by: str) -> DataFrame:
-        """Per group: cells in both directions and the rows they ship."""
-        rows, columns = F.ceil(F.col("n") / CELL_NODES), F.ceil(F.col("m") / CELL_OTHERS)
+    cells = [F.ceil(F.col("n") / CELL_NODES).alias("rows"), F.ceil(F.col("m") / CELL_OTHERS).alias("columns")]
+
+    def sized(*by: str) -> DataFrame:
+        """Per group: rows and columns of cells, and the copies of sets they ship."""
         return (open_.select("main", *by, "nid", "root").distinct().groupBy("main", *by)
                 .agg(F.count_if(F.col("root") != F.col("main")).alias("n"), F.count(F.lit(1)).alias("m"))
-                .withColumn("copies", F.col("n") * columns + F.col("m") * rows))
-
-    per_bucket = copies("key").groupBy("main").agg(F.sum("copies").alias("apart"))
-    by_bucket = (copies().join(per_bucket, "main")
-                 .select("main", (F.col("apart") < F.col("copies")).alias("by_bucket")))
-    bucket = F.when(F.col("by_bucket"), F.col("key")).otherwise(F.lit(0)).alias("bucket")
-    members = stored(open_.select("main", "key", "nid", "root").join(by_bucket, "main")
-                     .select("main", "by_bucket", bucket, "nid", "root").distinct())
+                .select("main", *by, *cells, (F.col("n") * cells[1] + F.col("m") * cells[0]).alias("copies")))
+
+    buckets = stored(sized("key"))
+    whole = sized().join(buckets.groupBy("main").agg(F.sum("copies").alias("apart")), "main").select(
+        "main", (F.col("apart") < F.col("copies")).alias("by_bucket"), F.struct("rows", "columns").alias("whole"))
+    own = F.struct("rows", "columns")
+    dealt_in = (buckets.join(whole, "main").withColumn("cut", F.when(F.col("by_bucket"), own).otherwise(F.col("whole")))
+                .select("key", "main", "by_bucket", F.when(F.col("by_bucket"), F.col("key")).otherwise(F.lit(0)).alias("bucket"),
+                        "cut.rows", "cut.columns"))
+    # By bucket, not by component: a component may hold most nodes.
+    members = stored(open_.select("key", "nid", "root").join(dealt_in, "key").drop("key").distinct())
     group = ["main", "by_bucket", "bucket"]
-    parts = stored(members.groupBy(*group).agg(F.count_if(F.col("root") != F.col("main")).alias("n"), F.count(F.lit(1)).alias("m"))
-                   .select(*group, F.ceil(F.col("n") / CELL_NODES).alias("rows"),
-                           F.ceil(F.col("m") / CELL_OTHERS).alias("columns")))
     sets = links.full_sets(members.select("nid").distinct())
     carried = sets.join(nodes.select("nid", "bands", "sketch"), "nid")
-    full = stored(members.join(parts, group).join(carried, "nid"))
+    full = stored(members.join(carried, "nid"))
 
     def dealt(df: DataFrame, own: str, n: str, other: str, m: str) -> DataFrame:
         return df.select(*group, "nid", "root", "bands", "sketch", "shingles", F.pmod(F.xxhash64("nid"), F.col(n)).alias(own),
@@ -405,5 +406,5 @@ def _links_in_cells(open_: DataFrame, nodes: DataFrame, links: _Links) -> DataFr
     left = dealt(full.filter("root <> main"), "row", "rows", "column", "columns")
     right = dealt(full, "column", "columns", "row", "rows")
     out = stored(left.cogroup(right).applyInPandas(_cells(links.percent, links.most), "a long, b long"))
-    release(members, parts, sets, full)
+    release(buckets, members, sets, full)
     return out

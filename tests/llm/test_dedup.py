@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 
 from bandwise.llm import minhash_dedup as M
 from bandwise.llm.components import components
@@ -142,6 +143,28 @@ def test_large_buckets_are_compared_in_cells(spark, monkeypatch):
     assert calls
 
 
+def test_cells_by_bucket_meet_each_pair_once():
+    """Over all buckets, cells by bucket find the links that a common cell finds, each in one bucket."""
+    rng, base = np.random.default_rng(4), np.arange(1, 200, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    sets = [np.unique(np.concatenate((base[rng.random(199) < 0.9], rng.integers(0, 2 ** 63, 8, dtype=np.uint64)))) for _ in range(30)]
+    samples = M.minhash(sets, 300)
+    cell = pd.DataFrame({"nid": range(30), "root": range(30), "bands": list(M.band_keys(samples, 50).view(np.int64)),
+                         "sketch": list(M.odd_sketch(samples, 1024).view(np.int64)), "shingles": [s.view(np.int64) for s in sets]})
+    whole = M.link_cell(cell, cell, 75, 1024)
+    keys = np.stack(cell["bands"])
+    apart = [pair for k in np.unique(keys) if len(bucket := cell[(keys == k).any(axis=1)]) > 1
+             for pair in M.link_cell(bucket, bucket, 75, 1024, int(k))]
+    assert sorted(apart) == sorted(whole) and len(whole) > 50
+
+
+def test_equal_rows_keep_the_same_one(spark):
+    rows = [doc(1, "one two three"), doc(1, "one two three"), doc(2, "four five")]
+    rows = [(*r[:2], *(f"{c}{i}" if isinstance(c, str) else c for c in r[2:])) for i, r in enumerate(rows)]
+    first = M.drop_near_duplicates(spark.createDataFrame(rows, DOCS).repartition(3)).collect()
+    again = M.drop_near_duplicates(spark.createDataFrame(rows[::-1], DOCS).coalesce(1)).collect()
+    assert sorted(map(repr, first)) == sorted(map(repr, again)) and len(first) == 2
+
+
 def test_near_duplicates_of_nothing(nothing):
     assert M.near_duplicates(nothing).count() == 0
     assert M.drop_near_duplicates(nothing).columns == nothing.columns
