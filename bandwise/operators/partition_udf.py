@@ -3,8 +3,8 @@
 ``map_partitions`` runs a pandas function over Arrow batches of each
 partition with a declared output schema (``mapInPandas``); expensive state
 (a model, a tokenizer) is built once per partition via ``init``.
-``attach_column`` keeps the result next to its row with an iterator
-``pandas_udf``, so nothing has to be re-stitched afterwards.
+``attach_token_count`` keeps the result next to its row with an iterator
+``arrow_udf``, so nothing has to be re-stitched afterwards.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,11 +47,14 @@ def text_stats_batch(batch: pd.DataFrame, state=None, text_col: str = "text") ->
 
 
 def attach_token_count(col: str = "text"):
-    """Iterator pandas UDF: token count of each text, returned next to its row."""
-    @F.pandas_udf("long")
-    def token_count(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in it:
-            yield s.fillna("").str.count(TOKEN_PATTERN).astype("int64")
+    """Iterator Arrow UDF: token count of each text, returned next to its row.
+
+    The texts are counted where the batch lies: no Python string is made of one.
+    """
+    @F.arrow_udf("long")
+    def token_count(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in it:
+            yield pc.fill_null(pc.count_substring_regex(texts, TOKEN_PATTERN), 0).cast(pa.int64())
     return token_count(F.col(col))
 
 
